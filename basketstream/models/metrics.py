@@ -29,36 +29,36 @@ def ranking_metrics(scored: DataFrame, k: int = fixed.TOP_K) -> DataFrame:
     """Rows (metric, value) for ``label`` (0/1) against ``score``.
 
     Average precision adds up recall steps times precision over distinct scores;
-    the area under the ROC curve counts tied pairs half. Both need only totals
-    per distinct score, so nothing but those is ordered.
+    the area under the ROC curve counts tied pairs half. All but the top-k
+    figures need only totals per distinct score.
     """
-    above_pos = F.col("pos_through") - F.col("pos")
-    step = F.col("pos") * F.col("pos_through") / (F.col("pos_through") + F.col("neg_through"))
-    # Per score group: negatives here are beaten by all positives above, tied with those here.
-    wins = F.col("neg") * (above_pos + F.col("pos") * F.lit(0.5))
-    curve = score_groups(scored).agg(
-        F.try_divide(F.sum(step), F.sum("pos")).alias("average_precision"),
-        F.try_divide(F.sum(wins.cast("double")), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"),
+    pos, neg, score = F.col("pos"), F.col("neg"), F.col("score")
+    step = pos * F.col("pos_through") / (F.col("pos_through") + F.col("neg_through"))
+    # Negatives of a group lose to all positives above it and tie with those in it.
+    wins = neg * (F.col("pos_through") - pos + pos * F.lit(0.5))
+    squares = pos * (1 - score) * (1 - score) + neg * score * score
+    totals = score_groups(scored).agg(
+        F.sum(step).alias("steps"),
+        F.sum(wins.cast("double")).alias("wins"),
+        F.sum(squares).alias("squares"),
+        F.sum("pos").alias("positives"),
+        F.sum("neg").alias("negatives"),
     )
-    error = F.col("label") - F.col("score")
-    plain = scored.agg(
-        F.avg(F.col("label").cast("double")).alias("random_ranking_ap"),
-        F.avg(error * error).alias("brier_score"),
-    )
-    # Only the k best rows and one total meet here.
-    hits = top_k(scored, k).agg(
-        F.sum("label").alias("hits"), F.count("*").alias("kept"), F.lit(None).cast("bigint").alias("positives")
-    )
-    total = scored.agg(
-        F.lit(None).cast("bigint").alias("hits"), F.lit(None).cast("bigint").alias("kept"),
-        F.sum("label").alias("positives"),
-    )
-    top = hits.unionAll(total).agg(*[F.max(name).alias(name) for name in ("hits", "kept", "positives")]).select(
+    hits = top_k(scored, k).agg(F.sum("label").alias("hits"), F.count("*").alias("kept"))
+    # Two one-row relations become one row without a join.
+    both = totals.unionByName(hits, allowMissingColumns=True)
+    row = both.agg(*[F.max(name).alias(name) for name in both.columns])
+    everyone = F.col("positives") + F.col("negatives")
+    pairs = F.col("positives").cast("double") * F.col("negatives")
+    figures = row.select(
+        F.try_divide(F.col("positives"), everyone).alias("random_ranking_ap"),
+        F.try_divide("steps", "positives").alias("average_precision"),
+        F.try_divide(F.col("wins"), pairs).alias("roc_auc"),
+        F.try_divide(F.col("squares"), everyone).alias("brier_score"),
         F.try_divide("hits", "kept").alias("precision_at_k"),
         F.try_divide("hits", "positives").alias("recall_at_k"),
     )
-    parts = [df.unpivot([], df.columns, "metric", "value") for df in (plain, curve, top)]
-    return reduce(DataFrame.unionAll, parts)
+    return figures.unpivot([], figures.columns, "metric", "value")
 
 
 def _clipped(value):

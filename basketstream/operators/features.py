@@ -57,9 +57,12 @@ def _client_browsing(events: DataFrame) -> DataFrame:
     )
 
 
-def offline_snapshot(events: DataFrame) -> DataFrame:
+def offline_snapshot(events: DataFrame, browsing: DataFrame | None = None) -> DataFrame:
     """Snapshot rows of every day in ``events``: keys, eleven counts, two recencies.
 
+    ``events`` holds all events, or only product events when page visits and
+    searches come separately as ``browsing`` (so each scan reads its own types).
+
     Product events are reduced to pair rows and browsing to client-day rows
     before anything is joined, so a hot client joins as its number of distinct
     products, not as its number of events. Client totals come from the pair rows,
@@ -67,7 +70,9 @@ def offline_snapshot(events: DataFrame) -> DataFrame:
     """
     pairs = candidate_pairs(events)
     keys = [AS_OF, "client_id"]
-    clients = _client_sku_totals(pairs).join(_client_browsing(events), keys, "left")
+    clients = _client_sku_totals(pairs).join(
+        _client_browsing(events if browsing is None else browsing), keys, "left"
+    )
     end = midnight(F.col(AS_OF))
     visits = F.coalesce("page_visits_previous_day", F.lit(0))
     searches = F.coalesce("search_previous_day", F.lit(0))

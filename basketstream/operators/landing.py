@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from basketstream import fixed_values as fixed
 from basketstream.functions.checks import all_failures, null_or
 from basketstream.functions.ids import is_uuid
-from basketstream.operators.quality import QualityError, source_row_conflicts
+from basketstream.operators.quality import QualityError, new_source_row_conflicts
 from basketstream.schemas import BRONZE_COLUMNS, LANDING_COLUMNS, PRIMARY_KEY, names
 
 _UUID_COLUMNS = {"event_id", "record_id", "replay_run_id"}
@@ -105,9 +105,9 @@ def insert_counts(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     )
 
 
-def assert_source_row_unique(landed: DataFrame, source: str) -> None:
+def assert_source_row_unique(landed: DataFrame, fresh: DataFrame) -> None:
     """Two ids for one source row are an error, not a skip."""
-    clash = source_row_conflicts(landed, PRIMARY_KEY[source]).limit(1).collect()
+    clash = new_source_row_conflicts(landed, fresh).limit(1).collect()
     if clash:
         raise QualityError(f"Source row claimed by several ids: {clash[0].asDict()}")
 

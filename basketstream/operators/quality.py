@@ -63,17 +63,26 @@ def snapshot_integrity(candidates: DataFrame, snapshot: DataFrame) -> DataFrame:
     return joined.where(broken).select(*keys)
 
 
-def source_row_conflicts(landed: DataFrame, key: str) -> DataFrame:
-    """Source rows that two different record ids claim."""
-    row = ["source_dataset", "source_file", "source_row_number"]
-    claims = landed.groupBy(*row).agg(
-        F.count("*").alias("row_count"),
-        F.min(key).alias("first_id"),
-        F.max(key).alias("last_id"),
-    )
+SOURCE_ROW = ["source_dataset", "source_file", "source_row_number"]
+
+
+def source_row_conflicts(landed: DataFrame) -> DataFrame:
+    """Source rows that more than one landing row claims."""
+    claims = landed.groupBy(*SOURCE_ROW).agg(F.count("*").alias("row_count"))
     return claims.where(F.col("row_count") > 1)
 
 
+def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The same for rows about to be landed, given that ``landed`` has no conflicts.
+
+    Their record ids are not landed yet, so a landed claim on one of their source
+    rows is a conflict; the landed rows need no grouping again.
+    """
+    claimed = fresh.select(*SOURCE_ROW)
+    among = source_row_conflicts(fresh).select(*SOURCE_ROW)
+    return among.unionByName(landed.select(*SOURCE_ROW).join(claimed, SOURCE_ROW, "left_semi"))
+
+
 def status(checks: dict[str, DataFrame]) -> DataFrame:
     """One row per check: how many rows offend."""
     rows = [

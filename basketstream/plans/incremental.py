@@ -14,8 +14,6 @@ from basketstream.session import cut_lineage
 from basketstream.sources.bronze import bronze_inventory, check_columns
 from basketstream.streaming.sinks import read_or_empty
 
-_IDENTITY = ["source_dataset", "source_file", "source_row_number"]
-
 # The list of chosen files is held by the driver, so a run takes at most this many.
 MAX_FILES_PER_RUN = 10_000
 
@@ -100,7 +98,7 @@ def _load(spark, bronze_root, warehouse, source, pending) -> int:
     broken = landing_violations(rows, source).limit(1).collect()
     if broken:
         raise QualityError(f"Landing rules broken: {broken[0]['violations']}")
-    assert_source_row_unique(landed.select(*_IDENTITY, key).unionByName(fresh.select(*_IDENTITY, key)), source)
+    assert_source_row_unique(landed, fresh)
     _assert_unchanged(spark, bronze_root, source, pending)
 
     rows.select(*names(LANDING_COLUMNS[source])).write.mode("append").parquet(warehouse.landing(source))

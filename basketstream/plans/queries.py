@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketstream import fixed_values as fixed
 from basketstream.functions.ids import record_id
-from basketstream.functions.times import source_time
 from basketstream.models import metrics, rows as model_rows, score as scoring, train as training
 from basketstream.operators import contract, envelope, features, landing, marts, parse, profile, quality
 from basketstream.plans import feeds, jobs
@@ -192,7 +191,7 @@ def contract_dlq(spark, sf):
 @query
 def score_input_errors(spark, sf):
     """Snapshot rows with defects that follow from the product number."""
-    snapshot = features.offline_snapshot(tables.typed_events(spark, sf))
+    snapshot = _snapshot(spark, sf)
     sku = F.col("sku")
     damaged = snapshot.withColumns({
         "events_previous_day": F.when(sku == 1, -1).otherwise(F.col("events_previous_day")),
@@ -595,13 +594,27 @@ def dq_source_row_unique(spark, sf):
     clash = feeds.redelivered(tables.landing_events(spark, sf), F.col("sku") < 10, "kafka_offset", 1)
     moved = F.when(F.col("kafka_offset") != F.col("source_row_number"), F.concat(F.lit("f"), F.substring("event_id", 2, 35)))
     renamed = clash.withColumn("event_id", F.coalesce(moved, F.col("event_id")))
-    return quality.source_row_conflicts(renamed, "event_id").select(
+    return quality.source_row_conflicts(renamed).select(
         "source_file", "source_row_number", "row_count")
 
 
 # Offline features and labels
 
 
+_BROWSING = ["page_visit", "search_query"]
+
+
+def _snapshot(spark, sf, day=None):
+    """Snapshot of one day or all, each scan filtered to its own event types."""
+    product = tables.typed_events(spark, sf, fixed.SKU_EVENT_TYPES, first_day=day)
+    return features.offline_snapshot(product, tables.typed_events(spark, sf, _BROWSING, first_day=day))
+
+
+def _pairs(spark, sf, day=None):
+    """The keys labels are built for, without the feature columns."""
+    return features.candidate_pairs(tables.typed_events(spark, sf, fixed.SKU_EVENT_TYPES, first_day=day))
+
+
 def _rounded(df):
     hours = [name for name, kind in df.dtypes if kind == "double"]
     return df.withColumns({name: F.round(name, 6) for name in hours})
@@ -610,13 +623,12 @@ def _rounded(df):
 @query
 def offline_snapshot(spark, sf):
     """One activity day; the scan reads only that day."""
-    return _rounded(features.offline_snapshot(
-        tables.typed_events(spark, sf, first_day=ACTIVITY_DAY)))
+    return _rounded(_snapshot(spark, sf, ACTIVITY_DAY))
 
 
 @query
 def snapshot_by_date(spark, sf):
-    return _rounded(features.offline_snapshot(tables.typed_events(spark, sf)))
+    return _rounded(_snapshot(spark, sf))
 
 
 @query
@@ -645,29 +657,24 @@ def _raw_purchases(spark, sf):
     return rows.withColumn("timestamp", F.when(F.col("sku") == 6, F.lit("2024-13-01 00:00:00")).otherwise(F.col("timestamp")))
 
 
-def _day_snapshot(spark, sf):
-    return features.offline_snapshot(tables.typed_events(spark, sf, first_day=ACTIVITY_DAY))
-
-
 @query
 def purchase_labels(spark, sf):
-    return _rounded(features.purchase_labels(_day_snapshot(spark, sf), _purchases(spark, sf), AS_OF))
+    return _rounded(features.purchase_labels(_pairs(spark, sf, ACTIVITY_DAY), _purchases(spark, sf), AS_OF))
 
 
 @query
 def labels_by_date(spark, sf):
-    snapshot = features.offline_snapshot(tables.typed_events(spark, sf))
-    return _rounded(features.purchase_labels(snapshot, _purchases(spark, sf)))
+    return _rounded(features.purchase_labels(_pairs(spark, sf), _purchases(spark, sf)))
 
 
 @query
 def label_summary(spark, sf):
-    return features.label_summary(_day_snapshot(spark, sf), _purchases(spark, sf), AS_OF)
+    return features.label_summary(_pairs(spark, sf, ACTIVITY_DAY), _purchases(spark, sf), AS_OF)
 
 
 @query
 def label_guard_counts(spark, sf):
-    snapshot = features.offline_snapshot(tables.typed_events(spark, sf))
+    snapshot = _pairs(spark, sf)
     twice = snapshot.unionByName(snapshot.where("sku = 5"))
     return features.label_guard_counts(twice, _raw_purchases(spark, sf))
 
@@ -785,7 +792,7 @@ def stream_landing(spark, sf):
 def _model_tables(spark, sf):
     """Feature and label tables over all dates, written once by as-of date."""
     root = scratch_dir(spark, "features")
-    snapshot = features.offline_snapshot(tables.typed_events(spark, sf))
+    snapshot = _snapshot(spark, sf)
     at = {name: os.path.join(root, name) for name in ("snapshot", "labels")}
     features.write_once(snapshot, at["snapshot"], by_date=True)
     stored = spark.read.parquet(at["snapshot"])
@@ -794,8 +801,7 @@ def _model_tables(spark, sf):
 
 
 def _features_and_labels(spark, sf):
-    snapshot = features.offline_snapshot(tables.typed_events(spark, sf))
-    return snapshot, features.purchase_labels(snapshot, _purchases(spark, sf))
+    return _snapshot(spark, sf), features.purchase_labels(_pairs(spark, sf), _purchases(spark, sf))
 
 
 @query
@@ -837,7 +843,8 @@ def _rule_scores(spark, sf):
 
 @query
 def ranking_metrics(spark, sf):
-    return _rounded(metrics.ranking_metrics(_rule_scores(spark, sf)))
+    # Scores are read several times, so they are written once first.
+    return _rounded(metrics.ranking_metrics(cut_lineage(spark, _rule_scores(spark, sf), "scores")))
 
 
 @query
@@ -877,7 +884,7 @@ def _rule_timing(spark, sf):
 
 @query
 def timing_metrics(spark, sf):
-    scored = _rule_timing(spark, sf)
+    scored = cut_lineage(spark, _rule_timing(spark, sf), "timing")
     early, late = _half(scored, True), _half(scored, False)
     return _rounded(metrics.timing_metrics(late, early, model_rows.timing_prior(early)))
 

@@ -1,6 +1,5 @@
 """Session settings and the shared scratch folder."""
 
-import os
 import tempfile
 import uuid
 
@@ -32,6 +31,9 @@ def prepare(spark):
     return spark
 
 
+_LOCAL_SCRATCH = []
+
+
 def scratch_dir(spark, purpose):
     """A new folder below the shared folder that the cluster names.
 
@@ -43,9 +45,10 @@ def scratch_dir(spark, purpose):
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="basketstream-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}")
+        if not _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH.append(tempfile.mkdtemp(prefix="basketstream-"))
+        shared = _LOCAL_SCRATCH[0]
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(spark, df, purpose):
