@@ -9,6 +9,11 @@ def uuid5(name: Column, namespace: str = ID_NAMESPACE) -> Column:
     """Version-5 UUID text of ``name``: SHA-1 of namespace bytes and name bytes."""
     prefix = F.unhex(F.lit(namespace.replace("-", "")))
     digest = F.sha1(F.concat(prefix, F.encode(name, "UTF-8")))
+    # The lambda gives the digest a name, so it is computed once and not per slice.
+    return F.transform(F.array(digest), _uuid5_text)[0]
+
+
+def _uuid5_text(digest: Column) -> Column:
     # The two high bits of the clock-sequence digit are fixed to binary 10.
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat(

@@ -12,3 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def add_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
+def isolate(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed once before anything built on top."""
+    return df.select(F.explode_outer(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")

@@ -3,6 +3,10 @@
 A record is parsed once to VARIANT. Each rule looks at type and value of one
 path; key sets are compared per object, so unknown keys are found at every level.
 The result is the array of broken rule codes, empty for a valid record.
+
+Nearly all records have exactly the declared keys and types. One look at the
+record's own schema tells, and then only the values are left to check; the rules
+that inspect types path by path run for the other records only.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,8 +24,8 @@ _DATE_TIME = (
 _VECTOR = r"^\[[^\n]*\]\n?\z"
 
 
-class _Record:
-    """Typed access to the paths of one VARIANT column."""
+class _AnyRecord:
+    """Paths of a VARIANT column about which nothing is known."""
 
     def __init__(self, root: Column):
         self.root = root
@@ -70,6 +74,43 @@ class _Record:
         return ~F.coalesce(self.type_of(path) == "VOID", F.lit(False))
 
 
+class _ShapedRecord:
+    """Fields of a record known to have the declared keys and types.
+
+    Only the keys of an event's payload depend on the event and stay to be checked.
+    """
+
+    def __init__(self, doc: Column):
+        self.doc = doc
+
+    def text(self, path) -> Column:
+        value = self.doc
+        for name in path.split("."):
+            value = value[name]
+        return value
+
+    whole = text
+
+    def keys(self, path) -> Column:
+        return F.array()
+
+    def judge(self, rules) -> Column:
+        return all_failures([(code, failing) for code, failing in rules if failing is not None])
+
+    def not_object(self, path, keys):
+        return self.text(f"{path}.{keys[0]}").isNull() if path == "payload" else None
+
+    def not_text(self, path, accepted) -> Column:
+        return ~F.coalesce(accepted(self.text(path)), F.lit(False))
+
+    def not_whole(self, path, high=None) -> Column:
+        value = self.whole(path)
+        return ~F.coalesce(value.between(0, high) if high is not None else value >= 0, F.lit(False))
+
+    def not_null_value(self, path):
+        return None
+
+
 def _equals(text):
     return lambda value: value == text
 
@@ -104,7 +145,7 @@ def _replay_rules(record, instant):
     ]
 
 
-def _event_errors(record: _Record) -> Column:
+def _event_errors(record) -> Column:
     kind = record.text("event_type")
     product = kind.isin(fixed.SKU_EVENT_TYPES) & (
         record.not_object("payload", ["sku"]) | record.not_whole("payload.sku")
@@ -134,7 +175,7 @@ def _event_errors(record: _Record) -> Column:
     ])
 
 
-def _product_errors(record: _Record) -> Column:
+def _product_errors(record) -> Column:
     top = [
         "schema_version", "record_id", "sku", "category_id", "price_bucket",
         "name_vector_raw", "source", "replay",
@@ -152,7 +193,7 @@ def _product_errors(record: _Record) -> Column:
     ])
 
 
-def _dlq_errors(record: _Record) -> Column:
+def _dlq_errors(record) -> Column:
     top = ["schema_version", "dlq_id", "original_topic", "source", "replay", "error", "raw_record"]
     stages = [fixed.STAGE_TRANSFORMATION, fixed.STAGE_CONTRACT]
     return record.judge([
@@ -170,13 +211,82 @@ def _dlq_errors(record: _Record) -> Column:
     ])
 
 
-CONTRACTS = {"event": _event_errors, "product": _product_errors, "dlq": _dlq_errors}
+_WHOLE = r"(BIGINT|DECIMAL\([0-9]+,0\))"
+
+
+def _shape(fields: dict) -> str:
+    """Pattern of the schema text of an object; VARIANT objects list their keys in order."""
+    return "OBJECT<" + ", ".join(f"{name}: {kind}" for name, kind in sorted(fields.items())) + ">"
+
+
+def _one_of_shapes(*shapes) -> str:
+    return "(" + "|".join(shapes) + ")"
+
+
+_SOURCE_SHAPE = _shape({"dataset": "STRING", "file": "STRING", "row_number": _WHOLE})
+_REPLAY_SHAPE = _shape({"run_id": "STRING", "published_at": "STRING"})
+
+# Per kind: rules, the declared shape, and the struct its values are read into.
+CONTRACTS = {
+    "event": (
+        _event_errors,
+        _shape({
+            **dict.fromkeys(["schema_version", "event_id", "event_type", "event_time"], "STRING"),
+            "event_time_timezone": "VOID",
+            "client_id": _WHOLE,
+            "payload": _one_of_shapes(
+                _shape({"sku": _WHOLE}), _shape({"url_id": _WHOLE}), _shape({"query_vector_raw": "STRING"})
+            ),
+            "source": _SOURCE_SHAPE,
+            "replay": _REPLAY_SHAPE,
+        }),
+        "struct<schema_version:string,event_id:string,event_type:string,event_time:string,"
+        "client_id:decimal(38,0),"
+        "payload:struct<sku:decimal(38,0),url_id:decimal(38,0),query_vector_raw:string>,"
+        "source:struct<dataset:string,file:string,row_number:decimal(38,0)>,"
+        "replay:struct<run_id:string,published_at:string>>",
+    ),
+    "product": (
+        _product_errors,
+        _shape({
+            **dict.fromkeys(["schema_version", "record_id", "name_vector_raw"], "STRING"),
+            **dict.fromkeys(["sku", "category_id", "price_bucket"], _WHOLE),
+            "source": _SOURCE_SHAPE,
+            "replay": _REPLAY_SHAPE,
+        }),
+        "struct<schema_version:string,record_id:string,name_vector_raw:string,sku:decimal(38,0),"
+        "category_id:decimal(38,0),price_bucket:decimal(38,0),"
+        "source:struct<dataset:string,file:string,row_number:decimal(38,0)>,"
+        "replay:struct<run_id:string,published_at:string>>",
+    ),
+    "dlq": (
+        _dlq_errors,
+        _shape({
+            **dict.fromkeys(["schema_version", "dlq_id", "original_topic"], "STRING"),
+            "error": _shape(dict.fromkeys(["stage", "type", "message"], "STRING")),
+            "source": _SOURCE_SHAPE,
+            "replay": _shape({"run_id": "STRING", "failed_at": "STRING"}),
+            # Open object: anything may be inside.
+            "raw_record": "OBJECT<.*>",
+        }),
+        "struct<schema_version:string,dlq_id:string,original_topic:string,"
+        "error:struct<stage:string,type:string,message:string>,"
+        "source:struct<dataset:string,file:string,row_number:decimal(38,0)>,"
+        "replay:struct<run_id:string,failed_at:string>>",
+    ),
+}
 
 
 def add_contract_errors(df: DataFrame, kind: str, json_text: Column, name: str) -> DataFrame:
     """Add ``name``: the broken rule codes of the JSON text, empty when it is valid."""
+    rules, shape, struct = CONTRACTS[kind]
     parsed = add_once(df, "_root", F.try_parse_json(json_text))
-    return add_once(parsed, name, CONTRACTS[kind](_Record(F.col("_root")))).drop("_root")
+    shaped = F.schema_of_variant("_root").rlike(f"^{shape}$")
+    read = add_once(parsed, "_doc", F.when(shaped, F.try_variant_get("_root", "$", struct)))
+    by_value = rules(_ShapedRecord(F.col("_doc")))
+    by_path = rules(_AnyRecord(F.col("_root")))
+    codes = F.when(F.col("_doc").isNotNull(), by_value).otherwise(by_path)
+    return add_once(read, name, codes).drop("_root", "_doc")
 
 
 def feature_row_errors(df, counts, recencies):

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from basketstream import fixed_values as fixed
-from basketstream.functions.once import add_once
+from basketstream.functions.once import add_once, isolate
 from basketstream.operators.envelope import build_events, build_products, serialize
 from basketstream.sources.driver_tables import PUBLISHED_AT, RUN_ID, raw_events, raw_products
 
@@ -36,7 +36,7 @@ def damaged_raw_events(spark, sf_dir) -> DataFrame:
     bare = F.regexp_replace("query", r"[\[\]]", "")
     two_lines = F.replace("query", F.lit(" "), F.lit("\n"))
     nothing = F.lit(None)
-    return raw.withColumns({
+    damaged = raw.withColumns({
         "source_file": _damage(k, F.col("source_file"), {7: F.lit("unknown.parquet")}),
         "client_id": _damage(k, F.col("client_id"), {0: nothing, 1: -1 - F.col("client_id"), 9: nothing}),
         "timestamp": _damage(k, stamp, {2: nothing, 3: with_t, 4: month_13, 9: with_t}),
@@ -44,18 +44,20 @@ def damaged_raw_events(spark, sf_dir) -> DataFrame:
         "url": _damage(k, F.col("url"), {5: nothing, 6: -1 - F.col("url")}),
         "query": _damage(k, F.col("query"), {5: nothing, 6: bare, 8: two_lines}),
     })
+    return isolate(damaged)
 
 
 def damaged_raw_products(spark, sf_dir) -> DataFrame:
     """Raw products with one defect per price value 1-8."""
     raw = raw_products(spark, sf_dir)
     price, nothing = F.col("price"), F.lit(None)
-    return raw.withColumn("_price", price).withColumns({
+    damaged = raw.withColumn("_price", price).withColumns({
         "name": _damage(F.col("_price"), F.col("name"), {1: nothing, 2: F.lit("1 2 3"), 8: F.lit("[1\n2]")}),
         "price": _damage(F.col("_price"), price, {3: nothing, 4: -price, 5: price + 95}),
         "sku": _damage(F.col("_price"), F.col("sku"), {6: nothing}),
         "category": _damage(F.col("_price"), F.col("category"), {7: -1 - F.col("category")}),
     }).drop("_price")
+    return isolate(damaged)
 
 
 def _swap(value, old: str, new: str):

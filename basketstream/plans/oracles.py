@@ -328,7 +328,7 @@ def _contracts():
         "product_validation": with_products(f" SELECT kafka_partition, kafka_offset, {verdict} FROM j", JUDGED_PRODUCTS),
         "events_bronze": BRONZE,
         "stream_bronze": BRONZE,
-        "incremental_load_runs": BRONZE,
+        "incremental_load": BRONZE,
         "products_bronze": with_products(f" SELECT {PRODUCT_COLUMNS} FROM j WHERE validation_error IS NULL", JUDGED_PRODUCTS),
         "incremental_ledger": with_products(
             " SELECT count(*) AS total_rows, count(*) AS inserted_rows FROM j WHERE validation_error IS NULL", JUDGED_PRODUCTS),

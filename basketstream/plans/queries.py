@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketstream import fixed_values as fixed
 from basketstream.functions.ids import record_id
+from basketstream.functions.once import add_once
 from basketstream.models import metrics, rows as model_rows, score as scoring, train as training
 from basketstream.operators import contract, envelope, features, landing, marts, parse, profile, quality
 from basketstream.plans import feeds, jobs
-from basketstream.plans.incremental import Warehouse, incremental_load
+from basketstream.plans.incremental import Warehouse, incremental_load as load_files
 from basketstream.session import cut_lineage, prepare, scratch_dir
 from basketstream.sources import bronze, driver_tables as tables, raw as raw_sources
 from basketstream.streaming import sinks
@@ -114,13 +115,13 @@ def product_envelope(spark, sf):
 @query
 def transform_errors(spark, sf):
     damaged = feeds.damaged_raw_events(spark, sf)
-    judged = damaged.withColumn("build_error", envelope.event_build_error())
+    judged = add_once(damaged, "build_error", envelope.event_build_error())
     return judged.where("build_error is not null").select("source_file", "source_row_number", "build_error")
 
 
 @query
 def product_transform_errors(spark, sf):
-    judged = feeds.damaged_raw_products(spark, sf).withColumn("build_error", envelope.product_build_error())
+    judged = add_once(feeds.damaged_raw_products(spark, sf), "build_error", envelope.product_build_error())
     return judged.where("build_error is not null").select("source_row_number", "build_error")
 
 
@@ -403,18 +404,18 @@ def file_inventory(spark, sf):
 
 
 @query
-def incremental_load_runs(spark, sf):
+def incremental_load(spark, sf):
     """First two files, then the rest, then nothing new; the landing rows at the end."""
     root, store = _bronze_folder(spark, sf), Warehouse(scratch_dir(spark, "warehouse"))
     for most in (2, 10_000, 10_000):
-        incremental_load(spark, root, store, "events", max_new_files=most)
+        load_files(spark, root, store, "events", max_new_files=most)
     return store.read_landing(spark, "events").select(*_EVENT_OUT)
 
 
 @query
 def incremental_ledger(spark, sf):
     root, store = _bronze_folder(spark, sf), Warehouse(scratch_dir(spark, "warehouse"))
-    incremental_load(spark, root, store, "products")
+    load_files(spark, root, store, "products")
     return store.read_ledger(spark).agg(
         F.sum("row_count").alias("total_rows"), F.sum("inserted_count").alias("inserted_rows"))
 

@@ -12,6 +12,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes. Long rule lists would end up
+    # in one such method; below this limit Spark splits them into small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

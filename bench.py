@@ -16,7 +16,7 @@ HEADLINE = [
     "scan_numbered", "scan_window", "events_union", "record_ids", "envelope_build", "transform_errors",
     "replay_summary", "publish_rows", "contract_events", "event_validation", "events_bronze",
     "validation_summary", "products_latest", "roundtrip_events", "landing_insert", "landing_violations",
-    "incremental_load_runs", "daily_event_activity", "client_prior_day", "client_product_candidates",
+    "incremental_load", "daily_event_activity", "client_prior_day", "client_product_candidates",
     "feature_snapshot", "dq_snapshot_integrity", "dq_not_null_unique", "offline_snapshot",
     "snapshot_by_date", "purchase_labels", "labels_by_date", "snapshot_from_orders", "labels_from_orders",
     "profile_tables", "training_rows", "training_guard_counts", "ranking_metrics", "timing_metrics",
