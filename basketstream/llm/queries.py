@@ -6,7 +6,7 @@ derives its digest columns from the operator's rows.
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketstream.llm import exact_dedup, packing, simhash
+from basketstream.llm import chat, exact_dedup, packing, quality_rules, simhash, url_filter
 from basketstream.llm.common import ready, table
 
 REGISTRY = {}
@@ -51,3 +51,77 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = min(doc_id) OVER same AS kept, text_sha256
 FROM texts WINDOW same AS (PARTITION BY text_sha256)
 """
+
+
+@query
+def op9_quality_rules(spark, sf):
+    judged = quality_rules.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "rule")
+
+
+URL_RULES = [
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"),
+]
+
+
+@query
+def op10_url_filter(spark, sf):
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS rules (rule, verdict)")
+    return url_filter.judge(table(spark, sf, "pages"), rules)
+
+
+ORACLES["op10_url_filter"] = r"""
+WITH rest AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path
+    FROM rest
+), judged AS (
+    SELECT *, CASE
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+    FROM parts
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+
+@query
+def op5_chat(spark, sf):
+    given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{control}'), (-1L, 1L, 'assistant', '{control}') AS rows (conv_id, turn, role, text)")
+    read = chat.read_back(chat.format_messages(chat.as_tree(given.unionByName(extra))))
+    digest = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(digest.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+ORACLES["op5_chat"] = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, length(text)
+        + length(regexp_replace(text, '\\|\[/?(INST|SYS|ROLE)\]|\[(OUT|TEXT)\]|</?s>', '\0.', 'g')) - length(text)
+        + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 WHEN 'system' THEN 11
+               ELSE 19 + length(role) + length(regexp_replace(role, '\\|\[/?(INST|SYS|ROLE)\]|\[(OUT|TEXT)\]|</?s>', '\0.', 'g')) - length(role)
+          END AS chars
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
