@@ -6,7 +6,7 @@ derives its digest columns from the operator's rows.
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketstream.llm import chat, exact_dedup, packing, quality_rules, simhash, url_filter
+from basketstream.llm import chat, exact_dedup, packing, quality_rules, simhash, url_filter, warc
 from basketstream.llm.common import ready, table
 
 REGISTRY = {}
@@ -125,3 +125,27 @@ SELECT conv_id, count(*) AS n_turns,
        sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@query
+def op6_warc(spark, sf):
+    _, index = warc.archive(table(spark, sf, "pages"))
+    return warc.read_records(index).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = r"""
+WITH sized AS (
+    SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), digits AS (
+    SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY payload) AS last,
+           [('0x' || substr(hex, 5 * i + 1, 5))::BIGINT FOR i IN range(8)] AS parts
+    FROM sized
+)
+SELECT page_id, payload_bytes,
+       array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((n >> s) & 31) + 1, 1)
+                                         FOR s IN [15, 10, 5, 0]], '') FOR n IN parts], '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM digits
+"""
