@@ -6,8 +6,9 @@ derives its digest columns from the operator's rows.
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketstream.llm import chat, exact_dedup, packing, quality_rules, simhash, url_filter, warc
+from basketstream.llm import chat, exact_dedup, packing, quality_model, quality_rules, simhash, url_filter, warc
 from basketstream.llm.common import ready, table
+from basketstream.llm.labelled import remainder
 
 REGISTRY = {}
 ORACLES = {}
@@ -149,3 +150,15 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> last THEN last END AS refers_to
 FROM digits
 """
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+@query
+def op7_quality_model(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality_model.train(docs, labels, remainder("doc_id", 5) != 0)
+    return model.score(docs).select(
+        "doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
