@@ -6,7 +6,7 @@ derives its digest columns from the operator's rows.
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketstream.llm import chat, exact_dedup, packing, quality_model, quality_rules, simhash, url_filter, warc
+from basketstream.llm import chat, exact_dedup, packing, quality_model, quality_rules, simhash, toxicity, url_filter, warc
 from basketstream.llm.common import ready, table
 from basketstream.llm.labelled import remainder
 
@@ -162,3 +162,15 @@ def op7_quality_model(spark, sf):
     return model.score(docs).select(
         "doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+TOXICITY_THRESHOLD = 0.7
+
+
+@query
+def op4_toxicity(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.train(docs, labels, remainder("doc_id", 3) != 1)
+    return model.score(docs).select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"), "evidence")
