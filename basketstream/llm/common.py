@@ -80,11 +80,3 @@ def squeeze(text: bytes) -> bytes:
     if text[:1].isspace():
         core = b" " + core
     return core + b" " if text[-1:].isspace() else core
-
-
-def free_name(columns, wanted: str) -> str:
-    """``wanted``, lengthened until no given column has that name in any letter case."""
-    taken = {c.lower() for c in columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted

@@ -29,7 +29,7 @@ from functools import reduce
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from basketstream.llm.common import batch_of, bytes_of, squeeze, write_once
 
@@ -172,10 +172,10 @@ def mark_rows(docs: DataFrame, id_column="doc_id", text_column="text", carry=Fal
     With ``carry`` the whole row of ``docs`` comes along as the struct ``carried``.
     """
     columns = [F.col(id_column).cast("long").alias("id"), bytes_of(text_column).alias("text")]
-    row_type = ROW_TYPE
+    row_type = T.StructType.fromDDL(ROW_TYPE)
     if carry:
         columns.append(F.struct("*").alias("carried"))
-        row_type += f", carried {docs.select(columns[-1]).schema[0].dataType.simpleString()}"
+        row_type.add("carried", docs.schema)
     assign = _first_of_task(combine_bytes)
 
     def first(batches):

@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from basketstream.llm.common import batch_of
 from basketstream.llm.labelled import class_weights, logistic, training_sample
@@ -180,6 +180,11 @@ class QualityModel:
     network: Network | None
     rate: float
 
+    def _scores(self, tokens, texts):
+        if self.network is None or not texts:
+            return [self.rate] * len(texts)
+        return self.network.scores(np.stack([pool(tokens(t), self.vectors) for t in texts]))
+
     def score(self, docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
         """doc_id, score of every row."""
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -187,16 +192,25 @@ class QualityModel:
         def score(batches):
             tokens = Tokens(self.vocabulary) if self.network else None
             for batch in batches:
-                if self.network is None or not batch.num_rows:
-                    scores = [self.rate] * batch.num_rows
-                else:
-                    texts = batch.column("text").to_pylist()
-                    scores = self.network.scores(np.stack([pool(tokens(t), self.vectors) for t in texts]))
-                yield batch_of(schema, (batch.column("doc_id"), scores))
+                yield batch_of(schema, (batch.column("doc_id"), self._scores(tokens, batch.column("text").to_pylist())))
 
         return _texts(docs, id_column, text_column).mapInArrow(score, "doc_id long, score double")
 
 
+    def filter(self, docs: DataFrame, threshold: float, text_column="text") -> DataFrame:
+        """The rows of ``docs`` with a score of at least ``threshold``."""
+
+        def keep(batches):
+            tokens = Tokens(self.vocabulary) if self.network else None
+            for batch in batches:
+                scores = self._scores(tokens, batch.column("text").to_pylist())
+                carried = batch.column("carried").filter(pa.array(np.asarray(scores) >= threshold, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([carried], names=["carried"])
+
+        rows = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.struct("*").alias("carried"))
+        return rows.mapInArrow(keep, T.StructType().add("carried", docs.schema)).select("carried.*")
+
+
 def _texts(docs, id_column, text_column):
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 

@@ -54,12 +54,17 @@ class Condition:
         return f"{self.feature} {'>' if self.above else '<='} {self.threshold!r}D"
 
 
-def measure(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_shouts (exclamation marks)."""
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+def measure(docs: DataFrame, id_column="doc_id", text_column="text", carry=False) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_shouts (exclamation marks).
+
+    With ``carry`` the whole row of ``docs`` comes along as the struct ``carried``.
+    """
+    rest = ["carried"] if carry else []
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+                        *([F.struct("*").alias("carried")] if carry else []))
     words = add_once(texts, "words", F.expr(f"filter(split(text, '{SPACE}+'), w -> w <> '')"))
     counted = words.selectExpr(
-        "doc_id", "words", "cast(size(words) as long) AS n_words", "cast(length(array_join(words, '')) as long) AS word_chars",
+        *rest, "doc_id", "words", "cast(size(words) as long) AS n_words", "cast(length(array_join(words, '')) as long) AS word_chars",
         "cast(regexp_count(text, '[#*$%&|<>]') as long) AS n_symbols",
         "cast(length(text) - length(replace(text, '!', '')) as long) AS n_shouts",
         f"filter(split(text, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]') AS lines")
@@ -76,7 +81,7 @@ def measure(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFram
         cast(coalesce(size(array_distinct(flatten(transform(
             filter(shared, (x, k) -> get(shared, k - 1).w <=> x.w OR get(shared, k + 1).w <=> x.w),
             x -> array(x.i, x.i + 1, x.i + 2))))), 0) as long)"""))
-    return repeated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_shouts")
+    return repeated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_shouts", *rest)
 
 
 def base_failed() -> Column:
@@ -145,7 +150,7 @@ def learn(measured: DataFrame, labels: DataFrame, id_column="doc_id", label_colu
     """Ordered rules, each a tuple of conditions, that reject rows labelled 0. Rows that fail the base rules are left out."""
     wanted = labels.where(F.col(label_column).isNotNull()).groupBy(F.col(id_column).cast("long").alias("doc_id")).agg(
         F.max(F.when(F.col(label_column) == 0, 1).otherwise(0)).alias("reject"))
-    rows = add_features(measured.where(~base_failed())).join(wanted, "doc_id").select(
+    rows = add_features(measured.drop("carried").where(~base_failed())).join(wanted, "doc_id").select(
         "reject", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).alias("growing"), *FEATURES)
     rows = write_once(rows, "rule-rows")
     steps = [(i + 1) / (bins + 1) for i in range(bins)]
@@ -187,3 +192,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_column="doc_id", text
     """Measures every text once, learns the list from the labelled rows and judges all rows by it."""
     measured = write_once(measure(docs, id_column, text_column), "measures")
     return judge(measured, learn(measured, labels, id_column))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
+    """The rows of ``docs`` that neither the base rules nor the learned list reject, with the columns of ``docs``."""
+    measured = write_once(measure(docs, id_column, text_column, carry=True), "measures", "zstd")
+    return judge(measured, learn(measured, labels, id_column)).where("kept").select("carried.*")

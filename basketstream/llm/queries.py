@@ -6,7 +6,7 @@ derives its digest columns from the operator's rows.
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketstream.llm import chat, exact_dedup, packing, quality_model, quality_rules, simhash, toxicity, url_filter, warc
+from basketstream.llm import chat, exact_dedup, packing, quality_model, quality_rules, sentencepiece_codec, simhash, toxicity, url_filter, warc
 from basketstream.llm.common import ready, table
 from basketstream.llm.labelled import remainder
 
@@ -174,3 +174,14 @@ def op4_toxicity(spark, sf):
     return model.score(docs).select(
         "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"), "evidence")
+
+
+@query
+def op2_sentencepiece(spark, sf):
+    """Per document: number and CRC-32 of its ids, and whether decoding gives the text back (its U+2581 as spaces)."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    plain = F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
+    coded = sentencepiece_codec.encode(docs, carry=F.sha2(plain.cast("binary"), 256))
+    return sentencepiece_codec.decode(coded).select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
+        (F.sha2(F.col("text").cast("binary"), 256) == F.col("carried")).alias("round_trip"))

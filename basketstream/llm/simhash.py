@@ -34,7 +34,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from basketstream.llm.common import batch_of, bytes_of, free_name, write_once
+from basketstream.llm.common import batch_of, bytes_of, write_once
 from basketstream.llm.components import components
 
 SHINGLE = 3
@@ -70,11 +70,6 @@ def _fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
 
-def add_fingerprint(docs: DataFrame, text_column="text", name="fingerprint") -> DataFrame:
-    """``docs`` with the fingerprint as a signed 64-bit number."""
-    return docs.withColumn(name, _fingerprints(bytes_of(text_column)))
-
-
 # Hamming code: position p (1 to 31) of a half is bit p - 1; the syndrome of a word is the xor of its set positions.
 PARITY = np.array([sum(1 << (p - 1) for p in range(1, 32) if p >> k & 1) for k in range(5)], np.uint64)
 HOME = np.array([0] + [1 << (s - 1) for s in range(1, 32)], np.uint64)
@@ -222,35 +217,33 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) ->
     return out
 
 
-def mark_components(docs: DataFrame, id_column="doc_id", text_column="text", threshold=THRESHOLD, block=BLOCK,
-                    carry=False) -> DataFrame:
-    """One row per row of ``docs``: id, print (signed), component_id, first.
-
-    ``component_id`` is the smallest id that links reach; ``first`` holds for one
-    row of each component, the one with that id. With ``carry`` the whole row of
-    ``docs`` comes along as the struct ``carried``.
-    """
-    columns = [F.col(id_column).cast("long").alias("id"), _fingerprints(bytes_of(text_column)).alias("print")]
-    rows = write_once(docs.select(*columns, *([F.struct("*").alias("carried")] if carry else [])), "prints", "zstd")
+def _groups(rows: DataFrame, threshold: int, block: int) -> DataFrame:
+    """print, root, component_id of every distinct print; ``rows`` has id, print."""
     distinct = write_once(rows.groupBy("print").agg(F.min("id").alias("least")), "distinct-prints")
     linked = components(links(distinct, threshold, block))
     roots = distinct.join(linked.withColumnRenamed("node", "print"), "print", "left").select(
         "print", "least", F.coalesce("root", "print").alias("root"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = roots.join(least, "root").select("print", "component_id", "root")
-    return rows.join(groups, "print").select(
-        "id", "print", F.coalesce("component_id", "id").alias("component_id"), "root",
-        *(["carried"] if carry else []))
+    return roots.join(least, "root").select("print", "root", "component_id")
+
+
+def mark_components(docs: DataFrame, id_column="doc_id", text_column="text", threshold=THRESHOLD, block=BLOCK) -> DataFrame:
+    """One row per row of ``docs``: id, print (signed), component_id, the smallest id that links reach."""
+    rows = write_once(docs.select(F.col(id_column).cast("long").alias("id"), _fingerprints(bytes_of(text_column)).alias("print")), "prints")
+    return rows.join(_groups(rows, threshold, block), "print").select(
+        "id", "print", F.coalesce("component_id", "id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_column="doc_id", text_column="text", **settings) -> DataFrame:
+def keep_one(docs: DataFrame, id_column="doc_id", text_column="text", threshold=THRESHOLD, block=BLOCK) -> DataFrame:
     """The rows of ``docs`` with one row of each component, that of the smallest id, and the columns of ``docs``.
 
-    Where that id is repeated, the row with the smallest fingerprint stays, then any one of them;
-    a component in which every id is null keeps one row.
+    Where that id is repeated, one row with the smallest fingerprint stays; a
+    component in which every id is null keeps one row.
     """
-    marked = mark_components(docs, id_column, text_column, carry=True, **settings)
-    own = marked.where("id IS NULL OR id = component_id")
-    # Only rows that carry the smallest id are left: a window over them is small, except for null or repeated ids.
-    ranked = own.groupBy("root").agg(F.min_by("carried", F.struct(F.col("id").isNull(), "id", "print")).alias("carried"))
-    return ranked.select("carried.*")
+    rows = write_once(docs.select(
+        F.col(id_column).cast("long").alias("id"), _fingerprints(bytes_of(text_column)).alias("print"),
+        F.monotonically_increasing_id().alias("row"), F.struct("*").alias("carried")), "prints", "zstd")
+    # Numbers decide; whole rows move once, in the last join.
+    marked = rows.select("id", "print", "row").join(_groups(rows, threshold, block), "print")
+    chosen = marked.groupBy("root").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "print", "row")).alias("row"))
+    return rows.join(chosen, "row", "left_semi").select("carried.*")
