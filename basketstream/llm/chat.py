@@ -91,11 +91,12 @@ def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     leaves = reached.alias("r").join(parents.alias("p"), same, "left_anti")
     order = Window.partitionBy("conv_id").orderBy(F.desc(F.col("score") / F.col("depth")), F.desc("depth"), "node")
     chosen = leaves.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= branches)
-    path = chosen.select("conv_id", "branch", "node")
+    path = write_once(chosen.select("conv_id", "branch", "node"), "path")
     # Each round adds to every marked message the one a power of two above it.
     for jump in reversed(steps):
         same = F.col("c.conv_id").eqNullSafe(F.col("j.conv_id")) & (F.col("c.node") == F.col("j.node"))
-        path = path.unionByName(path.alias("c").join(jump.alias("j"), same).select("c.conv_id", "c.branch", F.col("j.to").alias("node")))
+        above = path.alias("c").join(jump.alias("j"), same).select("c.conv_id", "c.branch", F.col("j.to").alias("node"))
+        path = write_once(path.unionByName(above), "path")  # else each round would double the plan
     same = F.col("c.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("c.node") == F.col("r.node"))
     return path.distinct().alias("c").join(reached.alias("r"), same).select(
         "c.conv_id", "c.branch", "c.node", F.col("r.depth").alias("position"))
@@ -111,6 +112,7 @@ def render(role: Column, text: Column):
 
 def format_messages(messages: DataFrame, branches: int = 1) -> DataFrame:
     """conv_id, branch, formatted, loss_spans (start and length in code points, from 0) of each chosen path."""
+    messages = write_once(messages, "messages")
     path = best_branches(messages, branches)
     same = F.col("m.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("m.node") == F.col("p.node"))
     turns = messages.alias("m").join(path.alias("p"), same).select(
@@ -118,12 +120,12 @@ def format_messages(messages: DataFrame, branches: int = 1) -> DataFrame:
     opening, body, closing = render(F.col("role"), F.col("text"))
     parts = turns.select("conv_id", "branch", "position", F.concat(opening, body, closing).alias("turn"),
                          F.when(F.col("role") == "assistant", F.length(opening)).alias("skip"), F.length(body).alias("body"))
-    joined = parts.groupBy("conv_id", "branch").agg(
-        F.sort_array(F.collect_list(F.struct("position", "turn", "skip", "body"))).alias("parts"))
-    spans = F.expr("""filter(aggregate(parts, struct(0 AS at, cast(array() AS array<struct<start: int, length: int>>) AS spans),
-        (acc, p) -> struct(acc.at + length(p.turn) AS at,
-            CASE WHEN p.skip IS NULL THEN acc.spans
-                 ELSE concat(acc.spans, array(struct(acc.at + p.skip AS start, p.body AS length))) END AS spans)).spans, s -> true)""")
+    so_far = Window.partitionBy("conv_id", "branch").orderBy("position")
+    placed = parts.withColumn("start", F.sum(F.length("turn")).over(so_far) - F.length("turn") + F.col("skip"))
+    joined = placed.groupBy("conv_id", "branch").agg(
+        F.sort_array(F.collect_list(F.struct("position", "turn", "start", "body"))).alias("parts"))
+    spans = F.transform(F.filter("parts", lambda p: p["start"].isNotNull()),
+                        lambda p: F.struct(p["start"].cast("int").alias("start"), p["body"].alias("length")))
     return joined.select("conv_id", "branch", F.array_join("parts.turn", "").alias("formatted"), spans.alias("loss_spans"))
 
 
