@@ -105,20 +105,19 @@ def insert_counts(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     )
 
 
-def assert_source_row_unique(landed: DataFrame, fresh: DataFrame) -> None:
+def assert_source_row_unique(landed: DataFrame, fresh: DataFrame, key: str) -> None:
     """Two ids for one source row are an error, not a skip."""
-    clash = new_source_row_conflicts(landed, fresh).limit(1).collect()
+    clash = new_source_row_conflicts(landed, fresh, key).limit(1).collect()
     if clash:
         raise QualityError(f"Source row claimed by several ids: {clash[0].asDict()}")
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
-    """Append to a landing table bucketed by its key.
+    """Append to a landing table bucketed by its key, one file per bucket.
 
-    The insert-if-absent anti join then reads the target without a shuffle: only
-    the new batch moves. Needs a catalog that outlives the session.
+    Joins on the key then read the table without a shuffle: only the new batch moves.
     """
-    writer = df.write.mode("append").bucketBy(buckets, key).sortBy(key)
+    writer = df.repartition(buckets, key).write.format("parquet").mode("append").bucketBy(buckets, key).sortBy(key)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -160,3 +159,17 @@ def classify_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
         .otherwise("changed")
     )
     return joined.withColumn("state", state).drop("_recorded")
+
+
+def looked_at(listed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Listed files with ``state``: load (unrecorded), skip (recorded, same size and time), look (one of them differs).
+
+    Brings along what the ledger recorded, to be compared with a fresh hash.
+    """
+    recorded = ledger.select(
+        "source_name", "relative_path", F.lit(True).alias("_known"),
+        F.col("file_size_bytes").alias("recorded_bytes"), F.col("file_sha256").alias("recorded_sha256"),
+        F.col("row_count").alias("recorded_rows"), F.col("file_modified_at_utc").alias("recorded_at"))
+    same = (F.col("recorded_bytes") == F.col("file_size_bytes")) & (F.col("recorded_at") == F.col("file_modified_at_utc"))
+    state = F.when(F.col("_known").isNull(), "load").when(same, "skip").otherwise("look")
+    return listed.join(recorded, ["source_name", "relative_path"], "left").withColumn("state", state).drop("_known", "recorded_at")

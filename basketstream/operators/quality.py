@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketstream.functions.ids import record_id
+
 
 class QualityError(Exception):
     """A check found offending rows."""
@@ -72,15 +74,23 @@ def source_row_conflicts(landed: DataFrame) -> DataFrame:
     return claims.where(F.col("row_count") > 1)
 
 
-def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame) -> DataFrame:
+def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
     """The same for rows about to be landed, given that ``landed`` has no conflicts.
 
     Their record ids are not landed yet, so a landed claim on one of their source
-    rows is a conflict; the landed rows need no grouping again.
+    rows is a conflict. An id normally follows from its source row. A conflict
+    therefore has an id on one side that does not: either a fresh one, whose
+    proper id is then looked up by the landing key, or a landed one. Only such
+    rows move; the landing table is joined by its own key.
     """
-    claimed = fresh.select(*SOURCE_ROW)
+    proper = record_id(F.col("source_file"), F.col("source_row_number"))
+    foreign = ~F.col(key).eqNullSafe(proper)
     among = source_row_conflicts(fresh).select(*SOURCE_ROW)
-    return among.unionByName(landed.select(*SOURCE_ROW).join(claimed, SOURCE_ROW, "left_semi"))
+    strange = fresh.where(foreign).select(proper.alias(key), *[F.col(c).alias(f"_{c}") for c in SOURCE_ROW])
+    same_row = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in SOURCE_ROW])
+    taken = landed.select(key, *SOURCE_ROW).join(strange, key).where(same_row).select(*SOURCE_ROW)
+    old = landed.where(foreign).select(*SOURCE_ROW).join(fresh.select(*SOURCE_ROW), SOURCE_ROW, "left_semi")
+    return among.unionByName(taken).unionByName(old)
 
 
 def status(checks: dict[str, DataFrame]) -> DataFrame:

@@ -1,36 +1,59 @@
 """Incremental load of bronze files into landing, recorded in a file ledger."""
 
+import hashlib
 import os
 from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
 from basketstream.operators.landing import (
-    assert_source_row_unique, classify_files, insert_absent, landing_violations, normalize_bronze,
+    assert_source_row_unique, insert_absent, landing_violations, looked_at, normalize_bronze, save_bucketed,
 )
 from basketstream.operators.quality import QualityError
 from basketstream.schemas import BRONZE_COLUMNS, LANDING_COLUMNS, LEDGER_COLUMNS, PRIMARY_KEY, ddl, names
 from basketstream.session import cut_lineage
-from basketstream.sources.bronze import bronze_inventory, check_columns
-from basketstream.streaming.sinks import read_or_empty
+from basketstream.sources.bronze import bronze_inventory, check_columns, list_bronze
+from basketstream.sources.tables import read_or_empty
 
-# The list of chosen files is held by the driver, so a run takes at most this many.
-MAX_FILES_PER_RUN = 10_000
+# Files whose names the driver holds at a time; a load takes as many batches as it needs.
+BATCH_FILES = 1000
 
 
 @dataclass
 class Warehouse:
+    """Landing tables, bucketed by record id, and the ledger below one folder.
+
+    ``buckets`` is a lasting property of the folder: it is set once, for the size
+    the landing will reach. The catalog entry is made anew in each session.
+    """
+
     root: str
+    buckets: int = 64
 
     def landing(self, source):
-        return os.path.join(self.root, "landing", source)
+        return os.path.join(self.root, "landing", f"{source}-{self.buckets}")
 
     @property
     def ledger(self):
         return os.path.join(self.root, "ledger")
 
+    def landing_table(self, spark, source):
+        path = self.landing(source)
+        name = f"landing_{source}_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+        key = PRIMARY_KEY[source]
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({ddl(LANDING_COLUMNS[source])}) USING parquet "
+            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+        return name
+
     def read_landing(self, spark, source):
-        return read_or_empty(spark, self.landing(source), ddl(LANDING_COLUMNS[source]))
+        return spark.table(self.landing_table(spark, source))
+
+    def append_landing(self, rows, source):
+        """Append whole landing rows; each bucket gets one file per call."""
+        spark = rows.sparkSession
+        columns = rows.select(*names(LANDING_COLUMNS[source]))
+        save_bucketed(columns, self.landing_table(spark, source), PRIMARY_KEY[source], self.buckets, self.landing(source))
 
     def read_ledger(self, spark):
         return read_or_empty(spark, self.ledger, ddl(LEDGER_COLUMNS))
@@ -38,51 +61,77 @@ class Warehouse:
 
 @dataclass
 class LoadResult:
+    """Files loaded and skipped, rows inserted, and unrecorded files that the caller's limit left over."""
+
     loaded: int
     skipped: int
     inserted: int
+    pending: int = 0
 
 
-def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_files=MAX_FILES_PER_RUN, max_file_rows=None):
-    """Load up to ``max_new_files`` unrecorded files in path order.
+def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_files=None, max_file_rows=None, batch_files=BATCH_FILES):
+    """Load all unrecorded files in path order, or the first ``max_new_files``.
 
-    Files are looked at in path order until enough are loaded. A recorded file
-    that changed, or a new one with more than ``max_file_rows`` rows, ends the
-    run with an error; files before it are loaded and recorded, it is not. Rows
-    are written first and the ledger last: a run that dies in between leaves rows
-    that the next run finds present, and it then records the files.
+    Files are listed without being read. Read and hashed are the unrecorded ones,
+    and recorded ones whose size or modification time differs from the ledger
+    (``audit_recorded`` hashes all). A recorded file that changed, or a new one
+    with more than ``max_file_rows`` rows, ends the run with an error; files
+    before it are loaded and recorded, it is not. Per batch, rows are written
+    first and the ledger last: a run that dies in between leaves rows that the
+    next run finds present, and it then records the files.
     """
-    if not 1 <= max_new_files <= MAX_FILES_PER_RUN:
-        raise ValueError(f"max_new_files must be between 1 and {MAX_FILES_PER_RUN}")
-    if max_file_rows is not None and max_file_rows < 1:
-        raise ValueError("max_file_rows must be positive")
-
-    inventory = cut_lineage(spark, bronze_inventory(spark, bronze_root, source), "inventory")
-    files = classify_files(inventory, warehouse.read_ledger(spark))
-    pending = files.where("state = 'load'").orderBy("relative_path").limit(max_new_files).collect()
-    visited = files
-    if len(pending) == max_new_files:
-        visited = files.where(F.col("relative_path") <= pending[-1]["relative_path"])
-    blocked = F.col("state") == "changed"
-    if max_file_rows is not None:
-        blocked = blocked | ((F.col("state") == "load") & (F.col("row_count") > max_file_rows))
-    barrier = visited.where(blocked).orderBy("relative_path").limit(1).collect()
+    for given in (max_new_files, max_file_rows, batch_files):
+        if given is not None and given < 1:
+            raise ValueError("Limits must be positive")
+    listed = cut_lineage(spark, list_bronze(spark, bronze_root, source), "listing")
+    files = cut_lineage(spark, looked_at(listed, warehouse.read_ledger(spark)), "files")
+    loaded, inserted, same, last, barrier = 0, 0, 0, "", None
+    while barrier is None and (max_new_files is None or loaded < max_new_files):
+        left = files.where("state <> 'skip'").where(F.col("relative_path") > last)
+        size = batch_files if max_new_files is None else min(batch_files, max_new_files - loaded)
+        batch = left.orderBy("relative_path").limit(size).collect()
+        if not batch:
+            break
+        found = {row["path"]: row for row in bronze_inventory(spark, bronze_root, source, [row["path"] for row in batch]).collect()}
+        chosen = []
+        for row in batch:
+            now = found[row["path"]]
+            if row["state"] == "look":
+                if (now["file_sha256"], now["row_count"], now["file_size_bytes"]) != (
+                        row["recorded_sha256"], row["recorded_rows"], row["recorded_bytes"]):
+                    barrier = row["relative_path"], "has changed"
+                    break
+                same += 1
+            elif max_file_rows is not None and now["row_count"] > max_file_rows:
+                barrier = row["relative_path"], "has too many rows"
+                break
+            else:
+                chosen.append(now)
+            last = row["relative_path"]
+        if chosen:
+            inserted += _load(spark, bronze_root, warehouse, source, chosen)
+            loaded += len(chosen)
     if barrier:
-        stop = barrier[0]["relative_path"]
-        pending = [row for row in pending if row["relative_path"] < stop]
-        visited = visited.where(F.col("relative_path") < stop)
+        raise QualityError(f"Bronze file {source}/{barrier[0]} {barrier[1]}")
+    after = F.col("relative_path") > last
+    whole = max_new_files is None or loaded < max_new_files
+    counts = files.agg(
+        F.count_if((F.col("state") == "skip") & (F.lit(whole) | ~after)).alias("skipped"),
+        F.count_if((F.col("state") == "load") & after & F.lit(not whole)).alias("pending")).first()
+    return LoadResult(loaded, counts["skipped"] + same, inserted, counts["pending"])
 
-    inserted = _load(spark, bronze_root, warehouse, source, pending) if pending else 0
-    if barrier:
-        reason = "has changed" if barrier[0]["state"] == "changed" else "has too many rows"
-        raise QualityError(f"Bronze file {source}/{barrier[0]['relative_path']} {reason}")
-    return LoadResult(len(pending), visited.where("state = 'skip'").count(), inserted)
+
+def audit_recorded(spark, bronze_root, warehouse: Warehouse, source):
+    """Recorded files whose content is no longer what the ledger says, by hashing all of them."""
+    recorded = warehouse.read_ledger(spark).where(F.col("source_name") == source).select(
+        "relative_path", F.struct("file_size_bytes", "file_sha256", "row_count").alias("_recorded"))
+    found = F.struct("file_size_bytes", "file_sha256", "row_count")
+    return bronze_inventory(spark, bronze_root, source).join(recorded, "relative_path").where(found != F.col("_recorded")).drop("_recorded")
 
 
 def _load(spark, bronze_root, warehouse, source, pending) -> int:
     key = PRIMARY_KEY[source]
-    paths = [row["path"] for row in pending]
-    raw = spark.read.parquet(*paths)
+    raw = spark.read.parquet(*[row["path"] for row in pending])
     check_columns(raw, source)
     placed = raw.select(
         *names(BRONZE_COLUMNS[source]),
@@ -98,21 +147,20 @@ def _load(spark, bronze_root, warehouse, source, pending) -> int:
     broken = landing_violations(rows, source).limit(1).collect()
     if broken:
         raise QualityError(f"Landing rules broken: {broken[0]['violations']}")
-    assert_source_row_unique(landed, fresh)
+    assert_source_row_unique(landed, fresh, key)
     _assert_unchanged(spark, bronze_root, source, pending)
-
-    rows.select(*names(LANDING_COLUMNS[source])).write.mode("append").parquet(warehouse.landing(source))
+    warehouse.append_landing(rows, source)
     _record(spark, warehouse, fresh, pending)
     return fresh.count()
 
 
 def _assert_unchanged(spark, bronze_root, source, pending):
-    """Sizes and hashes of the loaded files are still those the run started with."""
+    """Sizes and hashes of the batch's files are still those the run started with."""
     now = bronze_inventory(spark, bronze_root, source, [row["path"] for row in pending])
     before = {row["path"]: (row["file_size_bytes"], row["file_sha256"], row["row_count"]) for row in pending}
     same = {row["path"]: (row["file_size_bytes"], row["file_sha256"], row["row_count"]) for row in now.collect()}
     if same != before:
-        raise QualityError("Bronze file changed during loading")
+        raise QualityError("A file of this batch was rewritten while its rows were read")
 
 
 def _record(spark, warehouse, fresh, pending):
@@ -122,5 +170,6 @@ def _record(spark, warehouse, fresh, pending):
         "source_name", "relative_path", "file_size_bytes", "file_sha256", "row_count",
         F.coalesce("inserted_count", F.lit(0)).cast("bigint").alias("inserted_count"),
         F.current_timestamp().alias("completed_at_utc"),
+        "file_modified_at_utc",
     )
     ledger.coalesce(1).write.mode("append").parquet(warehouse.ledger)

@@ -186,9 +186,8 @@ again AS (SELECT * FROM land UNION ALL
   SELECT * REPLACE (kafka_offset + 1000000000 AS kafka_offset) FROM land WHERE sku < 20)"""
 
 FILES = """
-f AS (SELECT CAST(event_time AS DATE) AS day, event_type, count(*) AS row_count FROM e GROUP BY ALL),
-inv AS (SELECT 'events' AS source_name, CAST(day AS VARCHAR) || '/' || event_type || '.parquet' AS relative_path,
-  row_count, day, event_type FROM f)"""
+inv AS (SELECT 'events' AS source_name, event_type AS kind, count(*) AS row_count,
+  row_number() OVER (ORDER BY event_type) AS place FROM j WHERE validation_error IS NULL GROUP BY event_type)"""
 
 # Scores from a rule, labels and ranks.
 SCORED = """
@@ -350,17 +349,15 @@ def _contracts():
         "stream_rerun": with_events(
             " SELECT CAST(run AS INTEGER) AS run, count(*) FILTER (validation_error IS NULL) AS bronze_rows, "
             "count(*) FILTER (validation_error IS NOT NULL) AS quarantine_rows FROM j, (VALUES (1), (2)) r(run) GROUP BY run", JUDGED),
-        "stream_landing": with_events(f" SELECT {event_columns(False)} FROM j", JUDGED),
+        "stream_landing": with_events(f" SELECT {event_columns(False)} FROM j WHERE sku IS NULL OR sku <> 2", JUDGED),
+        "stream_rejects": with_events(" SELECT event_id, 'kafka_offset_negative' AS violations FROM j WHERE sku = 2", JUDGED),
     }
 
 
 def _landing():
     late = f"event_time >= TIMESTAMP '{HALF} 00:00:00'"
-    recorded = f"day < DATE '{HALF}'"
     damaged = """CASE sku WHEN 1 THEN 'schema_version_wrong' WHEN 2 THEN 'kafka_offset_negative'
       WHEN 3 THEN 'event_type_unknown' WHEN 4 THEN 'client_id_negative' WHEN 5 THEN 'event_id_missing,client_id_missing' END"""
-    wrong = """CASE event_type WHEN 'page_visit' THEN 'source_name_unknown' WHEN 'add_to_cart' THEN 'file_sha256_malformed'
-      WHEN 'remove_from_cart' THEN 'inserted_count_out_of_range' WHEN 'search_query' THEN 'file_size_not_positive' END"""
     return {
         "landing_insert": with_events(
             f" SELECT event_id, source_file, source_row_number, kafka_offset FROM land WHERE {late}", LANDED),
@@ -373,14 +370,24 @@ def _landing():
         "landing_violations": with_events(
             f" SELECT source_file, source_row_number, {damaged} AS violations FROM e WHERE sku BETWEEN 1 AND 5"),
         "ledger_classify": with_events(
-            f" SELECT source_name, relative_path, row_count, CASE WHEN NOT ({recorded}) THEN 'load' "
-            "WHEN event_type = 'search_query' THEN 'changed' ELSE 'skip' END AS state FROM inv", FILES),
+            " SELECT source_name, kind, row_count, CASE WHEN place > 3 THEN 'load' "
+            "WHEN kind = 'page_visit' THEN 'changed' ELSE 'skip' END AS state FROM inv", JUDGED, FILES),
         "ledger_summary": with_events(
             " SELECT source_name, count(*) AS files, CAST(sum(row_count) AS BIGINT) AS total_rows, "
-            "CAST(sum(row_count) FILTER (event_type <> 'product_buy') AS BIGINT) AS inserted_rows "
-            f"FROM inv WHERE {recorded} GROUP BY ALL", FILES),
-        "ledger_violations": with_events(
-            f" SELECT day, event_type, {wrong} AS violations FROM inv WHERE {recorded} AND event_type <> 'product_buy'", FILES),
+            "CAST(sum(row_count) AS BIGINT) AS inserted_rows FROM inv WHERE place <= 3 GROUP BY ALL", JUDGED, FILES),
+        "ledger_violations": (
+            "SELECT * FROM (VALUES ('page_visit', FALSE, 'source_name_unknown'), ('add_to_cart', FALSE, 'file_sha256_malformed'), "
+            "('page_visit', TRUE, 'inserted_count_out_of_range'), ('add_to_cart', TRUE, 'file_size_not_positive')) v(kind, copied, violations) "
+            "WHERE (SELECT count(DISTINCT event_type) FROM events) = 5"),
+        "bronze_sample": with_events(
+            " SELECT kafka_partition, kafka_offset, event_id, event_type, client_id, event_time AS event_time_local FROM j "
+            "WHERE validation_error IS NULL ORDER BY kafka_partition, kafka_offset LIMIT 100", JUDGED),
+        "file_inventory": with_events(
+            " SELECT source_name, kind, CAST(ceil(row_count / 100000.0) AS BIGINT) AS files, row_count AS total_rows, "
+            "CAST(ceil(row_count / 100000.0) AS BIGINT) AS distinct_hashes, CAST(0 AS BIGINT) AS malformed FROM inv", JUDGED, FILES),
+        "incremental_steps": with_events(
+            " SELECT step, count(*) AS files, CAST(sum(row_count) AS BIGINT) AS total_rows, CAST(sum(row_count) AS BIGINT) AS inserted_rows "
+            "FROM inv JOIN (VALUES (1, 1), (2, 4), (3, 5)) s(step, upto) ON place <= upto GROUP BY step", JUDGED, FILES),
     }
 
 

@@ -5,7 +5,7 @@ Each function takes (spark, sf_dir) and returns a DataFrame.
 
 import os
 from datetime import date, timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -338,80 +338,97 @@ def landing_violations(spark, sf):
     return broken.select("source_file", "source_row_number", F.array_join("violations", ",").alias("violations"))
 
 
-def _file_inventory(spark, sf):
-    """One 'file' per day and event type, with a hash over its name and row count."""
-    per_day = tables.landing_events(spark, sf).groupBy(
-        F.to_date("event_time_local").alias("day"), "event_type").agg(F.count("*").alias("row_count"))
-    path = F.concat(F.col("day").cast("string"), F.lit("/"), F.col("event_type"), F.lit(".parquet"))
-    return per_day.select(
-        F.lit("events").alias("source_name"), path.alias("relative_path"),
-        (F.col("row_count") * 100).alias("file_size_bytes"),
-        F.sha2(F.concat(path, F.lit(":"), F.col("row_count").cast("string")), 256).alias("file_sha256"),
-        "row_count", "day", "event_type",
-    )
+def _bronze_folder(spark, sf):
+    """Bronze folders of events, at least one file per event type, and of products, written from the given tables."""
+    root = scratch_dir(spark, "bronze")
+    jobs.write_bronze(_transformed(spark, sf), root, "events", by="event_type")
+    jobs.write_bronze(_transformed_products(spark, sf), root, "products")
+    return root
 
 
-def _ledger(spark, sf):
-    """First-half files recorded; searches with another size, so they count as changed."""
-    seen = _file_inventory(spark, sf).where(F.col("day") < HALF)
-    other = F.when(F.col("event_type") == "search_query", F.col("file_size_bytes") + 1)
-    return seen.withColumns({
-        "file_size_bytes": F.coalesce(other, F.col("file_size_bytes")),
-        "inserted_count": F.when(F.col("event_type") == "product_buy", F.lit(0).cast("bigint")).otherwise(F.col("row_count")),
-    })
+def _kind(path="relative_path"):
+    """Event type of a bronze file, from its folder."""
+    return F.regexp_extract(path, "^event_type_folder=([a-z_]+)/", 1)
+
+
+def _half_loaded(spark, sf):
+    """A bronze folder, its warehouse after a load of the first three files, and the ledger of that load."""
+    root, store = _bronze_folder(spark, sf), Warehouse(scratch_dir(spark, "warehouse"))
+    load_files(spark, root, store, "events", max_new_files=3)
+    return root, store, store.read_ledger(spark)
 
 
 @query
 def ledger_classify(spark, sf):
-    states = landing.classify_files(_file_inventory(spark, sf), _ledger(spark, sf))
-    return states.select("source_name", "relative_path", "row_count", "state")
+    """Two of the five files are not recorded; a third one was recorded with another hash."""
+    root, _, ledger = _half_loaded(spark, sf)
+    digest = F.when(_kind() == "page_visit", F.reverse("file_sha256")).otherwise(F.col("file_sha256"))
+    inventory = bronze.bronze_inventory(spark, root, "events")
+    states = landing.classify_files(inventory, ledger.withColumn("file_sha256", digest))
+    return states.select("source_name", _kind().alias("kind"), "row_count", "state")
 
 
 @query
 def ledger_summary(spark, sf):
-    return marts.ledger_summary(_ledger(spark, sf))
+    return marts.ledger_summary(_half_loaded(spark, sf)[2])
 
 
 @query
 def ledger_violations(spark, sf):
-    kind = F.col("event_type")
-    damaged = _ledger(spark, sf).withColumns({
-        "source_name": F.when(kind == "page_visit", "orders").otherwise(F.col("source_name")),
-        "file_sha256": F.when(kind == "add_to_cart", F.upper("file_sha256")).otherwise(F.col("file_sha256")),
-        "inserted_count": F.when(kind == "remove_from_cart", F.col("row_count") + 1).otherwise(F.col("inserted_count")),
-        "file_size_bytes": F.when(kind == "search_query", F.lit(0).cast("bigint")).otherwise(F.col("file_size_bytes")),
+    """A defect for each recorded file, and one file left whole."""
+    _, _, ledger = _half_loaded(spark, sf)
+    twice = ledger.unionByName(ledger.withColumn("relative_path", F.concat(F.lit("again/"), "relative_path")))
+    kind, again = F.regexp_extract("relative_path", "folder=([a-z_]+)/", 1), F.col("relative_path").startswith("again/")
+    damaged = twice.withColumn("kind", kind).withColumns({
+        "source_name": F.when((kind == "page_visit") & ~again, "orders").otherwise(F.col("source_name")),
+        "file_sha256": F.when((kind == "add_to_cart") & ~again, F.upper("file_sha256")).otherwise(F.col("file_sha256")),
+        "inserted_count": F.when((kind == "page_visit") & again, F.col("row_count") + 1).otherwise(F.col("inserted_count")),
+        "file_size_bytes": F.when((kind == "add_to_cart") & again, F.lit(0).cast("bigint")).otherwise(F.col("file_size_bytes")),
     })
     broken = landing.ledger_violations(damaged)
-    return broken.select("day", "event_type", F.array_join("violations", ",").alias("violations"))
-
-
-def _bronze_folder(spark, sf):
-    """Bronze folders of events and products, written from the given tables."""
-    root = scratch_dir(spark, "bronze")
-    jobs.write_bronze(_transformed(spark, sf), root, "events")
-    jobs.write_bronze(_transformed_products(spark, sf), root, "products")
-    return root
+    return broken.select("kind", again.alias("copied"), F.array_join("violations", ",").alias("violations"))
 
 
 @query
 def bronze_sample(spark, sf):
-    return bronze.scan_bronze(spark, _bronze_folder(spark, sf), "events", limit=100)
+    sample = bronze.scan_bronze(spark, _bronze_folder(spark, sf), "events", limit=100)
+    return sample.select("kafka_partition", "kafka_offset", "event_id", "event_type", "client_id", "event_time_local")
 
 
 @query
 def file_inventory(spark, sf):
-    return bronze.bronze_inventory(spark, _bronze_folder(spark, sf), "events").drop("path")
+    """Files and rows per folder; hashes and sizes vary from write to write, so only their form is shown."""
+    found = bronze.bronze_inventory(spark, _bronze_folder(spark, sf), "events")
+    return found.groupBy("source_name", _kind().alias("kind")).agg(
+        F.count("*").alias("files"), F.sum("row_count").alias("total_rows"),
+        F.count_distinct("file_sha256").alias("distinct_hashes"),
+        F.count_if(~F.col("file_sha256").rlike("^[0-9a-f]{64}$") | (F.col("file_size_bytes") <= 0)).alias("malformed"))
 
 
 @query
 def incremental_load(spark, sf):
-    """First two files, then the rest, then nothing new; the landing rows at the end."""
+    """Two files, then the rest one by one, then nothing new; the landing rows at the end."""
     root, store = _bronze_folder(spark, sf), Warehouse(scratch_dir(spark, "warehouse"))
-    for most in (2, 10_000, 10_000):
-        load_files(spark, root, store, "events", max_new_files=most)
+    load_files(spark, root, store, "events", max_new_files=2)
+    for _ in range(2):
+        load_files(spark, root, store, "events", batch_files=2)
     return store.read_landing(spark, "events").select(*_EVENT_OUT)
 
 
+@query
+def incremental_steps(spark, sf):
+    """What the ledger says after each step: files and rows so far."""
+    root, store = _bronze_folder(spark, sf), Warehouse(scratch_dir(spark, "warehouse"))
+    steps = []
+    for step, most in enumerate((1, 3, None), 1):
+        load_files(spark, root, store, "events", max_new_files=most)
+        # Written before the next step appends to the ledger.
+        steps.append(cut_lineage(spark, store.read_ledger(spark).agg(
+            F.lit(step).alias("step"), F.count("*").alias("files"), F.sum("row_count").alias("total_rows"),
+            F.sum("inserted_count").alias("inserted_rows")), "ledger-step"))
+    return reduce(DataFrame.unionByName, steps)
+
+
 @query
 def incremental_ledger(spark, sf):
     root, store = _bronze_folder(spark, sf), Warehouse(scratch_dir(spark, "warehouse"))
@@ -747,9 +764,14 @@ def _stream_once(spark, sf, name="stream", runs=1):
     inbox = os.path.join(root, "inbox")
     feeds.kafka_events(spark, sf, damaged=True).drop("source_row_number").write.parquet(inbox)
     paths, counts = sinks.StreamPaths(root, "events"), []
-    for _ in range(runs):
+    for run in range(runs):
         sinks.run_topic(spark, sinks.file_stream(spark, inbox, max_files_per_trigger=4), paths)
-        counts.append(tuple(spark.read.parquet(path).count() for path in (paths.bronze, paths.quarantine)))
+        if runs > 1:
+            both = spark.read.parquet(paths.bronze).select(F.lit(1).alias("bronze"), F.lit(0).alias("quarantine")).unionByName(
+                spark.read.parquet(paths.quarantine).select(F.lit(0).alias("bronze"), F.lit(1).alias("quarantine")))
+            # Written before the next run adds files.
+            counts.append(cut_lineage(spark, both.agg(
+                F.lit(run + 1).alias("run"), F.sum("bronze").alias("bronze_rows"), F.sum("quarantine").alias("quarantine_rows")), "run"))
     return paths, counts
 
 
@@ -769,22 +791,34 @@ def stream_quarantine(spark, sf):
 def stream_rerun(spark, sf):
     """Rows after the first and after a second run over the same input."""
     _, counts = _stream_once(spark, sf, runs=2)
-    rows = [(run + 1, *pair) for run, pair in enumerate(counts)]
-    return spark.createDataFrame(rows, "run int, bronze_rows bigint, quarantine_rows bigint")
+    return reduce(DataFrame.unionByName, counts)
 
 
-@query
-def stream_landing(spark, sf):
-    """Records sent twice are landed once."""
+def _landed_stream(spark, sf):
+    """Records sent twice, those of product 2 with an offset that the landing refuses: (warehouse, rejects folder)."""
     root = scratch_dir(spark, "landing-stream")
-    inbox, target = os.path.join(root, "inbox"), os.path.join(root, "landing")
+    inbox, rejects, store = os.path.join(root, "inbox"), os.path.join(root, "rejects"), Warehouse(os.path.join(root, "warehouse"))
     feed = feeds.kafka_events(spark, sf).drop("source_row_number")
     for _ in range(2):
         feed.write.mode("append").parquet(inbox)
-    valid, _ = parse.split_valid(parse.transform_events(sinks.file_stream(spark, inbox, 4)))
-    query_handle = sinks.start_landing(valid, "events", target, os.path.join(root, "checkpoint"))
-    query_handle.awaitTermination()
-    return spark.read.parquet(target).select(*_EVENT_OUT)
+    valid, _ = parse.split_valid(parse.transform_events(sinks.file_stream(spark, inbox)))
+    offset = F.when(F.col("sku") == 2, -F.col("kafka_offset") - 1).otherwise(F.col("kafka_offset"))
+    handle = sinks.start_landing(valid.withColumn("kafka_offset", offset), "events", store, os.path.join(root, "checkpoint"), rejects)
+    handle.awaitTermination()
+    return store, rejects
+
+
+@query
+def stream_landing(spark, sf):
+    """Records sent twice are landed once; those that break a rule are not landed."""
+    return _landed_stream(spark, sf)[0].read_landing(spark, "events").select(*_EVENT_OUT)
+
+
+@query
+def stream_rejects(spark, sf):
+    """Rows that the stream refused, with their codes."""
+    rejects = spark.read.parquet(_landed_stream(spark, sf)[1])
+    return rejects.select("event_id", "violations").distinct()
 
 
 # Models

@@ -97,6 +97,7 @@ LEDGER_COLUMNS = [
     ("row_count", "bigint"),
     ("inserted_count", "bigint"),
     ("completed_at_utc", "timestamp"),
+    ("file_modified_at_utc", "timestamp"),
 ]
 
 

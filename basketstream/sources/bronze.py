@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from basketstream.schemas import BRONZE_COLUMNS, names
 
 SOURCES = list(BRONZE_COLUMNS)
+_RECORD_ORDER = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
 def check_source(source: str) -> None:
     if source not in SOURCES:
-        raise ValueError(f"Unknown bronze source: {source}")
+        raise ValueError(f"{source} is not a bronze folder; there are {SOURCES}")
 
 
 def check_columns(df: DataFrame, source: str) -> DataFrame:
@@ -19,14 +20,17 @@ def check_columns(df: DataFrame, source: str) -> DataFrame:
     wanted = names(BRONZE_COLUMNS[source])
     missing = sorted(set(wanted) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing bronze columns: {missing}")
+        raise ValueError(f"Bronze files lack {missing}")
     return df.select(*wanted)
 
 
 def scan_bronze(spark, root: str, source: str, limit: int | None = None) -> DataFrame:
     check_source(source)
     df = check_columns(spark.read.parquet(os.path.join(root, source)), source)
-    return df if limit is None else df.limit(limit)
+    if limit is None:
+        return df
+    # A sample in record order is the same sample every time; only ``limit`` rows per task are kept.
+    return df.orderBy(*_RECORD_ORDER).limit(limit)
 
 
 def _relative(path, folder):
@@ -35,32 +39,50 @@ def _relative(path, folder):
     return F.substring(plain, F.lit(len(folder) + 2), F.length(plain))
 
 
+_BRONZE_FILES = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+
+
+def _named(files: DataFrame, source: str, folder: str) -> DataFrame:
+    return files.withColumns({
+        "source_name": F.lit(source),
+        "relative_path": _relative(F.col("path"), os.path.normpath(folder.split("://")[-1])),
+    })
+
+
+def list_bronze(spark, root: str, source: str) -> DataFrame:
+    """Name, size and modification time of every committed bronze file, without reading any."""
+    check_source(source)
+    folder = os.path.join(root, source)
+    files = spark.read.format("binaryFile").options(**_BRONZE_FILES).load(folder)
+    return _named(files, source, folder).select(
+        "source_name", "relative_path", "path", F.col("length").alias("file_size_bytes"),
+        F.col("modificationTime").alias("file_modified_at_utc"))
+
+
 def bronze_inventory(spark, root: str, source: str, paths: list[str] | None = None) -> DataFrame:
-    """Name, size, SHA-256 and row count of every committed bronze file.
+    """Name, size, SHA-256, row count and modification time of every committed bronze file.
 
     Hidden and work-in-progress paths are left out by the readers, and so are
     files that a stream wrote but never committed. Row counts come from a count
-    per file, sizes and hashes from the file bytes (one file per row, so bronze
-    files must stay below 2 GB; the sink's maxRecordsPerFile takes care of it).
-    ``paths`` narrows the inventory to given files.
+    per file, sizes and hashes from the file bytes. A file is one row, so the
+    reader refuses one of 2 GB or more with an error; the sinks roll their files
+    long before. ``paths`` narrows the inventory to given files.
     """
     check_source(source)
     folder = os.path.join(root, source)
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
     files = (
-        spark.read.format("binaryFile").options(**options).load(paths or folder)
-        .select("path", "length", F.sha2("content", 256).alias("file_sha256"))
+        spark.read.format("binaryFile").options(**_BRONZE_FILES).load(paths or folder)
+        .select("path", "length", "modificationTime", F.sha2("content", 256).alias("file_sha256"))
     )
     counts = (
-        spark.read.options(**options).parquet(*(paths or [folder]))
+        spark.read.options(**_BRONZE_FILES).parquet(*(paths or [folder]))
         .groupBy(F.col("_metadata.file_path").alias("path"))
         .agg(F.count("*").alias("row_count"))
     )
-    return files.join(counts, "path", "left").select(
-        F.lit(source).alias("source_name"),
-        _relative(F.col("path"), os.path.normpath(folder.split("://")[-1])).alias("relative_path"),
-        "path",
+    return _named(files.join(counts, "path", "left"), source, folder).select(
+        "source_name", "relative_path", "path",
         F.col("length").alias("file_size_bytes"),
         "file_sha256",
         F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
+        F.col("modificationTime").alias("file_modified_at_utc"),
     )

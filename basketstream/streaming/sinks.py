@@ -5,13 +5,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketstream.operators.landing import insert_absent, normalize_bronze
+from basketstream.operators.landing import insert_absent, landing_violations, normalize_bronze
 from basketstream.operators.parse import split_valid, transform_events, transform_products
-from basketstream.schemas import KAFKA_RECORD, LANDING_COLUMNS, PRIMARY_KEY, ddl
+from basketstream.operators.quality import SOURCE_ROW, QualityError, new_source_row_conflicts
+from basketstream.schemas import KAFKA_RECORD, PRIMARY_KEY
+from basketstream.session import cut_lineage
 
 TRANSFORMS = {"events": transform_events, "products": transform_products}
-# Keeps every bronze file far below the 2 GB the file inventory can hash.
-MAX_RECORDS_PER_FILE = 1_000_000
+# Rolls bronze files; at this count even rows of 20 KB stay below the 2 GB that the file inventory can hash.
+MAX_RECORDS_PER_FILE = 100_000
+POLL_SECONDS = 1
 
 
 @dataclass
@@ -67,42 +70,48 @@ def run_topic(spark, records: DataFrame, paths: StreamPaths, every: str | None =
     """Run until drained, or (with ``every``) until a query ends; a failure stops both."""
     queries = start_topic(records, paths, every)
     try:
-        if every:
-            spark.streams.awaitAnyTermination()
-        for query in queries:
-            if every and query.isActive:
-                continue
-            query.awaitTermination()
+        # Only this topic's queries are looked at, in turn, so that either one's failure is seen at once.
+        running = list(queries)
+        while running:
+            ended = [query for query in running if query.awaitTermination(POLL_SECONDS)]
+            if ended and every:
+                break
+            running = [query for query in running if query not in ended]
     finally:
         for query in queries:
             if query.isActive:
                 query.stop()
-        spark.streams.resetTerminated()
 
 
-def start_landing(bronze: DataFrame, source: str, landing_path: str, checkpoint: str, every: str | None = None):
-    """Insert-if-absent into a landing folder, batch by batch.
+def start_landing(bronze: DataFrame, source: str, warehouse, checkpoint: str, rejects: str | None = None, every: str | None = None):
+    """Insert-if-absent into the warehouse's landing, batch by batch, under the rules of the batch load.
 
-    Each batch first looks at what is landed, so a repeated record id is skipped
-    also when a batch is run again after a failure.
+    Each batch is joined with the bucketed landing by record id, so only the batch
+    is shuffled, and a repeated id is skipped also when a batch is run again after
+    a failure. Rows that break a landing rule, and rows whose source row another id
+    claims, are appended to ``rejects`` with their codes; without that folder they
+    end the stream with an error.
     """
     key = PRIMARY_KEY[source]
     order = ["kafka_partition", "kafka_offset"]
 
     def land(batch, batch_id):
         spark = batch.sparkSession
-        schema = ddl(LANDING_COLUMNS[source])
-        landed = read_or_empty(spark, landing_path, schema)
-        fresh = insert_absent(landed, normalize_bronze(batch, source), key, order)
-        fresh.withColumn("loaded_at_utc", F.current_timestamp()).write.mode("append").parquet(landing_path)
+        landed = warehouse.read_landing(spark, source)
+        new = insert_absent(landed, normalize_bronze(batch, source), key, order)
+        fresh = cut_lineage(spark, new.withColumn("loaded_at_utc", F.current_timestamp()), "stream-fresh")
+        broken = landing_violations(fresh, source).withColumn("violations", F.array_join("violations", ","))
+        claimed = new_source_row_conflicts(landed, fresh, key).distinct()
+        clashing = fresh.join(claimed, SOURCE_ROW, "left_semi").withColumn("violations", F.lit("source_row_claimed"))
+        bad = cut_lineage(spark, broken.unionByName(clashing), "stream-rejects")
+        if not bad.isEmpty():
+            if rejects is None:
+                raise QualityError(f"Landing rules broken: {bad.first()['violations']}")
+            # Named by batch: a batch that is run again replaces its own rejects.
+            bad.write.mode("overwrite").parquet(os.path.join(rejects, f"batch_id={batch_id}"))
+            fresh = fresh.join(bad.select(*order, "kafka_topic").distinct(), ["kafka_topic", *order], "left_anti")
+        warehouse.append_landing(fresh, source)
 
     writer = bronze.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.queryName(f"{source}_landing").trigger(**trigger).start()
-
-
-def read_or_empty(spark, path: str, schema: str) -> DataFrame:
-    """Table at ``path``, or an empty one while nothing has been written there."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)

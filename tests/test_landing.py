@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basketstream.operators import landing, parse
 from basketstream.operators.quality import QualityError
-from basketstream.plans.incremental import Warehouse, incremental_load
+from basketstream.plans.incremental import Warehouse, audit_recorded, incremental_load
 from basketstream.plans.jobs import bronze_to_analytics
 from basketstream.sources import bronze
 from test_contract import EVENT, PRODUCT, changed
@@ -105,7 +105,7 @@ def test_retry_after_rows_without_ledger(spark, root, store):
     """A run that died between rows and ledger is completed by the next run."""
     write_file(spark, root, "a.parquet", [1, 2])
     rows = landing.normalize_bronze(bronze_rows(spark, [1, 2]), "events")
-    rows.withColumn("loaded_at_utc", F.current_timestamp()).write.parquet(store.landing("events"))
+    store.append_landing(rows.withColumn("loaded_at_utc", F.current_timestamp()), "events")
     again = incremental_load(spark, root, store, "events")
     assert (again.loaded, again.inserted) == (1, 0)
     assert store.read_landing(spark, "events").count() == 2
@@ -135,7 +135,7 @@ def test_normalisation(spark):
         landing.normalize_bronze(rows.withColumn("processed_at_utc", F.lit("x")), "events")
     with pytest.raises(Exception, match="is not a UUID"):
         landing.normalize_bronze(rows.withColumn("event_id", F.lit("x")), "events").collect()
-    with pytest.raises(ValueError, match="Missing bronze columns"):
+    with pytest.raises(ValueError, match="Bronze files lack"):
         bronze.check_columns(rows.drop("sku"), "events")
 
 
@@ -168,6 +168,56 @@ def test_bucketed_target_is_not_shuffled(spark):
         spark.sql(f"DROP TABLE {table}")
 
 
+def test_batches_of_one_give_the_marts_of_one_big_load(spark, root, tmp_path):
+    for number in range(4):
+        write_file(spark, root, f"{number}.parquet", [3 * number + i for i in range(3)])
+    products = records(spark, [("1263699", json.dumps(PRODUCT))])
+    parse.split_valid(parse.transform_products(products))[0].coalesce(1).write.parquet(os.path.join(root, "products"))
+    small, large = Warehouse(str(tmp_path / "small"), 8), Warehouse(str(tmp_path / "large"), 8)
+    limited = incremental_load(spark, root, small, "events", max_new_files=1)
+    assert (limited.loaded, limited.pending) == (1, 3)
+    with pytest.raises(QualityError, match="2 files of events are not loaded"):
+        bronze_to_analytics(spark, root, small, max_new_files=1)
+    rest = incremental_load(spark, root, small, "events", batch_files=1)
+    assert (rest.loaded, rest.skipped, rest.pending) == (2, 2, 0)
+    marts = [bronze_to_analytics(spark, root, store)["marts"] for store in (small, large)]
+    for name in ("daily_event_activity", "client_prior_day", "client_product_candidates", "feature_snapshot"):
+        rows = [sorted(map(str, made[name].collect())) for made in marts]
+        assert rows[0] == rows[1] and rows[0], name
+
+
+def test_listing_reads_no_content_and_audit_finds_silent_changes(spark, root, store):
+    write_file(spark, root, "a.parquet", [1])
+    path = os.path.join(root, "events", "a.parquet")
+    incremental_load(spark, root, store, "events")
+    listed = bronze.list_bronze(spark, root, "events")
+    assert "content" not in str(listed._jdf.queryExecution().optimizedPlan()).split("Relation")[0]
+    write_file(spark, root, "other", [2])
+    times = os.stat(path)
+    with open(os.path.join(root, "events", "other"), "rb") as new, open(path, "r+b") as old:
+        content = new.read()
+        assert len(content) == times.st_size
+        old.write(content)
+    os.utime(path, ns=(times.st_atime_ns, times.st_mtime_ns))
+    assert incremental_load(spark, root, store, "events").skipped == 1
+    assert [r["relative_path"] for r in audit_recorded(spark, root, store, "events").collect()] == ["a.parquet"]
+
+
+def test_landing_side_of_a_load_is_not_shuffled(spark, root, store):
+    write_file(spark, root, "a.parquet", [1, 2])
+    incremental_load(spark, root, store, "events")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = landing.normalize_bronze(bronze_rows(spark, [2, 3]), "events").withColumn("_row", F.lit(1))
+        fresh = landing.insert_absent(store.read_landing(spark, "events"), batch, "event_id", ["_row"])
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        # The landing scan is the last leaf; every shuffle belongs to the batch above it.
+        assert "SelectedBucketsCount: 64 out of 64" in plan[plan.rindex("FileScan"):]
+        assert plan.rindex("Exchange") < plan.index("Scan ExistingRDD") and fresh.count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_bronze_to_analytics(spark, root, store):
     write_file(spark, root, "a.parquet", [1, 2, 3])
     products = records(spark, [("1263699", json.dumps(PRODUCT))])
