@@ -10,8 +10,8 @@ idf are counted over **all documents**.
 class. They are sorted so that similar examples lie in one block of ``BLOCK``.
 Per block there are inverted lists, and per term and block the largest weight.
 A query's upper bound for a block is its product with those maxima; blocks are
-read from the highest bound on, and reading stops when no bound exceeds the
-``NEIGHBOURS``-th best cosine so far. Nothing that belongs to the result is skipped: the
+read from the highest bound on, a few at a time, and reading stops when no bound
+reaches the ``NEIGHBOURS``-th best cosine so far. Nothing that belongs to the result is skipped: the
 neighbours are exact, ties going to the smaller id.
 
 *Votes.* Neighbours vote for their label with cosine times class weight. A
@@ -43,9 +43,11 @@ MIN_CHI2 = 24.0
 MIN_DOCUMENTS = 5
 STARTS = (4, 5, 6)
 BLOCK = 64
+FIRST_BLOCKS, MORE_BLOCKS = 4, 32  # blocks that are read before bounds are looked at again
 NEIGHBOURS = 16
 EVIDENCE = 3
 CACHE_WORDS = 400_000
+CACHE_RESULTS = 50_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -86,7 +88,11 @@ def vector(numbers, counts, idf):
 
 
 class Index:
-    """Examples with vectors, in blocks of inverted lists with their maxima."""
+    """Examples with vectors, in blocks of inverted lists with their maxima.
+
+    A list is the weights that a term has in the ``BLOCK`` examples of a block;
+    list 0 is all zeros and stands for terms that the block lacks.
+    """
 
     def __init__(self, ids, labels, vectors, size):
         # Similar examples share a block: by label, then by strongest term.
@@ -96,44 +102,44 @@ class Index:
         vectors = [vectors[i] for i in order]
         self.blocks = -(-len(ids) // BLOCK)
         self.most = np.zeros((size, self.blocks), np.float32)  # rounded up, so that bounds hold
-        self.lists = []
+        self.rows = np.zeros((size, self.blocks), np.int64)  # the list of a term in a block
+        lists, last = [np.zeros((1, BLOCK))], 0
         for block in range(self.blocks):
-            lists = {}
-            for place, (numbers, weights) in enumerate(vectors[block * BLOCK : (block + 1) * BLOCK]):
-                for term, weight in zip(numbers.tolist(), weights.tolist()):
-                    lists.setdefault(term, ([], []))[0].append(place)
-                    lists[term][1].append(weight)
-            lists = {t: (np.array(p), np.array(w)) for t, (p, w) in lists.items()}
-            for term, (_, weights) in lists.items():
-                self.most[term, block] = np.nextafter(np.float32(weights.max()), np.float32(2))
-            self.lists.append(lists)
+            own = vectors[block * BLOCK : (block + 1) * BLOCK]
+            met = np.unique(np.concatenate([numbers for numbers, _ in own]))
+            self.rows[met, block] = last + 1 + np.arange(len(met))
+            new = np.zeros((len(met), BLOCK))
+            for place, (numbers, weights) in enumerate(own):
+                new[self.rows[numbers, block] - last - 1, place] = weights
+            self.most[met, block] = np.nextafter(new.max(1).astype(np.float32), np.float32(2))
+            lists.append(new)
+            last += len(met)
+        self.lists = np.concatenate(lists)
 
     def nearest(self, numbers, weights, k=NEIGHBOURS, leave_out=None):
         """(positions, cosines) of the k most similar examples with a positive cosine, best first."""
         if not len(numbers) or not self.blocks:
             return np.empty(0, np.int64), np.empty(0)
-        bounds = weights.astype(np.float64) @ self.most[numbers]
-        query = list(zip(numbers.tolist(), weights.tolist()))
-        best, where, floor = np.empty(0), np.empty(0, np.int64), 0.0
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(best) >= k and bounds[block] < floor - 1e-9:
-                break
-            scores, lists = np.zeros(BLOCK), self.lists[block]
-            for term, weight in query:
-                if (found := lists.get(term)) is not None:
-                    scores[found[0]] += weight * found[1]
-            hit = np.flatnonzero(scores > 0)
-            places = block * BLOCK + hit
+        bounds = weights @ self.most[numbers]
+        waiting = np.argsort(-bounds, kind="stable")
+        waiting = waiting[bounds[waiting] > 0]
+        best, where, floor, take = np.empty(0), np.empty(0, np.int64), 0.0, FIRST_BLOCKS
+        while len(waiting):
+            blocks, waiting = waiting[:take], waiting[take:]
+            scores = np.tensordot(weights, self.lists[self.rows[numbers][:, blocks]], 1)
+            at, place = np.nonzero(scores > max(0.0, floor - 1e-9))  # ties with the floor count
+            places, found = blocks[at] * BLOCK + place, scores[at, place]
             if leave_out is not None:
                 keep = self.ids[places] != leave_out
-                hit, places = hit[keep], places[keep]
-            best, where = np.concatenate([best, scores[hit]]), np.concatenate([where, places])
-            if len(best) > k:
-                top = np.lexsort((self.ids[where], -np.round(best, 12)))[:k]
-                best, where = best[top], where[top]
-            floor = best.min() if len(best) >= k else 0.0
-        order = np.lexsort((self.ids[where], -np.round(best, 12)))
-        return where[order], best[order]
+                places, found = places[keep], found[keep]
+            best, where = np.concatenate([best, found]), np.concatenate([where, places])
+            order = np.lexsort((self.ids[where], -np.round(best, 12)))[:k]
+            best, where = best[order], where[order]
+            if len(best) == k:
+                floor = best[-1]
+                waiting = waiting[bounds[waiting] >= floor - 1e-9]
+            take = MORE_BLOCKS
+        return where, best
 
 
 def votes(index, places, cosines, weights):
@@ -182,12 +188,22 @@ class ToxicityModel:
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", pa.list_(entry))])
 
         def score(batches):
-            count = Terms(self.vocabulary)
+            count, known = Terms(self.vocabulary), {}
+
+            def judge(text):
+                found = count(text)
+                key = found[0].tobytes(), found[1].tobytes()
+                if key not in known:  # many texts have the same few terms
+                    if len(known) > CACHE_RESULTS:
+                        known.clear()
+                    known[key] = self.score_text(found)
+                return known[key]
+
             for batch in batches:
                 if self.index is None:
                     out = [(self.none_rate, [])] * batch.num_rows
                 else:
-                    out = [self.score_text(count(text)) for text in batch.column("text").to_pylist()]
+                    out = [judge(text) for text in batch.column("text").to_pylist()]
                 yield batch_of(schema, (batch.column("doc_id"), [s for s, _ in out], [e for _, e in out]))
 
         return _texts(docs, id_column, text_column).mapInArrow(
@@ -231,7 +247,8 @@ def inverse_frequencies(docs: DataFrame, vocabulary, text_column="text") -> np.n
 
     sums = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text")).mapInArrow(frequencies, "term int, n long").groupBy("term")
     found = {row.term: row.n for row in sums.agg(F.sum("n").alias("n")).collect()}
-    return np.array([np.log((1 + found.get(-1, 0)) / (1 + found.get(i, 0))) + 1 for i in range(len(vocabulary))])
+    # Positive for every term, and near zero for one that nearly all documents have.
+    return np.array([np.log((2 + found.get(-1, 0)) / (1 + found.get(i, 0))) for i in range(len(vocabulary))])
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label_column="toxic", per_class=PER_CLASS,
