@@ -2,7 +2,7 @@
 
 A window without PARTITION BY pulls every row into one task. Here rows are cut
 into ordered buckets at approximate quantiles of the ordering value; only the
-per-bucket totals (at most ``buckets`` rows) go through a global window, and
+per-bucket totals (at most ``MAX_BUCKETS`` rows) go through a global window, and
 each bucket runs its own window in its own task. Equal values always share a
 bucket, so the result does not depend on where the cuts fall.
 """
@@ -11,13 +11,17 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 
+MAX_BUCKETS = 1000
+
+
 def running_totals_desc(df: DataFrame, order: str, totals: list[str], buckets: int = 0) -> DataFrame:
     """Add ``<name>_through`` = total of ``name`` over rows with order >= this row's.
 
     ``df`` must hold one row per value of ``order`` (aggregate first).
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # More buckets than this would not change the result, only the size of what is gathered and broadcast.
+    buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     inner = [i / buckets for i in range(1, buckets)]
     cuts = df.approxQuantile(order, inner, 0.25 / buckets) if inner else []
     # Bucketizer wants at least one cut; where it falls does not matter.
@@ -38,7 +42,7 @@ def running_totals_desc(df: DataFrame, order: str, totals: list[str], buckets: i
         )
     )
     inside = W.partitionBy("_bucket").orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
-    # At most `buckets` rows: small enough to broadcast whatever the data size.
+    # At most MAX_BUCKETS rows: small enough to broadcast whatever the data size.
     joined = bucketed.join(F.broadcast(offsets), "_bucket")
     return joined.select(
         *df.columns,

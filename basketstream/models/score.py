@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from basketstream import fixed_values as fixed
-from basketstream.operators.contract import feature_row_errors
+from basketstream.operators.contract import feature_row_errors, unexpected_columns
 from basketstream.operators.quality import QualityError
 
 ROLES = ("validation", "holdout")
@@ -24,16 +24,22 @@ def check_classes(purchase_model, timing_model) -> None:
 
 def check_features(model, expected: list[str], kind: str) -> None:
     if model.stages[0].getInputCols() != expected:
-        raise QualityError(f"{kind} model features do not match")
+        raise QualityError(f"The {kind.lower()} model was fitted on other features")
 
 
-def score(rows: DataFrame, purchase_model, timing_model) -> DataFrame:
+def score(rows: DataFrame, purchase_model, timing_model, keys=tuple(fixed.SNAPSHOT_KEYS)) -> DataFrame:
     """Purchase probability and three timing shares per row.
 
+    ``rows`` holds the features and, if wanted, some of the named ``keys``; any
+    other column is an error.
+
     The shares are conditional on a purchase happening; they are not multiplied
     with its probability. Rows that break an input rule fail the job.
     """
     check_classes(purchase_model, timing_model)
+    extra = unexpected_columns(rows, fixed.COUNT_FEATURES, fixed.RECENCY_FEATURES, keys)
+    if extra:
+        raise ValueError(f"The scoring input has columns that are neither features nor keys: {', '.join(extra)}")
     broken = feature_row_errors(rows, fixed.COUNT_FEATURES, fixed.RECENCY_FEATURES)
     names = [*fixed.COUNT_FEATURES, *fixed.RECENCY_FEATURES]
     problem = F.concat(F.lit("Invalid feature row: "), F.array_join(broken, ","))

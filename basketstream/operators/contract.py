@@ -15,6 +15,7 @@ from basketstream import fixed_values as fixed
 from basketstream.functions.checks import all_failures
 from basketstream.functions.ids import is_uuid
 from basketstream.functions.once import add_once
+from basketstream.sources.tables import table_of
 
 _DATE_TIME = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt]([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?"
@@ -132,7 +133,7 @@ def _source_rules(record, files):
     return [
         ("source_keys", record.not_object("source", ["dataset", "file", "row_number"])),
         ("source_dataset", record.not_text("source.dataset", _equals(fixed.DATASET))),
-        ("source_file", record.not_text("source.file", _one_of(files))),
+        ("source_file", record.not_text("source.file", lambda value: _one_of(files)(table_of(value)))),
         ("source_row_number", record.not_whole("source.row_number")),
     ]
 
@@ -193,11 +194,13 @@ def _product_errors(record) -> Column:
     ])
 
 
+_DLQ_KEYS = ["schema_version", "dlq_id", "original_topic", "source", "replay", "error", "raw_record"]
+
+
 def _dlq_errors(record) -> Column:
-    top = ["schema_version", "dlq_id", "original_topic", "source", "replay", "error", "raw_record"]
     stages = [fixed.STAGE_TRANSFORMATION, fixed.STAGE_CONTRACT]
     return record.judge([
-        ("keys", record.not_object("", top)),
+        ("keys", record.not_object("", _DLQ_KEYS)),
         ("schema_version", record.not_text("schema_version", _equals(fixed.SCHEMA_VERSION))),
         ("dlq_id", record.not_text("dlq_id", is_uuid)),
         ("original_topic", record.not_text("original_topic", _one_of([fixed.EVENT_TOPIC, fixed.PRODUCT_TOPIC]))),
@@ -282,6 +285,10 @@ def add_contract_errors(df: DataFrame, kind: str, json_text: Column, name: str)
     rules, shape, struct = CONTRACTS[kind]
     parsed = add_once(df, "_root", F.try_parse_json(json_text))
     shaped = F.schema_of_variant("_root").rlike(f"^{shape}$")
+    if kind == "dlq":
+        # The pattern of the open object would also take a key that follows it: the names are compared exactly.
+        names = F.array(*[F.lit(name) for name in sorted(_DLQ_KEYS)])
+        shaped = shaped & (F.array_sort(F.json_object_keys(json_text)) == names)
     read = add_once(parsed, "_doc", F.when(shaped, F.try_variant_get("_root", "$", struct)))
     by_value = rules(_ShapedRecord(F.col("_doc")))
     by_path = rules(_AnyRecord(F.col("_root")))
@@ -294,7 +301,7 @@ def feature_row_errors(df, counts, recencies):
     wanted, present = {*counts, *recencies}, set(df.columns)
     missing = sorted(wanted - present)
     if missing:
-        raise ValueError(f"Missing features: {', '.join(missing)}")
+        raise ValueError(f"The scoring input lacks {', '.join(missing)}")
     rules = []
     for name in [*counts, *recencies]:
         value = F.col(name).cast("double")

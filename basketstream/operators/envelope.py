@@ -15,14 +15,15 @@ from basketstream.functions.ids import dead_letter_id, record_id
 from basketstream.functions.once import add_once
 from basketstream.functions.times import utc_literal
 from basketstream.operators.contract import add_contract_errors
+from basketstream.sources.tables import table_of
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def event_type_of(source_file: Column) -> Column:
-    """Event type of a source file name; null for an unknown name."""
-    known = source_file.isin(list(fixed.EVENT_FILES.values()))
-    return F.when(known, F.regexp_replace(source_file, r"\.parquet$", ""))
+    """Event type of a source file, by its table; null for an unknown table."""
+    table = table_of(source_file)
+    return F.when(table.isin(list(fixed.EVENT_FILES.values())), F.regexp_replace(table, r"\.parquet$", ""))
 
 
 def one_of_kind(event_type: Column, sku, page, search) -> Column:

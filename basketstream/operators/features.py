@@ -9,7 +9,7 @@ from basketstream.fixed_values import (
     COUNT_FEATURES, LABEL_DAYS, RECENCY_FEATURES, SKU_EVENT_TYPES, SNAPSHOT_KEYS,
 )
 from basketstream.functions.times import as_date, hours_between, midnight, source_time
-from basketstream.operators.marts import of_type
+from basketstream.operators.marts import join_clients, of_type
 from basketstream.operators.quality import QualityError
 
 AS_OF = "feature_as_of_date_source"
@@ -65,7 +65,8 @@ def offline_snapshot(events: DataFrame, browsing: DataFrame | None = None) -> Da
 
     Product events are reduced to pair rows and browsing to client-day rows
     before anything is joined, so a hot client joins as its number of distinct
-    products, not as its number of events. Client totals come from the pair rows,
+    products, not as its number of events, and ``join_clients`` lets adaptive
+    execution split those. Client totals come from the pair rows,
     so the distinct-product count needs no separate distinct aggregation.
     """
     pairs = candidate_pairs(events)
@@ -76,7 +77,7 @@ def offline_snapshot(events: DataFrame, browsing: DataFrame | None = None) -> Da
     end = midnight(F.col(AS_OF))
     visits = F.coalesce("page_visits_previous_day", F.lit(0))
     searches = F.coalesce("search_previous_day", F.lit(0))
-    return pairs.join(clients, keys).select(
+    return join_clients(pairs, clients, "inner").select(
         *SNAPSHOT_KEYS,
         (F.col("_sku_events") + visits + searches).alias("events_previous_day"),
         visits.alias("page_visits_previous_day"),
@@ -132,7 +133,7 @@ def _daily_first_purchases(purchases: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def outcomes(purchases: DataFrame, as_of=None) -> DataFrame:
+def outcomes(purchases: DataFrame, as_of=None, candidates: DataFrame | None = None) -> DataFrame:
     """First purchase and purchase rows in the window that follows each as-of date.
 
     A window is exactly seven whole source days, so a purchase day belongs to
@@ -141,6 +142,8 @@ def outcomes(purchases: DataFrame, as_of=None) -> DataFrame:
     full key and a pair with very many purchases costs no more than any other.
     """
     daily = _daily_first_purchases(purchases, as_of)
+    if candidates is not None:
+        daily = daily.join(candidates.select("client_id", "sku"), ["client_id", "sku"], "left_semi")
     if as_of is not None:
         dated = daily.withColumn(AS_OF, F.lit(str(as_date(as_of))).cast("date"))
     else:
@@ -153,9 +156,19 @@ def outcomes(purchases: DataFrame, as_of=None) -> DataFrame:
 
 
 def labelled_pairs(snapshot: DataFrame, purchases: DataFrame, as_of=None) -> DataFrame:
-    """Snapshot keys with outcome columns, including the matching purchase rows."""
+    """Snapshot keys with outcome columns, including the matching purchase rows.
+
+    With ``as_of``, a snapshot row of another date fails the job: its window would
+    not have been looked at. Without it, purchases of pairs that are no candidates
+    on any date leave before they are repeated per date.
+    """
     keys = snapshot.select(*SNAPSHOT_KEYS)
-    return keys.join(outcomes(purchases, as_of), SNAPSHOT_KEYS, "left")
+    if as_of is not None:
+        wanted = F.lit(str(as_date(as_of))).cast("date")
+        wrong = F.raise_error(F.concat(F.lit("Snapshot row of another date: "), F.col(AS_OF).cast("string")))
+        keys = keys.withColumn(AS_OF, F.when(F.col(AS_OF) == wanted, F.col(AS_OF)).otherwise(wrong))
+        return keys.join(outcomes(purchases, as_of), SNAPSHOT_KEYS, "left")
+    return keys.join(outcomes(purchases, None, keys), SNAPSHOT_KEYS, "left")
 
 
 def purchase_labels(snapshot: DataFrame, purchases: DataFrame, as_of=None) -> DataFrame:
@@ -194,25 +207,29 @@ def invalid_candidate_purchases(snapshot: DataFrame, raw_purchases: DataFrame) -
     return hit.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("value"))
 
 
-def label_guard_counts(snapshot: DataFrame, raw_purchases: DataFrame) -> DataFrame:
-    """What the label guards look at: rows, as-of dates, repeated pairs, bad times."""
+def label_guard_counts(snapshot: DataFrame, raw_purchases: DataFrame, as_of=None) -> DataFrame:
+    """What the label guards look at: rows, as-of dates, repeated pairs, rows of a date not asked for, bad times."""
+    other = F.lit(False) if as_of is None else ~F.col(AS_OF).eqNullSafe(F.lit(str(as_date(as_of))).cast("date"))
     per_pair = snapshot.groupBy(*SNAPSHOT_KEYS).agg(F.count("*").alias("_rows"))
     shape = per_pair.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("feature_rows"),
         F.count_distinct(AS_OF).alias("as_of_dates"),
         F.count_if(F.col("_rows") > 1).alias("duplicate_pairs"),
+        F.coalesce(F.sum(F.when(other, F.col("_rows"))), F.lit(0)).alias("rows_of_other_dates"),
     )
     bad = invalid_candidate_purchases(snapshot, raw_purchases)
     return wide_to_long(shape).unionAll(long_rows({"invalid_candidate_timestamps": bad}))
 
 
 def check_label_guards(counts: DataFrame, one_date: bool = True) -> None:
-    """Raise on the first guard that fails; ``counts`` has four rows."""
+    """Raise on the first guard that fails; ``counts`` has five rows."""
     seen = {row["measure"]: row["value"] for row in counts.collect()}
     if not seen["feature_rows"]:
         raise QualityError("Snapshot contains no rows")
     if one_date and seen["as_of_dates"] != 1:
         raise QualityError("Snapshot must hold exactly one as-of date")
+    if seen["rows_of_other_dates"]:
+        raise QualityError(f"{seen['rows_of_other_dates']} snapshot rows are of another date than the labels")
     if seen["duplicate_pairs"]:
         raise QualityError("Snapshot repeats client-product pairs")
     if seen["invalid_candidate_timestamps"]:
@@ -221,7 +238,7 @@ def check_label_guards(counts: DataFrame, one_date: bool = True) -> None:
 
 def build_labels(snapshot: DataFrame, raw_purchases: DataFrame, as_of=None) -> DataFrame:
     """Guarded label build over raw purchase rows (time as text)."""
-    check_label_guards(label_guard_counts(snapshot, raw_purchases), one_date=as_of is not None)
+    check_label_guards(label_guard_counts(snapshot, raw_purchases, as_of), one_date=as_of is not None)
     parsed = raw_purchases.withColumn("event_time", source_time(F.col("timestamp")))
     return purchase_labels(snapshot, parsed, as_of)
 
@@ -230,7 +247,7 @@ def write_once(df: DataFrame, path: str, by_date: bool = False) -> None:
     """Write a table that must not exist yet, sorted by key within its files."""
     writer = df.sortWithinPartitions(*SNAPSHOT_KEYS).write.mode("errorifexists")
     if by_date:
-        # Spread each date over tasks by client, then split files by date.
-        spread = df.repartition(AS_OF, F.pmod(F.xxhash64("client_id", "sku"), F.lit(32)))
+        # Each date goes to as many tasks as its size asks for; a date never shares a file.
+        spread = df.hint("rebalance", AS_OF)
         writer = spread.sortWithinPartitions(*SNAPSHOT_KEYS).write.mode("errorifexists").partitionBy(AS_OF)
     writer.option("compression", "snappy").parquet(path)

@@ -85,7 +85,7 @@ def feature_snapshot(candidates: DataFrame, activity: DataFrame) -> DataFrame:
     }
     pairs = candidates.withColumnsRenamed(per_sku)
     clients = activity.withColumnsRenamed(per_client)
-    return pairs.join(clients, ["client_id", "feature_as_of_date_source"], "left").select(
+    return join_clients(pairs, clients, "left").select(
         "feature_as_of_date_source",
         "client_id",
         "sku",
@@ -99,6 +99,20 @@ def feature_snapshot(candidates: DataFrame, activity: DataFrame) -> DataFrame:
     )
 
 
+def join_clients(pairs: DataFrame, clients: DataFrame, how: str) -> DataFrame:
+    """Pair rows with the one row of their client and date.
+
+    A client with very many products is one key on the left. Adaptive execution
+    splits such a partition only if both inputs are shuffled for this join, while
+    the client side usually comes from an aggregate that is already dealt out by
+    the same two columns. A third join key that follows from them, the client's
+    hash, asks for a new shuffle of both.
+    """
+    keys, hashed = ["feature_as_of_date_source", "client_id"], F.hash("client_id")
+    joined = pairs.withColumn("_client_hash", hashed).join(clients.withColumn("_client_hash", hashed), [*keys, "_client_hash"], how)
+    return joined.drop("_client_hash")
+
+
 def feature_snapshot_all(stg: DataFrame) -> DataFrame:
     return feature_snapshot(client_product_candidates(stg), client_prior_day(stg))
 

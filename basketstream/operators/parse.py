@@ -9,6 +9,7 @@ from basketstream.functions.ids import is_uuid
 from basketstream.functions.once import add_once
 from basketstream.functions.times import published_time, source_time
 from basketstream.operators.contract import add_contract_errors
+from basketstream.sources.tables import table_of
 
 _MESSAGE = ["message_key", "raw_json", "kafka_topic", "kafka_partition", "kafka_offset",
             "kafka_timestamp", "kafka_timestamp_type"]
@@ -72,7 +73,7 @@ def event_rules() -> list:
         ("missing_url_id", (kind == "page_visit") & _field("payload.url_id").isNull()),
         ("missing_query_vector", (kind == "search_query") & _field("payload.query_vector_raw").isNull()),
         ("invalid_source_dataset", _not_equal("source.dataset", fixed.DATASET)),
-        ("invalid_source_file", null_or(file, ~file.isin(list(fixed.EVENT_FILES.values())))),
+        ("invalid_source_file", null_or(file, ~table_of(file).isin(list(fixed.EVENT_FILES.values())))),
         *_common_tail(),
     ]
 
@@ -90,7 +91,7 @@ def product_rules() -> list:
         ("invalid_price_bucket", null_or(price, ~price.between(0, fixed.MAX_PRICE_BUCKET))),
         ("invalid_name_vector", null_or(name, ~name.rlike(fixed.VECTOR_PATTERN))),
         ("invalid_source_dataset", _not_equal("source.dataset", fixed.DATASET)),
-        ("invalid_source_file", _not_equal("source.file", fixed.PRODUCT_FILE)),
+        ("invalid_source_file", null_or(_field("source.file"), table_of(_field("source.file")) != fixed.PRODUCT_FILE)),
         *_common_tail(),
     ]
 

@@ -30,6 +30,25 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.unpivot([], columns, "column_name", "null_rows")
 
 
+def key_checks(df: DataFrame, key: str, unique: str, nulls: dict[str, str]) -> DataFrame:
+    """Uniqueness of ``key`` and nulls of columns in one pass, as rows (check_name, offending_rows).
+
+    ``unique`` names the uniqueness check, ``nulls`` maps check names to columns.
+    Rows are reduced to one per key first, so a key with very many rows is cheap.
+    """
+    per_key = df.groupBy(key).agg(
+        F.count("*").alias("_rows"), *[F.count_if(F.col(column).isNull()).alias(name) for name, column in nulls.items()])
+    totals = per_key.agg(
+        F.count_if(F.col("_rows") > 1).alias(unique), *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in nulls])
+    return totals.unpivot([], totals.columns, "check_name", "offending_rows")
+
+
+def null_checks(df: DataFrame, nulls: dict[str, str]) -> DataFrame:
+    """Nulls of columns in one pass, as rows (check_name, offending_rows)."""
+    counts = df.agg(*[F.count_if(F.col(column).isNull()).alias(name) for name, column in nulls.items()])
+    return counts.unpivot([], counts.columns, "check_name", "offending_rows")
+
+
 def total_mismatch(staged: DataFrame, parts: DataFrame, measure: str) -> DataFrame:
     """One row when the parts' measure does not add up to the staged row count.
 
@@ -93,13 +112,13 @@ def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame, key: str) -> D
     return among.unionByName(taken).unionByName(old)
 
 
-def status(checks: dict[str, DataFrame]) -> DataFrame:
-    """One row per check: how many rows offend."""
+def status(checks: dict[str, DataFrame], *counted: DataFrame) -> DataFrame:
+    """One row per check: how many rows offend. ``counted`` are checks that have their counts already."""
     rows = [
         bad.agg(F.count("*").alias("offending_rows")).select(F.lit(name).alias("check_name"), "offending_rows")
         for name, bad in checks.items()
     ]
-    return reduce(DataFrame.unionAll, rows)
+    return reduce(DataFrame.unionByName, [*counted, *rows])
 
 
 def require_zero(counts: DataFrame, name: str = "check_name", value: str = "offending_rows") -> None:

@@ -30,30 +30,29 @@ def mart_frames(landing_events: DataFrame, landing_products: DataFrame) -> dict[
     }
 
 
-def mart_checks(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every data-quality check over the marts, as offending rows per check."""
+def mart_checks(frames: dict[str, DataFrame]) -> DataFrame:
+    """Every data-quality check over the marts with its offending rows; one pass for all checks of a table's columns."""
     staged, products = frames["stg_events"], frames["stg_products"]
     daily, activity = frames["daily_event_activity"], frames["client_prior_day"]
     candidates, snapshot = frames["client_product_candidates"], frames["feature_snapshot"]
-    return {
-        "event_id_not_null": quality.null_rows(staged, "event_id"),
-        "event_id_unique": quality.duplicate_keys(staged, ["event_id"]),
-        "client_id_not_null": quality.null_rows(staged, "client_id"),
-        "record_id_not_null": quality.null_rows(products, "record_id"),
-        "record_id_unique": quality.duplicate_keys(products, ["record_id"]),
-        "product_sku_not_null": quality.null_rows(products, "sku"),
-        "event_date_not_null": quality.null_rows(daily, "event_date_source"),
-        "event_type_not_null": quality.null_rows(daily, "event_type"),
-        "event_count_not_null": quality.null_rows(daily, "event_count"),
-        "daily_grain": quality.duplicate_keys(daily, ["event_date_source", "event_type"]),
-        "prior_day_grain": quality.duplicate_keys(activity, ["client_id", features.AS_OF]),
-        "candidate_grain": quality.duplicate_keys(
-            candidates, ["client_id", "sku", features.AS_OF], also_null=True
-        ),
-        "daily_totals": quality.total_mismatch(staged, daily, "event_count"),
-        "prior_day_totals": quality.total_mismatch(staged, activity, "events_previous_day"),
-        "snapshot_integrity": quality.snapshot_integrity(candidates, snapshot),
-    }
+    return quality.status(
+        {
+            "daily_grain": quality.duplicate_keys(daily, ["event_date_source", "event_type"]),
+            "prior_day_grain": quality.duplicate_keys(activity, ["client_id", features.AS_OF]),
+            "candidate_grain": quality.duplicate_keys(
+                candidates, ["client_id", "sku", features.AS_OF], also_null=True
+            ),
+            "daily_totals": quality.total_mismatch(staged, daily, "event_count"),
+            "prior_day_totals": quality.total_mismatch(staged, activity, "events_previous_day"),
+            "snapshot_integrity": quality.snapshot_integrity(candidates, snapshot),
+        },
+        quality.key_checks(staged, "event_id", "event_id_unique",
+                           {"event_id_not_null": "event_id", "client_id_not_null": "client_id"}),
+        quality.key_checks(products, "record_id", "record_id_unique",
+                           {"record_id_not_null": "record_id", "product_sku_not_null": "sku"}),
+        quality.null_checks(daily, {"event_date_not_null": "event_date_source", "event_type_not_null": "event_type",
+                                    "event_count_not_null": "event_count"}),
+    )
 
 
 def bronze_to_analytics(spark, bronze_root: str, warehouse: Warehouse, max_new_files: int | None = None) -> dict:
@@ -80,7 +79,7 @@ def bronze_to_analytics(spark, bronze_root: str, warehouse: Warehouse, max_new_f
                 frames["client_product_candidates"], frames["client_prior_day"]
             )
     # Fifteen small rows, evaluated once: the caller gets the counts that were judged.
-    checks = cut_lineage(spark, quality.status(mart_checks(frames)), "checks")
+    checks = cut_lineage(spark, mart_checks(frames), "checks")
     quality.require_zero(checks)
     return {"loads": done, "marts": frames, "checks": checks}
 

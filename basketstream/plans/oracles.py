@@ -299,7 +299,8 @@ def _envelopes():
             # A letter about an unknown file breaks the dead-letter contract by naming it.
             "error_message, CASE WHEN k = 7 THEN 1 ELSE 0 END AS broken_rules, raw_timestamp FROM l", DAMAGED_RAW, LETTERS),
         "contract_dlq": with_events(
-            " SELECT source_row_number, CASE WHEN k = 7 THEN 'source_file' ELSE '' END AS broken_rules FROM l",
+            " SELECT source_row_number, concat_ws(',', CASE WHEN source_row_number % 5 = 0 THEN 'keys' END, "
+            "CASE WHEN k = 7 THEN 'source_file' END) AS broken_rules FROM l",
             DAMAGED_RAW, LETTERS),
     }
 
@@ -328,6 +329,8 @@ def _contracts():
         "events_bronze": BRONZE,
         "stream_bronze": BRONZE,
         "incremental_load": BRONZE,
+        "scan_multi_file": with_events(
+            " SELECT event_type, count(*) AS total_rows, count(*) AS distinct_ids, count(*) AS landed_rows FROM e GROUP BY event_type"),
         "products_bronze": with_products(f" SELECT {PRODUCT_COLUMNS} FROM j WHERE validation_error IS NULL", JUDGED_PRODUCTS),
         "incremental_ledger": with_products(
             " SELECT count(*) AS total_rows, count(*) AS inserted_rows FROM j WHERE validation_error IS NULL", JUDGED_PRODUCTS),
@@ -513,7 +516,9 @@ def _features():
         "purchase_labels": with_events(labels + f" WHERE {ON_DAY}", *LABELLED),
         "labels_by_date": with_events(labels, *LABELLED),
         "label_summary": with_events(" " + long(label_rows, day_labels), *LABELLED),
-        "label_guard_counts": with_events(f" {guards} UNION ALL {bad['all']}", *SNAP),
+        "label_guard_counts": with_events(
+            f" {guards} UNION ALL SELECT 'rows_of_other_dates', count(*) + count(*) FILTER (sku = 5) FROM snap WHERE NOT ({ON_DAY}) "
+            f"UNION ALL {bad['all']}", *SNAP),
         "snapshot_from_orders": ",".join([ORDER_EVENTS, *SNAP]) + snapshot,
         "labels_from_orders": ",".join([ORDER_EVENTS, *LABELLED]) + labels,
         "profile_tables": "WITH " + EVENTS + "," + PRODUCTS + " " + " UNION ALL ".join(prof),
@@ -611,15 +616,54 @@ best AS (SELECT label FROM scored ORDER BY score DESC, feature_as_of_date_source
     }
 
 
+def _checks():
+    """The fifteen mart checks, counted from the tables: all zero on the loaded rows, some not on damaged marts."""
+    valid = "valid AS (SELECT * FROM j WHERE validation_error IS NULL)"
+    daily = "SELECT CAST(event_time AS DATE) AS day, event_type, count(*) AS n FROM {rows} GROUP BY ALL"
+    pairs = ("SELECT client_id, sku, CAST(event_time AS DATE) AS day, count(*) AS n FROM {rows} "
+             "WHERE sku IS NOT NULL AND client_id IS NOT NULL GROUP BY ALL")
+
+    def counts(rows, products, more, event_id="event_id"):
+        d, p = daily.format(rows=rows), pairs.format(rows=rows)
+        found = {
+            "event_id_not_null": f"SELECT count(*) FROM {rows} WHERE {event_id} IS NULL",
+            "event_id_unique": f"SELECT count(*) FROM (SELECT 1 FROM {rows} GROUP BY {event_id} HAVING count(*) > 1)",
+            "client_id_not_null": f"SELECT count(*) FROM {rows} WHERE client_id IS NULL",
+            "record_id_not_null": f"SELECT count(*) FROM {products} WHERE sku IS NULL",
+            "record_id_unique": f"SELECT count(*) FROM (SELECT 1 FROM {products} GROUP BY sku HAVING count(*) > 1)",
+            "product_sku_not_null": f"SELECT count(*) FROM {products} WHERE sku IS NULL",
+            "event_date_not_null": f"SELECT count(*) FROM ({d}) WHERE day IS NULL",
+            "event_type_not_null": f"SELECT count(*) FROM ({d}) WHERE event_type IS NULL",
+            "event_count_not_null": f"SELECT count(*) FROM ({d}) WHERE n IS NULL",
+            "daily_grain": f"SELECT count(*) FROM (SELECT 1 FROM ({d}) GROUP BY day, event_type HAVING count(*) > 1)",
+            "prior_day_grain": f"SELECT count(*) FROM (SELECT 1 FROM (SELECT client_id, CAST(event_time AS DATE) AS day FROM {rows} "
+                               "GROUP BY ALL) GROUP BY client_id, day HAVING count(*) > 1)",
+            "candidate_grain": f"SELECT count(*) FROM (SELECT 1 FROM ({p}) GROUP BY client_id, sku, day HAVING count(*) > 1)",
+            "daily_totals": f"SELECT CAST((SELECT sum(n) FROM ({d})) <> (SELECT count(*) FROM {rows}) AS BIGINT)",
+            "prior_day_totals": f"SELECT count(*) FROM {rows} WHERE event_time IS NULL",
+            "snapshot_integrity": f"SELECT count(*) FROM ({p}) WHERE n < 1",
+            **more,
+        }
+        return " UNION ALL ".join(f"SELECT '{name}' AS check_name, CAST(({query}) AS BIGINT) AS offending_rows" for name, query in found.items())
+
+    broken = {
+        "client_id_not_null": "SELECT count(*) FROM e WHERE sku = 1",
+        "daily_grain": "SELECT count(DISTINCT CAST(event_time AS DATE)) FROM e WHERE event_type = 'product_buy'",
+        "daily_totals": "SELECT CAST(count(*) > 0 AS BIGINT) FROM e WHERE event_type = 'product_buy'",
+        "snapshot_integrity": f"SELECT count(*) FROM ({pairs.format(rows='e')}) WHERE sku = 6",
+    }
+    return {
+        "end_to_end_status": with_events(" " + counts("valid", "pv", {}), JUDGED, valid, *_valid_products()),
+        "end_to_end_status_broken": with_events(" " + counts("e", "pv", broken, "(source_file || ':' || source_row_number)"), *_valid_products()),
+    }
+
+
+def _valid_products():
+    return ["pv AS (SELECT p_partkey AS sku FROM part)"]
+
+
 def oracle_sql() -> dict[str, str]:
-    checks = [
-        "event_id_not_null", "event_id_unique", "client_id_not_null", "record_id_not_null", "record_id_unique",
-        "product_sku_not_null", "event_date_not_null", "event_type_not_null", "event_count_not_null", "daily_grain",
-        "prior_day_grain", "candidate_grain", "daily_totals", "prior_day_totals", "snapshot_integrity",
-    ]
-    values = ", ".join(f"('{name}')" for name in checks)
-    sql = {**_scans(), **_envelopes(), **_contracts(), **_landing(), **_marts(), **_features(), **_models()}
-    sql["end_to_end_status"] = f"SELECT check_name, CAST(0 AS BIGINT) AS offending_rows FROM (VALUES {values}) v(check_name)"
+    sql = {**_scans(), **_envelopes(), **_contracts(), **_landing(), **_marts(), **_features(), **_models(), **_checks()}
     unknown = set(sql) - set(REGISTRY)
     if unknown:
         raise KeyError(f"Oracles without a query: {sorted(unknown)}")

@@ -50,6 +50,23 @@ def scan_numbered(spark, sf):
     return scanned.select("source_file", "source_row_number", "event_id", "user_id", "event_type")
 
 
+@query
+def scan_multi_file(spark, sf):
+    """The given events as five raw tables of several files each: every row keeps an identity of its own."""
+    root, scans = scratch_dir(spark, "raw"), {}
+    for kind, rows in tables.raw_tables(spark, sf).items():
+        path = os.path.join(root, fixed.EVENT_FILES[kind])
+        rows.drop("source_file", "source_row_number").repartition(3).write.parquet(path)
+        scans[kind] = raw_sources.scan_source(spark, path)
+    sent = envelope.replay(raw_sources.all_events(scans), tables.RUN_ID, feeds.PUBLISHED).where("error_stage IS NULL")
+    event = F.from_json("value", "event_id string, event_type string")
+    ids = sent.select(event.alias("event"), "source_file", "source_row_number").select("event.*", "source_file", "source_row_number")
+    nothing = ids.where("1 = 0").select("event_id")
+    landed = landing.insert_absent(nothing, ids, "event_id", ["source_file", "source_row_number"])
+    return ids.groupBy("event_type").agg(F.count("*").alias("total_rows"), F.count_distinct("event_id").alias("distinct_ids")).join(
+        landed.groupBy("event_type").agg(F.count("*").alias("landed_rows")), "event_type")
+
+
 @query
 def scan_window(spark, sf):
     matches = raw_sources.scan_window(tables.raw_events(spark, sf), *WINDOW)
@@ -184,7 +201,10 @@ def contract_products(spark, sf):
 
 @query
 def contract_dlq(spark, sf):
+    """Dead letters; every fifth one has a key too many, an object right behind the open record."""
     letters = envelope.dead_letters(_outcome(spark, sf))
+    more = F.concat(F.substring("value", F.lit(1), F.length("value") - 1), F.lit(',"reason":{"x":1}}'))
+    letters = letters.withColumn("value", F.when(F.col("source_row_number") % 5 == 0, more).otherwise(F.col("value")))
     judged = contract.add_contract_errors(letters, "dlq", F.col("value"), "broken")
     return judged.select("source_row_number", F.array_join("broken", ",").alias("broken_rules"))
 
@@ -444,6 +464,19 @@ def end_to_end_status(spark, sf):
     return jobs.bronze_to_analytics(spark, _bronze_folder(spark, sf), store)["checks"]
 
 
+@query
+def end_to_end_status_broken(spark, sf):
+    """The same checks over damaged marts: clients unnamed, a type's days twice, a product lost from the snapshot."""
+    frames = jobs.mart_frames(tables.landing_events(spark, sf), tables.landing_products(spark, sf))
+    staged, daily, snapshot = frames["stg_events"], frames["daily_event_activity"], frames["feature_snapshot"]
+    return jobs.mart_checks({
+        **frames,
+        "stg_events": staged.withColumn("client_id", F.when(~F.col("sku").eqNullSafe(F.lit(1)), F.col("client_id"))),
+        "daily_event_activity": daily.unionByName(daily.where("event_type = 'product_buy'")),
+        "feature_snapshot": snapshot.where("sku <> 6"),
+    })
+
+
 # Marts
 
 
@@ -589,16 +622,13 @@ def dq_snapshot_integrity_broken(spark, sf):
 @query
 def dq_not_null_unique(spark, sf):
     staged, products = _staged(spark, sf), stg_products(spark, sf)
-    return quality.status({
-        "event_id_not_null": quality.null_rows(staged, "event_id"),
-        "event_id_unique": quality.duplicate_keys(staged, ["event_id"]),
-        "client_id_not_null": quality.null_rows(staged, "client_id"),
-        "record_id_not_null": quality.null_rows(products, "record_id"),
-        "record_id_unique": quality.duplicate_keys(products, ["record_id"]),
-        "product_sku_not_null": quality.null_rows(products, "sku"),
-        "event_sku_not_null": quality.null_rows(staged, "sku"),
-        "redelivered_event_id_unique": quality.duplicate_keys(_redelivered_landing(spark, sf), ["event_id"]),
-    })
+    return quality.status(
+        {"redelivered_event_id_unique": quality.duplicate_keys(_redelivered_landing(spark, sf), ["event_id"])},
+        quality.key_checks(staged, "event_id", "event_id_unique", {
+            "event_id_not_null": "event_id", "client_id_not_null": "client_id", "event_sku_not_null": "sku"}),
+        quality.key_checks(products, "record_id", "record_id_unique", {
+            "record_id_not_null": "record_id", "product_sku_not_null": "sku"}),
+    )
 
 
 @query
@@ -677,7 +707,8 @@ def _raw_purchases(spark, sf):
 
 @query
 def purchase_labels(spark, sf):
-    return _rounded(features.purchase_labels(_pairs(spark, sf, ACTIVITY_DAY), _purchases(spark, sf), AS_OF))
+    raw = tables.raw_events(spark, sf, ["product_buy"])
+    return _rounded(features.build_labels(_pairs(spark, sf, ACTIVITY_DAY), raw, AS_OF))
 
 
 @query
@@ -692,9 +723,10 @@ def label_summary(spark, sf):
 
 @query
 def label_guard_counts(spark, sf):
+    """Over all dates, with repeated pairs; the date asked for is that of a few rows only."""
     snapshot = _pairs(spark, sf)
     twice = snapshot.unionByName(snapshot.where("sku = 5"))
-    return features.label_guard_counts(twice, _raw_purchases(spark, sf))
+    return features.label_guard_counts(twice, _raw_purchases(spark, sf), AS_OF)
 
 
 @query
@@ -942,7 +974,7 @@ def _split(spark, sf, recency=True):
 def purchase_model_eval(spark, sf):
     train, held = _split(spark, sf)
     model = training.fit_purchase(train, held)
-    return metrics.ranking_metrics(training.purchase_scores(model, held))
+    return metrics.ranking_metrics(cut_lineage(spark, training.purchase_scores(model, held), "scores"))
 
 
 @query

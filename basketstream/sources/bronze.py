@@ -5,6 +5,7 @@ import os
 from pyspark.sql import DataFrame, functions as F
 
 from basketstream.schemas import BRONZE_COLUMNS, names
+from basketstream.sources.tables import relative_path
 
 SOURCES = list(BRONZE_COLUMNS)
 _RECORD_ORDER = ["kafka_topic", "kafka_partition", "kafka_offset"]
@@ -33,19 +34,13 @@ def scan_bronze(spark, root: str, source: str, limit: int | None = None) -> Data
     return df.orderBy(*_RECORD_ORDER).limit(limit)
 
 
-def _relative(path, folder):
-    """Path below ``folder``; both as the reader reports them, without a scheme."""
-    plain = F.regexp_replace(F.url_decode(path), "^[a-z0-9]+:/+", "/")
-    return F.substring(plain, F.lit(len(folder) + 2), F.length(plain))
-
-
 _BRONZE_FILES = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
 
 
 def _named(files: DataFrame, source: str, folder: str) -> DataFrame:
     return files.withColumns({
         "source_name": F.lit(source),
-        "relative_path": _relative(F.col("path"), os.path.normpath(folder.split("://")[-1])),
+        "relative_path": relative_path(F.col("path"), os.path.normpath(folder.split("://")[-1])),
     })
 
 

@@ -4,28 +4,50 @@ A record is identified by its file and its physical row in that file, so scans
 carry ``source_file`` and ``source_row_number``.
 """
 
+import os
+
 from pyspark.sql import DataFrame, functions as F
 
 from basketstream.fixed_values import EVENT_FILES, PRODUCT_FILE
 from basketstream.functions.times import check_window, day_bounds, source_time_or_fail
+from basketstream.sources.tables import relative_path
 
 
 def scan_source(spark, path: str, source_file: str | None = None, limit: int | None = None) -> DataFrame:
     """Scan with zero-based physical row numbers, optionally only the first ``limit`` rows.
 
-    The row number comes from the reader, so no sort and no shuffle is needed.
-    With several physical files the row number counts within each file and
-    ``source_file`` must stay the physical name.
+    The row number comes from the reader, so no sort and no shuffle is needed. A
+    table of one file is named by ``source_file``, or by the end of its path. A
+    table of several files numbers the rows of each file, so a row's source file
+    is then the table's name and the file's path below the table, such as
+    ``add_to_cart.parquet/part-00003.parquet``: ids stay apart, and the event type
+    still follows from the table. A fixed ``source_file`` for several files would
+    give several rows one id and is an error.
     """
     df = spark.read.parquet(path)
-    numbered = df.select(
-        (F.lit(source_file) if source_file else F.col("_metadata.file_name")).alias("source_file"),
-        F.col("_metadata.row_index").alias("source_row_number"),
-        *df.columns,
-    )
-    if limit is not None:
-        numbered = numbered.where(F.col("source_row_number") < limit)
-    return numbered
+    folder = os.path.normpath(path.split("://")[-1])
+    table = os.path.basename(folder)
+    if len(df.inputFiles()) > 1:
+        if source_file:
+            raise ValueError(f"{path} has several files; one name for all would repeat row identities")
+        own = F.concat(F.lit(table + "/"), relative_path(F.col("_metadata.file_path"), folder))
+    else:
+        own = F.lit(source_file or table)
+    numbered = df.select(own.alias("source_file"), F.col("_metadata.row_index").alias("source_row_number"), *df.columns)
+    if limit is None:
+        return numbered
+    if len(df.inputFiles()) > 1:
+        return numbered.orderBy("source_file", "source_row_number").limit(limit)
+    return numbered.where(F.col("source_row_number") < limit)
+
+
+def scan_request(spark, path: str, source_file: str, start: str | None = None, end: str | None = None,
+                 limit: int | None = None) -> DataFrame:
+    """A replay's scan: the first ``limit`` rows of a file, or the first ``limit`` matches of a time window."""
+    check_window_request(source_file, start, end)
+    if start is None:
+        return scan_source(spark, path, source_file, limit)
+    return scan_window(scan_source(spark, path, source_file), start, end, limit)
 
 
 def scan_window(df: DataFrame, start: str, end: str, max_selected: int | None = None) -> DataFrame:
@@ -76,14 +98,3 @@ def all_events(raw: dict[str, DataFrame]) -> DataFrame:
         typed = df.withColumn("event_type", F.lit(event_type))
         merged = typed if merged is None else merged.unionByName(typed, allowMissingColumns=True)
     return merged
-
-
-def load_day(features: DataFrame, labels: DataFrame, as_of, feature_columns) -> tuple[DataFrame, DataFrame]:
-    """Feature and label rows of one as-of date; the filter prunes table partitions."""
-    keys = ["feature_as_of_date_source", "client_id", "sku"]
-    day = F.lit(str(as_of)).cast("date")
-    chosen = F.col("feature_as_of_date_source") == day
-    return (
-        features.where(chosen).select(*keys, *feature_columns),
-        labels.where(chosen).select(*keys, "purchase_observed_within_7d", "hours_to_first_purchase"),
-    )

@@ -1,7 +1,7 @@
-"""Reads of tables that may not exist yet."""
+"""Paths of table files, and reads of tables that may not exist yet."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def read_or_empty(spark, path: str, schema: str) -> DataFrame:
@@ -12,3 +12,14 @@ def read_or_empty(spark, path: str, schema: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def relative_path(path: Column, folder: str) -> Column:
+    """File path below ``folder``; both as the reader reports them, without a scheme."""
+    plain = F.regexp_replace(F.url_decode(path), "^[a-z0-9]+:/+", "/")
+    return F.substring(plain, F.lit(len(folder) + 2), F.length(plain))
+
+
+def table_of(source_file: Column) -> Column:
+    """Logical table of a source file: ``a.parquet`` for itself and for ``a.parquet/any/part.parquet``."""
+    return F.split_part(source_file, F.lit("/"), F.lit(1))

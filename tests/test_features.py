@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketstream import fixed_values as fixed
+from basketstream.session import prepare
 from basketstream.operators import features, marts, profile, quality
 from basketstream.operators.quality import QualityError
 
@@ -113,6 +114,32 @@ def test_label_guards(spark):
     with pytest.raises(QualityError, match="exactly one"):
         features.build_labels(snapshot.unionAll(other), raw_purchases(spark, bought), day)
     assert features.build_labels(snapshot.unionAll(other), raw_purchases(spark, bought)).count() == 6
+    # Labels of another date than the snapshot's are refused, by the guard and by the plan itself.
+    with pytest.raises(QualityError, match="of another date"):
+        features.build_labels(snapshot, raw_purchases(spark, bought), date(2022, 9, 3))
+    with pytest.raises(Exception, match="Snapshot row of another date"):
+        features.purchase_labels(snapshot, bought, date(2022, 9, 3)).collect()
+
+
+def test_hot_client_is_split(spark):
+    """One client holds most pairs: adaptive execution splits its partition of the snapshot join."""
+    rows = spark.range(60000).select(
+        F.lit("add_to_cart").alias("event_type"), F.when(F.col("id") < 55000, 1).otherwise(F.col("id")).alias("client_id"),
+        F.col("id").alias("sku"), F.lit("2022-09-01 10:00:00").cast("timestamp_ntz").alias("event_time"))
+    browsing = rows.where("sku % 10 = 0").withColumn("event_type", F.lit("page_visit")).withColumn("sku", F.lit(None).cast("bigint"))
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        snapshot = features.offline_snapshot(rows.unionByName(browsing).repartition(8))
+        assert len(snapshot.collect()) == 60000
+        assert "skew=true" in snapshot._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+        prepare(spark)
 
 
 def test_write_once(spark, tmp_path):

@@ -207,7 +207,7 @@ def test_store_load_and_score(spark, tmp_path):
         scoring.save_run(spark, root, "r3", "purchase", purchase, {}, {}, role="production")
     runs = {r["run_id"]: (r["evaluation_role"], r["params"]["C"]) for r in scoring.model_runs(spark, root).collect()}
     assert runs == {"r1": ("validation", "1.0"), "r2": ("holdout", "0.01")}
-    with pytest.raises(QualityError, match="features do not match"):
+    with pytest.raises(QualityError, match="fitted on other features"):
         scoring.load_models(paths[1], paths[1])
     models = scoring.load_models(*paths)
     inputs = frame.select("client_id", *NAMES)
@@ -219,5 +219,7 @@ def test_store_load_and_score(spark, tmp_path):
     assert [r[1] for r in rows] == pytest.approx([r["score"] for r in same])
     with pytest.raises(Exception, match="search_previous_day_negative"):
         scoring.score(inputs.withColumn("search_previous_day", F.lit(-1)), *models).collect()
+    with pytest.raises(ValueError, match="neither features nor keys: client_age"):
+        scoring.score(inputs.withColumn("client_age", F.lit(30)), *models)
     with pytest.raises(QualityError, match="Unexpected model classes"):
         scoring.score(inputs, purchase, purchase)

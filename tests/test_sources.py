@@ -1,5 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
+from basketstream.functions.ids import record_id
+from basketstream.operators.envelope import event_type_of
+from basketstream.operators.landing import insert_absent
 from basketstream.sources import raw
 
 STAMPS = ["11:59:59", "12:00:00", "12:02:00", "12:05:00", "12:04:59"]
@@ -62,3 +66,24 @@ def test_union_of_typed_tables(spark):
     assert [(r["event_type"], r["sku"], r["url"]) for r in rows] == [("product_buy", 5, None), ("page_visit", None, 7)]
     with pytest.raises(ValueError):
         raw.all_events({"wishlist": sku})
+
+
+def test_several_files_keep_rows_apart(spark, tmp_path):
+    path = str(tmp_path / "add_to_cart.parquet")
+    rows = spark.range(100).select(F.col("id").alias("client_id"), F.lit("2022-09-01 10:00:00").alias("timestamp"), F.lit(5).cast("bigint").alias("sku"))
+    rows.repartition(4).write.parquet(path)
+    scanned = raw.scan_source(spark, path)
+    named = scanned.withColumn("event_id", record_id(F.col("source_file"), F.col("source_row_number")))
+    assert named.select("event_id").distinct().count() == 100
+    assert named.select(event_type_of(F.col("source_file")).alias("t")).distinct().collect() == [("add_to_cart",)]
+    assert insert_absent(named.where("1 = 0").select("event_id"), named, "event_id", ["source_row_number"]).count() == 100
+    assert raw.scan_source(spark, path, limit=7).count() == 7
+    with pytest.raises(ValueError, match="several files"):
+        raw.scan_source(spark, path, "add_to_cart.parquet")
+
+
+def test_scan_request(spark, source):
+    assert numbers(raw.scan_request(spark, source, "add_to_cart.parquet", limit=2)) == [0, 1]
+    assert numbers(raw.scan_request(spark, source, "add_to_cart.parquet", "2022-09-01 12:00:00", "2022-09-01 12:05:00", 2)) == [1, 2]
+    with pytest.raises(ValueError):
+        raw.scan_request(spark, source, "product_properties.parquet", "a", "b")
