@@ -33,7 +33,7 @@ def utc_text(instant: Column) -> Column:
 def utc_literal(instant: datetime) -> Column:
     """A zone-aware Python instant as UTC text; a naive one is refused."""
     if instant.tzinfo is None:
-        raise ValueError("published_at must contain timezone information")
+        raise ValueError("published_at needs a time zone")
     seconds = int(instant.timestamp() // 1)
     return utc_text(F.timestamp_seconds(F.lit(seconds)))
 

@@ -36,10 +36,10 @@ def _class_counts(rows: DataFrame, label: str) -> dict:
 
 
 def fit_purchase(train: DataFrame, evaluation: DataFrame, recency: bool = False):
-    """Binary model; both label classes must occur on both sides."""
+    """Binary model; One of the classes is absent must occur on both sides."""
     counts = _class_counts(train, "label")
     if set(counts) != {0, 1} or set(_class_counts(evaluation, "label")) != {0, 1}:
-        raise QualityError("Training and evaluation each need both label classes")
+        raise QualityError("One of the classes is absent from training or evaluation")
     total = sum(counts.values())
     return _pipeline(feature_columns(recency), "label", "binomial", fixed.PURCHASE_C, total).fit(train)
 
@@ -49,9 +49,9 @@ def fit_timing(train: DataFrame, evaluation: DataFrame, recency: bool = True):
     rows = timing_rows(train)
     counts = _class_counts(rows, "bucket")
     if set(counts) != {0, 1, 2}:
-        raise QualityError("Training needs examples in all three timing buckets")
+        raise QualityError("A timing bucket has no training row")
     if timing_rows(evaluation).isEmpty():
-        raise QualityError("Evaluation has no observed purchases")
+        raise QualityError("No purchase falls into the evaluation rows")
     total = sum(counts.values())
     return _pipeline(feature_columns(recency), "bucket", "multinomial", fixed.TIMING_C, total).fit(rows)
 

@@ -15,7 +15,7 @@ from basketstream.functions.once import add_once, isolate
 from basketstream.operators.envelope import build_events, build_products, serialize
 from basketstream.sources.driver_tables import PUBLISHED_AT, RUN_ID, raw_events, raw_products
 
-PUBLISHED = datetime(2026, 9, 24, 8, 0, 0, tzinfo=timezone.utc)
+PUBLISHED = datetime(2031, 3, 5, 6, 7, 8, tzinfo=timezone.utc)
 WRONG_KEY = "999999999"
 BAD_TIME = "2022-02-30 12:00:00"
 
@@ -95,7 +95,7 @@ def kafka_events(spark, sf_dir, damaged: bool = False) -> DataFrame:
         value = _damage(F.col("k"), value, {
             0: F.lit("{"),
             1: _swap(value, '"schema_version":"1.0.0"', '"schema_version":"2.0.0"'),
-            2: F.regexp_replace(value, '"event_id":"[^"]*"', '"event_id":"not-a-uuid"'),
+            2: F.regexp_replace(value, '"event_id":"[^"]*"', '"event_id":"123-abc"'),
             3: F.regexp_replace(value, '"event_type":"[^"]*"', '"event_type":"wishlist"'),
             4: bad_time,
             5: _swap(value, '"event_time_timezone":null', '"event_time_timezone":"UTC"'),
@@ -105,13 +105,13 @@ def kafka_events(spark, sf_dir, damaged: bool = False) -> DataFrame:
             10: F.regexp_replace(value, '"file":"[^"]*"', '"file":"other.parquet"'),
             11: F.regexp_replace(value, '"row_number":[0-9]+', '"row_number":-1'),
             12: _swap(value, f'"run_id":"{RUN_ID}"', '"run_id":"x"'),
-            13: _swap(value, published, '"published_at":"2026-09-24 08:00:00"'),
+            13: _swap(value, published, '"published_at":"2031-03-05 06:07:08"'),
             14: F.lit(None),
             15: F.lit(""),
             16: bad_time,
             17: _swap(value, '{"schema_version"', '{"colour":"red","schema_version"'),
             18: negative,
-            19: _swap(value, published, '"published_at":"2026-09-24T08:00:00+08:00"'),
+            19: _swap(value, published, '"published_at":"2031-03-05T06:07:08+08:00"'),
             20: F.replace(value, client, F.lit('"client_id":"12"')),
             21: F.concat(F.lit("["), value, F.lit("]")),
         })
@@ -128,16 +128,16 @@ def kafka_products(spark, sf_dir, damaged: bool = False) -> DataFrame:
         value = _damage(F.col("price"), value, {
             1: F.lit("{invalid-json"),
             2: _swap(value, '"schema_version":"1.0.0"', '"schema_version":"2.0.0"'),
-            3: F.regexp_replace(value, '"record_id":"[^"]*"', '"record_id":"not-a-uuid"'),
+            3: F.regexp_replace(value, '"record_id":"[^"]*"', '"record_id":"123-abc"'),
             4: F.replace(value, sku, F.lit('"sku":-5')),
             6: F.regexp_replace(value, '"category_id":[0-9]+', '"category_id":null'),
             7: F.regexp_replace(value, '"price_bucket":[0-9]+', '"price_bucket":100'),
-            8: F.regexp_replace(value, '"name_vector_raw":"[^"]*"', '"name_vector_raw":"not-a-vector"'),
+            8: F.regexp_replace(value, '"name_vector_raw":"[^"]*"', '"name_vector_raw":"no brackets"'),
             9: _swap(value, f'"dataset":"{fixed.DATASET}"', '"dataset":"other"'),
             10: _swap(value, fixed.PRODUCT_FILE, "other.parquet"),
             11: F.regexp_replace(value, '"row_number":[0-9]+', '"row_number":-1'),
             12: _swap(value, f'"run_id":"{RUN_ID}"', '"run_id":"x"'),
-            13: _swap(value, PUBLISHED_AT, "2026-09-24"),
+            13: _swap(value, PUBLISHED_AT, "2031-03-05"),
             14: F.lit(None),
             15: F.lit(""),
             16: _swap(value, '{"schema_version"', '{"currency":"EUR","schema_version"'),

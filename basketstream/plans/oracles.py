@@ -369,7 +369,7 @@ def _landing():
             f"count(*) - count(DISTINCT event_id) FILTER ({late}) AS already_present FROM again", LANDED),
         "landing_normalize": with_events(
             f" SELECT event_id, '{RUN_ID}' AS replay_run_id, event_time AS event_time_local, client_id, kafka_partition, "
-            "TIMESTAMP '2026-09-24 08:00:00' AS published_at FROM land", LANDED),
+            "TIMESTAMP '2031-03-05 06:07:08' AS published_at FROM land", LANDED),
         "landing_violations": with_events(
             f" SELECT source_file, source_row_number, {damaged} AS violations FROM e WHERE sku BETWEEN 1 AND 5"),
         "ledger_classify": with_events(

@@ -519,7 +519,7 @@ def feature_snapshot(spark, sf):
 def run_event_counts(spark, sf):
     """The second half of the period was replayed in another run."""
     late = F.col("event_time_local") >= F.lit(HALF).cast("timestamp_ntz")
-    other = F.lit("12345678-1234-5678-1234-567812345678")
+    other = F.lit("0f9d1c2b-3a4e-4b6d-8c7f-1e2d3c4b5a69")
     staged = _staged(spark, sf).withColumn("replay_run_id", F.when(late, other).otherwise(F.col("replay_run_id")))
     return marts.run_event_counts(staged, [tables.RUN_ID])
 

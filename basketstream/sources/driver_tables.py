@@ -12,8 +12,8 @@ from basketstream import fixed_values as fixed
 from basketstream.functions.ids import record_id
 from basketstream.functions.times import day_bounds
 
-RUN_ID = "ae7330fd-d17f-4e61-9c50-d74ab71d0a56"
-PUBLISHED_AT = "2026-09-24T08:00:00Z"
+RUN_ID = "5b0c3f52-8e1d-4f7a-b6a4-0d9e27c1f883"
+PUBLISHED_AT = "2031-03-05T06:07:08Z"
 
 # Event type of the given table -> behavioural event type.
 TYPE_MAP = {

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from basketstream import fixed_values as fixed
 from basketstream.operators import envelope
 
-RUN = "ae7330fd-d17f-4e61-9c50-d74ab71d0a56"
-AT = datetime(2026, 9, 24, 8, tzinfo=timezone.utc)
+RUN = "5b0c3f52-8e1d-4f7a-b6a4-0d9e27c1f883"
+AT = datetime(2031, 3, 5, 6, 7, 8, tzinfo=timezone.utc)
 RAW = ("source_file string, source_row_number bigint, client_id bigint, timestamp string, "
        "sku bigint, url bigint, query string")
-STAMP = "2022-08-06 15:17:25"
+STAMP = "2023-02-11 09:41:03"
 VECTOR = "[240 170 240 207]"
 
 
@@ -24,23 +24,23 @@ def outcomes(df):
 
 
 @pytest.mark.parametrize("kind,values,payload", [
-    ("add_to_cart", (219064, None, None), {"sku": 219064}),
-    ("product_buy", (219064, None, None), {"sku": 219064}),
-    ("remove_from_cart", (219064, None, None), {"sku": 219064}),
+    ("add_to_cart", (7313, None, None), {"sku": 7313}),
+    ("product_buy", (7313, None, None), {"sku": 7313}),
+    ("remove_from_cart", (7313, None, None), {"sku": 7313}),
     ("page_visit", (None, 12345, None), {"url_id": 12345}),
     ("search_query", (None, None, VECTOR), {"query_vector_raw": VECTOR}),
 ])
 def test_envelopes(spark, kind, values, payload):
-    df = raw(spark, (f"{kind}.parquet", 7, 18080713, STAMP, *values))
+    df = raw(spark, (f"{kind}.parquet", 7, 40417, STAMP, *values))
     (row,) = outcomes(envelope.replay(df, RUN, AT))
-    assert (row["topic"], row["key"], row["error_stage"]) == (fixed.EVENT_TOPIC, "18080713", None)
+    assert (row["topic"], row["key"], row["error_stage"]) == (fixed.EVENT_TOPIC, "40417", None)
     record = json.loads(row["value"])
     assert record["payload"] == payload
     assert list(record) == ["schema_version", "event_id", "event_type", "event_time", "event_time_timezone",
                             "client_id", "payload", "source", "replay"]
     assert record["event_time_timezone"] is None
     assert record["source"] == {"dataset": fixed.DATASET, "file": f"{kind}.parquet", "row_number": 7}
-    assert record["replay"] == {"run_id": RUN, "published_at": "2026-09-24T08:00:00Z"}
+    assert record["replay"] == {"run_id": RUN, "published_at": "2031-03-05T06:07:08Z"}
 
 
 @pytest.mark.parametrize("row,message", [
@@ -79,15 +79,15 @@ def test_contract_catches_what_the_builder_lets_through(spark):
 def test_products(spark):
     schema = "source_file string, source_row_number bigint, sku bigint, category bigint, price int, name string"
     rows = [
-        (fixed.PRODUCT_FILE, 0, 1263699, 780, 26, "[193 102 221]"),
+        (fixed.PRODUCT_FILE, 0, 88231, 412, 61, "[17 4 250]"),
         (fixed.PRODUCT_FILE, 1, 1, 2, 100, "[1]"),
         (fixed.PRODUCT_FILE, 2, None, 2, 100, "no"),
         (fixed.PRODUCT_FILE, 3, None, -1, 5, "[1]"),
     ]
     got = outcomes(envelope.replay(spark.createDataFrame(rows, schema), RUN, AT, products=True))
     by_row = {row["source_row_number"]: row for row in got}
-    assert (by_row[0]["topic"], by_row[0]["key"]) == (fixed.PRODUCT_TOPIC, "1263699")
-    assert json.loads(by_row[0]["value"])["category_id"] == 780
+    assert (by_row[0]["topic"], by_row[0]["key"]) == (fixed.PRODUCT_TOPIC, "88231")
+    assert json.loads(by_row[0]["value"])["category_id"] == 412
     assert [by_row[i]["error_message"] for i in (1, 2, 3)] == [
         fixed.MSG_PRICE_RANGE, fixed.MSG_NAME_VECTOR, "sku must be an integer"]
 

@@ -17,14 +17,14 @@ def at(text):
 
 
 GOLDEN = [
-    ("add_to_cart", 1, 10, at("09-01 12:00:00")), ("add_to_cart", 1, 10, at("09-01 13:00:00")),
-    ("add_to_cart", 2, 20, at("09-01 14:00:00")), ("product_buy", 1, 10, at("09-01 18:00:00")),
-    ("remove_from_cart", 1, 10, at("09-01 19:00:00")),
-    ("page_visit", 1, None, at("09-01 11:00:00")), ("page_visit", 1, None, at("09-01 15:00:00")),
-    ("page_visit", 2, None, at("09-01 16:00:00")), ("page_visit", 3, None, at("09-01 17:00:00")),
-    ("search_query", 1, None, at("09-01 10:00:00")),
+    ("add_to_cart", 7, 70, at("04-10 08:00:00")), ("add_to_cart", 7, 71, at("04-10 09:30:00")),
+    ("remove_from_cart", 7, 70, at("04-10 10:00:00")), ("product_buy", 7, 71, at("04-10 20:15:00")),
+    ("add_to_cart", 8, 70, at("04-10 06:45:00")),
+    ("page_visit", 7, None, at("04-10 21:00:00")), ("page_visit", 8, None, at("04-10 05:00:00")),
+    ("page_visit", 8, None, at("04-10 05:30:00")), ("search_query", 8, None, at("04-10 07:15:00")),
+    ("search_query", 9, None, at("04-10 12:00:00")),
 ]
-OTHER_DAYS = [("add_to_cart", 1, 99, at("09-02 00:00:00")), ("product_buy", 1, 10, at("08-31 23:59:59"))]
+OTHER_DAYS = [("add_to_cart", 7, 90, at("04-11 00:00:00")), ("product_buy", 8, 70, at("04-09 23:59:59"))]
 
 
 def frame(spark, rows):
@@ -32,18 +32,20 @@ def frame(spark, rows):
 
 
 def test_snapshot_golden(spark):
-    rows = features.offline_snapshot(frame(spark, GOLDEN)).orderBy("client_id").collect()
+    rows = features.offline_snapshot(frame(spark, GOLDEN)).orderBy("client_id", "sku").collect()
+    day = date(2022, 4, 11)
     assert [tuple(row) for row in rows] == [
-        (date(2022, 9, 2), 1, 10, 7, 2, 1, 2, 1, 1, 1, 4, 2, 1, 1, 5.0, 5.0),
-        (date(2022, 9, 2), 2, 20, 2, 1, 0, 1, 0, 0, 1, 1, 1, 0, 0, 8.0, 10.0),
+        (day, 7, 70, 5, 1, 0, 2, 1, 1, 2, 2, 1, 1, 0, 3.0, 14.0),
+        (day, 7, 71, 5, 1, 0, 2, 1, 1, 2, 2, 1, 0, 1, 3.0, 3.75),
+        (day, 8, 70, 4, 2, 1, 1, 0, 0, 1, 1, 1, 0, 0, 16.75, 17.25),
     ]
     assert rows[0].__fields__ == [*fixed.SNAPSHOT_KEYS, *fixed.COUNT_FEATURES, *fixed.RECENCY_FEATURES]
 
 
 def test_all_days_equal_single_days(spark):
     together = features.offline_snapshot(frame(spark, GOLDEN + OTHER_DAYS))
-    assert together.count() == 4
-    day = together.where("feature_as_of_date_source = date'2022-09-02'")
+    assert together.count() == 5
+    day = together.where("feature_as_of_date_source = date'2022-04-11'")
     assert day.exceptAll(features.offline_snapshot(frame(spark, GOLDEN))).count() == 0
     # Browsing can come as its own table.
     events = frame(spark, GOLDEN)
@@ -55,9 +57,9 @@ def test_unnamed_rows_are_skipped_and_counted(spark):
     extra = [("add_to_cart", None, 5, at("09-01 01:00:00")), ("product_buy", 4, None, at("09-01 01:00:00")),
              ("page_visit", None, None, at("09-01 01:00:00"))]
     events = frame(spark, GOLDEN + extra)
-    assert features.offline_snapshot(events).count() == 2
+    assert features.offline_snapshot(events).count() == 3
     got = {row["measure"]: row["value"] for row in features.snapshot_summary(events).collect()}
-    assert got == {"feature_rows": 2, "distinct_clients": 2, "sku_interactions": 5, "skipped_sku_rows": 2}
+    assert got == {"feature_rows": 3, "distinct_clients": 2, "sku_interactions": 5, "skipped_sku_rows": 2}
 
 
 def test_empty_snapshot_keeps_its_schema(spark):
@@ -67,26 +69,26 @@ def test_empty_snapshot_keeps_its_schema(spark):
 
 PAIRS = "feature_as_of_date_source date, client_id bigint, sku bigint"
 PURCHASES = [
-    (1, 100, "09-01 23:59:59"), (1, 100, "09-03 12:00:00"), (1, 100, "09-02 00:00:00"), (1, 100, "09-09 00:00:00"),
-    (2, 999, "09-03 00:00:00"), (2, 200, "09-08 23:59:59"), (3, 300, "09-09 00:00:00"),
+    (4, 41, "05-19 23:59:59"), (4, 41, "05-22 06:30:00"), (4, 41, "05-21 18:00:00"),
+    (5, 52, "05-27 00:00:00"), (6, 63, "05-26 23:00:00"), (5, 41, "05-21 00:00:00"),
 ]
 
 
-def label_input(spark, as_of=date(2022, 9, 2)):
-    snapshot = spark.createDataFrame([(as_of, 1, 100), (as_of, 2, 200), (as_of, 3, 300)], PAIRS)
+def label_input(spark, as_of=date(2022, 5, 20)):
+    snapshot = spark.createDataFrame([(as_of, 4, 41), (as_of, 5, 52), (as_of, 6, 63)], PAIRS)
     bought = frame(spark, [("product_buy", client, sku, at(text)) for client, sku, text in PURCHASES])
     return snapshot, bought
 
 
-@pytest.mark.parametrize("as_of", [None, date(2022, 9, 2)])
+@pytest.mark.parametrize("as_of", [None, date(2022, 5, 20)])
 def test_labels_golden(spark, as_of):
     snapshot, bought = label_input(spark)
     rows = features.purchase_labels(snapshot, bought, as_of).orderBy("client_id").collect()
-    end = datetime(2022, 9, 9)
+    end = datetime(2022, 5, 27)
     assert [tuple(row)[3:] for row in rows] == [
-        (True, datetime(2022, 9, 2), 0.0, end),
-        (True, datetime(2022, 9, 8, 23, 59, 59), 167.99972222222223, end),
+        (True, datetime(2022, 5, 21, 18), 42.0, end),
         (False, None, None, end),
+        (True, datetime(2022, 5, 26, 23), 167.0, end),
     ]
     got = {row["measure"]: row["value"] for row in features.label_summary(snapshot, bought, as_of).collect()}
     assert got == {"label_rows": 3, "matching_purchase_rows": 3, "pairs_with_purchase": 2, "pairs_without_purchase": 1}
@@ -99,26 +101,26 @@ def raw_purchases(spark, bought, bad=()):
 
 def test_label_guards(spark):
     snapshot, bought = label_input(spark)
-    day = date(2022, 9, 2)
+    day = date(2022, 5, 20)
     assert features.build_labels(snapshot, raw_purchases(spark, bought), day).where("purchase_observed_within_7d").count() == 2
     # A bad time of a pair that is no candidate does not matter, of a candidate it always does.
     assert features.build_labels(snapshot, raw_purchases(spark, bought, [(9, 9, "bad")]), day).count() == 3
     for bad in ("bad", None, "2021-1-1 00:00:00"):
         with pytest.raises(QualityError, match="cannot be read"):
-            features.build_labels(snapshot, raw_purchases(spark, bought, [(3, 300, bad)]), day)
+            features.build_labels(snapshot, raw_purchases(spark, bought, [(5, 52, bad)]), day)
     with pytest.raises(QualityError, match="no rows"):
         features.build_labels(snapshot.where("false"), raw_purchases(spark, bought), day)
     with pytest.raises(QualityError, match="repeats"):
         features.build_labels(snapshot.unionAll(snapshot), raw_purchases(spark, bought), day)
-    other, _ = label_input(spark, date(2022, 9, 3))
+    other, _ = label_input(spark, date(2022, 5, 21))
     with pytest.raises(QualityError, match="exactly one"):
         features.build_labels(snapshot.unionAll(other), raw_purchases(spark, bought), day)
     assert features.build_labels(snapshot.unionAll(other), raw_purchases(spark, bought)).count() == 6
     # Labels of another date than the snapshot's are refused, by the guard and by the plan itself.
     with pytest.raises(QualityError, match="of another date"):
-        features.build_labels(snapshot, raw_purchases(spark, bought), date(2022, 9, 3))
+        features.build_labels(snapshot, raw_purchases(spark, bought), date(2022, 5, 21))
     with pytest.raises(Exception, match="Snapshot row of another date"):
-        features.purchase_labels(snapshot, bought, date(2022, 9, 3)).collect()
+        features.purchase_labels(snapshot, bought, date(2022, 5, 21)).collect()
 
 
 def test_hot_client_is_split(spark):
@@ -148,7 +150,7 @@ def test_write_once(spark, tmp_path):
     features.write_once(snapshot, path, by_date=True)
     stored = spark.read.parquet(path)
     assert stored.select(snapshot.columns).exceptAll(snapshot).count() == 0
-    day = stored.where("feature_as_of_date_source = date'2022-09-02'")
+    day = stored.where("feature_as_of_date_source = date'2022-04-11'")
     assert "PartitionFilters: [isnotnull(feature_as_of_date_source" in day._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         features.write_once(snapshot, path)
@@ -207,8 +209,8 @@ def staged(spark):
 
 def test_marts(spark, staged):
     daily = {(r[0], r[1]): (r[2], r[3]) for r in marts.daily_event_activity(staged).collect()}
-    assert daily[date(2022, 9, 1), "page_visit"] == (4, 3)
-    assert daily[date(2022, 9, 1), "add_to_cart"] == (3, 2)
+    assert daily[date(2022, 4, 10), "page_visit"] == (3, 2)
+    assert daily[date(2022, 4, 10), "add_to_cart"] == (3, 2)
     snapshot = marts.feature_snapshot_all(staged)
     offline = features.offline_snapshot(staged.withColumnRenamed("event_time_local", "event_time"))
     shared = [*fixed.SNAPSHOT_KEYS, *fixed.COUNT_FEATURES]
@@ -220,13 +222,13 @@ def test_checks(spark, staged):
     daily = marts.daily_event_activity(staged)
     assert quality.total_mismatch(staged, daily, "event_count").count() == 0
     (row,) = quality.total_mismatch(staged, daily.where("event_type <> 'page_visit'"), "event_count").collect()
-    assert (row["staged_events"], row["summed_events"]) == (12, 8)
+    assert (row["staged_events"], row["summed_events"]) == (12, 9)
     pairs, snapshot = marts.client_product_candidates(staged), marts.feature_snapshot_all(staged)
     assert quality.snapshot_integrity(pairs, snapshot).count() == 0
-    assert quality.snapshot_integrity(pairs, snapshot.where("sku <> 20")).count() == 1
-    assert quality.snapshot_integrity(pairs.where("sku <> 20"), snapshot).count() == 1
+    assert quality.snapshot_integrity(pairs, snapshot.where("sku <> 71")).count() == 1
+    assert quality.snapshot_integrity(pairs.where("sku <> 71"), snapshot).count() == 1
     status = quality.status({"good": pairs.where("false"), "bad": pairs})
-    with pytest.raises(QualityError, match="bad=4"):
+    with pytest.raises(QualityError, match="bad=5"):
         quality.require_zero(status)
     quality.require_zero(status.where("check_name = 'good'"))
     nulls = {r["column_name"]: r["null_rows"] for r in quality.null_counts(staged, ["sku", "client_id"]).collect()}

@@ -171,7 +171,7 @@ def test_bucketed_target_is_not_shuffled(spark):
 def test_batches_of_one_give_the_marts_of_one_big_load(spark, root, tmp_path):
     for number in range(4):
         write_file(spark, root, f"{number}.parquet", [3 * number + i for i in range(3)])
-    products = records(spark, [("1263699", json.dumps(PRODUCT))])
+    products = records(spark, [("88231", json.dumps(PRODUCT))])
     parse.split_valid(parse.transform_products(products))[0].coalesce(1).write.parquet(os.path.join(root, "products"))
     small, large = Warehouse(str(tmp_path / "small"), 8), Warehouse(str(tmp_path / "large"), 8)
     limited = incremental_load(spark, root, small, "events", max_new_files=1)
@@ -220,7 +220,7 @@ def test_landing_side_of_a_load_is_not_shuffled(spark, root, store):
 
 def test_bronze_to_analytics(spark, root, store):
     write_file(spark, root, "a.parquet", [1, 2, 3])
-    products = records(spark, [("1263699", json.dumps(PRODUCT))])
+    products = records(spark, [("88231", json.dumps(PRODUCT))])
     parse.split_valid(parse.transform_products(products))[0].write.parquet(os.path.join(root, "products"))
     done = bronze_to_analytics(spark, root, store)
     assert done["loads"]["events"].inserted == 3 and done["loads"]["products"].inserted == 1

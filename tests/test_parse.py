@@ -7,8 +7,8 @@ from basketstream.operators import parse
 from basketstream.schemas import BRONZE_COLUMNS, KAFKA_RECORD, names
 from test_contract import ABSENT, EVENT, PRODUCT, changed
 
-BASE = {**EVENT, "client_id": 10551361, "payload": {"sku": 728970}, "event_time": "2022-09-22 06:26:40"}
-KEY = "10551361"
+BASE = {**EVENT, "client_id": 52077, "payload": {"sku": 6120}, "event_time": "2023-05-17 21:08:54"}
+KEY = "52077"
 
 
 def records(spark, pairs, topic=fixed.EVENT_TOPIC):
@@ -49,8 +49,8 @@ EVENT_CASES = [
     (KEY, changed(BASE, "source.row_number", -1), "invalid_source_row_number"),
     (KEY, changed(BASE, "source.row_number", ABSENT), "invalid_source_row_number"),
     (KEY, changed(BASE, "replay.run_id", "x"), "invalid_replay_run_id"),
-    (KEY, changed(BASE, "replay.published_at", "2026-09-24T08:00:00+08:00"), "invalid_published_at"),
-    (KEY, changed(BASE, "replay.published_at", "2026-09-24T08:00:00.5Z"), "invalid_published_at"),
+    (KEY, changed(BASE, "replay.published_at", "2031-03-05T06:07:08+08:00"), "invalid_published_at"),
+    (KEY, changed(BASE, "replay.published_at", "2031-03-05T06:07:08.5Z"), "invalid_published_at"),
     # The first broken rule is reported.
     ("999", changed(BASE, "event_time", "bad"), "invalid_event_time"),
     # Looser than the contract: unknown keys and negative products pass.
@@ -64,7 +64,7 @@ def test_event_codes(spark):
     assert codes(df) == [case[2] for case in EVENT_CASES]
 
 
-PRODUCT_KEY = "1263699"
+PRODUCT_KEY = "88231"
 PRODUCT_CASES = [
     (PRODUCT_KEY, json.dumps(PRODUCT), None),
     (PRODUCT_KEY, "{invalid-json", "malformed_json"),
@@ -75,7 +75,7 @@ PRODUCT_CASES = [
     ("999", json.dumps(PRODUCT), "invalid_message_key"),
     (PRODUCT_KEY, changed(PRODUCT, "category_id", None), "invalid_category_id"),
     (PRODUCT_KEY, changed(PRODUCT, "price_bucket", 100), "invalid_price_bucket"),
-    (PRODUCT_KEY, changed(PRODUCT, "name_vector_raw", "not-a-vector"), "invalid_name_vector"),
+    (PRODUCT_KEY, changed(PRODUCT, "name_vector_raw", "no brackets"), "invalid_name_vector"),
     (PRODUCT_KEY, changed(PRODUCT, "source.dataset", "x"), "invalid_source_dataset"),
     (PRODUCT_KEY, changed(PRODUCT, "source.file", "x"), "invalid_source_file"),
     (PRODUCT_KEY, changed(PRODUCT, "source.row_number", -1), "invalid_source_row_number"),
