@@ -11,9 +11,9 @@ piece begins.
 The search streams: only boundaries within the longest piece's length can still
 be extended. Whenever the backpointers of all of them lead to one boundary, the
 ids before it are committed and forgotten, so a text of any length without any
-break needs a window of bounded size. A boundary before a word is such a point,
-as no piece goes from a letter to a space; words repeat, so a worker remembers
-the ids of words, up to a bound.
+break needs a window of bounded size. Between two characters that stand side by
+side in no piece, such as a letter and a space, they always do. Words, and the
+parts between such places, repeat, so a worker remembers their ids, up to a bound.
 
 *Decoding* joins the pieces, byte pieces as bytes, and takes off the space that
 encoding puts first. U+2581, which stands for the space, comes back as a space;
@@ -58,7 +58,9 @@ class Pieces:
             self.bytes[i] = piece.replace(SPACE, " ").encode()
         for value, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([value])
-        self.apart, self.words = {}, {}
+        # Two characters that stand side by side in some piece; between others every path has a boundary.
+        self.joined = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
+        self.apart, self.words, self.runs = {}, {}, {}
 
     def stay_apart(self, left: str, right: str) -> bool:
         """Whether merging the characters of ``left + right`` ends in just these two pieces."""
@@ -132,7 +134,21 @@ class Pieces:
                 out.append(known)
 
     def _run(self, run: str) -> bytes:
-        return array.array("i", self.search(run)).tobytes()
+        """Ids of a run, cut where every path has a boundary; the short parts repeat and are remembered."""
+        out, start, joined, runs = [], 0, self.joined, self.runs
+        for at in range(1, len(run) + 1):
+            if at == len(run) or run[at - 1 : at + 1] not in joined:
+                part = run[start:at]
+                start = at
+                known = runs.get(part)
+                if known is None:
+                    known = array.array("i", self.search(part)).tobytes()
+                    if len(part) <= self.longest * 2:
+                        if len(runs) > CACHE_WORDS:
+                            runs.clear()
+                        runs[part] = known
+                out.append(known)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit numbers in this machine's order."""
