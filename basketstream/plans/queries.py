@@ -987,38 +987,79 @@ def timing_model_eval(spark, sf):
         score_rows(model_rows.timing_rows(held)), score_rows(train_rows), model_rows.timing_prior(train_rows))
 
 
+@query
+def model_split_summary(spark, sf):
+    """Rows, positives and purchases per timing bucket of the rows that models are fitted and measured on."""
+    train, held = _split(spark, sf)
+    both = train.withColumn("role", F.lit("train")).unionByName(held.withColumn("role", F.lit("evaluation")))
+    hours = F.col("hours_to_first_purchase")
+    return both.groupBy("role").agg(
+        F.count("*").alias("row_count"), F.sum("label").cast("bigint").alias("positives"),
+        F.count_if(hours < 24).alias("under_24h"), F.count_if((hours >= 24) & (hours < 72)).alias("hours_24_to_72"),
+        F.count_if(hours >= 72).alias("hours_72_to_168"))
+
+
 @query
 def feature_set_compare(spark, sf):
-    """Ranking metrics with counts only and with recencies, on the same split."""
+    """Ranking and timing metrics with counts only and with recencies, on the same split."""
     train, held = _split(spark, sf)
+    train_rows, held_rows = model_rows.timing_rows(train), model_rows.timing_rows(held)
     parts = []
     for name, recency in (("counts", False), ("counts+recency", True)):
-        scored = training.purchase_scores(training.fit_purchase(train, held, recency), held)
-        parts.append(metrics.ranking_metrics(scored).select(F.lit(name).alias("feature_set"), "metric", "value"))
-    return parts[0].unionAll(parts[1])
+        scored = cut_lineage(spark, training.purchase_scores(training.fit_purchase(train, held, recency), held), "scores")
+        score_rows = partial(training.timing_scores, training.fit_timing(train, held, recency))
+        timing = metrics.timing_metrics(score_rows(held_rows), score_rows(train_rows), model_rows.timing_prior(train_rows))
+        for model, found in (("purchase", metrics.ranking_metrics(scored)), ("timing", timing)):
+            parts.append(found.select(F.lit(name).alias("feature_set"), F.lit(model).alias("model"), "metric", "value"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _stored_models(spark, sf):
+    """Both models with a run record each, which holds the metrics of the evaluation date."""
     train, held = _split(spark, sf)
     root = scratch_dir(spark, "model-store")
-    paths = {}
+    train_rows, held_rows = model_rows.timing_rows(train), model_rows.timing_rows(held)
     fits = {"purchase": training.fit_purchase(train, held), "timing": training.fit_timing(train, held)}
+    scored = cut_lineage(spark, training.purchase_scores(fits["purchase"], held), "scores")
+    score_rows = partial(training.timing_scores, fits["timing"])
+    found = {
+        "purchase": metrics.ranking_metrics(scored),
+        "timing": metrics.timing_metrics(score_rows(held_rows), score_rows(train_rows), model_rows.timing_prior(train_rows)),
+    }
+    paths = {}
     for kind, model in fits.items():
-        params = {"train_as_of": ",".join(map(str, TRAIN_DATES)), "evaluation_as_of": EVALUATION_DATE}
-        reg = model.stages[-1].getOrDefault("regParam")
-        paths[kind] = scoring.save_run(spark, root, f"{kind}-1", kind, model, params, {"reg_param": reg})
+        params = {"train_as_of": ",".join(map(str, TRAIN_DATES)), "evaluation_as_of": EVALUATION_DATE,
+                  "reg_param": model.stages[-1].getOrDefault("regParam")}
+        # A few named figures of one evaluation.
+        figures = {row["metric"]: row["value"] for row in found[kind].collect() if row["value"] is not None}
+        paths[kind] = scoring.save_run(spark, root, f"{kind}-1", kind, model, params, figures)
     return root, paths, held
 
 
-@query
-def score_batch(spark, sf):
-    _, paths, held = _stored_models(spark, sf)
+def _scored_snapshot(spark, sf):
+    _, paths, _ = _stored_models(spark, sf)
     models = scoring.load_models(paths["purchase"], paths["timing"])
-    rows = held.select(*fixed.SNAPSHOT_KEYS, *fixed.COUNT_FEATURES, *fixed.RECENCY_FEATURES)
+    rows = _snapshot(spark, sf).select(*fixed.SNAPSHOT_KEYS, *fixed.COUNT_FEATURES, *fixed.RECENCY_FEATURES)
     return scoring.score(rows, *models)
 
 
+@query
+def score_batch(spark, sf):
+    """Every snapshot row of every date with its probabilities."""
+    return _scored_snapshot(spark, sf)
+
+
+@query
+def score_batch_summary(spark, sf):
+    """Per date, how many rows were scored, and for how many the probabilities are well formed."""
+    shares = F.col("under_24h") + F.col("hours_24_to_72") + F.col("hours_72_to_168")
+    return _scored_snapshot(spark, sf).groupBy(AS_OF_COLUMN).agg(
+        F.count("*").alias("scored_rows"), F.count_if(F.abs(shares - 1) < 1e-9).alias("shares_add_up"),
+        F.count_if(F.col("purchase_within_7d_probability").between(0, 1)).alias("probabilities_in_range"))
+
+
 @query
 def model_runs(spark, sf):
     root, _, _ = _stored_models(spark, sf)
-    return scoring.model_runs(spark, root).select("run_id", "model", "evaluation_role", "model_path")
+    return scoring.model_runs(spark, root).select(
+        "run_id", "model", "evaluation_role", "model_path", F.map_keys("metrics").alias("metrics_recorded"))

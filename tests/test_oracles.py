@@ -18,14 +18,22 @@ def tables():
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# Models need the larger tables: the small ones lack purchases on single days.
+FITTED = {"score_batch_summary"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - FITTED))
 def test_query_equals_oracle(spark, tables, name):
     assert mismatch(QUERIES[name](spark, SMALL), tables, ORACLES[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(FITTED))
+def test_fitted_query_equals_oracle(spark, name):
+    assert mismatch(QUERIES[name](spark, MIDDLE), open_tables(MIDDLE), ORACLES[name]) is None
+
+
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_query_gives_rows(spark, name):
-    # Models need the larger tables: the small ones lack purchases on single days.
     assert QUERIES[name](spark, MIDDLE).count() > 0
 
 
