@@ -73,13 +73,16 @@ def _jumps(messages: DataFrame):
     while not now.where("to IS NOT NULL").isEmpty():
         if len(steps) == MAX_ROUNDS:
             raise ValueError("answers form a cycle")
-        steps.append(now.where("to IS NOT NULL").select("conv_id", "node", "to"))
+        moving = now.where("to IS NOT NULL")
+        steps.append(moving.select("conv_id", "node", "to"))
         landed = now.select("conv_id", F.col("node").alias("to"), F.col("to").alias("next"),
                             F.col("score").alias("more"), F.col("depth").alias("deeper"))
         same = F.col("n.conv_id").eqNullSafe(F.col("p.conv_id"))
-        now = write_once(now.alias("n").join(landed.alias("p"), same & (F.col("n.to") == F.col("p.to")), "left").select(
-            "n.conv_id", "n.node", F.col("p.next").alias("to"), (F.col("n.score") + F.coalesce("p.more", F.lit(0.0))).alias("score"),
-            (F.col("n.depth") + F.coalesce("p.deeper", F.lit(0))).alias("depth")), "jumps")
+        moved = moving.alias("n").join(landed.alias("p"), same & (F.col("n.to") == F.col("p.to"))).select(
+            "n.conv_id", "n.node", F.col("p.next").alias("to"), (F.col("n.score") + F.col("p.more")).alias("score"),
+            (F.col("n.depth") + F.col("p.deeper")).alias("depth"))
+        # Messages that have reached their root are not joined again: later rounds cost what long paths cost.
+        now = write_once(now.where("to IS NULL").unionByName(moved), "jumps")
     return steps, now.select("conv_id", "node", "depth", "score")
 
 
