@@ -28,7 +28,8 @@ def with_text(records: DataFrame) -> DataFrame:
     )
 
 
-def kafka_stream(spark, servers: str, topic: str, max_offsets_per_trigger: int | None = 10_000) -> DataFrame:
+def kafka_stream(spark, servers: str, topic: str, max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """The topic as a stream. Without a limit a drain takes all there is in a few large batches."""
     options = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
