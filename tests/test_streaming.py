@@ -2,7 +2,9 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from basketstream.plans.incremental import Warehouse
 from basketstream.sources import kafka
 from basketstream.streaming import sinks
 from test_contract import changed
@@ -42,13 +44,30 @@ def test_failure_stops_both_queries(spark, tmp_path):
 
 
 def test_landing_stream_lands_once(spark, tmp_path):
-    inbox, target = str(tmp_path / "inbox"), str(tmp_path / "landing")
+    inbox, store = str(tmp_path / "inbox"), Warehouse(str(tmp_path / "warehouse"), 8)
     transform = sinks.TRANSFORMS["events"]
     for ids in ([1, 2, 2], [2, 3]):
         send(spark, inbox, ids)
         valid = transform(sinks.file_stream(spark, inbox, 1)).where("is_valid").drop("is_valid", "validation_error")
-        sinks.start_landing(valid, "events", target, str(tmp_path / "checkpoint")).awaitTermination()
-    assert sorted(row["client_id"] for row in spark.read.parquet(target).collect()) == [1, 2, 3]
+        sinks.start_landing(valid, "events", store, str(tmp_path / "checkpoint")).awaitTermination()
+    assert sorted(row["client_id"] for row in store.read_landing(spark, "events").collect()) == [1, 2, 3]
+
+
+def test_landing_stream_refuses_what_the_load_refuses(spark, tmp_path):
+    inbox, store, rejects = str(tmp_path / "inbox"), Warehouse(str(tmp_path / "warehouse"), 8), str(tmp_path / "rejects")
+    send(spark, inbox, [1, 2, 3])
+    valid = sinks.TRANSFORMS["events"](sinks.file_stream(spark, inbox)).where("is_valid").drop("is_valid", "validation_error")
+    # Record 2 breaks a rule; record 3 claims the source row of record 1 under its own id.
+    damaged = valid.withColumns({
+        "kafka_offset": F.when(F.col("client_id") == 2, -5).otherwise(F.col("kafka_offset")),
+        "source_row_number": F.when(F.col("client_id") == 3, 1).otherwise(F.col("source_row_number"))})
+    with pytest.raises(Exception, match="Landing rules broken"):
+        sinks.start_landing(damaged, "events", store, str(tmp_path / "strict")).awaitTermination()
+    assert store.read_landing(spark, "events").count() == 0
+    sinks.start_landing(damaged, "events", store, str(tmp_path / "checkpoint"), rejects).awaitTermination()
+    refused = {(r["client_id"], r["violations"]) for r in spark.read.parquet(rejects).collect()}
+    assert refused == {(2, "kafka_offset_negative"), (1, "source_row_claimed"), (3, "source_row_claimed")}
+    assert store.read_landing(spark, "events").count() == 0
 
 
 def test_connector_options(monkeypatch):
