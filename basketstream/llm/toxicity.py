@@ -1,53 +1,67 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
 
 *Terms.* A word gives its letters in lower case, and the starts of 4 to 6 letters
-of longer words, so that unseen forms of a word still share a term. The
-vocabulary is the terms of the training sample that depend most on the label
-(chi-square). Term weights are (1 + ln count) * idf; the document frequencies in
-idf are counted over **all documents**.
-
-*Index.* The examples are a bounded sample of labelled rows, ``per_class`` of each
-class. They are sorted so that similar examples lie in one block of ``BLOCK``.
-Per block there are inverted lists, and per term and block the largest weight.
-A query's upper bound for a block is its product with those maxima; blocks are
-read from the highest bound on, a few at a time, and reading stops when no bound
-reaches the ``NEIGHBOURS``-th best cosine so far. Nothing that belongs to the result is skipped: the
-neighbours are exact, ties going to the smaller id.
-
-*Votes.* Neighbours vote for their label with cosine times class weight. A
-logistic curve over (share of votes, best cosine), fitted on the examples with
-each one left out of its own neighbours, makes the score. The evidence is the nearest
-examples with label and cosine.
-
-Defined cases: a null text counts as empty; a text without a known term has no
-neighbours and gets the rate of label 1 among labelled texts without one; null
+of longer words, so that unseen forms of a word still share a term. A term is
+known by its 64-bit hash. Term weights are (1 + ln count) * idf; **every** term of
+a text counts, and the document frequencies in idf are counted over **all
+documents**. The frequencies of terms that two or more documents have are a
+sorted table in the shared folder; tasks look up the terms of a bounded group of
+texts in it, file by file. A term that is not there counts as in one document.
+
+*Whole texts.* The examples are a bounded sample of labelled rows, ``per_class`` of
+each class; all their terms are indexed. The ``HEAD`` terms that most examples have
+are a dense matrix, the others inverted lists. Both give every example's cosine in
+single precision; all examples whose cosine can be the ``NEIGHBOURS``-th best or
+better are computed again in double precision. Nothing that belongs to the result
+is skipped: the neighbours are exact, ties going to the smaller id.
+
+*Telling terms.* In long texts a few toxic words weigh little among hundreds of
+others. So the neighbours are sought a second time over those terms alone that
+depend most on the label in the sample (chi-square), with lengths taken over them.
+Similar examples lie in one block of ``BLOCK``; per block there are inverted lists,
+and per term and block the largest weight. Blocks are read from the highest bound
+on, until no bound reaches the ``NEIGHBOURS``-th best cosine. This is exact too.
+
+*Votes.* Neighbours vote for their label with cosine times class weight. In either
+search a logistic curve over (share of votes, best cosine), fitted on the examples
+with each one left out of its own neighbours, makes a score; the larger one counts.
+The evidence is the nearest examples by the whole text with label and cosine.
+
+Defined cases: a null text counts as empty; a text without a term of an example
+has no neighbours and gets the rate of label 1 among labelled texts without one; null
 ids are scored and count as not held out; repeated rows are scored one by one;
 without labels of both classes every score is the rate of label 1, or 0 without
 any label; an empty table gives an empty result; further columns are ignored.
 """
 
 import re
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import xxhash
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketstream.llm.common import batch_of
+from basketstream.llm.common import batch_of, filesystem, shared_folder
 from basketstream.llm.labelled import class_weights, logistic, training_sample
 
 PER_CLASS = 3000
-TERMS = 2048
+STARTS = (4, 5, 6)
+HEAD = 1024
+NEIGHBOURS = 16
+EVIDENCE = 3
+SLACK = 2e-4  # of a cosine: weights are not negative, so single precision is off by less
+TERMS = 2048  # telling terms
 MIN_CHI2 = 24.0
 MIN_DOCUMENTS = 5
-STARTS = (4, 5, 6)
 BLOCK = 64
 FIRST_BLOCKS, MORE_BLOCKS = 4, 32  # blocks that are read before bounds are looked at again
-NEIGHBOURS = 16
-EVIDENCE = 3
-CACHE_WORDS = 400_000
 CACHE_RESULTS = 50_000
+CACHE_WORDS = 200_000
+GROUP_TERMS = 4_000_000  # terms of texts that are held at a time
+QUERIES = 200  # texts that are multiplied with the dense matrix at a time
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -60,31 +74,125 @@ def terms(word: str) -> list:
 
 
 class Terms:
-    """Counts of vocabulary terms in a text; words are remembered up to a bound."""
+    """Counts of the terms in a text; words are remembered up to a bound."""
 
-    def __init__(self, vocabulary):
-        self.number = {term: i for i, term in enumerate(vocabulary)}
+    def __init__(self):
         self.known = {}
 
     def __call__(self, text: str):
-        """(term numbers in order, counts)"""
-        found, known = [], self.known
+        """(term hashes in order, counts)"""
+        found, known, digest = [], self.known, xxhash.xxh64_intdigest
         for word in text.split():
             numbers = known.get(word)
             if numbers is None:
                 if len(known) > CACHE_WORDS:
                     known.clear()
-                numbers = known[word] = tuple(self.number[t] for t in terms(word) if t in self.number)
-            if numbers:
-                found += numbers
-        counts = sorted(Counter(found).items())
-        return np.array([t for t, _ in counts], np.int64), np.array([c for _, c in counts], float)
+                numbers = known[word] = tuple(digest(t) - (1 << 63) for t in terms(word))
+            found += numbers
+        hashes, counts = np.unique(np.array(found, np.int64), return_counts=True)
+        return hashes, counts.astype(np.int32)
+
+
+def _sums(hashes, counts):
+    """Sums of ``counts`` per hash, in order."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return hashes[starts], np.add.reduceat(counts, starts)
+
+
+@dataclass
+class Frequencies:
+    """Document frequencies: files of sorted hashes with the number of documents, where that is 2 or more."""
+
+    documents: int
+    uri: str
+    files: list
+
+    def of(self, hashes):
+        """Frequencies of sorted distinct hashes."""
+        out = np.ones(len(hashes), np.int64)
+        if len(hashes):
+            files = filesystem(self.uri)[0]
+            for file in self.files:
+                shard = pq.read_table(file, filesystem=files)
+                term, n = shard.column("term").to_numpy(), shard.column("n").to_numpy()
+                at = np.minimum(np.searchsorted(hashes, term), len(hashes) - 1)
+                met = hashes[at] == term
+                out[at[met]] = n[met]
+        return out
+
+    def idf(self, hashes):
+        # Positive for every term, and near zero for one that nearly all documents have.
+        return np.log((2 + self.documents) / (1 + self.of(hashes)))
+
+
+def weights_of(counts, idf):
+    """Weights of length 1."""
+    weights = (1 + np.log(counts)) * idf
+    return weights / np.linalg.norm(weights) if len(weights) else weights
+
 
+def _ranges(starts, lengths):
+    """The numbers of all ranges, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
-def vector(numbers, counts, idf):
-    """Term numbers and weights of length 1."""
-    weights = (1 + np.log(counts)) * idf[numbers]
-    return numbers, weights / np.linalg.norm(weights) if len(numbers) else weights
+
+class WholeIndex:
+    """Examples with vectors of length 1 over term numbers below ``size``."""
+
+    def __init__(self, ids, labels, vectors, size):
+        self.ids, self.labels = np.array(ids, np.int64), np.array(labels, np.int64)
+        self.size = size
+        none = [np.empty(0, np.int64)]
+        self.numbers = np.concatenate([n for n, _ in vectors] or none).astype(np.int32)
+        self.weights = np.concatenate([w for _, w in vectors] or none).astype(float)
+        self.lengths = np.array([len(n) for n, _ in vectors], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        places = np.repeat(np.arange(len(ids), dtype=np.int32), self.lengths)
+        often = np.bincount(self.numbers, minlength=size)
+        head = np.argsort(-often, kind="stable")[:HEAD]
+        self.column = np.full(size, -1, np.int32)  # of a term in the dense matrix
+        self.column[head] = np.arange(len(head))
+        column = self.column[self.numbers]
+        self.dense = np.zeros((len(head), len(ids)), np.float32)
+        self.dense[column[column >= 0], places[column >= 0]] = self.weights[column >= 0]
+        rest = np.flatnonzero(column < 0)
+        rest = rest[np.argsort(self.numbers[rest], kind="stable")]
+        self.list_places, self.list_weights = places[rest], self.weights[rest].astype(np.float32)
+        self.list_lengths = np.bincount(self.numbers[rest], minlength=size)
+        self.list_starts = np.cumsum(self.list_lengths) - self.list_lengths
+
+    def nearest_of(self, queries, k=NEIGHBOURS, leave_out=None):
+        """Of each of (numbers, weights): (positions, cosines) of the k most similar examples with a positive cosine, best first."""
+        dense = np.zeros((len(queries), len(self.dense)), np.float32)
+        columns = [self.column[numbers] for numbers, _ in queries]
+        for row, (column, (_, weights)) in enumerate(zip(columns, queries)):
+            dense[row, column[column >= 0]] = weights[column >= 0]
+        near = dense @ self.dense
+        whole = np.zeros(self.size)
+        for row, (column, (numbers, weights)) in enumerate(zip(columns, queries)):
+            scores, rest = near[row], column < 0
+            lengths = self.list_lengths[numbers[rest]]
+            if lengths.any():
+                at = _ranges(self.list_starts[numbers[rest]], lengths)
+                parts = self.list_weights[at] * np.repeat(weights[rest].astype(np.float32), lengths)
+                scores = scores + np.bincount(self.list_places[at], parts, len(scores))
+            if leave_out is not None and leave_out[row] is not None:
+                scores = np.where(self.ids == leave_out[row], 0, scores)
+            floor = np.partition(scores, -k)[-k] * (1 - SLACK) if len(scores) > k else 0
+            places = np.flatnonzero((scores > 0) & (scores >= floor))
+            if not len(places):
+                yield places, np.empty(0)
+                continue
+            whole[numbers] = weights
+            lengths = self.lengths[places]
+            at = _ranges(self.starts[places], lengths)
+            cosines = np.add.reduceat(whole[self.numbers[at]] * self.weights[at], np.cumsum(lengths) - lengths)
+            whole[numbers] = 0
+            order = np.lexsort((self.ids[places], -np.round(cosines, 12)))[:k]
+            yield places[order], cosines[order]
 
 
 class Index:
@@ -165,46 +273,80 @@ def fit_curve(features, labels, weights, decay=1e-3, steps=50):
 
 @dataclass
 class ToxicityModel:
-    vocabulary: list
-    idf: np.ndarray
-    index: Index | None
-    curve: np.ndarray
-    weights: dict
     none_rate: float  # score of a text without neighbours
+    weights: dict = field(default_factory=dict)
+    vocabulary: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # sorted hashes of the examples' terms
+    frequencies: Frequencies | None = None
+    whole: WholeIndex | None = None
+    curve: np.ndarray | None = None
+    telling: np.ndarray | None = None  # number among the telling terms of each term of the vocabulary, or -1
+    index: Index | None = None
+    telling_curve: np.ndarray | None = None
+
+    def vectors(self, found):
+        """Of counted terms: the terms that examples have, with their weights in the whole text; the telling ones, by themselves."""
+        lengths = np.array([len(hashes) for hashes, _ in found])
+        met, where = np.unique(np.concatenate([hashes for hashes, _ in found]), return_inverse=True)
+        idf = self.frequencies.idf(met)
+        numbers = np.minimum(np.searchsorted(self.vocabulary, met), len(self.vocabulary) - 1)
+        numbers[self.vocabulary[numbers] != met] = -1
+        telling = np.where(numbers < 0, -1, self.telling[numbers])
+        for end, length, (_, counts) in zip(np.cumsum(lengths), lengths, found):
+            own = where[end - length : end]
+            weights, number, tells = weights_of(counts, idf[own]), numbers[own], telling[own]
+            few = np.flatnonzero(tells >= 0)
+            few = few[np.argsort(tells[few])]
+            yield (number[number >= 0], weights[number >= 0]), (tells[few], weights_of(counts[few], idf[own][few]))
+
+    def score_texts(self, found, known):
+        """(score, evidence) of each of the counted terms; ``known`` holds scores by telling terms."""
+        vectors, out = self.vectors(found), []
+        for at in range(0, len(found), QUERIES):
+            some = [next(vectors) for _ in found[at : at + QUERIES]]
+            for (_, telling), (places, cosines) in zip(some, self.whole.nearest_of([w for w, _ in some])):
+                if not len(places):
+                    out.append((self.none_rate, []))
+                    continue
+                score = self._curve(self.curve, votes(self.whole, places, cosines, self.weights))
+                evidence = [{"doc_id": int(self.whole.ids[p]), "label": int(self.whole.labels[p]), "cosine": float(c)}
+                            for p, c in zip(places[:EVIDENCE], cosines[:EVIDENCE])]
+                key = telling[0].tobytes(), telling[1].tobytes()
+                if key not in known:  # many texts have the same few telling terms
+                    if len(known) > CACHE_RESULTS:
+                        known.clear()
+                    near = self.index.nearest(*telling)
+                    known[key] = self._curve(self.telling_curve, votes(self.index, *near, self.weights)) if len(near[0]) else 0.0
+                out.append((max(score, known[key]), evidence))
+        return out
 
-    def score_text(self, found, leave_out=None):
-        """(score, evidence) of counted terms."""
-        places, cosines = self.index.nearest(*vector(*found, self.idf), leave_out=leave_out)
-        if not len(places):
-            return self.none_rate, []
-        share, top = votes(self.index, places, cosines, self.weights)
-        evidence = [{"doc_id": int(self.index.ids[p]), "label": int(self.index.labels[p]), "cosine": float(c)}
-                    for p, c in zip(places[:EVIDENCE], cosines[:EVIDENCE])]
-        return float(logistic(self.curve @ [share, share * top, 1.0])), evidence
+    @staticmethod
+    def _curve(curve, vote):
+        share, top = vote
+        return float(logistic(curve @ [share, share * top, 1.0]))
 
     def score(self, docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
         """doc_id, score, evidence of every row."""
         entry = pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", pa.list_(entry))])
 
-        def score(batches):
-            count, known = Terms(self.vocabulary), {}
-
-            def judge(text):
-                found = count(text)
-                key = found[0].tobytes(), found[1].tobytes()
-                if key not in known:  # many texts have the same few terms
-                    if len(known) > CACHE_RESULTS:
-                        known.clear()
-                    known[key] = self.score_text(found)
-                return known[key]
+        def rows(ids, out):
+            return batch_of(schema, (ids, [s for s, _ in out], [e for _, e in out]))
 
+        def score(batches):
+            count, known, ids, found, held = Terms(), {}, [], [], 0
             for batch in batches:
-                if self.index is None:
-                    out = [(self.none_rate, [])] * batch.num_rows
-                else:
-                    out = [judge(text) for text in batch.column("text").to_pylist()]
-                yield batch_of(schema, (batch.column("doc_id"), [s for s, _ in out], [e for _, e in out]))
+                if self.whole is None:
+                    yield rows(batch.column("doc_id"), [(self.none_rate, [])] * batch.num_rows)
+                    continue
+                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                    ids.append(doc)
+                    found.append(count(text))
+                    held += len(found[-1][0])
+                    if held > GROUP_TERMS:
+                        yield rows(ids, self.score_texts(found, known))
+                        ids, found, held = [], [], 0
+            if ids:
+                yield rows(ids, self.score_texts(found, known))
 
         return _texts(docs, id_column, text_column).mapInArrow(
             score, "doc_id long, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>")
@@ -232,60 +374,86 @@ def choose_vocabulary(sample: DataFrame, counts: dict, size=TERMS, min_chi2=MIN_
     return [row.term for row in top.collect()]
 
 
-def inverse_frequencies(docs: DataFrame, vocabulary, text_column="text") -> np.ndarray:
-    """idf of the vocabulary over all documents; each task sends one row per term it met."""
+def document_frequencies(docs: DataFrame, text_column="text") -> Frequencies:
+    """Counts of documents per term over all documents; each task adds up what it has read, up to a bound."""
+    schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
 
-    def frequencies(batches):
-        count, total, rows = Terms(vocabulary), np.zeros(len(vocabulary), np.int64), 0
+    def counted(batches):
+        count, new, held = Terms(), [], 0
+        sums = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                total[count(text)[0]] += 1
-                rows += 1
-        if rows:
-            met = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([-1, *met], pa.int32()), pa.array([rows, *total[met]], pa.int64())], names=["term", "n"])
-
-    sums = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text")).mapInArrow(frequencies, "term int, n long").groupBy("term")
-    found = {row.term: row.n for row in sums.agg(F.sum("n").alias("n")).collect()}
-    # Positive for every term, and near zero for one that nearly all documents have.
-    return np.array([np.log((2 + found.get(-1, 0)) / (1 + found.get(i, 0))) for i in range(len(vocabulary))])
+                new.append(count(text)[0])
+                held += len(new[-1])
+                if held > GROUP_TERMS // 4:
+                    hashes = np.concatenate([sums[0], *new])
+                    sums, new, held = _sums(hashes, np.concatenate([sums[1], np.ones(held, np.int64)])), [], 0
+                    if len(sums[0]) > GROUP_TERMS:
+                        yield batch_of(schema, sums)
+                        sums = np.empty(0, np.int64), np.empty(0, np.int64)
+        if held or len(sums[0]):
+            yield batch_of(schema, _sums(np.concatenate([sums[0], *new]), np.concatenate([sums[1], np.ones(held, np.int64)])))
+
+    uri = shared_folder(docs.sparkSession, "frequencies")
+    docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text")).mapInArrow(counted, "term long, n long").groupBy("term").agg(
+        F.sum("n").alias("n")).where("n > 1").sortWithinPartitions("term").write.parquet(uri)
+    files, path = filesystem(uri)
+    names = sorted(f.path for f in files.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+    return Frequencies(docs.count(), uri, names)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label_column="toxic", per_class=PER_CLASS,
           id_column="doc_id", text_column="text") -> ToxicityModel:
     sample, counts = training_sample(docs, labels, label_column, usable, per_class, id_column, text_column)
     if set(counts) != {0, 1}:
-        return ToxicityModel([], np.empty(0), None, np.zeros(3), {}, float(max(counts, default=0)))
-    vocabulary = choose_vocabulary(sample, counts)
-    idf = inverse_frequencies(docs, vocabulary, text_column)
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.float64()))])
+        return ToxicityModel(float(max(counts, default=0)))
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.binary()), ("counts", pa.binary())])
 
     def counted(batches):
-        count = Terms(vocabulary)
+        count = Terms()
         for batch in batches:
             found = [count(text) for text in batch.column("text").to_pylist()]
-            yield batch_of(schema, (batch.column("doc_id"), batch.column("label"), [t.tolist() for t, _ in found], [c.tolist() for _, c in found]))
+            yield batch_of(schema, (batch.column("doc_id"), batch.column("label"), [t.tobytes() for t, _ in found], [c.tobytes() for _, c in found]))
 
-    # At most 2 * per_class rows of at most TERMS terms reach the driver.
-    rows = sorted(sample.mapInArrow(counted, "doc_id long, label int, terms array<long>, counts array<double>").collect(),
-                  key=lambda r: (r.doc_id, r.label, r.terms))
+    # At most 2 * per_class rows reach the driver.
+    rows = sorted(sample.mapInArrow(counted, "doc_id long, label int, terms binary, counts binary").collect(),
+                  key=lambda r: (r.doc_id, r.label, bytes(r.terms), bytes(r.counts)))
     weights = class_weights(counts)
     bare = [weights[r.label] * np.array([r.label, 1.0]) for r in rows if not r.terms]
     whole = sum(n for n, _ in counts.values())
     rate = counts[1][0] / whole
     ones, all_bare = np.sum(bare, axis=0) if bare else (0.0, 0.0)
     full = [r for r in rows if r.terms]
-    vectors = [vector(np.array(r.terms, np.int64), np.array(r.counts), idf) for r in full]
-    model = ToxicityModel(vocabulary, idf, Index([r.doc_id for r in full], [r.label for r in full], vectors, len(vocabulary)),
-                          np.zeros(3), weights, float((ones + rate) / (all_bare + 1)))
-    features, targets, strength = [], [], []
-    for row, own in zip(full, vectors):
-        places, cosines = model.index.nearest(*own, leave_out=row.doc_id)
+    found = [(np.frombuffer(r.terms, np.int64), np.frombuffer(r.counts, np.int32)) for r in full]
+    model = ToxicityModel(float((ones + rate) / (all_bare + 1)), weights)
+    if not full:
+        return model
+    model.vocabulary = np.unique(np.concatenate([hashes for hashes, _ in found]))
+    model.frequencies = document_frequencies(docs, text_column)
+    chosen = choose_vocabulary(sample, counts)
+    model.telling = np.full(len(model.vocabulary), -1, np.int64)
+    hashes = np.array([xxhash.xxh64_intdigest(t) - (1 << 63) for t in chosen], np.int64)
+    model.telling[np.searchsorted(model.vocabulary, hashes)] = np.arange(len(chosen))
+    ids, targets = [r.doc_id for r in full], [r.label for r in full]
+    whole, telling = zip(*model.vectors(found))
+    model.whole = WholeIndex(ids, targets, whole, len(model.vocabulary))
+    near = (n for at in range(0, len(full), QUERIES) for n in model.whole.nearest_of(whole[at : at + QUERIES], leave_out=ids[at : at + QUERIES]))
+    model.curve = fit_votes(model.whole, near, targets, weights)
+    some = [i for i, (numbers, _) in enumerate(telling) if len(numbers)]
+    model.index = Index([ids[i] for i in some], [targets[i] for i in some], [telling[i] for i in some], len(chosen))
+    near = (model.index.nearest(*telling[i], leave_out=ids[i]) for i in some)
+    model.telling_curve = fit_votes(model.index, near, [targets[i] for i in some], weights)
+    return model
+
+
+def fit_votes(index, near, targets, weights):
+    """The curve over the votes of the neighbours of each example."""
+    features, labels = [], []
+    for (places, cosines), label in zip(near, targets):
         if len(places):
-            share, top = votes(model.index, places, cosines, weights)
+            share, top = votes(index, places, cosines, weights)
             features.append((share, share * top))
-            targets.append(row.label)
-            strength.append(weights[row.label])
-    if features:
-        model.curve = fit_curve(np.array(features), np.array(targets, float), np.array(strength))
-    return model
+            labels.append(label)
+    if not features:
+        return np.zeros(3)
+    return fit_curve(np.array(features), np.array(labels, float), np.array([weights[label] for label in labels]))

@@ -1,5 +1,8 @@
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketstream.llm import quality_model, toxicity
 from basketstream.llm.labelled import remainder
@@ -47,6 +50,31 @@ def test_nearest_is_exact():
         assert np.allclose(cosines, [-s for s, _ in want])
 
 
+def test_neighbours_from_raw_texts_count_every_term(text_spark):
+    """Evidence like brute force over whole texts; the only link of a pair of texts is a word that two of 400 have."""
+    draw = np.random.default_rng(8)
+    common = [f"word{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    texts = [" ".join(draw.choice(common, 12)) for _ in range(400)]
+    texts[399], texts[398] = "zebu quagga", "quagga okapi okapi"
+    docs = text_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = text_spark.createDataFrame([(i, int(i % 5 == 3)) for i in range(399)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    counts = [Counter(t for word in text.split() for t in toxicity.terms(word)) for text in texts]
+    df = Counter(t for own in counts for t in own)
+    vocabulary = sorted(df)
+    idf = np.log(402 / (1 + np.array([df[t] for t in vocabulary])))
+    dense = np.array([[1 + np.log(own[t]) if t in own else 0 for t in vocabulary] for own in counts]) * idf
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    for row in model.score(docs).collect():
+        scores = dense[:399] @ dense[row.doc_id]
+        want = sorted((-round(s, 9), i) for i, s in enumerate(scores) if s > 0)[: toxicity.EVIDENCE]
+        assert [e.doc_id for e in row.evidence] == [i for _, i in want] or np.allclose(
+            [scores[e.doc_id] for e in row.evidence], [-s for s, _ in want])
+        assert np.allclose([e.cosine for e in row.evidence], [-s for s, _ in want])
+        if row.doc_id == 399:
+            assert [(e.doc_id, e.label) for e in row.evidence] == [(398, 1)]
+
+
 def test_contexts_and_pooling_like_plain_loops():
     draw = np.random.default_rng(5)
     index = quality_model.index_vectors([f"t{i}" for i in range(20)])
