@@ -6,7 +6,10 @@ derives its digest columns from the operator's rows.
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketstream.llm import chat, exact_dedup, packing, quality_model, quality_rules, sentencepiece_codec, simhash, toxicity, url_filter, warc
+from basketstream.llm import (
+    chat, exact_dedup, packing, phrase_index, quality_model, quality_rules, repair, sentencepiece_codec, simhash, toxicity, url_filter, warc,
+    whitening,
+)
 from basketstream.llm.common import ready, table
 from basketstream.llm.labelled import remainder
 
@@ -185,3 +188,158 @@ def op2_sentencepiece(spark, sf):
     return sentencepiece_codec.decode(coded).select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
         (F.sha2(F.col("text").cast("binary"), 256) == F.col("carried")).alias("round_trip"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows of ``conversations`` with the faults that the CRC-32 of ``conv_id:turn`` deals out; nulls are one space."""
+    blank = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    dealt = F.crc32(F.concat_ws(":", blank("conv_id"), blank("turn")).cast("binary")) % 20
+    text = F.when(F.col("dealt") == 1, "").when(F.col("dealt") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = turns.select("conv_id", "turn", blank("role").alias("role"), blank("text").alias("text"), dealt.alias("dealt")).where("dealt <> 0")
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("dealt") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(F.col("dealt") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
+@query
+def op11_conversation_repair(spark, sf):
+    given = table(spark, sf, "conversations")
+    summary, edits = repair.repair(damaged(given))
+    found = summary.alias("s").join(repair.digests(edits).alias("d"), F.col("s.conv").eqNullSafe(F.col("d.conv")), "left")
+    every = given.select("conv_id").distinct().alias("c")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("c.conv_id").eqNullSafe(F.col("s.conv")), "left").select(
+        "conv_id", *(F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in counts), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+# The search again as a table of the best (cost, audit) per conversation, rows done and state:
+# 0 nothing yet, 1 after system, 2 after user, 3 after assistant. One insertion between two
+# rows, or two in front of the end of a lone system row, is all that can pay.
+ORACLES["op11_conversation_repair"] = r"""
+WITH RECURSIVE crc_bits AS (
+    SELECT i, CASE WHEN b7 & 1 = 1 THEN xor(b7 >> 1, 3988292384) ELSE b7 >> 1 END AS v FROM (
+    SELECT i, CASE WHEN b6 & 1 = 1 THEN xor(b6 >> 1, 3988292384) ELSE b6 >> 1 END AS b7 FROM (
+    SELECT i, CASE WHEN b5 & 1 = 1 THEN xor(b5 >> 1, 3988292384) ELSE b5 >> 1 END AS b6 FROM (
+    SELECT i, CASE WHEN b4 & 1 = 1 THEN xor(b4 >> 1, 3988292384) ELSE b4 >> 1 END AS b5 FROM (
+    SELECT i, CASE WHEN b3 & 1 = 1 THEN xor(b3 >> 1, 3988292384) ELSE b3 >> 1 END AS b4 FROM (
+    SELECT i, CASE WHEN b2 & 1 = 1 THEN xor(b2 >> 1, 3988292384) ELSE b2 >> 1 END AS b3 FROM (
+    SELECT i, CASE WHEN b1 & 1 = 1 THEN xor(b1 >> 1, 3988292384) ELSE b1 >> 1 END AS b2 FROM (
+    SELECT i, CASE WHEN i & 1 = 1 THEN xor(i >> 1, 3988292384) ELSE i >> 1 END AS b1 FROM range(256) AS r(i))))))))
+), crc_table AS (
+    SELECT list(v::BIGINT ORDER BY i) AS t FROM crc_bits
+), given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+), coded AS (
+    SELECT g.*, xor(list_reduce(list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+        lambda c, x: xor(c >> 8, list_extract(t, (xor(c, x) & 255)::BIGINT + 1)), 4294967295), 4294967295) % 20 AS dealt
+    FROM given g, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN dealt = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN dealt = 1 THEN '' WHEN dealt = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN dealt = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM coded WHERE dealt <> 0
+), placed AS (
+    SELECT *, coalesce(conv_id::VARCHAR, ' ') AS conv, left(role, 1) AS initial,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), copy) AS i,
+           count(*) OVER (PARTITION BY conv_id) AS n
+    FROM damaged
+), judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 't' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+    FROM placed
+), starts AS (
+    SELECT DISTINCT conv, n FROM judged
+), moves(letter, state, given, after, dear) AS (
+    VALUES ('K', 0, 's', 1, 0), ('K', 0, 'u', 2, 0), ('K', 1, 'u', 2, 0), ('K', 2, 'a', 3, 0), ('K', 3, 'u', 2, 0),
+           ('R', 0, '', 2, 2), ('R', 1, '', 2, 2), ('R', 2, '', 3, 2), ('R', 3, '', 2, 2),
+           ('D', 0, '', 0, 3), ('D', 1, '', 1, 3), ('D', 2, '', 2, 3), ('D', 3, '', 3, 3)
+), reached AS (
+    SELECT conv, n, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit FROM starts
+    UNION ALL
+    SELECT conv, n, i, state, b.cost, b.audit FROM (
+        SELECT r.conv, r.n, r.i + 1 AS i, m.after AS state,
+               min({'cost': r.cost + m.dear + CASE WHEN m.letter <> 'D' AND j.fault = 't' THEN 1 ELSE 0 END, 'audit': r.audit || m.letter}) AS b
+        FROM (
+            SELECT conv, n, i, state, cost, audit FROM reached
+            UNION ALL SELECT conv, n, i, CASE state WHEN 2 THEN 3 ELSE 2 END, cost + 2, audit || 'I' FROM reached
+        ) r
+        JOIN judged j ON j.conv = r.conv AND j.i = r.i + 1
+        JOIN moves m ON m.state = r.state AND (m.letter <> 'K' OR m.given = j.initial) AND (m.letter = 'D' OR j.fault NOT IN ('b', 'd'))
+        GROUP BY r.conv, r.n, r.i, m.after)
+), ended AS (
+    SELECT conv, min({'cost': cost, 'audit': audit}) AS b FROM (
+        SELECT conv, n, i, state, cost, audit FROM reached WHERE state IN (0, 3)
+        UNION ALL SELECT conv, n, i, 3, cost + 2, audit || 'I' FROM reached WHERE state = 2
+        UNION ALL SELECT conv, n, i, 3, cost + 4, audit || 'II' FROM reached WHERE state = 1
+    ) WHERE i = n GROUP BY conv
+), letters AS (
+    SELECT conv, p, substr(audit, p, 1) AS letter,
+           p - length(replace(left(audit, p), 'I', '')) AS inserted, length(replace(left(audit, p), 'D', '')) AS place,
+           length(replace(audit, 'D', '')) % 2 AS odd
+    FROM (SELECT conv, b.audit AS audit, unnest(range(1, length(b.audit) + 1)) AS p FROM ended)
+), lines AS (
+    SELECT l.conv, l.p, CASE WHEN letter = 'K' THEN j.role WHEN (place - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE WHEN letter = 'I' THEN '' ELSE j.text END AS line
+    FROM letters l LEFT JOIN judged j ON j.conv = l.conv AND j.i = l.p - l.inserted AND letter <> 'I'
+    WHERE letter <> 'D'
+), hashed AS (
+    SELECT conv, sha256(string_agg(line, chr(10) ORDER BY p)) AS hash FROM lines GROUP BY conv
+), counted AS (
+    SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+           count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM judged GROUP BY conv
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.b.cost, 0)::BIGINT AS cost,
+       coalesce(e.b.audit, '') AS audit, coalesce(h.hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, ' ') AS conv FROM conversations) o
+LEFT JOIN counted c USING (conv) LEFT JOIN ended e USING (conv) LEFT JOIN hashed h USING (conv)
+"""
+
+
+@query
+def op12_decontamination(spark, sf):
+    marked = phrase_index.mark_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return marked.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLES["op12_decontamination"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+    SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS phrase
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)
+), runs AS (
+    SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS phrase FROM (
+        SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+), hits AS (
+    SELECT r, s, k, item_id FROM runs JOIN windows USING (k, phrase)
+), counts AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN counts USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query
+def op13_whitening(spark, sf):
+    return whitening.whitened(table(spark, sf, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
