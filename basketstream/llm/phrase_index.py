@@ -21,7 +21,7 @@ words alone costs their lists, not products of them: both joins are equi joins o
 (row, term, place).
 
 *Proximity.* With ``slack`` above 0 every other term may lie up to ``slack`` words off
-its place as seen from the rarest term. Places become bins of ``2 slack + 1`` words,
+its place as seen from the rarest term (the first of several). Places become bins of ``2 slack + 1`` words,
 of which a term is looked up in the two that can hold it; exact search is the case of
 bins of one word.
 
@@ -97,7 +97,7 @@ def search(postings: DataFrame, phrases: Phrases, slack: int = 0) -> DataFrame:
     counted = phrases.places.join(counts, "term", "left")
     ranked = counted.groupBy("window").agg(
         F.count("*").alias("length"), F.count("n").alias("known"),
-        F.array_sort(F.collect_list(F.struct("n", "term", "offset"))).alias("by_rank")).where("length = known").drop("known")
+        F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("by_rank")).where("length = known").drop("known")
     ranked = write_once(ranked, "ranked")
     first, second = F.col("by_rank")[0], F.try_element_at("by_rank", F.lit(2))
     anchors = ranked.select("window", "length", first["term"].alias("term"), first["offset"].alias("offset"),

@@ -247,11 +247,9 @@ WITH RECURSIVE crc_bits AS (
            count(*) OVER (PARTITION BY conv_id) AS n
     FROM damaged
 ), judged AS (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
-]') THEN 'b'
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
-                   WHEN NOT regexp_matches(text, '[.!?][ 	-
-]*$') THEN 't' ELSE '' END AS fault,
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault,
            lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
     FROM placed
 ), starts AS (
