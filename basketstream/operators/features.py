@@ -3,7 +3,7 @@
 Both work for one day or for every day in one pass: the as-of date is a key.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from basketstream.fixed_values import (
     COUNT_FEATURES, LABEL_DAYS, RECENCY_FEATURES, SKU_EVENT_TYPES, SNAPSHOT_KEYS,
@@ -11,6 +11,7 @@ from basketstream.fixed_values import (
 from basketstream.functions.times import as_date, hours_between, midnight, source_time
 from basketstream.operators.marts import join_clients, of_type
 from basketstream.operators.quality import QualityError
+from basketstream.session import cut_lineage
 
 AS_OF = "feature_as_of_date_source"
 
@@ -155,6 +156,41 @@ def outcomes(purchases: DataFrame, as_of=None, candidates: DataFrame | None = No
     )
 
 
+def window_outcomes(pairs: DataFrame, purchases: DataFrame, start: str, length: str) -> DataFrame:
+    """``pairs`` with purchases_in_window and first_purchase_at_source in [start, start + length).
+
+    For windows of any length from any time of day. Time is cut into bins as long as
+    the window, so a window begins in one bin and ends in the next. Purchases, window
+    beginnings and window ends are rows of one union, dealt by pair and bin; in the
+    order of time, a beginning sees the purchases that follow in its bin, an end those
+    that came before in its own. No range join, and a pair with very many purchases is
+    spread over its bins. Rows of ``pairs`` are told apart by their position; a null
+    client, product or start has no purchases.
+    """
+    marked = cut_lineage(pairs.sparkSession, pairs.withColumn("_pair", F.monotonically_increasing_id()), "window-pairs")
+    seconds = lambda stamp: F.unix_micros(stamp.cast("timestamp"))  # noqa: E731  zone-free values count as UTC, the session zone
+    size = F.lit(pairs.sparkSession.range(1).select(F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {length})")).first()[0])
+    keys = ["client_id", "sku"]
+    bought = purchases.where("event_type = 'product_buy'").select(
+        *keys, seconds(F.col("event_time")).alias("at"), F.col("event_time").alias("bought_at"), F.lit(None).cast("bigint").alias("pair"), F.lit(1).alias("kind"), F.lit(False).alias("is_end"))
+    usable = marked.where(F.col(start).isNotNull() & F.col("client_id").isNotNull() & F.col("sku").isNotNull())
+    edge = lambda at, is_end: usable.select(
+        *keys, at.alias("at"), F.lit(None).cast("timestamp_ntz").alias("bought_at"), F.col("_pair").alias("pair"),
+        F.lit(0).alias("kind"), F.lit(is_end).alias("is_end"))
+    begin = seconds(F.col(start))
+    rows = bought.unionByName(edge(begin, False)).unionByName(edge(begin + size, True)).withColumn("bin", F.floor(F.col("at") / size))
+    # Beginnings and ends come before purchases of the same moment: the window holds its first moment, not its end.
+    order = W.partitionBy(*keys, "bin").orderBy("at", "kind")
+    after, before = order.rowsBetween(1, W.unboundedFollowing), order.rowsBetween(W.unboundedPreceding, -1)
+    looked = rows.select("pair", "is_end", F.count("bought_at").over(after).alias("n_after"), F.min("bought_at").over(after).alias("first_after"),
+                         F.count("bought_at").over(before).alias("n_before"), F.min("bought_at").over(before).alias("first_before"))
+    found = looked.where("pair IS NOT NULL").groupBy("pair").agg(
+        F.sum(F.when(F.col("is_end"), F.col("n_before")).otherwise(F.col("n_after"))).alias("purchases_in_window"),
+        F.min(F.when(F.col("is_end"), F.col("first_before")).otherwise(F.col("first_after"))).alias("first_purchase_at_source"))
+    return marked.join(found.withColumnRenamed("pair", "_pair"), "_pair", "left").drop("_pair").withColumn(
+        "purchases_in_window", F.coalesce("purchases_in_window", F.lit(0)))
+
+
 def labelled_pairs(snapshot: DataFrame, purchases: DataFrame, as_of=None) -> DataFrame:
     """Snapshot keys with outcome columns, including the matching purchase rows.
 

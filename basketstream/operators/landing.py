@@ -105,9 +105,9 @@ def insert_counts(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     )
 
 
-def assert_source_row_unique(landed: DataFrame, fresh: DataFrame, key: str) -> None:
+def assert_source_row_unique(landed: DataFrame, fresh: DataFrame, key: str, foreign_landed: DataFrame | None = None) -> None:
     """Two ids for one source row are an error, not a skip."""
-    clash = new_source_row_conflicts(landed, fresh, key).limit(1).collect()
+    clash = new_source_row_conflicts(landed, fresh, key, foreign_landed).limit(1).collect()
     if clash:
         raise QualityError(f"Source row claimed by several ids: {clash[0].asDict()}")
 

@@ -93,9 +93,11 @@ def source_row_conflicts(landed: DataFrame) -> DataFrame:
     return claims.where(F.col("row_count") > 1)
 
 
-def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame, key: str, foreign_landed: DataFrame | None = None) -> DataFrame:
     """The same for rows about to be landed, given that ``landed`` has no conflicts.
 
+    ``foreign_landed``: the landed source rows under another id, if they are on record.
+
     Their record ids are not landed yet, so a landed claim on one of their source
     rows is a conflict. An id normally follows from its source row. A conflict
     therefore has an id on one side that does not: either a fresh one, whose
@@ -108,7 +110,8 @@ def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame, key: str) -> D
     strange = fresh.where(foreign).select(proper.alias(key), *[F.col(c).alias(f"_{c}") for c in SOURCE_ROW])
     same_row = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in SOURCE_ROW])
     taken = landed.select(key, *SOURCE_ROW).join(strange, key).where(same_row).select(*SOURCE_ROW)
-    old = landed.where(foreign).select(*SOURCE_ROW).join(fresh.select(*SOURCE_ROW), SOURCE_ROW, "left_semi")
+    claimed = landed.where(foreign) if foreign_landed is None else foreign_landed
+    old = claimed.select(*SOURCE_ROW).join(fresh.select(*SOURCE_ROW), SOURCE_ROW, "left_semi")
     return among.unionByName(taken).unionByName(old)
 
 

@@ -4,11 +4,14 @@ import hashlib
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
+from basketstream.functions.checks import all_failures
+from basketstream.functions.ids import record_id
 from basketstream.operators.landing import (
-    assert_source_row_unique, insert_absent, landing_violations, looked_at, normalize_bronze, save_bucketed,
+    assert_source_row_unique, insert_absent, landing_rules, looked_at, normalize_bronze, save_bucketed,
 )
+from basketstream.operators.membership import LandingIndex, only_files
 from basketstream.operators.quality import QualityError
 from basketstream.schemas import BRONZE_COLUMNS, LANDING_COLUMNS, LEDGER_COLUMNS, PRIMARY_KEY, ddl, names
 from basketstream.session import cut_lineage
@@ -49,6 +52,10 @@ class Warehouse:
     def read_landing(self, spark, source):
         return spark.table(self.landing_table(spark, source))
 
+    def index(self, source):
+        root = os.path.join(self.root, "landing-index", f"{source}-{self.buckets}")
+        return LandingIndex(root, self.landing(source), PRIMARY_KEY[source], self.buckets)
+
     def append_landing(self, rows, source):
         """Append whole landing rows; each bucket gets one file per call."""
         spark = rows.sparkSession
@@ -61,12 +68,18 @@ class Warehouse:
 
 @dataclass
 class LoadResult:
-    """Files loaded and skipped, rows inserted, and unrecorded files that the caller's limit left over."""
+    """Files loaded and skipped, rows inserted, unrecorded files that the caller's limit left over, and rows read."""
 
     loaded: int
     skipped: int
     inserted: int
     pending: int = 0
+    processed: int = 0
+
+    @property
+    def present(self):
+        """Rows that were landed already, or came twice."""
+        return self.processed - self.inserted
 
 
 def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_files=None, max_file_rows=None, batch_files=BATCH_FILES):
@@ -78,24 +91,28 @@ def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_f
     with more than ``max_file_rows`` rows, ends the run with an error; files
     before it are loaded and recorded, it is not. Per batch, rows are written
     first and the ledger last: a run that dies in between leaves rows that the
-    next run finds present, and it then records the files.
+    next run finds present, and it then records the files. The listing is sorted
+    and numbered once; a batch reads its range of numbers.
     """
     for given in (max_new_files, max_file_rows, batch_files):
         if given is not None and given < 1:
             raise ValueError("Limits must be positive")
     listed = cut_lineage(spark, list_bronze(spark, bronze_root, source), "listing")
     files = cut_lineage(spark, looked_at(listed, warehouse.read_ledger(spark)), "files")
-    loaded, inserted, same, last, barrier = 0, 0, 0, "", None
-    while barrier is None and (max_new_files is None or loaded < max_new_files):
-        left = files.where("state <> 'skip'").where(F.col("relative_path") > last)
-        size = batch_files if max_new_files is None else min(batch_files, max_new_files - loaded)
-        batch = left.orderBy("relative_path").limit(size).collect()
-        if not batch:
+    numbered = cut_lineage(spark, files.where("state <> 'skip'").orderBy("relative_path").withColumn(
+        "_number", F.monotonically_increasing_id()), "numbered")
+    warehouse.index(source).refresh(spark)
+    loaded, inserted, processed, same, last, barrier = 0, 0, 0, 0, "", None
+    for low, high in _ranges(numbered, batch_files):
+        if max_new_files is not None and loaded >= max_new_files:
             break
+        batch = numbered.where(F.col("_number").between(low, high)).orderBy("_number").collect()
         found = {row["path"]: row for row in bronze_inventory(spark, bronze_root, source, [row["path"] for row in batch]).collect()}
         chosen = []
         for row in batch:
             now = found[row["path"]]
+            if max_new_files is not None and loaded + len(chosen) >= max_new_files:
+                break
             if row["state"] == "look":
                 if (now["file_sha256"], now["row_count"], now["file_size_bytes"]) != (
                         row["recorded_sha256"], row["recorded_rows"], row["recorded_bytes"]):
@@ -110,7 +127,10 @@ def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_f
             last = row["relative_path"]
         if chosen:
             inserted += _load(spark, bronze_root, warehouse, source, chosen)
+            processed += sum(row["row_count"] for row in chosen)
             loaded += len(chosen)
+        if barrier:
+            break
     if barrier:
         raise QualityError(f"Bronze file {source}/{barrier[0]} {barrier[1]}")
     after = F.col("relative_path") > last
@@ -118,7 +138,15 @@ def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_f
     counts = files.agg(
         F.count_if((F.col("state") == "skip") & (F.lit(whole) | ~after)).alias("skipped"),
         F.count_if((F.col("state") == "load") & after & F.lit(not whole)).alias("pending")).first()
-    return LoadResult(loaded, counts["skipped"] + same, inserted, counts["pending"])
+    return LoadResult(loaded, counts["skipped"] + same, inserted, counts["pending"], processed)
+
+
+def _ranges(numbered, size):
+    """First and last number of each batch of ``size`` files; one small row per task of the sort is collected."""
+    counts = numbered.groupBy(F.shiftright("_number", 33).alias("part")).count().collect()
+    for part, count in sorted(map(tuple, counts)):
+        for first in range(0, count, size):
+            yield (part << 33) + first, (part << 33) + first + size - 1
 
 
 def audit_recorded(spark, bronze_root, warehouse: Warehouse, source):
@@ -139,19 +167,23 @@ def _load(spark, bronze_root, warehouse, source, pending) -> int:
         F.col("_metadata.row_index").alias("_row"),
     )
     batch = normalize_bronze(placed, source, keep=["_file", "_row"])
-    landed = warehouse.read_landing(spark, source)
-    # Written once: the counts below and the landed rows must be the same rows.
-    fresh = cut_lineage(spark, insert_absent(landed, batch, key, ["_file", "_row"]), "fresh")
-
-    rows = fresh.drop("_file", "_row").withColumn("loaded_at_utc", F.current_timestamp())
-    broken = landing_violations(rows, source).limit(1).collect()
-    if broken:
-        raise QualityError(f"Landing rules broken: {broken[0]['violations']}")
-    assert_source_row_unique(landed, fresh, key)
+    index = warehouse.index(source)
+    landed = only_files(warehouse.read_landing(spark, source), index.holders(spark, batch))
+    # Written once: what is counted and what is landed are the same rows. The counts are taken as they are written.
+    rows = insert_absent(landed, batch, key, ["_file", "_row"]).withColumn("loaded_at_utc", F.current_timestamp())
+    seen, broken = Observation(), all_failures(landing_rules(source))
+    strange = ~F.col(key).eqNullSafe(record_id(F.col("source_file"), F.col("source_row_number")))
+    judged = rows.observe(seen, F.count("*").alias("inserted"), F.count_if(strange).alias("foreign"),
+                          F.first(F.when(F.size(broken) > 0, broken), True).alias("broken"))
+    fresh = cut_lineage(spark, judged, "fresh")
+    if seen.get["broken"]:
+        raise QualityError(f"Landing rules broken: {seen.get['broken']}")
+    assert_source_row_unique(landed, fresh, key, index.foreign(spark))
     _assert_unchanged(spark, bronze_root, source, pending)
-    warehouse.append_landing(rows, source)
+    warehouse.append_landing(fresh, source)
+    index.refresh(spark, rows=seen.get["inserted"], foreign=seen.get["foreign"] > 0)
     _record(spark, warehouse, fresh, pending)
-    return fresh.count()
+    return seen.get["inserted"]
 
 
 def _assert_unchanged(spark, bronze_root, source, pending):
@@ -164,12 +196,9 @@ def _assert_unchanged(spark, bronze_root, source, pending):
 
 
 def _record(spark, warehouse, fresh, pending):
-    files = spark.createDataFrame(pending)
-    counts = fresh.groupBy(F.col("_file").alias("path")).agg(F.count("*").alias("inserted_count"))
-    ledger = files.join(counts, "path", "left").select(
-        "source_name", "relative_path", "file_size_bytes", "file_sha256", "row_count",
-        F.coalesce("inserted_count", F.lit(0)).cast("bigint").alias("inserted_count"),
-        F.current_timestamp().alias("completed_at_utc"),
-        "file_modified_at_utc",
-    )
+    # Both are bounded by the files of a batch.
+    inserted = dict(map(tuple, fresh.groupBy("_file").count().collect()))
+    rows = [(*(row[name] for name in ("source_name", "relative_path", "file_size_bytes", "file_sha256", "row_count")),
+             inserted.get(row["path"], 0), None, row["file_modified_at_utc"]) for row in pending]
+    ledger = spark.createDataFrame(rows, ddl(LEDGER_COLUMNS)).withColumn("completed_at_utc", F.current_timestamp())
     ledger.coalesce(1).write.mode("append").parquet(warehouse.ledger)

@@ -340,6 +340,17 @@ def _contracts():
             " SELECT record_id, sku, category AS category_id, CAST(CASE WHEN price <= 20 THEN price + 30 ELSE price END AS INTEGER) "
             "AS price_bucket, name AS name_vector_raw, source_row_number, CAST(sku AS VARCHAR) AS message_key, kafka_partition, "
             "CASE WHEN price <= 20 THEN kafka_offset + 1000000000 ELSE kafka_offset END AS kafka_offset FROM j", JUDGED_PRODUCTS),
+        "stream_products": with_products(
+            " SELECT coalesce(validation_error, 'valid') AS outcome, CASE WHEN validation_error IS NULL THEN record_id END AS record_id, "
+            "CAST(sum(CASE WHEN low THEN 2 ELSE 1 END) AS BIGINT) AS records "
+            "FROM (SELECT *, price <= 20 AND price NOT IN (1, 7, 14, 15) AS low FROM j) GROUP BY ALL", JUDGED_PRODUCTS),
+        "stream_latest_products": with_products(
+            " SELECT record_id, sku, category AS category_id, CAST(CASE WHEN price <= 20 THEN price + 30 ELSE price END AS INTEGER) "
+            "AS price_bucket, name AS name_vector_raw, source_row_number, CAST(sku AS VARCHAR) AS message_key, kafka_partition, "
+            "CASE WHEN price <= 20 THEN kafka_offset + 1000000000 ELSE kafka_offset END AS kafka_offset FROM j "
+            "WHERE validation_error IS NULL", JUDGED_PRODUCTS),
+        "stream_repeats": with_events(
+            " SELECT event_type, count(*) AS landed_rows, count(*) AS distinct_ids FROM e GROUP BY event_type"),
         "bronze_topk": with_events(
             " SELECT kafka_partition, kafka_offset, event_id, event_type, client_id FROM j WHERE validation_error IS NULL "
             "ORDER BY kafka_partition, kafka_offset LIMIT 20", JUDGED),
@@ -421,6 +432,7 @@ def _marts():
             f" SELECT {PRODUCT_ID} AS record_id, {product_message}, sku, category AS category_id, price AS price_bucket, "
             f"name AS name_vector_raw, '{fixed.PRODUCT_FILE}' AS source_file, {lineage} FROM p"),
         "daily_event_activity": with_events(" " + daily),
+        "daily_event_activity_incremental": with_events(" " + daily),
         "client_prior_day": with_events(" " + activity, ACTIVITY),
         "client_product_candidates": with_events(" SELECT * FROM pairs", PAIRS),
         "feature_snapshot": with_events(f" SELECT {KEYS}, {COUNTS} FROM snap", *SNAP),
@@ -515,6 +527,12 @@ def _features():
         "snapshot_summary_unnamed": with_events(" " + summary, all_summary),
         "purchase_labels": with_events(labels + f" WHERE {ON_DAY}", *LABELLED),
         "labels_by_date": with_events(labels, *LABELLED),
+        "labels_any_window": with_events(
+            " SELECT c.client_id, c.sku, feature_as_of_date_source, window_start, count(e.event_time) AS purchases_in_window, "
+            "min(e.event_time) AS first_purchase_at_source FROM (SELECT client_id, sku, CAST(event_time AS DATE) + 1 AS feature_as_of_date_source, "
+            "max(event_time) + INTERVAL 1 SECOND AS window_start FROM e WHERE sku IS NOT NULL GROUP BY ALL) c "
+            "LEFT JOIN e ON e.event_type = 'product_buy' AND e.client_id = c.client_id AND e.sku = c.sku AND e.event_time >= window_start "
+            "AND e.event_time < window_start + INTERVAL 36 HOUR GROUP BY ALL"),
         "label_summary": with_events(" " + long(label_rows, day_labels), *LABELLED),
         "label_guard_counts": with_events(
             f" {guards} UNION ALL SELECT 'rows_of_other_dates', count(*) + count(*) FILTER (sku = 5) FROM snap WHERE NOT ({ON_DAY}) "

@@ -13,7 +13,7 @@ from basketstream import fixed_values as fixed
 from basketstream.functions.ids import record_id
 from basketstream.functions.once import add_once
 from basketstream.models import metrics, rows as model_rows, score as scoring, train as training
-from basketstream.operators import contract, envelope, features, landing, marts, parse, profile, quality
+from basketstream.operators import contract, daily_counts, envelope, features, landing, marts, parse, profile, quality
 from basketstream.plans import feeds, jobs
 from basketstream.plans.incremental import Warehouse, incremental_load as load_files
 from basketstream.session import cut_lineage, prepare, scratch_dir
@@ -500,6 +500,16 @@ def daily_event_activity(spark, sf):
     return marts.daily_event_activity(_staged(spark, sf))
 
 
+@query
+def daily_event_activity_incremental(spark, sf):
+    """The same mart after three loads, one of them run twice; each load brings its own rows only."""
+    staged, counts = _staged(spark, sf), daily_counts.DailyCounts(scratch_dir(spark, "daily-counts"))
+    part = F.pmod(F.col("source_row_number"), F.lit(3))
+    for load in (0, 1, 1, 2):
+        counts.update(staged.where(part == load), f"load-{load}")
+    return counts.mart(spark)
+
+
 @query
 def client_prior_day(spark, sf):
     return marts.client_prior_day(_staged(spark, sf))
@@ -711,6 +721,14 @@ def purchase_labels(spark, sf):
     return _rounded(features.build_labels(_pairs(spark, sf, ACTIVITY_DAY), raw, AS_OF))
 
 
+@query
+def labels_any_window(spark, sf):
+    """Purchases within 36 hours of a candidate's last interaction, whatever the time of day."""
+    pairs = marts.client_product_candidates(_staged(spark, sf)).select(
+        "client_id", "sku", "feature_as_of_date_source", (F.col("last_sku_interaction_at_source") + F.expr("INTERVAL 1 second")).alias("window_start"))
+    return features.window_outcomes(pairs, _purchases(spark, sf), "window_start", "36 hours")
+
+
 @query
 def labels_by_date(spark, sf):
     return _rounded(features.purchase_labels(_pairs(spark, sf), _purchases(spark, sf)))
@@ -826,6 +844,56 @@ def stream_rerun(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _products_inbox(spark, sf, root):
+    """Product records as Kafka-shaped files; those of low price come a second time with a later offset."""
+    inbox, feed = os.path.join(root, "inbox"), feeds.kafka_products(spark, sf, damaged=True).drop("source_row_number")
+    price = F.get_json_object(F.col("value").cast("string"), "$.price_bucket").cast("int")
+    feeds.redelivered(feed, price <= 20, "offset", 1_000_000_000).write.parquet(inbox)
+    return inbox
+
+
+@query
+def stream_products(spark, sf):
+    """The product topic through both of its queries: bronze rows, and how many of their key were refused."""
+    root = scratch_dir(spark, "product-stream")
+    paths = sinks.StreamPaths(root, "products")
+    sinks.run_topic(spark, sinks.file_stream(spark, _products_inbox(spark, sf, root), max_files_per_trigger=4), paths)
+    refused = spark.read.parquet(paths.quarantine).groupBy("validation_error").agg(F.count("*").alias("records"))
+    kept = spark.read.parquet(paths.bronze).groupBy("record_id").agg(F.count("*").alias("records"))
+    return kept.select(F.lit("valid").alias("outcome"), "record_id", "records").unionByName(
+        refused.select(F.col("validation_error").alias("outcome"), F.lit(None).cast("string").alias("record_id"), "records"))
+
+
+@query
+def stream_latest_products(spark, sf):
+    """Last version of every product, kept as keyed state while the records arrive; later versions cost more."""
+    root = scratch_dir(spark, "latest-stream")
+    records = sinks.file_stream(spark, _products_inbox(spark, sf, root), max_files_per_trigger=4)
+    valid, _ = parse.split_valid(parse.transform_products(records))
+    raised = F.when(F.col("kafka_offset") >= 1_000_000_000, F.col("price_bucket") + 30).otherwise(F.col("price_bucket"))
+    table = os.path.join(root, "latest")
+    sinks.start_latest(valid.withColumn("price_bucket", raised), table, os.path.join(root, "checkpoint")).awaitTermination()
+    return sinks.read_latest(spark, table).select(*_PRODUCT_OUT)
+
+
+@query
+def stream_repeats(spark, sf):
+    """Records sent again within one stream and by a second one: what each landed, and where it came from."""
+    root = scratch_dir(spark, "repeats-stream")
+    store, inbox = Warehouse(os.path.join(root, "warehouse")), os.path.join(root, "inbox")
+    feed = feeds.kafka_events(spark, sf).drop("source_row_number")
+    early = F.get_json_object(F.col("value").cast("string"), "$.event_time") < HALF
+    feeds.redelivered(feed.where(early), F.lit(True), "offset", 1_000_000_000).write.parquet(inbox)
+    for number in (1, 2):
+        valid, _ = parse.split_valid(parse.transform_events(sinks.file_stream(spark, inbox, max_files_per_trigger=8)))
+        # Each stream has state of its own, so the second one has to find the first one's rows in the landing.
+        sinks.start_landing(valid, "events", store, os.path.join(root, f"checkpoint-{number}")).awaitTermination()
+        if number == 1:
+            feed.write.mode("append").parquet(inbox)
+    landed = store.read_landing(spark, "events")
+    return landed.groupBy("event_type").agg(F.count("*").alias("landed_rows"), F.count_distinct("event_id").alias("distinct_ids"))
+
+
 def _landed_stream(spark, sf):
     """Records sent twice, those of product 2 with an offset that the landing refuses: (warehouse, rejects folder)."""
     root = scratch_dir(spark, "landing-stream")
