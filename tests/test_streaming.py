@@ -4,10 +4,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from basketstream.functions.ids import record_id
+from basketstream.operators.membership import LandingIndex
 from basketstream.plans.incremental import Warehouse
 from basketstream.sources import kafka
 from basketstream.streaming import sinks
-from test_contract import changed
+from test_contract import PRODUCT, changed
 from test_landing import event
 from test_parse import records
 
@@ -100,3 +102,92 @@ def test_connector_options(monkeypatch):
     stream = kafka.kafka_stream(Session, "host:9092", "topic", 500)
     assert stream["maxOffsetsPerTrigger"] == "500" and "endingOffsets" not in stream
     assert kafka.PRODUCER_OPTIONS["kafka.acks"] == "all"
+
+
+def own_ids(rows):
+    return rows.withColumn("event_id", record_id(F.col("source_file"), F.col("source_row_number")))
+
+
+def test_repeats_within_the_retention_do_not_ask_the_landing(spark, tmp_path, monkeypatch):
+    inbox, store = str(tmp_path / "inbox"), Warehouse(str(tmp_path / "warehouse"), 4)
+    asked = []
+    holders = LandingIndex.holders
+    monkeypatch.setattr(LandingIndex, "holders", lambda *a: asked.append(holders(*a)) or asked[-1])
+    for ids in ([1, 2, 2], [2, 3], [1, 2, 3]):
+        send(spark, inbox, ids)
+        valid = sinks.TRANSFORMS["events"](sinks.file_stream(spark, inbox)).where("is_valid").drop("is_valid", "validation_error")
+        sinks.start_landing(own_ids(valid), "events", store, str(tmp_path / "checkpoint")).awaitTermination()
+    assert sorted(row["client_id"] for row in store.read_landing(spark, "events").collect()) == [1, 2, 3]
+    assert all(paths == [] for paths in asked)
+
+
+def test_repeats_after_the_retention_are_found_in_the_landing(spark, tmp_path):
+    inbox, store = str(tmp_path / "inbox"), Warehouse(str(tmp_path / "warehouse"), 4)
+    for ids in ([1, 2], [3], [4], [1, 2, 5]):
+        send(spark, inbox, ids)
+        valid = sinks.TRANSFORMS["events"](sinks.file_stream(spark, inbox)).where("is_valid").drop("is_valid", "validation_error")
+        sinks.start_landing(own_ids(valid), "events", store, str(tmp_path / "checkpoint"), retention="1 millisecond").awaitTermination()
+    assert sorted(row["client_id"] for row in store.read_landing(spark, "events").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_a_batch_that_is_run_again_lands_nothing_twice(spark, tmp_path, monkeypatch):
+    inbox, store = str(tmp_path / "inbox"), Warehouse(str(tmp_path / "warehouse"), 4)
+    send(spark, inbox, [1, 2, 3])
+
+    def start():
+        valid = sinks.TRANSFORMS["events"](sinks.file_stream(spark, inbox)).where("is_valid").drop("is_valid", "validation_error")
+        return sinks.start_landing(own_ids(valid), "events", store, str(tmp_path / "checkpoint"))
+
+    def die(self, *rows):
+        append(self, *rows)
+        raise RuntimeError("killed after the rows were written")
+
+    append = Warehouse.append_landing
+    with monkeypatch.context() as patched:
+        patched.setattr(Warehouse, "append_landing", die)
+        with pytest.raises(Exception, match="killed"):
+            start().awaitTermination()
+    assert store.read_landing(spark, "events").count() == 3
+    start().awaitTermination()
+    assert sorted(row["client_id"] for row in store.read_landing(spark, "events").collect()) == [1, 2, 3]
+
+
+def test_a_mended_record_follows_a_refused_one(spark, tmp_path):
+    inbox, store, rejects = str(tmp_path / "inbox"), Warehouse(str(tmp_path / "warehouse"), 4), str(tmp_path / "rejects")
+    for offset in (-1, 5):
+        send(spark, inbox, [1])
+        valid = sinks.TRANSFORMS["events"](sinks.file_stream(spark, inbox)).where("is_valid").drop("is_valid", "validation_error")
+        rows = own_ids(valid).withColumn("kafka_offset", F.lit(offset).cast("bigint"))
+        sinks.start_landing(rows, "events", store, str(tmp_path / "checkpoint"), rejects).awaitTermination()
+    assert store.read_landing(spark, "events").count() == 1 and spark.read.parquet(rejects).count() == 1
+
+
+def test_latest_products_as_a_stream(spark, tmp_path):
+    inbox, table = str(tmp_path / "inbox"), str(tmp_path / "latest")
+    for price, offsets in ((10, [0, 7]), (20, [3, 2]), (30, [9, 1])):
+        rows = [("88231", changed(PRODUCT, "price_bucket", price)), ("5", changed({**PRODUCT, "sku": 5}, "price_bucket", price))]
+        batch = records(spark, rows).withColumn("offset", F.when(F.col("key").cast("string") == "5", offsets[1]).otherwise(offsets[0]).cast("bigint"))
+        batch.write.mode("append").parquet(inbox)
+        valid = sinks.TRANSFORMS["products"](sinks.file_stream(spark, inbox, 1)).where("is_valid").drop("is_valid", "validation_error")
+        sinks.start_latest(valid, table, str(tmp_path / "checkpoint")).awaitTermination()
+    found = {r["message_key"]: (r["kafka_offset"], r["price_bucket"]) for r in sinks.read_latest(spark, table).collect()}
+    assert found == {"88231": (9, 30), "5": (7, 10)}
+
+
+def test_a_cap_bounds_each_batch_and_a_timed_trigger_runs(spark, tmp_path):
+    inbox, paths = str(tmp_path / "inbox"), sinks.StreamPaths(str(tmp_path), "events")
+    for ids in ([1], [2], [3]):
+        send(spark, inbox, ids)
+    stream = sinks.TRANSFORMS["events"](sinks.file_stream(spark, inbox, 1)).where("is_valid").drop("is_valid", "validation_error")
+    query = sinks.start_sink(stream, "capped", paths.bronze, paths.checkpoint("bronze"))
+    query.awaitTermination()
+    files = len([p for p in os.listdir(inbox) if p.endswith(".parquet")])
+    sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(sizes) == 3 and len(query.recentProgress) >= files and max(sizes) == 1
+    timed = sinks.start_sink(stream, "timed", paths.bronze, paths.checkpoint("bronze"), every="1 second")
+    try:
+        send(spark, inbox, [4])
+        timed.processAllAvailable()
+        assert spark.read.parquet(paths.bronze).count() == 4 and timed.isActive
+    finally:
+        timed.stop()
