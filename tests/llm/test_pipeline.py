@@ -8,7 +8,7 @@ from basketstream.llm.labelled import remainder
 from basketstream.llm.queries import QUALITY_THRESHOLD
 from test_exact_dedup import expected
 from test_quality_rules import plain
-from test_simhash import plain_components, plain_fingerprint
+from test_similar import plain_keep
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,8 +51,8 @@ def test_rules_stage(stages, text_spark):
 def test_dedup_stages(stages):
     rows = list(texts(stages[2]).items())
     assert set(texts(stages[3])) == {keep for _, keep, _, _ in expected(rows)}
-    ids, prints = zip(*((i, plain_fingerprint(t)) for i, t in sorted(texts(stages[3]).items())))
-    assert set(texts(stages[4])) == set(plain_components(prints, ids))
+    ids, rows = zip(*sorted(texts(stages[3]).items()))
+    assert set(texts(stages[4])) == {ids[i] for i in plain_keep(rows)}
     for before, after in zip(stages[:4], stages[1:5]):
         assert after.columns == before.columns
         kept = texts(before)
@@ -73,7 +73,7 @@ def test_run_packs_what_is_left(stages, text_spark):
 def test_odd_and_empty_tables_pass_every_stage(text_spark, odd, nothing, monkeypatch):
     labels = text_spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
     monkeypatch.setattr(corpus_pipeline, "table", lambda spark, sf, name: labels)
-    for docs in (odd, nothing):
+    for docs in (exact_dedup.write_once(odd, "odd"), exact_dedup.write_once(nothing, "nothing")):
         for name, stage in corpus_pipeline.STAGES[:4]:
             kept = stage(text_spark, docs, "")
             assert kept.schema == docs.schema, name
