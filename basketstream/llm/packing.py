@@ -13,8 +13,9 @@ are taken in groups of ``merge_tasks``; the pieces of a group (at most
 then is joined and cut into full sequences. The last rest of a group is cut into
 powers of two, which need no padding.
 
-Ids are those of the named vocabulary for texts in which strings of special
-tokens are ordinary text. Words repeat: a worker remembers the ids of the pieces
+Ids are those that the named tokenizer gives with its own settings. A text that
+holds the string of one of its added tokens is encoded by it; for all others its
+ranks in a faster library give the same ids. Words repeat: a worker remembers the ids of the pieces
 between single spaces, which byte-level pre-tokenisation never crosses, and
 encodes only new ones. Texts with other white space beside a space are encoded
 whole.
@@ -42,7 +43,7 @@ OPEN_WINDOWS = 64
 MIN_CUT = 16
 MERGE_TASKS = 16
 CACHE_PIECES = 600_000  # remembered by a worker, at about 200 bytes each
-VOCABULARY = "byte_bpe_50k.tiktoken"  # the ids of byte_bpe_50k.json, as ranks
+VOCABULARY = "byte_bpe_50k"  # .json is the tokenizer, .tiktoken has its ids as ranks
 
 PIECE_TYPE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary, open boolean"
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
@@ -52,8 +53,12 @@ PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.
 class Encoder:
     """Byte-level BPE ids of whole texts, as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, tokenizer_path: str, ranks_path: str, pattern: str):
         import tiktoken
+        from tokenizers import Tokenizer
+
+        self.named = Tokenizer.from_file(tokenizer_path)
+        self.added = [token.content for token in self.named.get_added_tokens_decoder().values()]
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -82,6 +87,8 @@ class Encoder:
             self.known.update(zip(part, (data[a:b] for a, b in zip((4 * starts).tolist(), ends))))
 
     def ids(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return array.array("I", self.named.encode(text, add_special_tokens=False).ids).tobytes()
         pieces = text.split(" ")
         if len(pieces) == 1 or pieces[0][-1:].isspace() or not pieces[0]:
             return self.whole(text)
@@ -98,7 +105,8 @@ def encoder(vocabulary: str) -> Encoder:
     if vocabulary not in _ENCODERS:
         import public_tokenizers
 
-        _ENCODERS[vocabulary] = Encoder(public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
+        files = [public_tokenizers.path(f"{vocabulary}.{kind}") for kind in ("json", "tiktoken")]
+        _ENCODERS[vocabulary] = Encoder(*files, public_tokenizers.PATTERN)
     return _ENCODERS[vocabulary]
 
 

@@ -13,7 +13,6 @@ from conftest_data import ROWS, documents
 @pytest.fixture(scope="module")
 def reference_ids():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -57,9 +56,10 @@ def test_little_padding(text_spark, reference_ids):
     assert padding < 0.01 * sum(filled.values())
 
 
-def test_special_strings_are_text(reference_ids):
+def test_ids_are_those_of_the_named_tokenizer(reference_ids, text_spark):
     coder = packing.encoder(packing.VOCABULARY)
-    for text in ["a <|endoftext|> b", "  two  spaces ", "tab\t x", "x \n y", "", " ", "it's  don't"]:
+    given = [r.text for r in text_spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    for text in [t or "" for t in given] + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "<|endoftext |>", "  two  spaces ", "tab\t x", "x \n y", "", " ", "it's  don't"]:
         coder.learn([text])
         assert np.frombuffer(coder.ids(text), np.uint32).tolist() == reference_ids(text)[:-1]
 
