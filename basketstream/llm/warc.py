@@ -13,8 +13,8 @@ carry its digest and the payload's length. Which record is which is settled by
 one aggregation on (digest, length), which moves ids and digests only and combines
 in each task first; payloads move once, in the join with its result.
 
-*Reading back* deals out frames, not files: a task seeks to its frames,
-decompresses each once, and cuts the records that the index names.
+*Reading back* deals out frames, not files, to as many tasks as their bytes ask for:
+a task seeks to its frames, decompresses each once, and cuts the records that the index names.
 
 A bundle appears under its name only when it is complete, and its name holds the
 task attempt that wrote it. The index names the attempts whose index rows were
@@ -22,7 +22,7 @@ committed, so a lost or repeated task leaves at most a bundle that nothing
 refers to. Bundles lie in the folder named by ``spark.checkpoint.dir``.
 
 Defined cases: a null payload is empty; a null id is written as an empty id and
-compared as the smallest; of equal payloads with the same largest id, one record is the response
+compared as the smallest; a very long payload is a frame of its own and passes whole; of equal payloads with the same largest id, one record is the response
 and the others revisit it; an empty table writes no bundle and gives an empty
 result; further columns are ignored.
 """
@@ -40,6 +40,7 @@ from basketstream.llm.common import batch_of, filesystem, put_file, shared_folde
 
 FRAME_BYTES = 1 << 20
 LEVEL = 3
+TASK_BYTES = 32 << 20  # compressed bytes that a task reads back
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed values of the seekable Zstandard format
 DATE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -167,7 +168,7 @@ def write_bundles(records: DataFrame, folder: str, frame_bytes=FRAME_BYTES, leve
         def fill(stream):
             writer = BundleWriter(stream, frame_bytes, level)
             for batch in _and(first, batches):
-                for r in batch.to_pylist():
+                for r in _rows(batch):
                     data = record(r["row"], r["record_id"], r["url"], r["kind"], r["digest"], r["length"], r["payload"], r["refers_to"])
                     places.append((r["row"], r["record_id"], *writer.add(data)))
             writer.finish()
@@ -184,6 +185,12 @@ def write_bundles(records: DataFrame, folder: str, frame_bytes=FRAME_BYTES, leve
     return write_once(records.mapInArrow(write, INDEX_TYPE), "warc-index")
 
 
+def _rows(batch: pa.RecordBatch, step: int = 16):
+    """Rows of a batch as dictionaries, a few at a time, as payloads can be long."""
+    for at in range(0, batch.num_rows, step):
+        yield from batch.slice(at, step).to_pylist()
+
+
 def _and(first, rest):
     yield first
     yield from rest
@@ -237,8 +244,11 @@ def read_records(index: DataFrame) -> DataFrame:
             if stream:
                 stream.close()
 
-    # Whole frames go to one task each, in the order of the file.
-    dealt = index.repartition("bundle", F.expr("frame div 8")).sortWithinPartitions("bundle", "frame_at", "offset")
+    # Whole frames go to one task each, in the order of the file. The index has few bytes, so tasks are counted by what they will read.
+    frames = index.groupBy("bundle", "frame").agg(F.first("frame_bytes").alias("bytes"))
+    total = frames.agg(F.sum("bytes")).first()[0] or 0
+    parts = max(-(-total // TASK_BYTES), index.sparkSession.sparkContext.defaultParallelism)
+    dealt = index.repartition(parts, "bundle", "frame").sortWithinPartitions("bundle", "frame_at", "offset")
     return dealt.mapInArrow(read, RECORD_TYPE)
 
 

@@ -4,6 +4,7 @@ import io
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from basketstream.llm import warc
 
@@ -51,3 +52,18 @@ def test_seek_table_and_plain_decompression_agree():
 
 def test_no_pages(pages):
     assert warc.read_records(warc.archive(pages.where("1 = 0"))[1]).count() == 0
+
+
+def test_read_back_uses_tasks_by_bytes(text_spark, monkeypatch):
+    """Many frames in few bundles are read by many tasks."""
+    import random
+
+    draw = random.Random(1)
+    rows = [(i, f"http://x/{i}", "".join(chr(draw.randrange(33, 126)) for _ in range(2000))) for i in range(400)]
+    pages = text_spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    _, index = warc.archive(pages, frame_bytes=8000)
+    monkeypatch.setattr(warc, "TASK_BYTES", 10_000)
+    read = warc.read_records(index)
+    tasks = read.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 20 and index.select("frame").distinct().count() > 50
+    assert {r.record_id: bytes(r.payload).decode() for r in read.collect()} == {i: html for i, _, html in rows}
