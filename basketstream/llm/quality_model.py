@@ -3,12 +3,14 @@
 *Tokens.* A word gives its letters in lower case, its run of other characters, a
 mark when it is all capitals, and a mark when it repeats the word before.
 
-*Word vectors.* Every vocabulary token has a sparse ternary index vector, drawn
-from a hash of its text. Its context vector is the sum of the index vectors of
-its neighbours, two to either side, over **all documents**: each task sums what
-it has read and Spark adds the sums up per token and dimension. The word vector
-is the context vector, centred and scaled to length 1, plus the index vector.
-The vocabulary is the most frequent tokens of the training sample.
+*Word vectors.* Every token whatever has a sparse ternary index vector, drawn from
+a hash of its text. Those of the vocabulary have a context vector too: the sum of
+the index vectors of their neighbours, two to either side, over **all documents**;
+each task sums what it has read and Spark adds the sums up per token and dimension.
+The word vector is the context vector, centred and scaled to length 1, plus the
+index vector of length 1; for a token outside the vocabulary it is the latter alone.
+The vocabulary is the tokens that most texts of the training sample contain, up to
+``VOCABULARY``; it bounds the context table, not the tokens that count.
 
 *Pooling.* A text is cut into segments of ``SEGMENT`` tokens; its features are
 the mean over all tokens and, per dimension, the largest and smallest segment
@@ -43,9 +45,10 @@ PER_CLASS = 3000
 SEGMENT = 256
 WINDOW = 2
 HIDDEN = 32
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
+CACHE_TOKENS = 150_000  # outside the vocabulary, with their vectors
 LETTERS = re.compile(r"[^\W\d_]+")
-CAPITALS, SAME, RARE = "<capitals>", "<same>", "<rare>"
+CAPITALS, SAME = "<capitals>", "<same>"
 
 
 def parts(word: str) -> tuple:
@@ -54,45 +57,77 @@ def parts(word: str) -> tuple:
     rest = LETTERS.sub("", word)
     out = [letters.lower()] if letters else []
     if rest:
-        out.append(rest[:8])
+        out.append(rest)
     if len(letters) > 1 and letters.isupper():
         out.append(CAPITALS)
     return tuple(out)
 
 
 class Tokens:
-    """Token numbers of texts; words are remembered up to a bound."""
+    """Token numbers of texts, and index vectors by number; what is remembered is bounded between texts.
 
-    def __init__(self, vocabulary):
-        self.number = {token: i for i, token in enumerate(vocabulary)}
-        self.rare, self.same = self.number[RARE], self.number[SAME]
-        self.known = {}
+    Tokens of the vocabulary have the first numbers; others get the next ones as they
+    come, and new numbers after the memory was cleared.
+    """
+
+    def __init__(self, vocabulary, vectors=None):
+        self.own = {token: i for i, token in enumerate(vocabulary)}
+        self.first = index_vectors(vocabulary) if vectors is None else vectors
+        self.scale = 1.0 if vectors is not None else float(np.sqrt(NONZERO))
+        self.clear()
+
+    def clear(self):
+        self.number, self.known, self.new = dict(self.own), {}, []
+        self.table = np.concatenate([self.first, np.zeros((len(self.first) // 2 + 1024, DIMENSIONS), np.float32)])
 
     def __call__(self, text: str) -> np.ndarray:
-        out, known, before = [], self.known, None
+        if len(self.known) > CACHE_WORDS or len(self.number) > len(self.own) + CACHE_TOKENS:
+            self.clear()
+        out, known, number, before, same = [], self.known, self.number, None, self.own[SAME]
         for word in text.split():
             numbers = known.get(word)
             if numbers is None:
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                numbers = known[word] = tuple(self.number.get(t, self.rare) for t in parts(word))
+                numbers = []
+                for token in parts(word):
+                    at = number.get(token)
+                    if at is None:
+                        at = number[token] = len(number)
+                        self.new.append(token)
+                    numbers.append(at)
+                known[word] = numbers
             out += numbers
             if word == before:
-                out.append(self.same)
+                out.append(same)
             before = word
         return np.array(out, np.int32)
 
+    def vectors(self) -> np.ndarray:
+        """Vectors of all numbers given so far."""
+        if self.new:
+            size, end = len(self.number) - len(self.new), len(self.number)
+            if end > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros((end, DIMENSIONS), np.float32)])
+            self.table[size:end] = index_vectors(self.new) * np.float32(self.scale / np.sqrt(NONZERO))
+            self.new = []
+        return self.table
+
+
+_GROUPS = np.arange(NONZERO + 1) * DIMENSIONS // NONZERO
+
 
-def index_vectors(vocabulary) -> np.ndarray:
-    out = np.zeros((len(vocabulary), DIMENSIONS), np.float32)
-    for row, token in enumerate(vocabulary):
-        draw = np.random.default_rng(xxhash.xxh64_intdigest(token))
-        out[row, draw.permutation(DIMENSIONS)[:NONZERO]] = draw.choice([-1.0, 1.0], NONZERO)
+def index_vectors(tokens) -> np.ndarray:
+    """Sparse ternary vectors: one entry of 1 or -1 in each of ``NONZERO`` groups of dimensions, by the token's hash."""
+    drawn = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t) for t in tokens), np.uint8).reshape(-1, 16)
+    out, rows = np.zeros((len(drawn), DIMENSIONS), np.float32), np.arange(len(drawn))
+    for group in range(NONZERO):
+        size = _GROUPS[group + 1] - _GROUPS[group]
+        value = drawn[:, 2 * group].astype(np.int64) << 8 | drawn[:, 2 * group + 1]
+        out[rows, _GROUPS[group] + (value >> 1) % size] = 1.0 - 2.0 * (value & 1)
     return out
 
 
 def context_sums(numbers: np.ndarray, index: np.ndarray, into: np.ndarray) -> None:
-    """Add to ``into`` the index vectors of each token's neighbours in one text."""
+    """Add to ``into`` the index vectors of the neighbours in one text of each token that it has a row for."""
     for at in range(0, len(numbers), 1 << 16):
         low, high = max(0, at - WINDOW), min(len(numbers), at + (1 << 16) + WINDOW)
         vectors = index[numbers[low:high]]
@@ -102,6 +137,10 @@ def context_sums(numbers: np.ndarray, index: np.ndarray, into: np.ndarray) -> No
             near[:-step] += vectors[step:]
         own = slice(at - low, min(len(numbers), at + (1 << 16)) - low)
         tokens, near = numbers[low:high][own], near[own]
+        kept = tokens < len(into)
+        tokens, near = tokens[kept], near[kept]
+        if not len(tokens):
+            continue
         order = np.argsort(tokens, kind="stable")
         tokens = tokens[order]
         starts = np.flatnonzero(np.diff(tokens, prepend=-1))
@@ -183,14 +222,14 @@ class QualityModel:
     def _scores(self, tokens, texts):
         if self.network is None or not texts:
             return [self.rate] * len(texts)
-        return self.network.scores(np.stack([pool(tokens(t), self.vectors) for t in texts]))
+        return self.network.scores(np.stack([pool(tokens(t), tokens.vectors()) for t in texts]))
 
     def score(self, docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
         """doc_id, score of every row."""
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
         def score(batches):
-            tokens = Tokens(self.vocabulary) if self.network else None
+            tokens = Tokens(self.vocabulary, self.vectors) if self.network else None
             for batch in batches:
                 yield batch_of(schema, (batch.column("doc_id"), self._scores(tokens, batch.column("text").to_pylist())))
 
@@ -201,7 +240,7 @@ class QualityModel:
         """The rows of ``docs`` with a score of at least ``threshold``."""
 
         def keep(batches):
-            tokens = Tokens(self.vocabulary) if self.network else None
+            tokens = Tokens(self.vocabulary, self.vectors) if self.network else None
             for batch in batches:
                 scores = self._scores(tokens, batch.column("text").to_pylist())
                 carried = batch.column("carried").filter(pa.array(np.asarray(scores) >= threshold, pa.bool_()))
@@ -225,8 +264,8 @@ def choose_vocabulary(sample: DataFrame, size=VOCABULARY) -> list:
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["token"])
 
     top = sample.select("text").mapInArrow(tokens, "token string").groupBy("token").count().where("count > 2").orderBy(
-        F.desc("count"), "token").limit(size - 3)
-    return [RARE, SAME, CAPITALS] + [row.token for row in top.collect() if row.token != CAPITALS]
+        F.desc("count"), "token").limit(size - 2)
+    return [SAME, CAPITALS] + [row.token for row in top.collect() if row.token != CAPITALS]
 
 
 def word_vectors(docs: DataFrame, vocabulary, text_column="text") -> np.ndarray:
@@ -237,7 +276,8 @@ def word_vectors(docs: DataFrame, vocabulary, text_column="text") -> np.ndarray:
         tokens, into, any_row = Tokens(vocabulary), np.zeros(index.shape, np.float64), False
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                context_sums(tokens(text), index, into)
+                numbers = tokens(text)
+                context_sums(numbers, tokens.vectors(), into)
                 any_row = True
         if any_row:
             seen = np.flatnonzero(np.abs(into).sum(1))
@@ -268,9 +308,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label_column="qual
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.float32()))])
 
     def pooled(batches):
-        tokens = Tokens(vocabulary)
+        tokens = Tokens(vocabulary, vectors)
         for batch in batches:
-            rows = [pool(tokens(t), vectors).tolist() for t in batch.column("text").to_pylist()]
+            rows = [pool(tokens(t), tokens.vectors()).tolist() for t in batch.column("text").to_pylist()]
             yield batch_of(schema, (batch.column("doc_id"), batch.column("label"), rows))
 
     # At most 2 * per_class rows reach the driver, in a fixed order.
