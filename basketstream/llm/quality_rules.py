@@ -40,7 +40,6 @@ FEATURES = {
     "word_length": "word_chars / n_words",
 }
 BINS = 32
-MAX_RULES, MAX_CONDITIONS = 12, 3
 MIN_PRECISION, MIN_ROWS = 0.97, 20
 
 
@@ -163,9 +162,9 @@ def learn(measured: DataFrame, labels: DataFrame, id_column="doc_id", label_colu
     binned = rows.select("*", *[
         F.expr(f"size(filter(array({', '.join(f'{c!r}D' for c in cuts[n])}), c -> c < {n}))").alias(f"bin_{n}") for n in FEATURES])
     left, rules = write_once(binned, "rule-bins"), []
-    while len(rules) < MAX_RULES:
+    while True:
         rule = []
-        while len(rule) < MAX_CONDITIONS and (new := _best(_histogram(left.where(covers(rule))), cuts, rule)):
+        while (new := _best(_histogram(left.where(covers(rule))), cuts, rule)):
             rule.append(new)
         if not rule:
             break
