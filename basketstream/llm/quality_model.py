@@ -45,16 +45,21 @@ PER_CLASS = 3000
 SEGMENT = 256
 WINDOW = 2
 HIDDEN = 32
-CACHE_WORDS = 300_000
-CACHE_TOKENS = 150_000  # outside the vocabulary, with their vectors
+CACHE_WORDS = 400_000
+CACHE_TOKENS = 300_000  # outside the vocabulary, with their vectors
 LETTERS = re.compile(r"[^\W\d_]+")
 CAPITALS, SAME = "<capitals>", "<same>"
 
 
 def parts(word: str) -> tuple:
     """Tokens of a word: letters in lower case, the rest, a mark for capitals."""
-    letters = "".join(LETTERS.findall(word))
-    rest = LETTERS.sub("", word)
+    # Most words are letters alone, or letters and a sign behind them.
+    if word.isalpha():
+        letters, rest = word, ""
+    elif word[:-1].isalpha() and not word[-1].isalnum():
+        letters, rest = word[:-1], word[-1]
+    else:
+        letters, rest = "".join(LETTERS.findall(word)), LETTERS.sub("", word)
     out = [letters.lower()] if letters else []
     if rest:
         out.append(rest)
@@ -72,13 +77,14 @@ class Tokens:
 
     def __init__(self, vocabulary, vectors=None):
         self.own = {token: i for i, token in enumerate(vocabulary)}
-        self.first = index_vectors(vocabulary) if vectors is None else vectors
-        self.scale = 1.0 if vectors is not None else float(np.sqrt(NONZERO))
+        # For contexts the entries are 0, 1 and -1; in word vectors an index vector has length 1.
+        self.first = index_vectors(vocabulary).astype(np.int8) if vectors is None else vectors
+        self.length = np.int8(1) if vectors is None else np.float32(1 / np.sqrt(NONZERO))
         self.clear()
 
     def clear(self):
         self.number, self.known, self.new = dict(self.own), {}, []
-        self.table = np.concatenate([self.first, np.zeros((len(self.first) // 2 + 1024, DIMENSIONS), np.float32)])
+        self.table = np.concatenate([self.first, np.zeros((1024, DIMENSIONS), self.first.dtype)])
 
     def __call__(self, text: str) -> np.ndarray:
         if len(self.known) > CACHE_WORDS or len(self.number) > len(self.own) + CACHE_TOKENS:
@@ -106,8 +112,8 @@ class Tokens:
         if self.new:
             size, end = len(self.number) - len(self.new), len(self.number)
             if end > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros((end, DIMENSIONS), np.float32)])
-            self.table[size:end] = index_vectors(self.new) * np.float32(self.scale / np.sqrt(NONZERO))
+                self.table = np.concatenate([self.table, np.zeros((end, DIMENSIONS), self.table.dtype)])
+            self.table[size:end] = index_vectors(self.new).astype(self.table.dtype) * self.length
             self.new = []
         return self.table
 
@@ -135,16 +141,13 @@ def context_sums(numbers: np.ndarray, index: np.ndarray, into: np.ndarray) -> No
         for step in range(1, WINDOW + 1):
             near[step:] += vectors[:-step]
             near[:-step] += vectors[step:]
-        own = slice(at - low, min(len(numbers), at + (1 << 16)) - low)
-        tokens, near = numbers[low:high][own], near[own]
-        kept = tokens < len(into)
-        tokens, near = tokens[kept], near[kept]
-        if not len(tokens):
-            continue
-        order = np.argsort(tokens, kind="stable")
-        tokens = tokens[order]
+        own = np.arange(at, min(len(numbers), at + (1 << 16))) - low
+        own = own[numbers[low:high][own] < len(into)]
+        own = own[np.argsort(numbers[low:high][own], kind="stable")]
+        tokens = numbers[low:high][own]
         starts = np.flatnonzero(np.diff(tokens, prepend=-1))
-        into[tokens[starts]] += np.add.reduceat(near[order], starts, axis=0)
+        if len(starts):
+            into[tokens[starts]] += np.add.reduceat(near[own], starts, axis=0, dtype=np.int32)
 
 
 def pool(numbers: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -270,7 +273,7 @@ def choose_vocabulary(sample: DataFrame, size=VOCABULARY) -> list:
 
 def word_vectors(docs: DataFrame, vocabulary, text_column="text") -> np.ndarray:
     """Random-indexing vectors from the contexts in all documents."""
-    index = index_vectors(vocabulary)
+    index = index_vectors(vocabulary)  # of the vocabulary; tasks draw the others as they meet them
 
     def sums(batches):
         tokens, into, any_row = Tokens(vocabulary), np.zeros(index.shape, np.float64), False
