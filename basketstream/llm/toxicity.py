@@ -1,37 +1,39 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
-
-*Terms.* A word gives its letters in lower case, and the starts of 4 to 6 letters
-of longer words, so that unseen forms of a word still share a term. A term is
-known by its 64-bit hash. Term weights are (1 + ln count) * idf; **every** term of
-a text counts, and the document frequencies in idf are counted over **all
-documents**. The frequencies of terms that two or more documents have are a
-sorted table in the shared folder; tasks look up the terms of a bounded group of
-texts in it, file by file. A term that is not there counts as in one document.
-
-*Whole texts.* The examples are a bounded sample of labelled rows, ``per_class`` of
-each class; all their terms are indexed. The ``HEAD`` terms that most examples have
-are a dense matrix, the others inverted lists. Both give every example's cosine in
-single precision; all examples whose cosine can be the ``NEIGHBOURS``-th best or
-better are computed again in double precision. Nothing that belongs to the result
-is skipped: the neighbours are exact, ties going to the smaller id.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+
+*Terms.* A term is the letters of a word in lower case, known by their 64-bit hash.
+Term weights are (1 + ln count) * idf with idf = ln((1 + N) / (1 + n)) + 1; **every**
+term of a text counts, and n, the number of documents with the term, is counted over
+**all documents**. Terms that fewer than one document in ``1 / RAREST`` has weigh like
+one that as many have. So a table of the others suffices, with at most (distinct terms
+of a text) / ``RAREST`` rows however many documents there are: a task reads it once.
+
+*Whole texts.* Examples are a bounded sample of labelled rows, ``WHOLE_PER_CLASS`` of
+each class, in blocks of ``BLOCK`` similar ones. The ``HEAD`` terms that most examples
+have are a dense matrix. The others have inverted lists, cut by block, with the largest
+weight of each cut. A block is looked into if its best head score and the largest
+weights of its lists can reach the ``NEIGHBOURS``-th best head score. Examples whose
+cosine in single precision can be among the best are computed again in double
+precision. What is skipped cannot belong to the result: the neighbours are exact, ties
+going to the smaller id.
 
 *Telling terms.* In long texts a few toxic words weigh little among hundreds of
-others. So the neighbours are sought a second time over those terms alone that
-depend most on the label in the sample (chi-square), with lengths taken over them.
-Similar examples lie in one block of ``BLOCK``; per block there are inverted lists,
-and per term and block the largest weight. Blocks are read from the highest bound
-on, until no bound reaches the ``NEIGHBOURS``-th best cosine. This is exact too.
+others. So neighbours are sought a second time, among ``PER_CLASS`` examples of each
+class, over those terms that depend most on the label in the sample (chi-square): words,
+and starts of 4 to 6 letters of longer words, so that unseen forms share a term.
+Lengths are taken over these terms. Blocks are read from the highest bound on, until
+no bound reaches the ``NEIGHBOURS``-th best cosine. This is exact too.
 
-*Votes.* Neighbours vote for their label with cosine times class weight. In either
-search a logistic curve over (share of votes, best cosine), fitted on the examples
-with each one left out of its own neighbours, makes a score; the larger one counts.
-The evidence is the nearest examples by the whole text with label and cosine.
+*Votes.* Neighbours vote for their label with cosine times class weight. One logistic
+curve over the share of votes and the best cosine of either search, fitted on the
+examples with each one left out of its own neighbours, makes the score. The evidence is
+the nearest examples by the whole text with label and cosine.
 
 Defined cases: a null text counts as empty; a text without a term of an example
 has no neighbours and gets the rate of label 1 among labelled texts without one; null
 ids are scored and count as not held out; repeated rows are scored one by one;
 without labels of both classes every score is the rate of label 1, or 0 without
-any label; an empty table gives an empty result; further columns are ignored.
+any label; an empty table gives an empty result; further columns are ignored. A very
+long text is one list of distinct terms.
 """
 
 import re
@@ -48,6 +50,8 @@ from basketstream.llm.common import batch_of, filesystem, shared_folder
 from basketstream.llm.labelled import class_weights, logistic, training_sample
 
 PER_CLASS = 3000
+WHOLE_PER_CLASS = 1500  # of them, by whole texts
+RAREST = 1e-4
 STARTS = (4, 5, 6)
 HEAD = 1024
 NEIGHBOURS = 16
@@ -59,38 +63,65 @@ MIN_DOCUMENTS = 5
 BLOCK = 64
 FIRST_BLOCKS, MORE_BLOCKS = 4, 32  # blocks that are read before bounds are looked at again
 CACHE_RESULTS = 50_000
-CACHE_WORDS = 200_000
-GROUP_TERMS = 4_000_000  # terms of texts that are held at a time
+CACHE_WORDS = 300_000
+GROUP_TERMS = 4_000_000  # terms whose documents are counted before they are passed on
 QUERIES = 200  # texts that are multiplied with the dense matrix at a time
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def letters_of(word: str) -> list:
+    """Runs of letters in lower case; most words are letters alone, or letters and a sign behind them."""
+    word = word.lower()
+    if word.isalpha():
+        return [word]
+    if word[:-1].isalpha() and not word[-1].isalnum():
+        return [word[:-1]]
+    return LETTERS.findall(word)
+
+
 def terms(word: str) -> list:
+    """What can be a telling term."""
     out = []
-    for letters in LETTERS.findall(word.lower()):
+    for letters in letters_of(word):
         out.append(letters)
         out += [letters[:n] + "*" for n in STARTS if len(letters) > n]
     return out
 
 
+def telling_hash(term: str) -> int:
+    """Key of a telling term in the table of frequencies, apart from that of the same word as a term of whole texts."""
+    return xxhash.xxh64_intdigest(term + "\0") - (1 << 63)
+
+
 class Terms:
-    """Counts of the terms in a text; words are remembered up to a bound."""
+    """Terms of a text, and its telling terms by number; words are remembered up to a bound."""
 
-    def __init__(self):
+    def __init__(self, telling=()):
+        self.number = {term: i for i, term in enumerate(telling)}
         self.known = {}
 
+    def _learn(self, word):
+        digest, number, words, telling = xxhash.xxh64_intdigest, self.number, [], []
+        for letters in letters_of(word):
+            words.append(digest(letters) - (1 << 63))
+            for term in (letters, *(letters[:n] + "*" for n in STARTS if len(letters) > n)):
+                if term in number:
+                    telling.append(number[term])
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        self.known[word] = out = words, telling
+        return out
+
     def __call__(self, text: str):
-        """(term hashes in order, counts)"""
-        found, known, digest = [], self.known, xxhash.xxh64_intdigest
+        """(hashes in order, counts), (telling numbers in order, counts)"""
+        found, telling, known = [], [], self.known
         for word in text.split():
-            numbers = known.get(word)
-            if numbers is None:
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                numbers = known[word] = tuple(digest(t) - (1 << 63) for t in terms(word))
-            found += numbers
-        hashes, counts = np.unique(np.array(found, np.int64), return_counts=True)
-        return hashes, counts.astype(np.int32)
+            words, tells = known.get(word) or self._learn(word)
+            found += words
+            if tells:
+                telling += tells
+        both = (np.unique(np.array(x, np.int64), return_counts=True) for x in (found, telling))
+        return tuple((numbers, counts.astype(np.int32)) for numbers, counts in both)
 
 
 def _sums(hashes, counts):
@@ -101,30 +132,36 @@ def _sums(hashes, counts):
     return hashes[starts], np.add.reduceat(counts, starts)
 
 
+_TABLES = {}
+
+
 @dataclass
 class Frequencies:
-    """Document frequencies: files of sorted hashes with the number of documents, where that is 2 or more."""
+    """Numbers of documents of the terms that are not among the rarest; files in the shared folder."""
 
     documents: int
+    least: float  # number of documents that all others count as having
     uri: str
     files: list
 
-    def of(self, hashes):
-        """Frequencies of sorted distinct hashes."""
-        out = np.ones(len(hashes), np.int64)
-        if len(hashes):
+    def table(self):
+        if self.uri not in _TABLES:
+            _TABLES.clear()
             files = filesystem(self.uri)[0]
-            for file in self.files:
-                shard = pq.read_table(file, filesystem=files)
-                term, n = shard.column("term").to_numpy(), shard.column("n").to_numpy()
-                at = np.minimum(np.searchsorted(hashes, term), len(hashes) - 1)
-                met = hashes[at] == term
-                out[at[met]] = n[met]
-        return out
+            shards = [pq.read_table(file, filesystem=files) for file in self.files]
+            term, n = (np.concatenate([np.empty(0, np.int64), *(s.column(c).to_numpy() for s in shards)]) for c in ("term", "n"))
+            order = np.argsort(term)
+            _TABLES[self.uri] = term[order], n[order]
+        return _TABLES[self.uri]
 
     def idf(self, hashes):
-        # Positive for every term, and near zero for one that nearly all documents have.
-        return np.log((2 + self.documents) / (1 + self.of(hashes)))
+        term, n = self.table()
+        out = np.full(len(hashes), self.least, float)
+        if len(term):
+            at = np.minimum(np.searchsorted(term, hashes), len(term) - 1)
+            met = term[at] == hashes
+            out[met] = n[at[met]]
+        return np.log((1 + self.documents) / (1 + out)) + 1
 
 
 def weights_of(counts, idf):
@@ -139,15 +176,22 @@ def _ranges(starts, lengths):
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _in_blocks(ids, labels, vectors):
+    """Order in which similar examples share a block: by label, then by strongest term."""
+    return sorted(range(len(ids)), key=lambda i: (labels[i], int(vectors[i][0][np.argmax(vectors[i][1])]), ids[i]))
+
+
 class WholeIndex:
-    """Examples with vectors of length 1 over term numbers below ``size``."""
+    """Examples with vectors of length 1 over term numbers below ``size``: a dense head, and lists cut by block with their maxima."""
 
     def __init__(self, ids, labels, vectors, size):
-        self.ids, self.labels = np.array(ids, np.int64), np.array(labels, np.int64)
-        self.size = size
+        order = _in_blocks(ids, labels, vectors)
+        vectors = [vectors[i] for i in order]
+        self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], np.int64)
+        self.size, self.blocks = size, -(-len(ids) // BLOCK)
         none = [np.empty(0, np.int64)]
         self.numbers = np.concatenate([n for n, _ in vectors] or none).astype(np.int32)
-        self.weights = np.concatenate([w for _, w in vectors] or none).astype(float)
+        self.weights = np.concatenate([w for _, w in vectors] or none).astype(np.float64)
         self.lengths = np.array([len(n) for n, _ in vectors], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         places = np.repeat(np.arange(len(ids), dtype=np.int32), self.lengths)
@@ -160,9 +204,15 @@ class WholeIndex:
         self.dense[column[column >= 0], places[column >= 0]] = self.weights[column >= 0]
         rest = np.flatnonzero(column < 0)
         rest = rest[np.argsort(self.numbers[rest], kind="stable")]
-        self.list_places, self.list_weights = places[rest], self.weights[rest].astype(np.float32)
-        self.list_lengths = np.bincount(self.numbers[rest], minlength=size)
-        self.list_starts = np.cumsum(self.list_lengths) - self.list_lengths
+        term, self.list_places, self.list_weights = self.numbers[rest], places[rest], self.weights[rest].astype(np.float32)
+        # A cut is the part of a term's list that lies in one block.
+        block = self.list_places // BLOCK
+        opens = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.empty(0, np.int64)
+        self.cut_start, self.cut_length = opens, np.diff(opens, append=len(term))
+        self.cut_block = block[opens]
+        self.cut_most = np.maximum.reduceat(self.list_weights, opens) if len(opens) else self.list_weights
+        self.cuts = np.bincount(term[opens], minlength=size)
+        self.first_cut = np.cumsum(self.cuts) - self.cuts
 
     def nearest_of(self, queries, k=NEIGHBOURS, leave_out=None):
         """Of each of (numbers, weights): (positions, cosines) of the k most similar examples with a positive cosine, best first."""
@@ -171,16 +221,24 @@ class WholeIndex:
         for row, (column, (_, weights)) in enumerate(zip(columns, queries)):
             dense[row, column[column >= 0]] = weights[column >= 0]
         near = dense @ self.dense
-        whole = np.zeros(self.size)
+        whole, edges = np.zeros(self.size), np.arange(0, len(self.ids), BLOCK)
         for row, (column, (numbers, weights)) in enumerate(zip(columns, queries)):
             scores, rest = near[row], column < 0
-            lengths = self.list_lengths[numbers[rest]]
-            if lengths.any():
-                at = _ranges(self.list_starts[numbers[rest]], lengths)
-                parts = self.list_weights[at] * np.repeat(weights[rest].astype(np.float32), lengths)
+            own = np.flatnonzero(self.ids == leave_out[row]) if leave_out is not None and leave_out[row] is not None else []
+            scores[own] = 0
+            number = numbers[rest]
+            cuts = _ranges(self.first_cut[number], self.cuts[number])
+            if len(cuts):
+                floor = np.partition(scores, -k)[-k] * (1 - SLACK) if len(scores) > k else 0
+                weight = np.repeat(weights[rest].astype(np.float32), self.cuts[number])
+                bounds = np.maximum.reduceat(scores, edges) + np.bincount(
+                    self.cut_block[cuts], weight * self.cut_most[cuts], self.blocks).astype(np.float32) * (1 + SLACK)
+                open_ = bounds[self.cut_block[cuts]] >= floor
+                cuts, weight = cuts[open_], weight[open_]
+                at = _ranges(self.cut_start[cuts], self.cut_length[cuts])
+                parts = self.list_weights[at] * np.repeat(weight, self.cut_length[cuts])
                 scores = scores + np.bincount(self.list_places[at], parts, len(scores))
-            if leave_out is not None and leave_out[row] is not None:
-                scores = np.where(self.ids == leave_out[row], 0, scores)
+                scores[own] = 0
             floor = np.partition(scores, -k)[-k] * (1 - SLACK) if len(scores) > k else 0
             places = np.flatnonzero((scores > 0) & (scores >= floor))
             if not len(places):
@@ -203,8 +261,7 @@ class Index:
     """
 
     def __init__(self, ids, labels, vectors, size):
-        # Similar examples share a block: by label, then by strongest term.
-        order = sorted(range(len(ids)), key=lambda i: (labels[i], int(vectors[i][0][np.argmax(vectors[i][1])]), ids[i]))
+        order = _in_blocks(ids, labels, vectors)
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.int64)
         vectors = [vectors[i] for i in order]
@@ -250,11 +307,15 @@ class Index:
         return where, best
 
 
-def votes(index, places, cosines, weights):
-    """(share of the votes for label 1, best cosine)"""
+def votes(index, near, weights):
+    """(share of the votes for label 1, share times best cosine); zeros without neighbours."""
+    places, cosines = near
+    if not len(places):
+        return 0.0, 0.0
     labels = index.labels[places]
     strength = cosines * np.where(labels == 1, weights[1], weights[0])
-    return strength[labels == 1].sum() / strength.sum(), cosines[0]
+    share = strength[labels == 1].sum() / strength.sum()
+    return share, share * cosines[0]
 
 
 def fit_curve(features, labels, weights, decay=1e-3, steps=50):
@@ -274,79 +335,61 @@ def fit_curve(features, labels, weights, decay=1e-3, steps=50):
 @dataclass
 class ToxicityModel:
     none_rate: float  # score of a text without neighbours
-    weights: dict = field(default_factory=dict)
     vocabulary: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # sorted hashes of the examples' terms
     frequencies: Frequencies | None = None
     whole: WholeIndex | None = None
-    curve: np.ndarray | None = None
-    telling: np.ndarray | None = None  # number among the telling terms of each term of the vocabulary, or -1
+    whole_weights: dict = field(default_factory=dict)
+    telling: list = field(default_factory=list)  # terms
+    telling_idf: np.ndarray | None = None
     index: Index | None = None
-    telling_curve: np.ndarray | None = None
-
-    def vectors(self, found):
-        """Of counted terms: the terms that examples have, with their weights in the whole text; the telling ones, by themselves."""
-        lengths = np.array([len(hashes) for hashes, _ in found])
-        met, where = np.unique(np.concatenate([hashes for hashes, _ in found]), return_inverse=True)
-        idf = self.frequencies.idf(met)
-        numbers = np.minimum(np.searchsorted(self.vocabulary, met), len(self.vocabulary) - 1)
-        numbers[self.vocabulary[numbers] != met] = -1
-        telling = np.where(numbers < 0, -1, self.telling[numbers])
-        for end, length, (_, counts) in zip(np.cumsum(lengths), lengths, found):
-            own = where[end - length : end]
-            weights, number, tells = weights_of(counts, idf[own]), numbers[own], telling[own]
-            few = np.flatnonzero(tells >= 0)
-            few = few[np.argsort(tells[few])]
-            yield (number[number >= 0], weights[number >= 0]), (tells[few], weights_of(counts[few], idf[own][few]))
-
-    def score_texts(self, found, known):
-        """(score, evidence) of each of the counted terms; ``known`` holds scores by telling terms."""
-        vectors, out = self.vectors(found), []
-        for at in range(0, len(found), QUERIES):
-            some = [next(vectors) for _ in found[at : at + QUERIES]]
-            for (_, telling), (places, cosines) in zip(some, self.whole.nearest_of([w for w, _ in some])):
-                if not len(places):
-                    out.append((self.none_rate, []))
-                    continue
-                score = self._curve(self.curve, votes(self.whole, places, cosines, self.weights))
-                evidence = [{"doc_id": int(self.whole.ids[p]), "label": int(self.whole.labels[p]), "cosine": float(c)}
-                            for p, c in zip(places[:EVIDENCE], cosines[:EVIDENCE])]
-                key = telling[0].tobytes(), telling[1].tobytes()
+    index_weights: dict = field(default_factory=dict)
+    curve: np.ndarray | None = None
+
+    def vectors(self, counted):
+        """Of a text: the terms that examples have, with their weights in the whole text; the telling ones, by themselves."""
+        (hashes, counts), (tells, tell_counts) = counted
+        weights = weights_of(counts, self.frequencies.idf(hashes))
+        numbers = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        met = self.vocabulary[numbers] == hashes if len(self.vocabulary) else np.zeros(len(hashes), bool)
+        return (numbers[met], weights[met]), (tells, weights_of(tell_counts, self.telling_idf[tells]))
+
+    def features(self, counted, known, ids=None):
+        """(features of the curve, nearest by whole text) of each of the counted texts; ``ids`` are left out of their own neighbours."""
+        for at in range(0, len(counted), QUERIES):
+            some = [self.vectors(c) for c in counted[at : at + QUERIES]]
+            out = ids[at : at + QUERIES] if ids else None
+            for row, near in enumerate(self.whole.nearest_of([w for w, _ in some], leave_out=out)):
+                telling = some[row][1]
+                key = telling[0].tobytes(), telling[1].tobytes(), out[row] if out else None
                 if key not in known:  # many texts have the same few telling terms
                     if len(known) > CACHE_RESULTS:
                         known.clear()
-                    near = self.index.nearest(*telling)
-                    known[key] = self._curve(self.telling_curve, votes(self.index, *near, self.weights)) if len(near[0]) else 0.0
-                out.append((max(score, known[key]), evidence))
-        return out
+                    known[key] = votes(self.index, self.index.nearest(*telling, leave_out=out[row] if out else None), self.index_weights)
+                yield (*votes(self.whole, near, self.whole_weights), *known[key]), near
 
-    @staticmethod
-    def _curve(curve, vote):
-        share, top = vote
-        return float(logistic(curve @ [share, share * top, 1.0]))
+    def score_texts(self, counted, known):
+        """(score, evidence) of each of the counted texts."""
+        for features, (places, cosines) in self.features(counted, known):
+            evidence = [{"doc_id": int(self.whole.ids[p]), "label": int(self.whole.labels[p]), "cosine": float(c)}
+                        for p, c in zip(places[:EVIDENCE], cosines[:EVIDENCE])]
+            none = not len(places) and not any(features)
+            yield self.none_rate if none else float(logistic(self.curve @ [*features, 1.0])), evidence
 
     def score(self, docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
         """doc_id, score, evidence of every row."""
         entry = pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", pa.list_(entry))])
 
-        def rows(ids, out):
-            return batch_of(schema, (ids, [s for s, _ in out], [e for _, e in out]))
-
         def score(batches):
-            count, known, ids, found, held = Terms(), {}, [], [], 0
+            count, known = Terms(self.telling), {}
             for batch in batches:
                 if self.whole is None:
-                    yield rows(batch.column("doc_id"), [(self.none_rate, [])] * batch.num_rows)
+                    yield batch_of(schema, (batch.column("doc_id"), *zip(*[(self.none_rate, [])] * batch.num_rows)))
                     continue
-                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    ids.append(doc)
-                    found.append(count(text))
-                    held += len(found[-1][0])
-                    if held > GROUP_TERMS:
-                        yield rows(ids, self.score_texts(found, known))
-                        ids, found, held = [], [], 0
-            if ids:
-                yield rows(ids, self.score_texts(found, known))
+                texts = batch.column("text")
+                for at in range(0, batch.num_rows, QUERIES):
+                    counted = [count(text.as_py()) for text in texts[at : at + QUERIES]]
+                    yield batch_of(schema, (batch.column("doc_id")[at : at + QUERIES], *zip(*self.score_texts(counted, known))))
 
         return _texts(docs, id_column, text_column).mapInArrow(
             score, "doc_id long, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>")
@@ -374,86 +417,75 @@ def choose_vocabulary(sample: DataFrame, counts: dict, size=TERMS, min_chi2=MIN_
     return [row.term for row in top.collect()]
 
 
-def document_frequencies(docs: DataFrame, text_column="text") -> Frequencies:
+def document_frequencies(docs: DataFrame, telling=(), text_column="text") -> Frequencies:
     """Counts of documents per term over all documents; each task adds up what it has read, up to a bound."""
     schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
+    keys = np.array([telling_hash(t) for t in telling], np.int64)
 
     def counted(batches):
-        count, new, held = Terms(), [], 0
+        count, new, held = Terms(telling), [], 0
         sums = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                new.append(count(text)[0])
-                held += len(new[-1])
+            for text in batch.column("text"):
+                (hashes, _), (tells, _) = count(text.as_py())
+                new += [hashes, keys[tells]]
+                held += len(hashes) + len(tells)
                 if held > GROUP_TERMS // 4:
-                    hashes = np.concatenate([sums[0], *new])
-                    sums, new, held = _sums(hashes, np.concatenate([sums[1], np.ones(held, np.int64)])), [], 0
+                    sums, new, held = _sums(np.concatenate([sums[0], *new]), np.concatenate([sums[1], np.ones(held, np.int64)])), [], 0
                     if len(sums[0]) > GROUP_TERMS:
                         yield batch_of(schema, sums)
                         sums = np.empty(0, np.int64), np.empty(0, np.int64)
         if held or len(sums[0]):
             yield batch_of(schema, _sums(np.concatenate([sums[0], *new]), np.concatenate([sums[1], np.ones(held, np.int64)])))
 
-    uri = shared_folder(docs.sparkSession, "frequencies")
+    uri, documents = shared_folder(docs.sparkSession, "frequencies"), docs.count()
+    least = max(1.0, RAREST * documents)
     docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text")).mapInArrow(counted, "term long, n long").groupBy("term").agg(
-        F.sum("n").alias("n")).where("n > 1").sortWithinPartitions("term").write.parquet(uri)
+        F.sum("n").alias("n")).where(F.col("n") > least).write.parquet(uri)
     files, path = filesystem(uri)
     names = sorted(f.path for f in files.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
-    return Frequencies(docs.count(), uri, names)
+    return Frequencies(documents, least, uri, names)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label_column="toxic", per_class=PER_CLASS,
-          id_column="doc_id", text_column="text") -> ToxicityModel:
+          id_column="doc_id", text_column="text", whole_per_class=WHOLE_PER_CLASS) -> ToxicityModel:
     sample, counts = training_sample(docs, labels, label_column, usable, per_class, id_column, text_column)
     if set(counts) != {0, 1}:
         return ToxicityModel(float(max(counts, default=0)))
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.binary()), ("counts", pa.binary())])
+    telling = choose_vocabulary(sample, counts)
+    names = ("terms", "counts", "tells", "tell_counts")
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), *((n, pa.binary()) for n in names)])
 
     def counted(batches):
-        count = Terms()
+        count = Terms(telling)
         for batch in batches:
-            found = [count(text) for text in batch.column("text").to_pylist()]
-            yield batch_of(schema, (batch.column("doc_id"), batch.column("label"), [t.tobytes() for t, _ in found], [c.tobytes() for _, c in found]))
+            found = [[x.tobytes() for pair in count(text) for x in pair] for text in batch.column("text").to_pylist()]
+            yield batch_of(schema, (batch.column("doc_id"), batch.column("label"), *zip(*found)))
 
-    # At most 2 * per_class rows reach the driver.
-    rows = sorted(sample.mapInArrow(counted, "doc_id long, label int, terms binary, counts binary").collect(),
-                  key=lambda r: (r.doc_id, r.label, bytes(r.terms), bytes(r.counts)))
+    # At most 2 * per_class rows reach the driver, in the order of a hash of the id as they were chosen.
+    rows = sample.mapInArrow(counted, "doc_id long, label int, " + ", ".join(f"{n} binary" for n in names)).collect()
+    rows.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.doc_id, r.label, bytes(r.terms)))
     weights = class_weights(counts)
     bare = [weights[r.label] * np.array([r.label, 1.0]) for r in rows if not r.terms]
-    whole = sum(n for n, _ in counts.values())
-    rate = counts[1][0] / whole
     ones, all_bare = np.sum(bare, axis=0) if bare else (0.0, 0.0)
-    full = [r for r in rows if r.terms]
-    found = [(np.frombuffer(r.terms, np.int64), np.frombuffer(r.counts, np.int32)) for r in full]
-    model = ToxicityModel(float((ones + rate) / (all_bare + 1)), weights)
-    if not full:
+    rate = counts[1][0] / sum(n for n, _ in counts.values())
+    model = ToxicityModel(float((ones + rate) / (all_bare + 1)))
+    rows = [r for r in rows if r.terms]
+    if not rows:
         return model
-    model.vocabulary = np.unique(np.concatenate([hashes for hashes, _ in found]))
-    model.frequencies = document_frequencies(docs, text_column)
-    chosen = choose_vocabulary(sample, counts)
-    model.telling = np.full(len(model.vocabulary), -1, np.int64)
-    hashes = np.array([xxhash.xxh64_intdigest(t) - (1 << 63) for t in chosen], np.int64)
-    model.telling[np.searchsorted(model.vocabulary, hashes)] = np.arange(len(chosen))
-    ids, targets = [r.doc_id for r in full], [r.label for r in full]
-    whole, telling = zip(*model.vectors(found))
-    model.whole = WholeIndex(ids, targets, whole, len(model.vocabulary))
-    near = (n for at in range(0, len(full), QUERIES) for n in model.whole.nearest_of(whole[at : at + QUERIES], leave_out=ids[at : at + QUERIES]))
-    model.curve = fit_votes(model.whole, near, targets, weights)
-    some = [i for i, (numbers, _) in enumerate(telling) if len(numbers)]
-    model.index = Index([ids[i] for i in some], [targets[i] for i in some], [telling[i] for i in some], len(chosen))
-    near = (model.index.nearest(*telling[i], leave_out=ids[i]) for i in some)
-    model.telling_curve = fit_votes(model.index, near, [targets[i] for i in some], weights)
+    ids, targets = [r.doc_id for r in rows], [r.label for r in rows]
+    found = [((np.frombuffer(r.terms, np.int64), np.frombuffer(r.counts, np.int32)),
+              (np.frombuffer(r.tells, np.int64), np.frombuffer(r.tell_counts, np.int32))) for r in rows]
+    del rows
+    some = sorted(i for label in (0, 1) for i in [i for i, t in enumerate(targets) if t == label][:whole_per_class])
+    model.vocabulary = np.unique(np.concatenate([found[i][0][0] for i in some]))
+    model.frequencies = document_frequencies(docs, telling, text_column)
+    model.telling, model.telling_idf = telling, model.frequencies.idf(np.array([telling_hash(t) for t in telling], np.int64))
+    pick = lambda chosen, kind: ([ids[i] for i in chosen], [targets[i] for i in chosen], [model.vectors(found[i])[kind] for i in chosen])
+    model.whole = WholeIndex(*pick(some, 0), len(model.vocabulary))
+    model.whole_weights = class_weights({label: (counts[label][0], max(1, sum(targets[i] == label for i in some))) for label in (0, 1)})
+    told = [i for i, (_, (tells, _)) in enumerate(found) if len(tells)]
+    model.index, model.index_weights = Index(*pick(told, 1), len(telling)), weights
+    features = [x for x, _ in model.features(found, {}, ids)]
+    model.curve = fit_curve(np.array(features), np.array(targets, float), np.array([weights[t] for t in targets]))
     return model
-
-
-def fit_votes(index, near, targets, weights):
-    """The curve over the votes of the neighbours of each example."""
-    features, labels = [], []
-    for (places, cosines), label in zip(near, targets):
-        if len(places):
-            share, top = votes(index, places, cosines, weights)
-            features.append((share, share * top))
-            labels.append(label)
-    if not features:
-        return np.zeros(3)
-    return fit_curve(np.array(features), np.array(labels, float), np.array([weights[label] for label in labels]))

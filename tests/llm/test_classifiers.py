@@ -59,10 +59,10 @@ def test_neighbours_from_raw_texts_count_every_term(text_spark):
     docs = text_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     labels = text_spark.createDataFrame([(i, int(i % 5 == 3)) for i in range(399)], "doc_id long, toxic int")
     model = toxicity.train(docs, labels, F.lit(True))
-    counts = [Counter(t for word in text.split() for t in toxicity.terms(word)) for text in texts]
+    counts = [Counter(text.split()) for text in texts]
     df = Counter(t for own in counts for t in own)
     vocabulary = sorted(df)
-    idf = np.log(402 / (1 + np.array([df[t] for t in vocabulary])))
+    idf = np.log(401 / (1 + np.array([df[t] for t in vocabulary]))) + 1
     dense = np.array([[1 + np.log(own[t]) if t in own else 0 for t in vocabulary] for own in counts]) * idf
     dense /= np.linalg.norm(dense, axis=1, keepdims=True)
     for row in model.score(docs).collect():
@@ -75,6 +75,38 @@ def test_neighbours_from_raw_texts_count_every_term(text_spark):
             assert [(e.doc_id, e.label) for e in row.evidence] == [(398, 1)]
 
 
+def test_nearest_by_whole_texts_is_exact(monkeypatch):
+    """Blocks of 8 and a head of 10 terms, so that lists and their maxima decide."""
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    monkeypatch.setattr(toxicity, "HEAD", 10)
+    draw = np.random.default_rng(4)
+    chance = 1 / np.arange(1, 301) ** 1.1
+    vectors = []
+    for _ in range(400):
+        numbers = np.sort(draw.choice(300, draw.integers(1, 30), replace=False, p=chance / chance.sum()))
+        weights = draw.random(len(numbers)) + 0.1
+        vectors.append((numbers, weights / np.linalg.norm(weights)))
+    ids = draw.permutation(1000)[:400].tolist()
+    index = toxicity.WholeIndex(ids, draw.integers(0, 2, 400).tolist(), vectors, 300)
+    dense = np.zeros((400, 300))
+    for row, (numbers, weights) in enumerate(vectors):
+        dense[row, numbers] = weights
+    for query, (places, cosines) in enumerate(index.nearest_of(vectors, leave_out=ids)):
+        scores = dense @ dense[query]
+        want = sorted((-round(s, 12), i) for s, i in zip(scores, ids) if s > 0 and i != ids[query])[: toxicity.NEIGHBOURS]
+        assert index.ids[places].tolist() == [i for _, i in want]
+        assert np.allclose(cosines, [-s for s, _ in want])
+
+
+def test_rarest_terms_weigh_alike(text_spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "RAREST", 0.05)
+    docs = text_spark.createDataFrame([(i, "all " + ("some " if i < 50 else "") + f"own{'abcdefghij'[i % 10] * (i // 10 + 1)}") for i in range(100)], "doc_id long, text string")
+    found = toxicity.document_frequencies(docs, ["some"])
+    hashes = np.array([toxicity.Terms()(w)[0][0][0] for w in ("all", "some", "owna", "never")] + [toxicity.telling_hash("some")])
+    assert np.allclose(found.idf(hashes), [np.log(101 / (1 + n)) + 1 for n in (100, 50, 5, 5, 50)])
+    assert len(found.table()[0]) == 3
+
+
 def test_contexts_and_pooling_like_plain_loops():
     draw = np.random.default_rng(5)
     index = quality_model.index_vectors([f"t{i}" for i in range(20)])
