@@ -173,8 +173,7 @@ TOXICITY_THRESHOLD = 0.7
 @query
 def op4_toxicity(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    model = toxicity.train(docs, labels, remainder("doc_id", 3) != 1)
-    return model.score(docs).select(
+    return toxicity.score_corpus(docs, labels, remainder("doc_id", 3) != 1).select(
         "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"), "evidence")
 

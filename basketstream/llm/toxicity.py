@@ -6,6 +6,8 @@ term of a text counts, and n, the number of documents with the term, is counted
 **all documents**. Terms that fewer than one document in ``1 / RAREST`` has weigh like
 one that as many have. So a table of the others suffices, with at most (distinct terms
 of a text) / ``RAREST`` rows however many documents there are: a task reads it once.
+The terms of a document are counted once, into a table of about the texts' compressed
+size, from which frequencies and scores are taken.
 
 *Whole texts.* Examples are a bounded sample of labelled rows, ``WHOLE_PER_CLASS`` of
 each class, in blocks of ``BLOCK`` similar ones. The ``HEAD`` terms that most examples
@@ -46,7 +48,7 @@ import xxhash
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketstream.llm.common import batch_of, filesystem, shared_folder
+from basketstream.llm.common import batch_of, filesystem, shared_folder, write_once
 from basketstream.llm.labelled import class_weights, logistic, training_sample
 
 PER_CLASS = 3000
@@ -73,9 +75,9 @@ def letters_of(word: str) -> list:
     """Runs of letters in lower case; most words are letters alone, or letters and a sign behind them."""
     word = word.lower()
     if word.isalpha():
-        return [word]
+        return (word,)
     if word[:-1].isalpha() and not word[-1].isalnum():
-        return [word[:-1]]
+        return (word[:-1],)
     return LETTERS.findall(word)
 
 
@@ -98,15 +100,16 @@ class Terms:
 
     def __init__(self, telling=()):
         self.number = {term: i for i, term in enumerate(telling)}
+        self.starts = {term[: STARTS[0]] for term in telling}
         self.known = {}
 
     def _learn(self, word):
-        digest, number, words, telling = xxhash.xxh64_intdigest, self.number, [], []
+        digest, words, telling = xxhash.xxh64_intdigest, [], []
         for letters in letters_of(word):
             words.append(digest(letters) - (1 << 63))
-            for term in (letters, *(letters[:n] + "*" for n in STARTS if len(letters) > n)):
-                if term in number:
-                    telling.append(number[term])
+            if letters[: STARTS[0]] in self.starts:
+                found = (letters, *(letters[:n] + "*" for n in STARTS if len(letters) > n))
+                telling += [self.number[term] for term in found if term in self.number]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         self.known[word] = out = words, telling
@@ -377,24 +380,47 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
         """doc_id, score, evidence of every row."""
+        return self.score_counted(count_terms(docs, self.telling, id_column, text_column))
+
+    def score_counted(self, counts: DataFrame) -> DataFrame:
+        """The same of rows whose terms are counted already."""
         entry = pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", pa.list_(entry))])
 
         def score(batches):
-            count, known = Terms(self.telling), {}
+            known = {}
             for batch in batches:
-                if self.whole is None:
-                    yield batch_of(schema, (batch.column("doc_id"), *zip(*[(self.none_rate, [])] * batch.num_rows)))
-                    continue
-                texts = batch.column("text")
                 for at in range(0, batch.num_rows, QUERIES):
-                    counted = [count(text.as_py()) for text in texts[at : at + QUERIES]]
-                    yield batch_of(schema, (batch.column("doc_id")[at : at + QUERIES], *zip(*self.score_texts(counted, known))))
+                    part = batch.slice(at, QUERIES)
+                    found = [(self.none_rate, [])] * part.num_rows if self.whole is None else self.score_texts(_counted_rows(part), known)
+                    yield batch_of(schema, (part.column("doc_id"), *zip(*found)))
 
-        return _texts(docs, id_column, text_column).mapInArrow(
+        return counts.select("doc_id", *COUNTS).mapInArrow(
             score, "doc_id long, score double, evidence array<struct<doc_id: long, label: int, cosine: double>>")
 
 
+COUNTS = ("terms", "counts", "tells", "tell_counts")
+
+
+def _counted_rows(batch: pa.RecordBatch) -> list:
+    """((hashes, counts), (telling numbers, counts)) of each row of a batch with the columns ``COUNTS``."""
+    rows = zip(*(batch.column(n).to_pylist() for n in COUNTS))
+    return [((np.frombuffer(a, np.int64), np.frombuffer(b, np.int32)), (np.frombuffer(c, np.int64), np.frombuffer(d, np.int32))) for a, b, c, d in rows]
+
+
+def count_terms(docs: DataFrame, telling=(), id_column="doc_id", text_column="text") -> DataFrame:
+    """doc_id and the columns ``COUNTS`` of every row: terms and telling terms with their counts, as bytes."""
+    schema = pa.schema([("doc_id", pa.int64()), *((n, pa.binary()) for n in COUNTS)])
+
+    def counted(batches):
+        count = Terms(telling)
+        for batch in batches:
+            found = [[x.tobytes() for pair in count(text.as_py()) for x in pair] for text in batch.column("text")]
+            yield batch_of(schema, (batch.column("doc_id"), *(zip(*found) if found else [[]] * 4)))
+
+    return _texts(docs, id_column, text_column).mapInArrow(counted, "doc_id long, " + ", ".join(f"{n} binary" for n in COUNTS))
+
+
 def _texts(docs, id_column, text_column):
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
@@ -417,30 +443,30 @@ def choose_vocabulary(sample: DataFrame, counts: dict, size=TERMS, min_chi2=MIN_
     return [row.term for row in top.collect()]
 
 
-def document_frequencies(docs: DataFrame, telling=(), text_column="text") -> Frequencies:
-    """Counts of documents per term over all documents; each task adds up what it has read, up to a bound."""
+def _numbers(column: pa.Array) -> np.ndarray:
+    """The 64-bit numbers that the rows of a binary column hold, one after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64)
+
+
+def document_frequencies(counts: DataFrame, telling=()) -> Frequencies:
+    """Numbers of documents per term over all documents; each task adds up what it has read, up to a bound."""
     schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
     keys = np.array([telling_hash(t) for t in telling], np.int64)
 
     def counted(batches):
-        count, new, held = Terms(telling), [], 0
         sums = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                (hashes, _), (tells, _) = count(text.as_py())
-                new += [hashes, keys[tells]]
-                held += len(hashes) + len(tells)
-                if held > GROUP_TERMS // 4:
-                    sums, new, held = _sums(np.concatenate([sums[0], *new]), np.concatenate([sums[1], np.ones(held, np.int64)])), [], 0
-                    if len(sums[0]) > GROUP_TERMS:
-                        yield batch_of(schema, sums)
-                        sums = np.empty(0, np.int64), np.empty(0, np.int64)
-        if held or len(sums[0]):
-            yield batch_of(schema, _sums(np.concatenate([sums[0], *new]), np.concatenate([sums[1], np.ones(held, np.int64)])))
-
-    uri, documents = shared_folder(docs.sparkSession, "frequencies"), docs.count()
+            new = np.concatenate([_numbers(batch.column("terms")), keys[_numbers(batch.column("tells"))]])
+            if len(new):
+                sums = _sums(np.concatenate([sums[0], new]), np.concatenate([sums[1], np.ones(len(new), np.int64)]))
+            if len(sums[0]) > GROUP_TERMS:
+                yield batch_of(schema, sums)
+                sums = np.empty(0, np.int64), np.empty(0, np.int64)
+        yield batch_of(schema, sums)
+
+    uri, documents = shared_folder(counts.sparkSession, "frequencies"), counts.count()
     least = max(1.0, RAREST * documents)
-    docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text")).mapInArrow(counted, "term long, n long").groupBy("term").agg(
+    counts.select("terms", "tells").mapInArrow(counted, "term long, n long").groupBy("term").agg(
         F.sum("n").alias("n")).where(F.col("n") > least).write.parquet(uri)
     files, path = filesystem(uri)
     names = sorted(f.path for f in files.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
@@ -449,21 +475,32 @@ def document_frequencies(docs: DataFrame, telling=(), text_column="text") -> Fre
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label_column="toxic", per_class=PER_CLASS,
           id_column="doc_id", text_column="text", whole_per_class=WHOLE_PER_CLASS) -> ToxicityModel:
+    return _train(docs, labels, usable, label_column, per_class, id_column, text_column, whole_per_class)[0]
+
+
+def score_corpus(docs: DataFrame, labels: DataFrame, usable: Column, label_column="toxic", per_class=PER_CLASS,
+                 id_column="doc_id", text_column="text", whole_per_class=WHOLE_PER_CLASS) -> DataFrame:
+    """doc_id, score, evidence of every row of the documents that the model is made from, whose terms are counted once."""
+    model, counts = _train(docs, labels, usable, label_column, per_class, id_column, text_column, whole_per_class)
+    return model.score(docs, id_column, text_column) if counts is None else model.score_counted(counts)
+
+
+def _train(docs, labels, usable, label_column, per_class, id_column, text_column, whole_per_class):
+    """(model, written counts of the terms of all documents, if they were needed)"""
     sample, counts = training_sample(docs, labels, label_column, usable, per_class, id_column, text_column)
     if set(counts) != {0, 1}:
-        return ToxicityModel(float(max(counts, default=0)))
+        return ToxicityModel(float(max(counts, default=0))), None
     telling = choose_vocabulary(sample, counts)
-    names = ("terms", "counts", "tells", "tell_counts")
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), *((n, pa.binary()) for n in names)])
+    labelled = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), *((n, pa.binary()) for n in COUNTS)])
 
     def counted(batches):
         count = Terms(telling)
         for batch in batches:
             found = [[x.tobytes() for pair in count(text) for x in pair] for text in batch.column("text").to_pylist()]
-            yield batch_of(schema, (batch.column("doc_id"), batch.column("label"), *zip(*found)))
+            yield batch_of(labelled, (batch.column("doc_id"), batch.column("label"), *(zip(*found) if found else [[]] * 4)))
 
     # At most 2 * per_class rows reach the driver, in the order of a hash of the id as they were chosen.
-    rows = sample.mapInArrow(counted, "doc_id long, label int, " + ", ".join(f"{n} binary" for n in names)).collect()
+    rows = sample.mapInArrow(counted, "doc_id long, label int, " + ", ".join(f"{n} binary" for n in COUNTS)).collect()
     rows.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.doc_id, r.label, bytes(r.terms)))
     weights = class_weights(counts)
     bare = [weights[r.label] * np.array([r.label, 1.0]) for r in rows if not r.terms]
@@ -472,14 +509,15 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label_column="toxi
     model = ToxicityModel(float((ones + rate) / (all_bare + 1)))
     rows = [r for r in rows if r.terms]
     if not rows:
-        return model
+        return model, None
     ids, targets = [r.doc_id for r in rows], [r.label for r in rows]
     found = [((np.frombuffer(r.terms, np.int64), np.frombuffer(r.counts, np.int32)),
               (np.frombuffer(r.tells, np.int64), np.frombuffer(r.tell_counts, np.int32))) for r in rows]
     del rows
     some = sorted(i for label in (0, 1) for i in [i for i, t in enumerate(targets) if t == label][:whole_per_class])
     model.vocabulary = np.unique(np.concatenate([found[i][0][0] for i in some]))
-    model.frequencies = document_frequencies(docs, telling, text_column)
+    every = write_once(count_terms(docs, telling, id_column, text_column), "terms", "zstd")
+    model.frequencies = document_frequencies(every, telling)
     model.telling, model.telling_idf = telling, model.frequencies.idf(np.array([telling_hash(t) for t in telling], np.int64))
     pick = lambda chosen, kind: ([ids[i] for i in chosen], [targets[i] for i in chosen], [model.vectors(found[i])[kind] for i in chosen])
     model.whole = WholeIndex(*pick(some, 0), len(model.vocabulary))
@@ -488,4 +526,4 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label_column="toxi
     model.index, model.index_weights = Index(*pick(told, 1), len(telling)), weights
     features = [x for x, _ in model.features(found, {}, ids)]
     model.curve = fit_curve(np.array(features), np.array(targets, float), np.array([weights[t] for t in targets]))
-    return model
+    return model, every

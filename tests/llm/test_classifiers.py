@@ -65,7 +65,9 @@ def test_neighbours_from_raw_texts_count_every_term(text_spark):
     idf = np.log(401 / (1 + np.array([df[t] for t in vocabulary]))) + 1
     dense = np.array([[1 + np.log(own[t]) if t in own else 0 for t in vocabulary] for own in counts]) * idf
     dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    at_once = {r.doc_id: r for r in toxicity.score_corpus(docs, labels, F.lit(True)).collect()}
     for row in model.score(docs).collect():
+        assert row == at_once[row.doc_id]
         scores = dense[:399] @ dense[row.doc_id]
         want = sorted((-round(s, 9), i) for i, s in enumerate(scores) if s > 0)[: toxicity.EVIDENCE]
         assert [e.doc_id for e in row.evidence] == [i for _, i in want] or np.allclose(
@@ -101,7 +103,7 @@ def test_nearest_by_whole_texts_is_exact(monkeypatch):
 def test_rarest_terms_weigh_alike(text_spark, monkeypatch):
     monkeypatch.setattr(toxicity, "RAREST", 0.05)
     docs = text_spark.createDataFrame([(i, "all " + ("some " if i < 50 else "") + f"own{'abcdefghij'[i % 10] * (i // 10 + 1)}") for i in range(100)], "doc_id long, text string")
-    found = toxicity.document_frequencies(docs, ["some"])
+    found = toxicity.document_frequencies(toxicity.count_terms(docs, ["some"]), ["some"])
     hashes = np.array([toxicity.Terms()(w)[0][0][0] for w in ("all", "some", "owna", "never")] + [toxicity.telling_hash("some")])
     assert np.allclose(found.idf(hashes), [np.log(101 / (1 + n)) + 1 for n in (100, 50, 5, 5, 50)])
     assert len(found.table()[0]) == 3
