@@ -36,7 +36,7 @@ def _class_counts(rows: DataFrame, label: str) -> dict:
 
 
 def fit_purchase(train: DataFrame, evaluation: DataFrame, recency: bool = False):
-    """Binary model; One of the classes is absent must occur on both sides."""
+    """Binary model. Both classes must occur in training and in evaluation."""
     counts = _class_counts(train, "label")
     if set(counts) != {0, 1} or set(_class_counts(evaluation, "label")) != {0, 1}:
         raise QualityError("One of the classes is absent from training or evaluation")

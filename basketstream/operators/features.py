@@ -3,6 +3,8 @@
 Both work for one day or for every day in one pass: the as-of date is a key.
 """
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from basketstream.fixed_values import (
@@ -279,6 +281,46 @@ def build_labels(snapshot: DataFrame, raw_purchases: DataFrame, as_of=None) -> D
     return purchase_labels(snapshot, parsed, as_of)
 
 
+def affected_dates(changed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(as-of dates whose snapshot changes, as-of dates whose labels change) when rows of the source days ``changed`` (column ``day``) arrive.
+
+    A day is in the snapshot of the date after it, and in the label window of itself
+    and the dates up to ``LABEL_DAYS`` - 1 before it. New pairs of a date get labels too.
+    """
+    snapshots = changed.select(F.date_add("day", 1).alias(AS_OF)).distinct()
+    windows = changed.select(F.explode(F.sequence(F.date_sub("day", LABEL_DAYS - 1), "day")).alias(AS_OF))
+    return snapshots, windows.unionByName(snapshots).distinct()
+
+
+def rebuild_affected(events: DataFrame, changed: DataFrame, snapshot_path: str, label_path: str) -> None:
+    """Bring written snapshot and label tables up to date with ``events``, of which the days ``changed`` are new or have new rows.
+
+    Only the affected dates are computed, from the events of the days that they need,
+    and only their folders are replaced. Both tables are partitioned by as-of date, as
+    ``write_once`` does it. A run that died is completed by running it again.
+    """
+    spark = events.sparkSession
+    # One row per day, of which a history has few thousands; days are read once, and the plan prunes by literals.
+    days = sorted(row["day"] for row in changed.where("day IS NOT NULL").select("day").distinct().collect())
+    if not days:
+        return
+    changed = spark.createDataFrame([(day,) for day in days], "day date")
+    label_dates = F.broadcast(affected_dates(changed)[1])
+    day = F.to_date("event_time")
+    fresh = offline_snapshot(events.where(day.isin(days)))
+    replace_dates(fresh, snapshot_path)
+    pairs = spark.read.parquet(snapshot_path).select(*SNAPSHOT_KEYS).join(label_dates, AS_OF, "left_semi")
+    first, last = days[0] - timedelta(days=LABEL_DAYS - 1), days[-1] + timedelta(days=LABEL_DAYS)
+    bought = events.where((F.col("event_type") == "product_buy") & day.between(first, last))
+    replace_dates(purchase_labels(pairs, bought), label_path)
+
+
+def replace_dates(df: DataFrame, path: str) -> None:
+    """Write ``df`` in place of the folders of its as-of dates; other dates stay as they are."""
+    spread = df.hint("rebalance", AS_OF).sortWithinPartitions(*SNAPSHOT_KEYS)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(AS_OF).parquet(path)
+
+
 def write_once(df: DataFrame, path: str, by_date: bool = False) -> None:
     """Write a table that must not exist yet, sorted by key within its files."""
     writer = df.sortWithinPartitions(*SNAPSHOT_KEYS).write.mode("errorifexists")

@@ -74,6 +74,25 @@ def schema_mismatches(df: DataFrame, expected: dict[str, str]) -> list[str]:
     return sorted(name for name in expected.keys() | actual.keys() if expected.get(name) != actual.get(name))
 
 
+def validate_sources(tables: dict[str, DataFrame], manifest: DataFrame, schemas: dict[str, dict[str, str]]) -> DataFrame:
+    """Everything in which source files differ from the manifest: (source_file, problem, item, expected, found).
+
+    Row counts come from one pass over each table that reads no column; columns from
+    the tables' own schemas, which is as many rows as files have columns.
+    """
+    spark = manifest.sparkSession
+    counts = reduce(DataFrame.unionAll, [
+        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("source_file"), "row_count") for name, df in tables.items()])
+    rows = validate_source(counts, manifest).select(
+        "source_file", F.lit("row_count").alias("problem"), F.lit(None).cast("string").alias("item"),
+        F.col("expected_rows").cast("string").alias("expected"), F.col("found_rows").cast("string").alias("found"))
+    wrong = []
+    for name, df in tables.items():
+        actual, expected = dict(df.dtypes), schemas.get(name, {})
+        wrong += [(name, "column", column, expected.get(column), actual.get(column)) for column in schema_mismatches(df, expected)]
+    return rows.unionAll(spark.createDataFrame(wrong, "source_file string, problem string, item string, expected string, found string"))
+
+
 def profile_candidates(day: DataFrame, raw_purchases: DataFrame, purchases: DataFrame, activity_date) -> DataFrame:
     """Candidate and outcome figures of one activity day, as rows (measure, value)."""
     as_of = as_date(activity_date).toordinal() + 1

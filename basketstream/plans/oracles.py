@@ -240,6 +240,9 @@ def _scans():
         "scan_numbered": "SELECT 'events.parquet' AS source_file, event_id AS source_row_number, event_id, user_id, "
                          "event_type FROM events",
         "scan_window": with_events(f" SELECT {columns} FROM e WHERE {inside}"),
+        "replay_request": with_events(
+            f" SELECT client_id, stamp AS timestamp, sku FROM e WHERE event_type = 'add_to_cart' AND {inside} "
+            "ORDER BY source_row_number LIMIT 25"),
         "scan_window_first": with_events(
             f" SELECT {columns}, sku FROM e WHERE event_type = 'add_to_cart' AND {inside} "
             "ORDER BY source_row_number LIMIT 25"),
@@ -523,6 +526,8 @@ def _features():
     return {
         "offline_snapshot": with_events(snapshot + f" WHERE {ON_DAY}", *SNAP),
         "snapshot_by_date": with_events(snapshot, *SNAP),
+        "snapshot_rebuilt": with_events(snapshot, *SNAP),
+        "labels_rebuilt": with_events(labels, *LABELLED),
         "snapshot_summary": with_events(" " + summary, day_summary),
         "snapshot_summary_unnamed": with_events(" " + summary, all_summary),
         "purchase_labels": with_events(labels + f" WHERE {ON_DAY}", *LABELLED),
@@ -540,6 +545,12 @@ def _features():
         "snapshot_from_orders": ",".join([ORDER_EVENTS, *SNAP]) + snapshot,
         "labels_from_orders": ",".join([ORDER_EVENTS, *LABELLED]) + labels,
         "profile_tables": "WITH " + EVENTS + "," + PRODUCTS + " " + " UNION ALL ".join(prof),
+        "validate_sources": with_events(
+            " SELECT CASE WHEN event_type IS NULL THEN 'total' ELSE event_type || '.parquet' END AS source_file, 'row_count' AS problem, "
+            "CAST(NULL AS VARCHAR) AS item, CAST(count(*) + 1 AS VARCHAR) AS expected, CAST(count(*) AS VARCHAR) AS found "
+            "FROM e GROUP BY GROUPING SETS ((event_type), ()) HAVING event_type IS NULL OR event_type = 'search_query' UNION ALL "
+            "SELECT * FROM (VALUES ('search_query.parquet', 'column', 'timestamp', 'date', 'string'), "
+            "('product_buy.parquet', 'column', 'price', 'int', NULL), ('page_visit.parquet', 'column', 'url', NULL, 'bigint'))"),
         "validate_source": with_events(
             " SELECT 'search_query.parquet' AS source_file, count(*) FILTER (event_type = 'search_query') + 1 AS expected_rows, "
             "count(*) FILTER (event_type = 'search_query') AS found_rows FROM e UNION ALL "
@@ -624,6 +635,13 @@ best AS (SELECT label FROM scored ORDER BY score DESC, feature_as_of_date_source
             "count(*) FILTER (hours >= 24 AND hours < 72) AS hours_24_to_72, count(*) FILTER (hours >= 72) AS hours_72_to_168 FROM scored "
             "WHERE feature_as_of_date_source BETWEEN DATE '2024-01-02' AND DATE '2024-01-13' "
             "OR feature_as_of_date_source = DATE '2024-01-21' GROUP BY 1", *base),
+        "model_optimum": with_events(
+            ", fitted AS (SELECT label, CASE WHEN hours < 24 THEN 0 WHEN hours < 72 THEN 1 ELSE 2 END AS bucket FROM scored "
+            "WHERE feature_as_of_date_source BETWEEN DATE '2024-01-02' AND DATE '2024-01-13'), "
+            "classes AS (SELECT 'purchase' AS model, label AS class, count(*) AS class_rows FROM fitted GROUP BY label "
+            "UNION ALL SELECT 'timing', bucket, count(*) FROM fitted WHERE label = 1 GROUP BY bucket) "
+            "SELECT feature_set, model, CAST(class AS INTEGER) AS class, class_rows, CAST(class_rows AS DOUBLE) AS expected_rows, "
+            "TRUE AS gradient_vanishes FROM classes, (VALUES ('counts'), ('counts+recency')) f(feature_set)", *base),
         "score_batch_summary": with_events(
             " SELECT feature_as_of_date_source, count(*) AS scored_rows, count(*) AS shares_add_up, count(*) AS probabilities_in_range "
             "FROM snap GROUP BY 1", *SNAP),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from basketstream import fixed_values as fixed
 from basketstream.functions.ids import record_id
 from basketstream.functions.once import add_once
-from basketstream.models import metrics, rows as model_rows, score as scoring, train as training
+from basketstream.models import certificate, metrics, rows as model_rows, score as scoring, train as training
 from basketstream.operators import contract, daily_counts, envelope, features, landing, marts, parse, profile, quality
 from basketstream.plans import feeds, jobs
 from basketstream.plans.incremental import Warehouse, incremental_load as load_files
@@ -24,6 +24,7 @@ ACTIVITY_DAY = date(2024, 1, 10)
 AS_OF = ACTIVITY_DAY + timedelta(days=1)
 WINDOW = ("2024-01-10 06:00:00", "2024-01-10 18:00:00")
 HALF = "2024-01-16"
+GRADIENT_BOUND = 1e-7
 TRAIN_DATES = [date(2024, 1, 2) + timedelta(days=i) for i in range(12)]
 EVALUATION_DATE = date(2024, 1, 21)
 AS_OF_COLUMN = features.AS_OF
@@ -689,6 +690,33 @@ def snapshot_by_date(spark, sf):
     return _rounded(_snapshot(spark, sf))
 
 
+def _rebuilt(spark, sf):
+    """Snapshot and label tables built without the rows of one type on some days, then brought up to date: (snapshot, labels)."""
+    root = scratch_dir(spark, "rebuild")
+    at = {name: os.path.join(root, name) for name in ("snapshot", "labels")}
+    events = tables.typed_events(spark, sf)
+    day = F.to_date("event_time")
+    late = (F.dayofmonth(day) % 10 == 5) & (F.col("event_type") == "product_buy")
+    early = events.where(~late)
+    features.write_once(features.offline_snapshot(early), at["snapshot"], by_date=True)
+    pairs = spark.read.parquet(at["snapshot"])
+    features.write_once(features.purchase_labels(pairs, early.where("event_type = 'product_buy'")), at["labels"], by_date=True)
+    features.rebuild_affected(events, events.where(late).select(day.alias("day")).distinct(), at["snapshot"], at["labels"])
+    return spark.read.parquet(at["snapshot"]), spark.read.parquet(at["labels"])
+
+
+@query
+def snapshot_rebuilt(spark, sf):
+    rebuilt = _rebuilt(spark, sf)[0]
+    return _rounded(rebuilt.select(*_snapshot(spark, sf).columns))
+
+
+@query
+def labels_rebuilt(spark, sf):
+    rebuilt = _rebuilt(spark, sf)[1]
+    return _rounded(rebuilt.select(*features.purchase_labels(_pairs(spark, sf), _purchases(spark, sf)).columns))
+
+
 @query
 def snapshot_summary(spark, sf):
     return features.snapshot_summary(tables.typed_events(spark, sf, first_day=ACTIVITY_DAY))
@@ -776,6 +804,31 @@ def profile_window(spark, sf):
     return profile.profile_window(tables.raw_events(spark, sf), *WINDOW)
 
 
+@query
+def validate_sources(spark, sf):
+    """Row counts and columns of all event files against what a manifest expects: a search too many, a date, a wider price, no url."""
+    found = {f"{kind}.parquet": df.drop("source_file", "source_row_number") for kind, df in tables.raw_tables(spark, sf).items()}
+    manifest = tables.typed_events(spark, sf).groupBy("source_file").agg(F.count_distinct("source_row_number").alias("expected_rows"))
+    search = F.col("source_file") == "search_query.parquet"
+    wrong = manifest.withColumn("expected_rows", F.col("expected_rows") + F.when(search, 1).otherwise(0))
+    common = {"client_id": "bigint", "timestamp": "string"}
+    schemas = {name: {**common, "sku": "bigint"} for name in found}
+    schemas["page_visit.parquet"] = dict(common)
+    schemas["search_query.parquet"] = {**common, "timestamp": "date", "query": "string"}
+    schemas["product_buy.parquet"]["price"] = "int"
+    return profile.validate_sources(found, wrong, schemas)
+
+
+@query
+def replay_request(spark, sf):
+    """What a replay of one file asks for: its first matches of a time window, under their row numbers."""
+    root = scratch_dir(spark, "replay-request")
+    adds = tables.raw_tables(spark, sf)["add_to_cart"].drop("source_file")
+    adds.repartitionByRange(1, "source_row_number").sortWithinPartitions("source_row_number").write.parquet(root)
+    scan = raw_sources.scan_request(spark, root, "add_to_cart.parquet", *WINDOW, limit=25)
+    return scan.select("client_id", "timestamp", "sku")
+
+
 @query
 def validate_source(spark, sf):
     """Row counts against a manifest that expects one search too many and a file too many."""
@@ -1055,6 +1108,21 @@ def timing_model_eval(spark, sf):
         score_rows(model_rows.timing_rows(held)), score_rows(train_rows), model_rows.timing_prior(train_rows))
 
 
+@query
+def model_optimum(spark, sf):
+    """Both models with either feature set are where the gradient of their objective vanishes; probabilities add up to the rows."""
+    train, held = _split(spark, sf)
+    bought, parts = model_rows.timing_rows(train), []
+    for name, recency in (("counts", False), ("counts+recency", True)):
+        fits = {"purchase": (training.fit_purchase(train, held, recency), train, "label"),
+                "timing": (training.fit_timing(train, held, recency), bought, "bucket")}
+        for kind, (model, rows, label) in fits.items():
+            parts.append(certificate.optimality(model, rows, label).select(
+                F.lit(name).alias("feature_set"), F.lit(kind).alias("model"), "class", "class_rows",
+                F.round("expected_rows", 2).alias("expected_rows"), (F.col("gradient") < GRADIENT_BOUND).alias("gradient_vanishes")))
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query
 def model_split_summary(spark, sf):
     """Rows, positives and purchases per timing bucket of the rows that models are fitted and measured on."""

@@ -23,40 +23,64 @@ def outcomes(df):
     return [row.asDict() for row in df.collect()]
 
 
-@pytest.mark.parametrize("kind,values,payload", [
-    ("add_to_cart", (7313, None, None), {"sku": 7313}),
-    ("product_buy", (7313, None, None), {"sku": 7313}),
-    ("remove_from_cart", (7313, None, None), {"sku": 7313}),
-    ("page_visit", (None, 12345, None), {"url_id": 12345}),
-    ("search_query", (None, None, VECTOR), {"query_vector_raw": VECTOR}),
-])
-def test_envelopes(spark, kind, values, payload):
-    df = raw(spark, (f"{kind}.parquet", 7, 40417, STAMP, *values))
-    (row,) = outcomes(envelope.replay(df, RUN, AT))
-    assert (row["topic"], row["key"], row["error_stage"]) == (fixed.EVENT_TOPIC, "40417", None)
-    record = json.loads(row["value"])
-    assert record["payload"] == payload
-    assert list(record) == ["schema_version", "event_id", "event_type", "event_time", "event_time_timezone",
-                            "client_id", "payload", "source", "replay"]
-    assert record["event_time_timezone"] is None
-    assert record["source"] == {"dataset": fixed.DATASET, "file": f"{kind}.parquet", "row_number": 7}
-    assert record["replay"] == {"run_id": RUN, "published_at": "2031-03-05T06:07:08Z"}
-
-
-@pytest.mark.parametrize("row,message", [
-    (("unknown.parquet", 0, 1, STAMP, 5, None, None), "Unsupported behavioral source file: unknown.parquet"),
-    (("add_to_cart.parquet", 0, None, "bad", 5, None, None), "client_id must be an integer"),
-    (("add_to_cart.parquet", 0, -1, STAMP, 5, None, None), "client_id must be non-negative"),
-    (("add_to_cart.parquet", 0, 1, "2022-99-99 15:17:25", 5, None, None), fixed.MSG_TIME_CALENDAR),
-    (("add_to_cart.parquet", 0, 1, STAMP, None, None, None), "sku must be an integer"),
-    (("page_visit.parquet", 0, 1, STAMP, 5, -2, None), "url must be non-negative"),
-    (("search_query.parquet", 0, 1, STAMP, None, None, "1 2 3 4"), fixed.MSG_QUERY_VECTOR),
-    (("add_to_cart.parquet", -3, 1, STAMP, 5, None, None), "row_number must be non-negative"),
+def valid(kind, number=0):
+    """A raw row of a type and the payload it must get; only the type's own field is filled."""
+    value = f"[{number} {number + 5}]" if kind == "search_query" else 1000 + number
+    field = {"page_visit": "url", "search_query": "query"}.get(kind, "sku")
+    row = {"source_file": f"{kind}.parquet", "source_row_number": number, "client_id": 31 + number, "timestamp": "2031-02-28 08:00:09",
+           "sku": None, "url": None, "query": None, field: value}
+    return row, {{"url": "url_id", "query": "query_vector_raw"}.get(field, field): value}
+
+
+def test_every_type_has_its_own_payload(spark):
+    made = [valid(kind, number) for number, kind in enumerate(fixed.EVENT_TYPES)]
+    rows = outcomes(envelope.replay(raw(spark, *[tuple(row.values()) for row, _ in made]), RUN, AT))
+    assert len(rows) == len(made)
+    for got in rows:
+        record = json.loads(got["value"])
+        row, payload = made[record["source"]["row_number"]]
+        assert (got["topic"], got["key"], got["error_stage"]) == (fixed.EVENT_TOPIC, str(row["client_id"]), None)
+        assert record == {
+            "schema_version": fixed.SCHEMA_VERSION, "event_id": record["event_id"], "event_type": row["source_file"][:-8],
+            "event_time": row["timestamp"], "event_time_timezone": None, "client_id": row["client_id"], "payload": payload,
+            "source": {"dataset": fixed.DATASET, "file": row["source_file"], "row_number": row["source_row_number"]},
+            "replay": {"run_id": RUN, "published_at": "2031-03-05T06:07:08Z"}}
+        assert [key for key in record if key in ("payload", "source", "replay")] == ["payload", "source", "replay"]
+
+
+def test_a_row_broken_everywhere_is_mended_rule_by_rule(spark):
+    """The first rule that a row breaks names it; with that mended, the next one does."""
+    row = {"source_file": "basket.parquet", "source_row_number": -1, "client_id": None, "timestamp": None, "sku": None, "url": None, "query": None}
+    steps = [
+        (f"{fixed.MSG_UNSUPPORTED_FILE}basket.parquet", {"source_file": "remove_from_cart.parquet"}),
+        ("client_id must be an integer", {"client_id": -9}),
+        ("client_id must be non-negative", {"client_id": 9}),
+        ("timestamp must be a string", {"timestamp": "28 Feb 2031"}),
+        (fixed.MSG_TIME_FORMAT, {"timestamp": "2031-02-29 08:00:09"}),
+        (fixed.MSG_TIME_CALENDAR, {"timestamp": "2031-02-28 08:00:09"}),
+        ("sku must be an integer", {"sku": -4}),
+        ("sku must be non-negative", {"sku": 4}),
+        ("row_number must be non-negative", {"source_row_number": 12}),
+    ]
+    for message, mend in steps:
+        (got,) = outcomes(envelope.replay(raw(spark, tuple(row.values())), RUN, AT))
+        assert (got["error_stage"], got["error_type"], got["error_message"]) == ("transformation", "ValueError", message)
+        assert got["topic"] == fixed.DLQ_TOPIC
+        row |= mend
+    (got,) = outcomes(envelope.replay(raw(spark, tuple(row.values())), RUN, AT))
+    assert got["error_stage"] is None and got["topic"] == fixed.EVENT_TOPIC
+
+
+@pytest.mark.parametrize("kind,change,message", [
+    ("page_visit", {"url": None}, "url must be an integer"),
+    ("page_visit", {"url": -1, "sku": 3}, "url must be non-negative"),
+    ("search_query", {"query": None}, "query must be a string"),
+    ("search_query", {"query": "5 10"}, fixed.MSG_QUERY_VECTOR),
 ])
-def test_first_build_error(spark, row, message):
-    (got,) = outcomes(envelope.replay(raw(spark, row), RUN, AT))
-    assert (got["error_stage"], got["error_type"], got["error_message"]) == ("transformation", "ValueError", message)
-    assert got["topic"] == fixed.DLQ_TOPIC
+def test_browsing_payloads_are_checked_by_their_own_field(spark, kind, change, message):
+    row = valid(kind)[0] | change
+    (got,) = outcomes(envelope.replay(raw(spark, tuple(row.values())), RUN, AT))
+    assert (got["error_stage"], got["error_message"]) == ("transformation", message)
 
 
 def test_dead_letter_keeps_the_raw_record(spark):

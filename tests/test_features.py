@@ -244,3 +244,45 @@ def test_schema_and_manifest(spark):
     assert profile.validate_source(counts, same).count() == 0
     other = spark.createDataFrame([("a", 1), ("c", 2)], "source_file string, expected_rows bigint")
     assert {r["source_file"] for r in profile.validate_source(counts, other).collect()} == {"b", "c"}
+
+
+def test_rebuild_touches_the_affected_dates_only(spark, tmp_path):
+    """Late rows of one day: the tables equal a full build, and the files of all other dates are the old ones."""
+    import os
+
+    rows = [(kind, client, sku, datetime(2022, 4, day, 8 + client)) for day in range(1, 21) for client in (1, 2) for sku in (5, 6)
+            for kind in ("add_to_cart", "product_buy") if (day + client + sku) % 3]
+    late = [("product_buy", 1, 5, datetime(2022, 4, 10, 23)), ("add_to_cart", 3, 6, datetime(2022, 4, 10, 1)), ("page_visit", 1, None, datetime(2022, 4, 10, 2))]
+    paths = [str(tmp_path / name) for name in ("snapshot", "labels")]
+
+    def build(events, out):
+        features.write_once(features.offline_snapshot(events), out[0], by_date=True)
+        bought = events.where("event_type = 'product_buy'")
+        features.write_once(features.purchase_labels(spark.read.parquet(out[0]), bought), out[1], by_date=True)
+
+    def files(path):
+        return {(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+    build(frame(spark, rows), paths)
+    before = [files(path) for path in paths]
+    changed = spark.createDataFrame([(date(2022, 4, 10),)], "day date")
+    features.rebuild_affected(frame(spark, rows + late), changed, *paths)
+    whole = [str(tmp_path / name) for name in ("all-snapshot", "all-labels")]
+    build(frame(spark, rows + late), whole)
+    for path, full, old, dates in zip(paths, whole, before, ({11}, {4, 5, 6, 7, 8, 9, 10, 11})):
+        kept = spark.read.parquet(path)
+        assert sorted(map(str, kept.collect())) == sorted(map(str, spark.read.parquet(full).select(*kept.columns).collect()))
+        new = {d.rsplit("=", 1)[1] for d, _ in files(path) - old}
+        assert new == {f"2022-04-{day:02d}" for day in dates}
+    features.rebuild_affected(frame(spark, rows), changed.where("false"), *paths)
+    assert [spark.read.parquet(p).count() for p in paths] == [spark.read.parquet(p).count() for p in whole]
+
+
+def test_sources_are_held_against_manifest_and_schemas(spark):
+    one, two = spark.createDataFrame([(1, "x")], "id bigint, at string"), spark.createDataFrame([], "id int, more double")
+    manifest = spark.createDataFrame([("one", 1), ("three", 2)], "source_file string, expected_rows bigint")
+    found = profile.validate_sources({"one": one, "two": two}, manifest, {"one": {"id": "bigint", "at": "string"}, "two": {"id": "bigint", "at": "date"}})
+    assert {tuple(r) for r in found.collect()} == {
+        ("three", "row_count", None, "2", None), ("two", "row_count", None, None, "0"), ("total", "row_count", None, "3", "1"),
+        ("two", "column", "id", "bigint", "int"), ("two", "column", "at", "date", None), ("two", "column", "more", None, "double")}
+    assert profile.validate_sources({"one": one}, manifest.where("expected_rows = 1"), {"one": dict(one.dtypes)}).count() == 0

@@ -223,3 +223,27 @@ def test_store_load_and_score(spark, tmp_path):
         scoring.score(inputs.withColumn("client_age", F.lit(30)), *models)
     with pytest.raises(QualityError, match="Unexpected model classes"):
         scoring.score(inputs, purchase, purchase)
+
+
+def test_certificate_tells_the_optimum_from_a_point_beside_it(spark):
+    """Gradient of the stated objective by NumPy, at the optimum and after too few steps."""
+    from basketstream.models.certificate import optimality
+
+    draw = np.random.default_rng(3)
+    x = draw.poisson(2.0, (400, len(fixed.COUNT_FEATURES)))
+    y = (x[:, 0] + draw.normal(0, 1, 400) > 2.5).astype(int)
+    names = fixed.COUNT_FEATURES
+    rows = spark.createDataFrame([(*map(int, a), int(b)) for a, b in zip(x, y)], ", ".join(f"{n} bigint" for n in names) + ", label int")
+    best = train.fit_purchase(rows, rows)
+    found = {r["class"]: r for r in optimality(best, rows, "label").collect()}
+    assert all(r["gradient"] < 1e-7 for r in found.values())
+    assert found[1]["class_rows"] == y.sum() and abs(found[1]["expected_rows"] - y.sum()) < 1e-4
+    pipeline = train._pipeline(names, "label", "binomial", fixed.PURCHASE_C, 400)
+    pipeline.getStages()[-1].setMaxIter(2)
+    early = pipeline.fit(rows)
+    (one,) = optimality(early, rows, "label").where("class = 1").collect()
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    w, free = early.stages[-1].coefficients.toArray(), early.stages[-1].intercept
+    apart = 1 / (1 + np.exp(-(z @ w + free))) - y
+    slope = z.T @ apart / 400 + early.stages[-1].getRegParam() * w
+    assert abs(one["gradient"] - max(np.abs(slope).max(), abs(apart.mean()))) < 1e-9 and one["gradient"] > 1e-4
