@@ -281,15 +281,15 @@ def build_labels(snapshot: DataFrame, raw_purchases: DataFrame, as_of=None) -> D
     return purchase_labels(snapshot, parsed, as_of)
 
 
-def affected_dates(changed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(as-of dates whose snapshot changes, as-of dates whose labels change) when rows of the source days ``changed`` (column ``day``) arrive.
+def affected_dates(days) -> tuple[list, list]:
+    """(as-of dates whose snapshot changes, as-of dates whose labels change) when rows of these source days arrive.
 
     A day is in the snapshot of the date after it, and in the label window of itself
     and the dates up to ``LABEL_DAYS`` - 1 before it. New pairs of a date get labels too.
     """
-    snapshots = changed.select(F.date_add("day", 1).alias(AS_OF)).distinct()
-    windows = changed.select(F.explode(F.sequence(F.date_sub("day", LABEL_DAYS - 1), "day")).alias(AS_OF))
-    return snapshots, windows.unionByName(snapshots).distinct()
+    after = {day + timedelta(days=1) for day in days}
+    windows = {day - timedelta(days=back) for day in days for back in range(LABEL_DAYS)}
+    return sorted(after), sorted(windows | after)
 
 
 def rebuild_affected(events: DataFrame, changed: DataFrame, snapshot_path: str, label_path: str) -> None:
@@ -304,14 +304,13 @@ def rebuild_affected(events: DataFrame, changed: DataFrame, snapshot_path: str,
     days = sorted(row["day"] for row in changed.where("day IS NOT NULL").select("day").distinct().collect())
     if not days:
         return
-    changed = spark.createDataFrame([(day,) for day in days], "day date")
-    label_dates = F.broadcast(affected_dates(changed)[1])
+    label_dates = affected_dates(days)[1]
     day = F.to_date("event_time")
     fresh = offline_snapshot(events.where(day.isin(days)))
     replace_dates(fresh, snapshot_path)
-    pairs = spark.read.parquet(snapshot_path).select(*SNAPSHOT_KEYS).join(label_dates, AS_OF, "left_semi")
-    first, last = days[0] - timedelta(days=LABEL_DAYS - 1), days[-1] + timedelta(days=LABEL_DAYS)
-    bought = events.where((F.col("event_type") == "product_buy") & day.between(first, last))
+    pairs = spark.read.parquet(snapshot_path).select(*SNAPSHOT_KEYS).where(F.col(AS_OF).isin(label_dates))
+    last = label_dates[-1] + timedelta(days=LABEL_DAYS - 1)
+    bought = events.where((F.col("event_type") == "product_buy") & day.between(label_dates[0], last))
     replace_dates(purchase_labels(pairs, bought), label_path)
 
 

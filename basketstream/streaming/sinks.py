@@ -4,7 +4,7 @@ import hashlib
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from basketstream.functions.checks import all_failures
 from basketstream.functions.ids import record_id
@@ -122,10 +122,9 @@ def start_landing(bronze: DataFrame, source: str, warehouse, checkpoint: str, re
 
     def land(batch, batch_id):
         spark = batch.sparkSession
-        seen, strange = Observation(), ~F.col(key).eqNullSafe(record_id(F.col("source_file"), F.col("source_row_number")))
-        batch = cut_lineage(spark, batch.observe(
-            seen, F.max(ARRIVED).alias("arrived"), F.count_if(strange).alias("foreign"), F.max("violations").alias("violations")), "stream-batch")
-        counted = seen.get
+        strange = ~F.col(key).eqNullSafe(record_id(F.col("source_file"), F.col("source_row_number")))
+        batch = cut_lineage(spark, batch, "stream-batch")
+        counted = batch.agg(F.max(ARRIVED).alias("arrived"), F.count_if(strange).alias("foreign"), F.max("violations").alias("violations")).first()
         index, new = warehouse.index(source), batch.where("violations = ''")
         index.refresh(spark)
         since = F.lit(counted["arrived"]) - F.expr(f"INTERVAL {retention}")
