@@ -112,12 +112,14 @@ def assert_source_row_unique(landed: DataFrame, fresh: DataFrame, key: str, fore
         raise QualityError(f"Source row claimed by several ids: {clash[0].asDict()}")
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
-    """Append to a landing table bucketed by its key, one file per bucket.
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None, part: str | None = None) -> None:
+    """Append to a landing table bucketed by its key, one file per bucket and value of the partition column ``part``.
 
     Joins on the key then read the table without a shuffle: only the new batch moves.
     """
     writer = df.repartition(buckets, key).write.format("parquet").mode("append").bucketBy(buckets, key).sortBy(key)
+    if part:
+        writer = writer.partitionBy(part)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

@@ -28,6 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from basketstream.functions.ids import record_id
+from basketstream.operators.loads import Loads, load_of
 from basketstream.operators.quality import SOURCE_ROW
 from basketstream.sources.tables import read_or_empty
 
@@ -64,8 +65,8 @@ class Landed:
 class LandingIndex:
     """Index of one landing table below ``root``; ``files`` is the folder of the table, bucketed by ``key``."""
 
-    def __init__(self, root: str, files: str, key: str, buckets: int):
-        self.root, self.files, self.key, self.buckets = root, files, key, buckets
+    def __init__(self, root: str, files: str, key: str, buckets: int, loads: Loads | None = None):
+        self.root, self.files, self.key, self.buckets, self.loads = root, files, key, buckets, loads
 
     def _read(self, spark, part, schema):
         return read_or_empty(spark, os.path.join(self.root, part), schema)
@@ -77,14 +78,17 @@ class LandingIndex:
         return self._read(spark, "foreign", _FOREIGN)
 
     def unknown_files(self, spark) -> list[str]:
-        """Landing files without an entry, at most ``MAX_FILES``; no file is opened."""
+        """Landing files without an entry, at most ``MAX_FILES``, but for those of unpublished loads; no file is opened."""
         try:
             listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.files).select("path")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
-        return [row["path"] for row in listed.join(self.zones(spark).select("path"), "path", "left_anti").limit(MAX_FILES).collect()]
+        new = listed.join(self.zones(spark).select("path"), "path", "left_anti")
+        # Asked after the listing: a listed file's load has claimed.
+        unseen = self.loads.unpublished(spark) if self.loads else []
+        return [row["path"] for row in new.where(~load_of("path").isin(unseen)).limit(MAX_FILES).collect()]
 
     def refresh(self, spark, writer: str = "", batch: int = -1, rows: int | None = None, foreign: bool = True) -> int:
         """Enter landed files that have no entry yet; gives their number.

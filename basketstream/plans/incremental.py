@@ -11,6 +11,7 @@ from basketstream.functions.ids import record_id
 from basketstream.operators.landing import (
     assert_source_row_unique, insert_absent, landing_rules, looked_at, normalize_bronze, save_bucketed,
 )
+from basketstream.operators.loads import LOAD, UNCLAIMED, Loads
 from basketstream.operators.membership import LandingIndex, only_files
 from basketstream.operators.quality import QualityError
 from basketstream.schemas import BRONZE_COLUMNS, LANDING_COLUMNS, LEDGER_COLUMNS, PRIMARY_KEY, ddl, names
@@ -26,6 +27,9 @@ BATCH_FILES = 1000
 class Warehouse:
     """Landing tables, bucketed by record id, and the ledger below one folder.
 
+    Both have a folder per load; readers see those of published loads and rows
+    appended without a claim (see ``operators.loads``).
+
     ``buckets`` is a lasting property of the folder: it is set once, for the size
     the landing will reach. The catalog entry is made anew in each session.
     """
@@ -45,25 +49,34 @@ class Warehouse:
         name = f"landing_{source}_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
         key = PRIMARY_KEY[source]
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({ddl(LANDING_COLUMNS[source])}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {name} ({ddl(LANDING_COLUMNS[source])}, {LOAD} string) USING parquet PARTITIONED BY ({LOAD}) "
             f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{path}'")
         return name
 
     def read_landing(self, spark, source):
-        return spark.table(self.landing_table(spark, source))
+        name = self.landing_table(spark, source)
+        # Files are listed anew, and before the loads: a listed file's load has claimed.
+        spark.catalog.refreshTable(name)
+        rows, unseen = spark.table(name), self.loads(source).unpublished(spark)
+        return (rows.where(~F.col(LOAD).isin(unseen)) if unseen else rows).drop(LOAD)
+
+    def loads(self, source):
+        return Loads(os.path.join(self.root, "loads", source))
 
     def index(self, source):
         root = os.path.join(self.root, "landing-index", f"{source}-{self.buckets}")
-        return LandingIndex(root, self.landing(source), PRIMARY_KEY[source], self.buckets)
+        return LandingIndex(root, self.landing(source), PRIMARY_KEY[source], self.buckets, self.loads(source))
 
-    def append_landing(self, rows, source):
-        """Append whole landing rows; each bucket gets one file per call."""
+    def append_landing(self, rows, source, load=UNCLAIMED):
+        """Append whole landing rows, each bucket in one file per call; they are seen at once, or with the claimed ``load``."""
         spark = rows.sparkSession
-        columns = rows.select(*names(LANDING_COLUMNS[source]))
-        save_bucketed(columns, self.landing_table(spark, source), PRIMARY_KEY[source], self.buckets, self.landing(source))
+        columns = rows.select(*names(LANDING_COLUMNS[source]), F.lit(load).alias(LOAD))
+        save_bucketed(columns, self.landing_table(spark, source), PRIMARY_KEY[source], self.buckets, self.landing(source), LOAD)
 
     def read_ledger(self, spark):
-        return read_or_empty(spark, self.ledger, ddl(LEDGER_COLUMNS))
+        entries = read_or_empty(spark, self.ledger, f"{ddl(LEDGER_COLUMNS)}, {LOAD} string")
+        unseen = [load for source in PRIMARY_KEY for load in self.loads(source).unpublished(spark)]
+        return (entries.where(~F.col(LOAD).isin(unseen)) if unseen else entries).drop(LOAD)
 
 
 @dataclass
@@ -89,14 +102,16 @@ def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_f
     and recorded ones whose size or modification time differs from the ledger
     (``audit_recorded`` hashes all). A recorded file that changed, or a new one
     with more than ``max_file_rows`` rows, ends the run with an error; files
-    before it are loaded and recorded, it is not. Per batch, rows are written
-    first and the ledger last: a run that dies in between leaves rows that the
-    next run finds present, and it then records the files. The listing is sorted
-    and numbered once; a batch reads its range of numbers.
+    before it are loaded and recorded, it is not. A batch's rows and ledger
+    entries become visible together: a run that dies shows nothing of its batch,
+    and of two runs at once the one that is second to publish a batch fails. The
+    listing is sorted and numbered once; a batch reads its range of numbers.
     """
     for given in (max_new_files, max_file_rows, batch_files):
         if given is not None and given < 1:
             raise ValueError("Limits must be positive")
+    # Asked before anything is read: a load that is published later makes this one fail.
+    generation = warehouse.loads(source).latest(spark)
     listed = cut_lineage(spark, list_bronze(spark, bronze_root, source), "listing")
     files = cut_lineage(spark, looked_at(listed, warehouse.read_ledger(spark)), "files")
     numbered = cut_lineage(spark, files.where("state <> 'skip'").orderBy("relative_path").withColumn(
@@ -126,7 +141,8 @@ def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_f
                 chosen.append(now)
             last = row["relative_path"]
         if chosen:
-            inserted += _load(spark, bronze_root, warehouse, source, chosen)
+            generation += 1
+            inserted += _load(spark, bronze_root, warehouse, source, chosen, generation)
             processed += sum(row["row_count"] for row in chosen)
             loaded += len(chosen)
         if barrier:
@@ -157,7 +173,7 @@ def audit_recorded(spark, bronze_root, warehouse: Warehouse, source):
     return bronze_inventory(spark, bronze_root, source).join(recorded, "relative_path").where(found != F.col("_recorded")).drop("_recorded")
 
 
-def _load(spark, bronze_root, warehouse, source, pending) -> int:
+def _load(spark, bronze_root, warehouse, source, pending, generation) -> int:
     key = PRIMARY_KEY[source]
     raw = spark.read.parquet(*[row["path"] for row in pending])
     check_columns(raw, source)
@@ -180,9 +196,13 @@ def _load(spark, bronze_root, warehouse, source, pending) -> int:
         raise QualityError(f"Landing rules broken: {seen['broken']}")
     assert_source_row_unique(landed, fresh, key, index.foreign(spark))
     _assert_unchanged(spark, bronze_root, source, pending)
-    warehouse.append_landing(fresh, source)
+    loads = warehouse.loads(source)
+    load = loads.claim(spark)
+    warehouse.append_landing(fresh, source, load)
+    _record(spark, warehouse, fresh, pending, load)
+    loads.publish(spark, generation, load)
+    # A run that dies before this is entered by the next one's first refresh.
     index.refresh(spark, rows=seen["inserted"], foreign=seen["foreign"] > 0)
-    _record(spark, warehouse, fresh, pending)
     return seen["inserted"]
 
 
@@ -195,10 +215,10 @@ def _assert_unchanged(spark, bronze_root, source, pending):
         raise QualityError("A file of this batch was rewritten while its rows were read")
 
 
-def _record(spark, warehouse, fresh, pending):
+def _record(spark, warehouse, fresh, pending, load):
     # Both are bounded by the files of a batch.
     inserted = dict(map(tuple, fresh.groupBy("_file").count().collect()))
     rows = [(*(row[name] for name in ("source_name", "relative_path", "file_size_bytes", "file_sha256", "row_count")),
              inserted.get(row["path"], 0), None, row["file_modified_at_utc"]) for row in pending]
     ledger = spark.createDataFrame(rows, ddl(LEDGER_COLUMNS)).withColumn("completed_at_utc", F.current_timestamp())
-    ledger.coalesce(1).write.mode("append").parquet(warehouse.ledger)
+    ledger.coalesce(1).write.parquet(os.path.join(warehouse.ledger, f"{LOAD}={load}"))

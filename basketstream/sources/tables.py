@@ -14,6 +14,16 @@ def read_or_empty(spark, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def lines_or_empty(spark, folder: str) -> DataFrame:
+    """Lines of the text files in ``folder``, or none while nothing has been written there."""
+    try:
+        return spark.read.text(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "value string")
+
+
 def relative_path(path: Column, folder: str) -> Column:
     """File path below ``folder``; both as the reader reports them, without a scheme."""
     plain = F.regexp_replace(F.url_decode(path), "^[a-z0-9]+:/+", "/")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketstream.operators import landing, parse
 from basketstream.operators.quality import QualityError
+from basketstream.plans import incremental
 from basketstream.plans.incremental import Warehouse, audit_recorded, incremental_load
 from basketstream.plans.jobs import bronze_to_analytics
 from basketstream.sources import bronze
@@ -112,6 +113,70 @@ def test_retry_after_rows_without_ledger(spark, root, store):
     assert store.read_ledger(spark).collect()[0]["inserted_count"] == 0
 
 
+class Died(Exception):
+    pass
+
+
+def dies(*_):
+    raise Died
+
+
+@pytest.mark.parametrize("at", ["_record", "Loads.publish"])
+def test_a_run_that_dies_shows_nothing(spark, root, store, monkeypatch, at):
+    write_file(spark, root, "a.parquet", [1, 2])
+    incremental_load(spark, root, store, "events")
+    write_file(spark, root, "b.parquet", [2, 3])
+    with monkeypatch.context() as patched:
+        patched.setattr(f"basketstream.plans.incremental.{at}", dies)
+        for _ in range(2):
+            with pytest.raises(Died):
+                incremental_load(spark, root, store, "events")
+    assert len(store.loads("events").unpublished(spark)) == 2
+    assert sorted(r["client_id"] for r in store.read_landing(spark, "events").collect()) == [1, 2]
+    assert [r["relative_path"] for r in store.read_ledger(spark).collect()] == ["a.parquet"]
+    assert store.index("events").unknown_files(spark) == []
+    again = incremental_load(spark, root, store, "events")
+    assert (again.loaded, again.skipped, again.inserted, again.present) == (1, 1, 1, 1)
+    assert sorted(r["client_id"] for r in store.read_landing(spark, "events").collect()) == [1, 2, 3]
+    assert store.read_ledger(spark).count() == 2 and store.loads("events").latest(spark) == 2
+
+
+def test_a_run_that_dies_before_its_files_are_indexed_is_whole(spark, root, store, monkeypatch):
+    write_file(spark, root, "a.parquet", [1, 2])
+    with monkeypatch.context() as patched:
+        patched.setattr("basketstream.operators.membership.LandingIndex._enter", dies)
+        with pytest.raises(Died):
+            incremental_load(spark, root, store, "events")
+    assert store.read_landing(spark, "events").count() == 2 and store.read_ledger(spark).count() == 1
+    write_file(spark, root, "b.parquet", [2, 3])
+    again = incremental_load(spark, root, store, "events")
+    assert (again.loaded, again.skipped, again.inserted) == (1, 1, 1)
+    assert store.read_landing(spark, "events").count() == 3
+
+
+def test_of_two_runs_at_once_one_fails(spark, root, store, monkeypatch):
+    """The second run starts and ends between the first one's look at the landing and its rows."""
+    for name, ids in (("a.parquet", [1, 2]), ("b.parquet", [3])):
+        write_file(spark, root, name, ids)
+    before, others = incremental._assert_unchanged, []
+
+    def meanwhile(*given):
+        before(*given)
+        if not others:
+            others.append(None)
+            others[0] = incremental_load(spark, root, store, "events", batch_files=1)
+
+    monkeypatch.setattr(incremental, "_assert_unchanged", meanwhile)
+    with pytest.raises(QualityError, match="Another load has published generation 1"):
+        incremental_load(spark, root, store, "events")
+    assert (others[0].loaded, others[0].inserted) == (2, 3)
+    assert sorted(r["client_id"] for r in store.read_landing(spark, "events").collect()) == [1, 2, 3]
+    assert store.read_ledger(spark).count() == 2 and store.loads("events").latest(spark) == 2
+    assert incremental_load(spark, root, store, "events").skipped == 2
+    # Sources number their loads apart.
+    assert store.loads("products").latest(spark) == 0
+
+
 def test_second_id_for_a_source_row_is_an_error(spark, root, store):
     write_file(spark, root, "a.parquet", [1])
     incremental_load(spark, root, store, "events")
