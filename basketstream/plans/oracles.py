@@ -332,6 +332,7 @@ def _contracts():
         "events_bronze": BRONZE,
         "stream_bronze": BRONZE,
         "incremental_load": BRONZE,
+        "incremental_interrupted": BRONZE,
         "scan_multi_file": with_events(
             " SELECT event_type, count(*) AS total_rows, count(*) AS distinct_ids, count(*) AS landed_rows FROM e GROUP BY event_type"),
         "products_bronze": with_products(f" SELECT {PRODUCT_COLUMNS} FROM j WHERE validation_error IS NULL", JUDGED_PRODUCTS),

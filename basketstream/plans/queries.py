@@ -436,6 +436,16 @@ def incremental_load(spark, sf):
     return store.read_landing(spark, "events").select(*_EVENT_OUT)
 
 
+@query
+def incremental_interrupted(spark, sf):
+    """A load that died after writing every row and before publishing, then a load of all files: each row once."""
+    root, store = _bronze_folder(spark, sf), Warehouse(scratch_dir(spark, "warehouse"))
+    rows = landing.normalize_bronze(bronze.scan_bronze(spark, root, "events"), "events")
+    store.append_landing(rows.withColumn("loaded_at_utc", F.current_timestamp()), "events", store.loads("events").claim(spark))
+    load_files(spark, root, store, "events")
+    return store.read_landing(spark, "events").select(*_EVENT_OUT)
+
+
 @query
 def incremental_steps(spark, sf):
     """What the ledger says after each step: files and rows so far."""
