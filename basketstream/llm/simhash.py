@@ -59,12 +59,24 @@ def fingerprint(text: bytes | None, words_each: int = SHINGLE) -> int:
     set_bits, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
     for at in range(0, count, CHUNK):
         spans = zip(starts[at : min(at + CHUNK, count)].tolist(), ends[at : at + CHUNK].tolist())
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        set_bits += bits.sum(axis=0, dtype=np.int64)
+        set_bits += _bit_counts(np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64))
+    return _majority(set_bits, count)
+
+
+def _bit_counts(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _majority(set_bits: np.ndarray, count: int) -> int:
     return int(np.packbits(2 * set_bits > count, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Unsigned SimHash of shingle hashes that are made already; 0 of none."""
+    counts = (_bit_counts(hashes[at : at + CHUNK]) for at in range(0, len(hashes), CHUNK))
+    return _majority(sum(counts, np.zeros(64, np.int64)), len(hashes))
+
+
 @F.pandas_udf(T.LongType())
 def _fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))

@@ -100,3 +100,17 @@ def test_stage_drops_copies_of_similarity_above_the_bound(text_spark, tmp_path):
     text_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
     docs = text_spark.read.parquet(str(tmp_path / "docs"))
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(text_spark, docs, "").collect()} == plain_keep(texts)
+
+
+def test_anchors_propose_without_bands(text_spark, monkeypatch):
+    """Copies that differ in one word of a long text meet at anchors alone; fingerprints agree with those of op3 on distinct shingles."""
+    draw = random.Random(9)
+    bases = [[f"w{draw.randrange(10**6)}" for _ in range(1500)] for _ in range(12)]
+    texts = [" ".join(words) for base in bases for words in (base, base[:700] + ["other"] + base[701:])]
+    prints = [similar.simhash.fingerprint_of(similar.shingles(t.encode())) for t in texts]
+    assert prints == [similar.simhash.fingerprint(t.encode(), similar.SHINGLE) for t in texts]
+    monkeypatch.setattr(similar, "_banded", lambda distinct: distinct.selectExpr("print AS a", "print AS b").where("1 = 0"))
+    docs = text_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    near = {i + 1 for i in range(0, len(texts), 2) if (prints[i] ^ prints[i + 1]).bit_count() <= 3}
+    assert len(near) >= 6
+    assert {r.doc_id for r in similar.keep_one(docs).collect()} == set(range(len(texts))) - near
