@@ -126,7 +126,8 @@ class LandingIndex:
             "path", F.pmod(F.hash("min_id"), F.lit(self.buckets)).alias("bucket"), "source_file", "low", "high", "rows", "min_id", "max_id",
             F.lit(words).cast("bigint").alias("words"), F.lit(generation).alias("generation"), F.lit(writer).alias("writer"),
             F.lit(batch).cast("bigint").alias("batch"), "landed_at")
-        entry.coalesce(1).write.mode("append").parquet(os.path.join(self.root, "zones"))
+        # Not coalesce, which would make the counts above one task's work.
+        entry.repartition(1).write.mode("append").parquet(os.path.join(self.root, "zones"))
 
     def holders(self, spark, batch: DataFrame, landed: Landed | None = None) -> list[str] | None:
         """Files that may hold an id of ``batch`` or claim one of its source rows; None if there are too many to name.
@@ -155,8 +156,9 @@ class LandingIndex:
         if len(likely) > MAX_FILES:
             return None
         known = self.foreign(spark)
-        same_id = known.join(rows.select("id").distinct(), "id", "left_semi").select("path")
-        same_row = known.join(rows.select(*SOURCE_ROW).distinct(), SOURCE_ROW, "left_semi").select("path")
+        # The batch is never broadcast: every load would send its ids through the driver.
+        same_id = known.join(rows.select("id").distinct().hint("merge"), "id", "left_semi").select("path")
+        same_row = known.join(rows.select(*SOURCE_ROW).distinct().hint("merge"), SOURCE_ROW, "left_semi").select("path")
         found = same_id.unionByName(same_row)
         if likely:
             chosen = spark.createDataFrame(likely, "path string, generation string, words bigint, bucket int")

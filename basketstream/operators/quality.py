@@ -111,7 +111,7 @@ def new_source_row_conflicts(landed: DataFrame, fresh: DataFrame, key: str, fore
     same_row = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in SOURCE_ROW])
     taken = landed.select(key, *SOURCE_ROW).join(strange, key).where(same_row).select(*SOURCE_ROW)
     claimed = landed.where(foreign) if foreign_landed is None else foreign_landed
-    old = claimed.select(*SOURCE_ROW).join(fresh.select(*SOURCE_ROW), SOURCE_ROW, "left_semi")
+    old = claimed.select(*SOURCE_ROW).join(fresh.select(*SOURCE_ROW).hint("merge"), SOURCE_ROW, "left_semi")
     return among.unionByName(taken).unionByName(old)
 
 
