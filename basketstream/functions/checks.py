@@ -1,5 +1,7 @@
 """Reusable rule expressions: first failing rule, or all failing rules."""
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from basketstream import fixed_values as fixed
@@ -11,11 +13,25 @@ def first_failure(rules) -> Column:
     return F.coalesce(*[F.when(failing, F.lit(code)) for code, failing in rules])
 
 
-def all_failures(rules) -> Column:
+def failing_codes(rules) -> Column:
     """Codes of every rule whose failing condition is true, in rule order."""
     return F.array_compact(F.array(*[F.when(failing, F.lit(code)) for code, failing in rules]))
 
 
+def no_codes() -> Column:
+    return F.array_compact(F.array(F.lit(None).cast("string")))
+
+
+def all_failures(rules) -> Column:
+    """``failing_codes`` where nearly all rows break no rule: whether one is broken is compiled code, the list is not."""
+    return F.when(any_failure(rules), failing_codes(rules)).otherwise(no_codes())
+
+
+def any_failure(rules) -> Column:
+    """Whether any rule's failing condition is true; never null."""
+    return reduce(lambda a, b: a | b, [F.coalesce(failing, F.lit(False)) for _, failing in rules])
+
+
 def null_or(value: Column, failing: Column) -> Column:
     return value.isNull() | failing
 

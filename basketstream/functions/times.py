@@ -4,14 +4,21 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, functions as F
 
-from basketstream.fixed_values import PUBLISHED_FORMAT, SOURCE_TIME_FORMAT
+from basketstream.fixed_values import PUBLISHED_FORMAT, SOURCE_TIME_FORMAT, SOURCE_TIME_PATTERN
 
 _TEXT_FORMAT = "%Y-%m-%d %H:%M:%S"
+_PUBLISHED_UTC = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"
 
 
 def source_time(text: Column) -> Column:
     """Strict parse of source time text; anything not canonical becomes null."""
-    return F.try_to_timestamp(text, F.lit(SOURCE_TIME_FORMAT)).cast("timestamp_ntz")
+    quick = _plain_time(text, SOURCE_TIME_PATTERN, 19)
+    return F.when(quick, text.try_cast("timestamp_ntz")).otherwise(F.try_to_timestamp(text, F.lit(SOURCE_TIME_FORMAT)).cast("timestamp_ntz"))
+
+
+def _plain_time(text: Column, pattern: str, length: int) -> Column:
+    """Text of the usual form, which a cast reads as the pattern does and several times faster; only the year 0 is read by the cast alone."""
+    return text.rlike(pattern) & (F.length(text) == length) & ~text.startswith("0000")
 
 
 def source_time_or_fail(text: Column) -> Column:
@@ -22,7 +29,8 @@ def source_time_or_fail(text: Column) -> Column:
 
 
 def published_time(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(PUBLISHED_FORMAT))
+    quick = _plain_time(text, _PUBLISHED_UTC, 20)
+    return F.when(quick, text.try_cast("timestamp")).otherwise(F.try_to_timestamp(text, F.lit(PUBLISHED_FORMAT)))
 
 
 def utc_text(instant: Column) -> Column:

@@ -9,10 +9,10 @@ record's own schema tells, and then only the values are left to check; the rules
 that inspect types path by path run for the other records only.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from basketstream import fixed_values as fixed
-from basketstream.functions.checks import all_failures
+from basketstream.functions.checks import all_failures, any_failure, failing_codes, no_codes
 from basketstream.functions.ids import is_uuid
 from basketstream.functions.once import add_once
 from basketstream.sources.tables import table_of
@@ -55,7 +55,7 @@ class _AnyRecord:
     def judge(self, rules) -> Column:
         """Broken rule codes; text that is no JSON object has just one."""
         no_object = F.array(F.lit("not_an_object"))
-        return F.when(self.keys("").isNull(), no_object).otherwise(all_failures(rules))
+        return F.when(self.keys("").isNull(), no_object).otherwise(failing_codes(rules))
 
     # Failing conditions. Each is never null.
 
@@ -81,8 +81,8 @@ class _ShapedRecord:
     Only the keys of an event's payload depend on the event and stay to be checked.
     """
 
-    def __init__(self, doc: Column):
-        self.doc = doc
+    def __init__(self, doc: Column, codes=failing_codes):
+        self.doc, self.codes = doc, codes
 
     def text(self, path) -> Column:
         value = self.doc
@@ -96,7 +96,7 @@ class _ShapedRecord:
         return F.array()
 
     def judge(self, rules) -> Column:
-        return all_failures([(code, failing) for code, failing in rules if failing is not None])
+        return self.codes([(code, failing) for code, failing in rules if failing is not None])
 
     def not_object(self, path, keys):
         return self.text(f"{path}.{keys[0]}").isNull() if path == "payload" else None
@@ -290,10 +290,41 @@ def add_contract_errors(df: DataFrame, kind: str, json_text: Column, name: str)
         names = F.array(*[F.lit(name) for name in sorted(_DLQ_KEYS)])
         shaped = shaped & (F.array_sort(F.json_object_keys(json_text)) == names)
     read = add_once(parsed, "_doc", F.when(shaped, F.try_variant_get("_root", "$", struct)))
-    by_value = rules(_ShapedRecord(F.col("_doc")))
     by_path = rules(_AnyRecord(F.col("_root")))
-    codes = F.when(F.col("_doc").isNotNull(), by_value).otherwise(by_path)
-    return add_once(read, name, codes).drop("_root", "_doc")
+    return _add_codes(read, rules, "_doc", by_path, name).drop("_root", "_doc")
+
+
+def _add_codes(df: DataFrame, rules, doc: str, otherwise: Column, name: str) -> DataFrame:
+    """Add ``name``: the codes of the shaped record in column ``doc``, or those of ``otherwise`` where it is null.
+
+    Nearly all records break no rule. That is found out first, by an expression that
+    is compiled; the codes, which are not, are asked of the other records only.
+    """
+    fine = F.col(doc).isNotNull() & ~rules(_ShapedRecord(F.col(doc), any_failure))
+    codes = F.when(F.col("_fine"), no_codes()).when(F.col(doc).isNotNull(), rules(_ShapedRecord(F.col(doc)))).otherwise(otherwise)
+    return add_once(add_once(df, "_fine", fine), name, codes).drop("_fine")
+
+
+def _fits(given, declared) -> bool:
+    """Whether a struct has the declared fields, with whole numbers where the declaration has them."""
+    if isinstance(declared, T.StructType):
+        return isinstance(given, T.StructType) and all(
+            field.name in given.names and _fits(given[field.name].dataType, field.dataType) for field in declared)
+    if isinstance(declared, T.StringType):
+        return isinstance(given, T.StringType)
+    return isinstance(given, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def add_built_errors(df: DataFrame, kind: str, record: str, json_text: Column, name: str) -> DataFrame:
+    """``add_contract_errors`` for records that were built here: the column ``record`` holds the fields that ``json_text`` was made of.
+
+    Fields of the declared types need not be read back from the text to be judged.
+    Other types are judged by the text. A null record is no object.
+    """
+    rules, _, struct = CONTRACTS[kind]
+    if not _fits(df.schema[record].dataType, T._parse_datatype_string(struct)):
+        return add_contract_errors(df, kind, json_text, name)
+    return _add_codes(df, rules, record, F.array(F.lit("not_an_object")), name)
 
 
 def feature_row_errors(df, counts, recencies):

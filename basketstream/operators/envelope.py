@@ -7,14 +7,14 @@ bad needs no second pass and no shuffle.
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from basketstream import fixed_values as fixed
 from basketstream.functions import checks
 from basketstream.functions.ids import dead_letter_id, record_id
 from basketstream.functions.once import add_once
 from basketstream.functions.times import utc_literal
-from basketstream.operators.contract import add_contract_errors
+from basketstream.operators.contract import add_built_errors
 from basketstream.sources.tables import table_of
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -23,7 +23,7 @@ _KEEP_NULLS = {"ignoreNullFields": "false"}
 def event_type_of(source_file: Column) -> Column:
     """Event type of a source file, by its table; null for an unknown table."""
     table = table_of(source_file)
-    return F.when(table.isin(list(fixed.EVENT_FILES.values())), F.regexp_replace(table, r"\.parquet$", ""))
+    return F.when(table.isin(list(fixed.EVENT_FILES.values())), F.substring_index(table, ".parquet", 1))
 
 
 def one_of_kind(event_type: Column, sku, page, search) -> Column:
@@ -34,14 +34,18 @@ def one_of_kind(event_type: Column, sku, page, search) -> Column:
     )
 
 
-def payload(event_type: Column) -> Column:
-    """The one-key payload of an event as VARIANT, so the other keys stay absent."""
-    fields = F.struct(
+def _payload_fields(event_type: Column) -> Column:
+    """Every type's payload field; null but for that of the event's own type."""
+    return F.struct(
         one_of_kind(event_type, F.col("sku"), None, None).alias("sku"),
         one_of_kind(event_type, None, F.col("url"), None).alias("url_id"),
         one_of_kind(event_type, None, None, F.col("query")).alias("query_vector_raw"),
     )
-    return F.parse_json(F.to_json(fields))
+
+
+def payload(event_type: Column) -> Column:
+    """The one-key payload of an event as VARIANT, so the other keys stay absent."""
+    return F.parse_json(F.to_json(_payload_fields(event_type)))
 
 
 def event_build_error() -> Column:
@@ -85,8 +89,12 @@ def _replay(run_id: str, instant_text: Column, name: str) -> Column:
     return F.struct(F.lit(run_id.lower()).alias("run_id"), instant_text.alias(name))
 
 
-def build_events(raw: DataFrame, run_id: str, published_at: datetime) -> DataFrame:
-    """Raw event rows plus ``envelope`` (null when unbuildable) and ``build_error``."""
+def build_events(raw: DataFrame, run_id: str, published_at: datetime, fields: bool = False) -> DataFrame:
+    """Raw event rows plus ``envelope`` (null when unbuildable) and ``build_error``.
+
+    With ``fields``, the payload is a struct of all types' fields and no VARIANT:
+    quicker, if the envelope is only judged and written as text (``event_text``).
+    """
     kind = event_type_of(F.col("source_file"))
     envelope = F.struct(
         F.lit(fixed.SCHEMA_VERSION).alias("schema_version"),
@@ -95,7 +103,7 @@ def build_events(raw: DataFrame, run_id: str, published_at: datetime) -> DataFra
         F.col("timestamp").alias("event_time"),
         F.lit(None).cast("string").alias("event_time_timezone"),
         "client_id",
-        payload(kind).alias("payload"),
+        (_payload_fields(kind) if fields else payload(kind)).alias("payload"),
         _source().alias("source"),
         _replay(run_id, utc_literal(published_at), "published_at").alias("replay"),
     )
@@ -123,6 +131,20 @@ def serialize(envelope: Column) -> Column:
     return F.to_json(envelope, _KEEP_NULLS)
 
 
+def event_text(envelope: Column) -> Column:
+    """``serialize`` for an event envelope whose payload is a struct of all types' fields."""
+    content, kind = envelope["payload"], envelope["event_type"]
+    one = lambda name: serialize(envelope.withField("payload", F.struct(content[name].alias(name))))
+    return one_of_kind(kind, one("sku"), one("url_id"), one("query_vector_raw"))
+
+
+def plain_events(raw: DataFrame) -> bool:
+    """Whether the payload columns have the contract's types: they are then written as they are."""
+    types = {field.name: field.dataType for field in raw.schema}
+    return all(isinstance(types[name], (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for name in ("sku", "url")) and (
+        isinstance(types["query"], T.StringType))
+
+
 def raw_record(products: bool = False) -> Column:
     """The raw row as a JSON object with the columns its file has, nulls included."""
 
@@ -161,17 +183,17 @@ def replay(raw: DataFrame, run_id: str, published_at: datetime, products: bool =
     source_file, source_row_number, error_stage, error_type, error_message, topic,
     key, value.
     """
-    build = build_products if products else build_events
+    plain = not products and plain_events(raw)
     contract = "product" if products else "event"
     topic = fixed.PRODUCT_TOPIC if products else fixed.EVENT_TOPIC
     key = F.col("envelope.sku" if products else "envelope.client_id")
 
-    tried = build(raw, run_id, published_at)
-    sent_key = key.cast("string")
-    built = add_once(tried.withColumn("_key", sent_key), "_json", serialize(F.col("envelope")))
+    tried = build_products(raw, run_id, published_at) if products else build_events(raw, run_id, published_at, plain)
+    text = event_text if plain else serialize
+    built = add_once(tried.withColumn("_key", key.cast("string")), "_json", text(F.col("envelope")))
     unbuildable = F.col("build_error").isNotNull()
     if validate:
-        built = add_contract_errors(built, contract, F.col("_json"), "_broken")
+        built = add_built_errors(built, contract, "envelope", F.col("_json"), "_broken")
     else:
         built = built.withColumn("_broken", F.array().cast("array<string>"))
     refused = ~unbuildable & (F.size("_broken") > 0)

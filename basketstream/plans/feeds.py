@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketstream import fixed_values as fixed
 from basketstream.functions.once import add_once, isolate
-from basketstream.operators.envelope import build_events, build_products, serialize
+from basketstream.operators.envelope import build_events, build_products, event_text, serialize
 from basketstream.sources.driver_tables import PUBLISHED_AT, RUN_ID, raw_events, raw_products
 
 PUBLISHED = datetime(2031, 3, 5, 6, 7, 8, tzinfo=timezone.utc)
@@ -77,13 +77,13 @@ def _kafka_shape(df: DataFrame, topic, partition_of, partitions, key, value, off
     )
 
 
-def _envelope_text(built: DataFrame) -> DataFrame:
-    return add_once(built, "_value", serialize(F.col("envelope")))
+def _envelope_text(built: DataFrame, text=serialize) -> DataFrame:
+    return add_once(built, "_value", text(F.col("envelope")))
 
 
 def kafka_events(spark, sf_dir, damaged: bool = False) -> DataFrame:
     """Event envelopes as Kafka records; ``damaged`` breaks those with k 0-21."""
-    built = _envelope_text(build_events(raw_events(spark, sf_dir), RUN_ID, PUBLISHED))
+    built = _envelope_text(build_events(raw_events(spark, sf_dir), RUN_ID, PUBLISHED, fields=True), event_text)
     value, key = F.col("_value"), F.col("client_id").cast("string")
     if damaged:
         client = F.concat(F.lit('"client_id":'), F.col("client_id").cast("string"))

@@ -32,4 +32,5 @@ def relative_path(path: Column, folder: str) -> Column:
 
 def table_of(source_file: Column) -> Column:
     """Logical table of a source file: ``a.parquet`` for itself and for ``a.parquet/any/part.parquet``."""
-    return F.split_part(source_file, F.lit("/"), F.lit(1))
+    # Not split_part, which compiles a pattern for every row.
+    return F.substring_index(source_file, "/", 1)
