@@ -135,7 +135,9 @@ def event_text(envelope: Column) -> Column:
     """``serialize`` for an event envelope whose payload is a struct of all types' fields."""
     content, kind = envelope["payload"], envelope["event_type"]
     one = lambda name: serialize(envelope.withField("payload", F.struct(content[name].alias(name))))
-    return one_of_kind(kind, one("sku"), one("url_id"), one("query_vector_raw"))
+    # A null source file gives no type and no build error: its payload is empty.
+    empty = serialize(envelope.withField("payload", F.parse_json(F.lit("{}"))))
+    return F.coalesce(one_of_kind(kind, one("sku"), one("url_id"), one("query_vector_raw")), empty)
 
 
 def plain_events(raw: DataFrame) -> bool:

@@ -73,3 +73,18 @@ def test_running_totals_do_not_depend_on_buckets(spark, buckets):
 def test_running_totals_of_nothing(spark):
     df = spark.createDataFrame([], "score double, n bigint")
     assert prefix.running_totals_desc(df, "score", ["n"]).count() == 0
+
+
+def test_quick_times_are_the_strict_ones(spark):
+    from basketstream import fixed_values as fixed
+    from basketstream.functions.times import published_time, source_time
+
+    texts = ["2024-02-29 23:59:59", "2023-02-29 00:00:00", "2024-13-01 00:00:00", "2024-01-01 24:00:00", "2024-01-01 00:00:60", "0000-01-01 00:00:00",
+             "0001-01-01 00:00:00", "9999-12-31 23:59:59", "2024-1-1 00:00:00", "2024-01-01 00:00:00\n", " 2024-01-01 00:00:00", "2024-01-01T00:00:00", "1582-10-10 00:00:00",
+             "+12024-01-01 00:00:00", "", None]
+    texts += [t and t.replace(" ", "T") + zone for t in texts for zone in ("Z", "+08:00", "+08", "z", "")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    strict = [F.try_to_timestamp("text", F.lit(form)) for form in (fixed.SOURCE_TIME_FORMAT, fixed.PUBLISHED_FORMAT)]
+    for row in df.select("text", source_time(F.col("text")).cast("string").alias("a"), strict[0].cast("timestamp_ntz").cast("string").alias("b"),
+                         published_time(F.col("text")).cast("string").alias("c"), strict[1].cast("string").alias("d")).collect():
+        assert (row.a, row.c) == (row.b, row.d), row

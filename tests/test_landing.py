@@ -292,3 +292,25 @@ def test_bronze_to_analytics(spark, root, store):
     assert done["loads"]["events"].inserted == 3 and done["loads"]["products"].inserted == 1
     assert done["marts"]["feature_snapshot"].count() == 3
     assert done["checks"].where("offending_rows > 0").count() == 0
+
+
+def test_index_entry_is_not_drawn_into_one_task(spark, tmp_path, monkeypatch):
+    """A coalesced write would make the counts per landing file the work of a single task."""
+    store = Warehouse(str(tmp_path / "store"), buckets=4)
+    rows = landing.normalize_bronze(bronze_rows(spark, range(20)), "events").withColumn("loaded_at_utc", F.current_timestamp())
+    store.append_landing(rows, "events")
+    called = []
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", lambda df, n: called.append(n))
+    assert store.index("events").refresh(spark) == 4
+    assert not called
+    assert store.index("events").zones(spark).agg(F.sum("rows")).first()[0] == 20
+
+
+def test_a_batch_is_not_broadcast(spark, tmp_path):
+    """Its ids and source rows would pass the driver with every load."""
+    from basketstream.operators.quality import new_source_row_conflicts
+
+    rows = landing.normalize_bronze(bronze_rows(spark, range(20)), "events")
+    foreign = spark.createDataFrame([("a", "b", "c", 1, "d")], "event_id string, source_dataset string, source_file string, source_row_number bigint, path string")
+    plan = new_source_row_conflicts(rows.limit(3), rows, "event_id", foreign)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "BroadcastHashJoin [source_dataset" not in plan
