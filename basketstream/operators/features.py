@@ -136,28 +136,36 @@ def _daily_first_purchases(purchases: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def outcomes(purchases: DataFrame, as_of=None, candidates: DataFrame | None = None) -> DataFrame:
-    """First purchase and purchase rows in the window that follows each as-of date.
-
-    A window is exactly seven whole source days, so a purchase day belongs to
-    seven as-of dates. Purchases are reduced to one row per pair and day, then
-    repeated for those dates; the label join is then a plain equi join on the
-    full key and a pair with very many purchases costs no more than any other.
-    """
-    daily = _daily_first_purchases(purchases, as_of)
-    if candidates is not None:
-        daily = daily.join(candidates.select("client_id", "sku"), ["client_id", "sku"], "left_semi")
-    if as_of is not None:
-        dated = daily.withColumn(AS_OF, F.lit(str(as_date(as_of))).cast("date"))
-    else:
-        first = F.date_sub("_day", LABEL_DAYS - 1)
-        dated = daily.withColumn(AS_OF, F.explode(F.sequence(first, F.col("_day"))))
+def outcomes(purchases: DataFrame, as_of) -> DataFrame:
+    """First purchase and purchase rows per pair in the window that follows one as-of date."""
+    dated = _daily_first_purchases(purchases, as_of).withColumn(AS_OF, F.lit(str(as_date(as_of))).cast("date"))
     return dated.groupBy(*SNAPSHOT_KEYS).agg(
         F.min("_first").alias("first_purchase_at_source"),
         F.sum("_rows").alias("_matching_rows"),
     )
 
 
+def outcomes_by_date(candidates: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Candidate keys of any dates with first purchase and purchase rows in the window that follows their date.
+
+    A window is exactly seven whole source days. Purchases are reduced to one row per
+    pair and day, and dealt by pair together with the candidates; in the order of days,
+    a candidate looks at its own day and the six after it. Nothing is repeated per date,
+    and a pair with very many purchases has no more rows than days. A candidate whose
+    client, product or date is null has no purchases.
+    """
+    daily = _daily_first_purchases(purchases).where("_day IS NOT NULL").withColumnRenamed("_day", AS_OF)
+    absent = [F.lit(None).cast(daily.schema[name].dataType).alias(name) for name in ("_first", "_rows")]
+    rows = candidates.select(*SNAPSHOT_KEYS, *absent).unionByName(daily)
+    ahead = W.partitionBy("client_id", "sku").orderBy(F.unix_date(AS_OF)).rangeBetween(0, LABEL_DAYS - 1)
+    looked = rows.select(
+        *SNAPSHOT_KEYS, "_rows",
+        F.min("_first").over(ahead).alias("first_purchase_at_source"),
+        F.sum("_rows").over(ahead).alias("_matching_rows"),
+    )
+    return looked.where("_rows IS NULL").drop("_rows")
+
+
 def window_outcomes(pairs: DataFrame, purchases: DataFrame, start: str, length: str) -> DataFrame:
     """``pairs`` with purchases_in_window and first_purchase_at_source in [start, start + length).
 
@@ -197,8 +205,7 @@ def labelled_pairs(snapshot: DataFrame, purchases: DataFrame, as_of=None) -> Dat
     """Snapshot keys with outcome columns, including the matching purchase rows.
 
     With ``as_of``, a snapshot row of another date fails the job: its window would
-    not have been looked at. Without it, purchases of pairs that are no candidates
-    on any date leave before they are repeated per date.
+    not have been looked at.
     """
     keys = snapshot.select(*SNAPSHOT_KEYS)
     if as_of is not None:
@@ -206,7 +213,7 @@ def labelled_pairs(snapshot: DataFrame, purchases: DataFrame, as_of=None) -> Dat
         wrong = F.raise_error(F.concat(F.lit("Snapshot row of another date: "), F.col(AS_OF).cast("string")))
         keys = keys.withColumn(AS_OF, F.when(F.col(AS_OF) == wanted, F.col(AS_OF)).otherwise(wrong))
         return keys.join(outcomes(purchases, as_of), SNAPSHOT_KEYS, "left")
-    return keys.join(outcomes(purchases, None, keys), SNAPSHOT_KEYS, "left")
+    return outcomes_by_date(keys, purchases)
 
 
 def purchase_labels(snapshot: DataFrame, purchases: DataFrame, as_of=None) -> DataFrame:

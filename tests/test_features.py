@@ -199,6 +199,26 @@ def test_hot_client_and_pair_against_brute_force(spark):
     assert got == brute_force(rows)
 
 
+def test_labels_of_all_dates_repeat_no_purchase(spark):
+    """Purchases and candidates meet as one row per pair and day, not once per date of a window."""
+    rows = [("product_buy", 1, 10, at("09-01 08:00:00") + timedelta(hours=7 * i)) for i in range(60)]
+    rows += [("add_to_cart", 1, 10, at("09-08 00:00:00")), ("product_buy", 1, None, at("09-02 08:00:00")), ("product_buy", 1, 10, None)]
+    bought = frame(spark, rows).where("event_type = 'product_buy'")
+    days = [date(2022, 8, 25) + timedelta(days=i) for i in range(30)]
+    # Repeated rows stay repeated; null keys and pairs never bought have no purchases.
+    keys = [(day, 1, 10) for day in days] + [(days[9], 1, 10), (days[9], 1, None), (days[9], None, None), (days[9], 2, 10), (None, 1, 10)]
+    labelled = features.labelled_pairs(spark.createDataFrame(keys, PAIRS), bought)
+
+    def expected(day, client, sku):
+        start = day and datetime.combine(day, datetime.min.time())
+        found = [w for kind, c, s, w in rows if day and w and (kind, c, s) == ("product_buy", client, sku) and start <= w < start + timedelta(days=7)]
+        return day, client, sku, min(found, default=None), len(found) or None
+
+    assert Counter(map(tuple, labelled.collect())) == Counter(expected(*key) for key in keys)
+    plan = labelled._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
 LANDED = "event_id string, event_type string, client_id bigint, sku bigint, event_time_local timestamp_ntz"
 
 
