@@ -105,8 +105,15 @@ def insert_counts(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     )
 
 
-def assert_source_row_unique(landed: DataFrame, fresh: DataFrame, key: str, foreign_landed: DataFrame | None = None) -> None:
-    """Two ids for one source row are an error, not a skip."""
+def assert_source_row_unique(landed: DataFrame, fresh: DataFrame, key: str, foreign_landed: DataFrame | None = None,
+                             foreign_fresh: bool = True) -> None:
+    """Two ids for one source row are an error, not a skip.
+
+    One of the two does not follow from the source row. A caller that knows says that
+    no id of ``fresh`` is such a ``foreign`` one; ``fresh`` has each id once.
+    """
+    if not foreign_fresh and foreign_landed is not None and foreign_landed.isEmpty():
+        return
     clash = new_source_row_conflicts(landed, fresh, key, foreign_landed).limit(1).collect()
     if clash:
         raise QualityError(f"Source row claimed by several ids: {clash[0].asDict()}")

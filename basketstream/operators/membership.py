@@ -23,6 +23,7 @@ without entering them are entered then. An entry's zones are written last.
 import os
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
@@ -129,46 +130,56 @@ class LandingIndex:
         # Not coalesce, which would make the counts above one task's work.
         entry.repartition(1).write.mode("append").parquet(os.path.join(self.root, "zones"))
 
-    def holders(self, spark, batch: DataFrame, landed: Landed | None = None) -> list[str] | None:
+    def holders(self, spark, batch: DataFrame, landed: Landed | None = None, part: str | None = None) -> list[str] | None:
         """Files that may hold an id of ``batch`` or claim one of its source rows; None if there are too many to name.
 
         ``batch`` has the key and the source row. With ``landed``, files are left out
-        whose ids the caller has removed from the batch by other means.
+        whose ids the caller has removed from the batch by other means. ``part`` is a
+        column by whose values source rows lie together, as in the files they come from.
         """
         source = F.col("source_file"), F.col("source_row_number")
-        rows = batch.select(F.col(self.key).alias("id"), *SOURCE_ROW, record_id(*source).alias("proper"))
+        parts = [part] if part else []
+        rows = batch.select(F.col(self.key).alias("id"), *SOURCE_ROW, *parts, record_id(*source).alias("proper"))
         strange = ~F.col("id").eqNullSafe(F.col("proper"))
-        near = rows.where("proper IS NOT NULL").select(F.col("proper").alias("id"), *SOURCE_ROW)
+        near = rows.where("proper IS NOT NULL").select(F.col("proper").alias("id"), *SOURCE_ROW, *parts)
         far = rows.where(strange & F.col("id").isNotNull()).select("id")
         bucket = F.pmod(F.hash("id"), F.lit(self.buckets)).alias("bucket")
         zones = self.zones(spark).where("rows > 0")
         if not zones.inputFiles():
             return []
         file = ["path", "generation", "words", "bucket"]
-        spans = near.groupBy(bucket, "source_file").agg(
+        spans = near.groupBy(bucket, "source_file", *parts).agg(
             F.min("source_row_number").alias("first"), F.max("source_row_number").alias("last"))
         own = zones
         if landed:
             own = zones.where(~((F.col("writer") == landed.writer) & (F.col("batch") < landed.batch) & (F.col("landed_at") >= landed.since)))
-        covering = own.join(spans, ["bucket", "source_file"]).where("low <= last AND high >= first").select(*file)
+        covering = own.join(spans, ["bucket", "source_file"]).where("low <= last AND high >= first").select(*file, "low", "high")
         anywhere = zones.join(far.withColumn("bucket", bucket), "bucket").where(F.col("id").between(F.col("min_id"), F.col("max_id"))).select(*file)
-        likely = covering.unionByName(anywhere).distinct().limit(MAX_FILES + 1).collect()
+        likely = covering.unionByName(anywhere, True).groupBy(*file).agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or(F.col("low").isNull()).alias("anywhere")).limit(MAX_FILES + 1).collect()
         if len(likely) > MAX_FILES:
             return None
-        known = self.foreign(spark)
-        # The batch is never broadcast: every load would send its ids through the driver.
-        same_id = known.join(rows.select("id").distinct().hint("merge"), "id", "left_semi").select("path")
-        same_row = known.join(rows.select(*SOURCE_ROW).distinct().hint("merge"), SOURCE_ROW, "left_semi").select("path")
-        found = same_id.unionByName(same_row)
+        known, found = self.foreign(spark), []
+        # Ids that all follow from their source rows need not be sorted to meet none.
+        if not known.isEmpty():
+            # The batch is never broadcast: every load would send its ids through the driver.
+            found.append(known.join(rows.select("id").distinct().hint("merge"), "id", "left_semi").select("path"))
+            found.append(known.join(rows.select(*SOURCE_ROW).distinct().hint("merge"), SOURCE_ROW, "left_semi").select("path"))
         if likely:
-            chosen = spark.createDataFrame(likely, "path string, generation string, words bigint, bucket int")
+            chosen = F.broadcast(spark.createDataFrame(
+                likely, "path string, generation string, words bigint, bucket int, low bigint, high bigint, anywhere boolean"))
             folders = sorted({os.path.join(self.root, "blooms", row["generation"]) for row in likely})
             blooms = spark.read.schema(_BLOOMS).parquet(*folders)
-            ids = near.select("id").unionByName(far).withColumn("bucket", bucket)
-            asked = ids.join(F.broadcast(chosen), "bucket").select("path", _word(F.col("id"), F.col("words")).alias("word"), _bits(F.col("id")).alias("mask"))
+            # A proper id is asked of the files that hold source rows on both sides of its own.
+            placed = near.withColumn("bucket", bucket).join(chosen, "bucket").where(F.col("source_row_number").between(F.col("low"), F.col("high")))
+            strangers = far.withColumn("bucket", bucket).join(chosen, "bucket").where("anywhere")
+            asked = placed.select("id", "path", "words").unionByName(strangers.select("id", "path", "words")).select(
+                "path", _word(F.col("id"), F.col("words")).alias("word"), _bits(F.col("id")).alias("mask"))
             hit = asked.join(blooms, ["path", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
-            found = found.unionByName(hit.select("path"))
-        paths = [row["path"] for row in found.distinct().limit(MAX_FILES + 1).collect()]
+            found.append(hit.select("path"))
+        if not found:
+            return []
+        paths = [row["path"] for row in reduce(DataFrame.unionByName, found).distinct().limit(MAX_FILES + 1).collect()]
         return None if len(paths) > MAX_FILES else paths
 
 

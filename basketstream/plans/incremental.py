@@ -2,9 +2,12 @@
 
 import hashlib
 import os
+from bisect import bisect_right
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import batched
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from basketstream.functions.checks import all_failures
 from basketstream.functions.ids import record_id
@@ -12,7 +15,7 @@ from basketstream.operators.landing import (
     assert_source_row_unique, insert_absent, landing_rules, looked_at, normalize_bronze, save_bucketed,
 )
 from basketstream.operators.loads import LOAD, UNCLAIMED, Loads
-from basketstream.operators.membership import LandingIndex, only_files
+from basketstream.operators.membership import MAX_FILES, LandingIndex, only_files
 from basketstream.operators.quality import QualityError
 from basketstream.schemas import BRONZE_COLUMNS, LANDING_COLUMNS, LEDGER_COLUMNS, PRIMARY_KEY, ddl, names
 from basketstream.session import cut_lineage
@@ -68,9 +71,13 @@ class Warehouse:
         return LandingIndex(root, self.landing(source), PRIMARY_KEY[source], self.buckets, self.loads(source))
 
     def append_landing(self, rows, source, load=UNCLAIMED):
-        """Append whole landing rows, each bucket in one file per call; they are seen at once, or with the claimed ``load``."""
+        """Append whole landing rows, each bucket in one file per load; they are seen at once, or with the claimed ``load``.
+
+        ``load`` is a name, or a column of the rows with names.
+        """
         spark = rows.sparkSession
-        columns = rows.select(*names(LANDING_COLUMNS[source]), F.lit(load).alias(LOAD))
+        load = load if isinstance(load, Column) else F.lit(load)
+        columns = rows.select(*names(LANDING_COLUMNS[source]), load.alias(LOAD))
         save_bucketed(columns, self.landing_table(spark, source), PRIMARY_KEY[source], self.buckets, self.landing(source), LOAD)
 
     def read_ledger(self, spark):
@@ -106,6 +113,12 @@ def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_f
     entries become visible together: a run that dies shows nothing of its batch,
     and of two runs at once the one that is second to publish a batch fails. The
     listing is sorted and numbered once; a batch reads its range of numbers.
+
+    Small batches that follow each other are read, judged and written by the same
+    Spark jobs, as the jobs of a batch take about as long for two files as for
+    hundreds. Each is still published by itself, in order, with its own rows and
+    ledger entries. If something is wrong with one of them, the group is halved,
+    down to the batch itself: those before it are published, and it fails alone.
     """
     for given in (max_new_files, max_file_rows, batch_files):
         if given is not None and given < 1:
@@ -118,34 +131,29 @@ def incremental_load(spark, bronze_root, warehouse: Warehouse, source, max_new_f
         "_number", F.monotonically_increasing_id()), "numbered")
     warehouse.index(source).refresh(spark)
     loaded, inserted, processed, same, last, barrier = 0, 0, 0, 0, "", None
-    for low, high in _ranges(numbered, batch_files):
-        if max_new_files is not None and loaded >= max_new_files:
-            break
-        batch = numbered.where(F.col("_number").between(low, high)).orderBy("_number").collect()
-        found = {row["path"]: row for row in bronze_inventory(spark, bronze_root, source, [row["path"] for row in batch]).collect()}
-        chosen = []
-        for row in batch:
-            now = found[row["path"]]
-            if max_new_files is not None and loaded + len(chosen) >= max_new_files:
-                break
-            if row["state"] == "look":
-                if (now["file_sha256"], now["row_count"], now["file_size_bytes"]) != (
-                        row["recorded_sha256"], row["recorded_rows"], row["recorded_bytes"]):
-                    barrier = row["relative_path"], "has changed"
-                    break
-                same += 1
-            elif max_file_rows is not None and now["row_count"] > max_file_rows:
-                barrier = row["relative_path"], "has too many rows"
-                break
-            else:
-                chosen.append(now)
-            last = row["relative_path"]
-        if chosen:
-            generation += 1
-            inserted += _load(spark, bronze_root, warehouse, source, chosen, generation)
-            processed += sum(row["row_count"] for row in chosen)
-            loaded += len(chosen)
-        if barrier:
+    # The names of a group's files are held by the driver, and those of the landing files that it makes.
+    together = max(1, min(BATCH_FILES // batch_files, MAX_FILES // warehouse.buckets))
+    for group in batched(_ranges(numbered, batch_files), together):
+        tries = [group]
+        while tries and not barrier and (max_new_files is None or loaded < max_new_files):
+            ranges = tries.pop()
+            try:
+                chosen = _choose(spark, bronze_root, source, numbered, ranges, max_new_files and max_new_files - loaded, max_file_rows)
+                fresh = _judge(spark, bronze_root, warehouse, source, chosen.batches) if chosen.batches else None
+            except Exception:
+                if len(ranges) == 1:
+                    raise
+                # Whatever it is, it is found again: in its own batch, when those before it are published.
+                half = len(ranges) // 2
+                tries += [ranges[half:], ranges[:half]]
+                continue
+            if fresh:
+                inserted += _land(spark, warehouse, source, chosen.batches, fresh, generation)
+                generation += len(chosen.batches)
+            rows = [row["row_count"] for batch in chosen.batches for row in batch]
+            loaded, processed, same = loaded + len(rows), processed + sum(rows), same + chosen.same
+            last, barrier = chosen.last or last, chosen.barrier
+        if barrier or max_new_files is not None and loaded >= max_new_files:
             break
     if barrier:
         raise QualityError(f"Bronze file {source}/{barrier[0]} {barrier[1]}")
@@ -165,6 +173,43 @@ def _ranges(numbered, size):
             yield (part << 33) + first, (part << 33) + first + size - 1
 
 
+@dataclass
+class _Chosen:
+    """Files to load of each batch that has some, recorded files found unchanged, the last path visited, and what ends the run."""
+
+    batches: list
+    same: int = 0
+    last: str = ""
+    barrier: tuple | None = None
+
+
+def _choose(spark, bronze_root, source, numbered, ranges, most, max_file_rows) -> _Chosen:
+    """What to load of consecutive ranges of numbers, at most ``most`` files; files behind these are not read."""
+    listed = numbered.where(F.col("_number").between(ranges[0][0], ranges[-1][1])).orderBy("_number").collect()
+    if most is not None:
+        new = [at for at, row in enumerate(listed) if row["state"] == "load"]
+        listed = listed[:new[most - 1] + 1] if len(new) >= most else listed
+    found = {row["path"]: row for row in bronze_inventory(spark, bronze_root, source, [row["path"] for row in listed]).collect()}
+    chosen, batches = _Chosen([]), [[] for _ in ranges]
+    starts = [low for low, _ in ranges]
+    for row in listed:
+        now = found[row["path"]]
+        if row["state"] == "look":
+            if (now["file_sha256"], now["row_count"], now["file_size_bytes"]) != (
+                    row["recorded_sha256"], row["recorded_rows"], row["recorded_bytes"]):
+                chosen.barrier = row["relative_path"], "has changed"
+                break
+            chosen.same += 1
+        elif max_file_rows is not None and now["row_count"] > max_file_rows:
+            chosen.barrier = row["relative_path"], "has too many rows"
+            break
+        else:
+            batches[bisect_right(starts, row["_number"]) - 1].append(now)
+        chosen.last = row["relative_path"]
+    chosen.batches = [batch for batch in batches if batch]
+    return chosen
+
+
 def audit_recorded(spark, bronze_root, warehouse: Warehouse, source):
     """Recorded files whose content is no longer what the ledger says, by hashing all of them."""
     recorded = warehouse.read_ledger(spark).where(F.col("source_name") == source).select(
@@ -173,37 +218,73 @@ def audit_recorded(spark, bronze_root, warehouse: Warehouse, source):
     return bronze_inventory(spark, bronze_root, source).join(recorded, "relative_path").where(found != F.col("_recorded")).drop("_recorded")
 
 
-def _load(spark, bronze_root, warehouse, source, pending, generation) -> int:
-    key = PRIMARY_KEY[source]
-    raw = spark.read.parquet(*[row["path"] for row in pending])
+def _read(spark, source, batches):
+    """Bronze rows of the batches' files with their file, their row in it, and their batch's place."""
+    # Each batch's schema is asked of its own files; the driver waits for most of that time.
+    with ThreadPoolExecutor(8) as pool:
+        frames = list(pool.map(lambda batch: spark.read.parquet(*[row["path"] for row in batch]), batches))
+    if any(raw.schema != frames[0].schema for raw in frames[1:]):
+        raise QualityError("Batches of several schemas are not read together")
+    raw = frames[0]
+    if len(batches) > 1:
+        raw = spark.read.schema(raw.schema).parquet(*[row["path"] for batch in batches for row in batch])
     check_columns(raw, source)
     placed = raw.select(
         *names(BRONZE_COLUMNS[source]),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    batch = normalize_bronze(placed, source, keep=["_file", "_row"])
+    if len(batches) == 1:
+        return placed.withColumn("_batch", F.lit(0))
+    places = spark.createDataFrame([(row["path"], at) for at, batch in enumerate(batches) for row in batch], "_file string, _batch int")
+    # Names of files only, at most ``BATCH_FILES``.
+    return placed.join(F.broadcast(places), "_file", "left")
+
+
+@dataclass
+class _Fresh:
+    """Rows to land, written once, and what was counted over them."""
+
+    rows: object
+    inserted: int
+    foreign: int
+
+
+def _judge(spark, bronze_root, warehouse, source, batches) -> _Fresh:
+    """The rows that consecutive batches bring anew, by their place; an error if a rule is broken, a source row claimed or a file rewritten."""
+    key, pending = PRIMARY_KEY[source], [row for batch in batches for row in batch]
+    batch = normalize_bronze(_read(spark, source, batches), source, keep=["_file", "_row", "_batch"])
     index = warehouse.index(source)
-    landed = only_files(warehouse.read_landing(spark, source), index.holders(spark, batch))
+    landed = only_files(warehouse.read_landing(spark, source), index.holders(spark, batch, part="_file"))
     # Written once: what is counted and what is landed are the same rows. All counts are one pass over what was written;
     # an Observation would do without it, but a session that has had one can no longer apply a fitted model.
-    rows = insert_absent(landed, batch, key, ["_file", "_row"]).withColumn("loaded_at_utc", F.current_timestamp())
+    # A key stays with the first batch that has it, as if that batch were landed before the next is looked at.
+    rows = insert_absent(landed, batch, key, ["_batch", "_file", "_row"]).withColumn("loaded_at_utc", F.current_timestamp())
     fresh, broken = cut_lineage(spark, rows, "fresh"), all_failures(landing_rules(source))
     strange = ~F.col(key).eqNullSafe(record_id(F.col("source_file"), F.col("source_row_number")))
-    seen = fresh.agg(F.count("*").alias("inserted"), F.count_if(strange).alias("foreign"),
+    seen = fresh.agg(F.count("*").alias("inserted"), F.count_if(strange).alias("foreign"), F.count_if(F.col("_batch").isNull()).alias("unplaced"),
                      F.first(F.when(F.size(broken) > 0, broken), True).alias("broken")).first()
     if seen["broken"]:
         raise QualityError(f"Landing rules broken: {seen['broken']}")
-    assert_source_row_unique(landed, fresh, key, index.foreign(spark))
+    if seen["unplaced"]:
+        raise QualityError("The reader and the listing name a file of this batch differently")
+    assert_source_row_unique(landed, fresh, key, index.foreign(spark), seen["foreign"] > 0)
     _assert_unchanged(spark, bronze_root, source, pending)
-    loads = warehouse.loads(source)
-    load = loads.claim(spark)
-    warehouse.append_landing(fresh, source, load)
-    _record(spark, warehouse, fresh, pending, load)
-    loads.publish(spark, generation, load)
+    return _Fresh(fresh, seen["inserted"], seen["foreign"])
+
+
+def _land(spark, warehouse, source, batches, fresh: _Fresh, generation) -> int:
+    """Write what was judged, under a load per batch, and publish these in order."""
+    index, loads = warehouse.index(source), warehouse.loads(source)
+    claimed = [loads.claim(spark) for _ in batches]
+    load = F.array(*[F.lit(name) for name in claimed])[F.col("_batch")]
+    warehouse.append_landing(fresh.rows, source, load)
+    _record(spark, warehouse, fresh.rows, batches, claimed)
+    for number, name in enumerate(claimed, generation + 1):
+        loads.publish(spark, number, name)
     # A run that dies before this is entered by the next one's first refresh.
-    index.refresh(spark, rows=seen["inserted"], foreign=seen["foreign"] > 0)
-    return seen["inserted"]
+    index.refresh(spark, rows=fresh.inserted, foreign=fresh.foreign > 0)
+    return fresh.inserted
 
 
 def _assert_unchanged(spark, bronze_root, source, pending):
@@ -215,10 +296,13 @@ def _assert_unchanged(spark, bronze_root, source, pending):
         raise QualityError("A file of this batch was rewritten while its rows were read")
 
 
-def _record(spark, warehouse, fresh, pending, load):
-    # Both are bounded by the files of a batch.
+def _record(spark, warehouse, fresh, batches, loads):
+    # Both are bounded by the files of a batch, or of a group of small ones.
     inserted = dict(map(tuple, fresh.groupBy("_file").count().collect()))
     rows = [(*(row[name] for name in ("source_name", "relative_path", "file_size_bytes", "file_sha256", "row_count")),
-             inserted.get(row["path"], 0), None, row["file_modified_at_utc"]) for row in pending]
-    ledger = spark.createDataFrame(rows, ddl(LEDGER_COLUMNS)).withColumn("completed_at_utc", F.current_timestamp())
-    ledger.coalesce(1).write.parquet(os.path.join(warehouse.ledger, f"{LOAD}={load}"))
+             inserted.get(row["path"], 0), None, row["file_modified_at_utc"], load)
+            for batch, load in zip(batches, loads, strict=True) for row in batch]
+    ledger = spark.createDataFrame(rows, f"{ddl(LEDGER_COLUMNS)}, {LOAD} string").withColumn("completed_at_utc", F.current_timestamp())
+    # Only the loads' own new folders are written, each in one step, and nothing that another run has under way is touched.
+    writer = ledger.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(LOAD).parquet(warehouse.ledger)

@@ -294,6 +294,80 @@ def test_bronze_to_analytics(spark, root, store):
     assert done["checks"].where("offending_rows > 0").count() == 0
 
 
+def replace_file(root, name, rows):
+    """A bronze file of given rows under a chosen name."""
+    staging = os.path.join(root, f"_rows_{name}")
+    rows.coalesce(1).write.parquet(staging)
+    (part,) = glob.glob(os.path.join(staging, "part-*.parquet"))
+    os.makedirs(os.path.join(root, "events"), exist_ok=True)
+    os.replace(part, os.path.join(root, "events", name))
+
+
+def test_small_batches_share_their_jobs_and_stay_loads_of_their_own(spark, root, store, monkeypatch):
+    """The jobs of a batch take as long for one file as for many: a load in small batches must not repeat them for each."""
+    for name, ids in (("a.parquet", [1, 2]), ("b.parquet", [2, 3]), ("c.parquet", [3, 1, 4]), ("d.parquet", [5])):
+        write_file(spark, root, name, ids)
+    calls, insert = [], incremental.insert_absent
+    monkeypatch.setattr(incremental, "insert_absent", lambda *given: calls.append(None) or insert(*given))
+    done = incremental_load(spark, root, store, "events", batch_files=1)
+    assert (done.loaded, done.inserted, done.processed, len(calls)) == (4, 5, 8, 1)
+    # A record stays with the first file that has it, and every batch has its own generation, rows and ledger entry.
+    ledger = {r["relative_path"]: r["inserted_count"] for r in store.read_ledger(spark).collect()}
+    assert ledger == {"a.parquet": 2, "b.parquet": 1, "c.parquet": 1, "d.parquet": 1}
+    assert store.loads("events").latest(spark) == 4 and store.loads("events").unpublished(spark) == []
+    rows = spark.read.parquet(store.landing("events")).groupBy("load").agg(F.sort_array(F.collect_list("client_id")).alias("ids")).collect()
+    assert sorted(r["ids"] for r in rows) == [[1, 2], [3], [4], [5]]
+    assert spark.read.parquet(store.ledger).select("load").distinct().count() == 4
+    assert store.index("events").unknown_files(spark) == []
+    # A later load finds what they hold, and a limit cuts within a group.
+    for name, ids in (("e.parquet", [5, 6]), ("f.parquet", [1, 7]), ("g.parquet", [8])):
+        write_file(spark, root, name, ids)
+    more = incremental_load(spark, root, store, "events", max_new_files=2, batch_files=1)
+    assert (more.loaded, more.skipped, more.inserted, more.pending) == (2, 4, 2, 1)
+
+
+def test_a_run_that_dies_between_the_loads_of_a_group_shows_whole_batches(spark, root, store, monkeypatch):
+    for name, ids in (("a.parquet", [1, 2]), ("b.parquet", [2, 3]), ("c.parquet", [4])):
+        write_file(spark, root, name, ids)
+    publish = incremental.Loads.publish
+    with monkeypatch.context() as patched:
+        patched.setattr("basketstream.plans.incremental.Loads.publish",
+                        lambda loads, spark, number, load: publish(loads, spark, number, load) if number < 2 else dies())
+        with pytest.raises(Died):
+            incremental_load(spark, root, store, "events", batch_files=1)
+    assert sorted(r["client_id"] for r in store.read_landing(spark, "events").collect()) == [1, 2]
+    assert [r["relative_path"] for r in store.read_ledger(spark).collect()] == ["a.parquet"]
+    again = incremental_load(spark, root, store, "events", batch_files=1)
+    assert (again.loaded, again.skipped, again.inserted) == (2, 1, 2)
+    assert sorted(r["client_id"] for r in store.read_landing(spark, "events").collect()) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("harm", ["rule", "file"])
+def test_a_broken_batch_fails_alone(spark, root, store, harm):
+    """Those before it are loaded, though they were read together with it."""
+    for name, ids in (("a.parquet", [1, 2]), ("b.parquet", [3]), ("d.parquet", [4])):
+        write_file(spark, root, name, ids)
+    if harm == "rule":
+        replace_file(root, "c.parquet", bronze_rows(spark, [9]).withColumn("client_id", -F.col("client_id")))
+    else:
+        with open(os.path.join(root, "events", "c.parquet"), "wb") as file:
+            file.write(b"no parquet")
+    with pytest.raises(Exception, match="client_id_negative" if harm == "rule" else "c.parquet"):
+        incremental_load(spark, root, store, "events", batch_files=1)
+    assert sorted(r["relative_path"] for r in store.read_ledger(spark).collect()) == ["a.parquet", "b.parquet"]
+    assert sorted(r["client_id"] for r in store.read_landing(spark, "events").collect()) == [1, 2, 3]
+
+
+def test_batches_of_other_schemas_are_read_by_their_own(spark, root, store):
+    write_file(spark, root, "a.parquet", [1])
+    replace_file(root, "b.parquet", bronze_rows(spark, [2]).withColumn("published_at_utc", F.col("published_at_utc").cast("timestamp_ntz")))
+    replace_file(root, "c.parquet", bronze_rows(spark, [3]).drop("query_vector_raw"))
+    with pytest.raises(ValueError, match="Bronze files lack"):
+        incremental_load(spark, root, store, "events", batch_files=1)
+    assert sorted(r["client_id"] for r in store.read_landing(spark, "events").collect()) == [1, 2]
+    assert store.read_landing(spark, "events").select("published_at_utc").distinct().count() == 1
+
+
 def test_index_entry_is_not_drawn_into_one_task(spark, tmp_path, monkeypatch):
     """A coalesced write would make the counts per landing file the work of a single task."""
     store = Warehouse(str(tmp_path / "store"), buckets=4)

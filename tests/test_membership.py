@@ -109,6 +109,19 @@ def test_foreign_ids_and_claims_are_found(spark, store):
     landing.assert_source_row_unique(only_files(landed, index.holders(spark, other)), other, "event_id", index.foreign(spark))
 
 
+def test_a_proper_id_is_asked_of_files_around_its_source_row_only(spark, store, monkeypatch):
+    """Full Bloom filters say yes to every id: only the zones are left to tell."""
+    for start in (0, 1000):
+        land(spark, store, rows_of(spark, range(start, start + 40)))
+    index, batch = store.index("events"), rows_of(spark, [*range(5, 25), *range(2000, 2020)])
+    monkeypatch.setattr("basketstream.operators.membership._bits", lambda value: F.lit(0).cast("bigint"))
+    landed = store.read_landing(spark, "events").select("source_row_number", F.col("_metadata.file_path").alias("path"))
+    first = {r["path"] for r in landed.where("source_row_number < 1000").collect()}
+    assert set(index.holders(spark, batch)) <= first
+    parts = batch.withColumn("part", F.col("source_row_number") < 1000)
+    assert set(index.holders(spark, parts, part="part")) == set(index.holders(spark, batch))
+
+
 def test_own_recent_files_are_left_out(spark, store):
     land(spark, store, rows_of(spark, range(5)), writer="me", batch=4)
     index, batch, hour = store.index("events"), rows_of(spark, [1, 2]), F.expr("INTERVAL 1 hour")
