@@ -236,9 +236,9 @@ def _read(spark, source, batches):
     )
     if len(batches) == 1:
         return placed.withColumn("_batch", F.lit(0))
-    places = spark.createDataFrame([(row["path"], at) for at, batch in enumerate(batches) for row in batch], "_file string, _batch int")
-    # Names of files only, at most ``BATCH_FILES``.
-    return placed.join(F.broadcast(places), "_file", "left")
+    # Names of files only, at most ``BATCH_FILES``; without a join, as each row's file is one of a constant list.
+    files, places = zip(*[(F.lit(row["path"]), F.lit(at)) for at, batch in enumerate(batches) for row in batch])
+    return placed.withColumn("_batch", F.get(F.array(*places), F.array_position(F.array(*files), F.col("_file")).cast("int") - 1))
 
 
 @dataclass
